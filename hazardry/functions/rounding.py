@@ -24,19 +24,18 @@ def split_constant(value: float) -> tuple[float, float]:
 
 
 def round_exact(value: Column, digits: int) -> Column:
-    """Round a double column to ``digits`` decimals, ties of the exact value to even."""
+    """Round a double column to ``digits`` decimals, ties of the exact value to even.
+
+    Exact while ``|x| * 10^digits`` is below 2^50.
+    """
     scale = float(10**digits)
     scale_high, scale_low = split_constant(scale)
     x = value.cast("double")
     product = x * scale
-    scaled = x * _SPLITTER
-    high = scaled - (scaled - x)
+    nearest = F.rint(product)
+    # the rounded product looks like a tie: its rounding error tells which side it is on
+    high = x * _SPLITTER - (x * _SPLITTER - x)
     low = x - high
     error = ((high * scale_high - product) + high * scale_low + low * scale_high) + low * scale_low
-    whole = F.floor(product).cast("double")
-    fraction = product - whole
-    odd = F.pmod(whole, F.lit(2.0)) == 1.0
-    up = (fraction > 0.5) | ((fraction == 0.5) & ((error > 0) | ((error == 0) & odd)))
-    rounded = (whole + F.when(up, 1.0).otherwise(0.0)) / scale
-    # beyond 2^52 a double has no fraction left; NaN and infinity pass through
-    return F.when(F.isnan(x) | (F.abs(product) >= 4503599627370496.0), x).otherwise(rounded)
+    tie = F.rint(product + F.signum(error) * 0.25)
+    return F.when(F.abs(product - nearest) != 0.5, nearest).otherwise(tie) / scale

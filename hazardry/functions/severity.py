@@ -8,17 +8,6 @@ from pyspark.sql import functions as F
 from hazardry import constants as C
 
 
-def _level(severity: Column, bounds: tuple, below: str | None) -> Column:
-    minimum, medium, high, critical = bounds
-    return (
-        F.when(severity >= critical, "CRITICAL")
-        .when(severity >= high, "HIGH")
-        .when(severity >= medium, "MEDIUM")
-        .when(severity >= minimum, "LOW")
-        .otherwise(F.lit(below))
-    )
-
-
 def severity_level(
     event_type: Column, severity: Column, profile: str = "cm", below_min: str = "drop"
 ) -> Column:
@@ -30,16 +19,37 @@ def severity_level(
 
     A NULL or NaN reading has no level.  An unknown type has none either, except
     under ``"label"``, where the fallback thresholds apply.
+
+    The level is the number of thresholds reached, looked up by type in a
+    constant map: a CASE over types and levels is several times more code, too
+    much for the JIT compiler once a plan holds it twice.
     """
     if below_min not in ("low", "drop", "label"):
         raise ValueError(f"below_min must be low, drop or label, not {below_min!r}")
     below = {"low": "LOW", "drop": None, "label": "DROP"}[below_min]
-    chain = F.when(severity.isNull() | F.isnan(severity), F.lit(None).cast("string"))
-    for name, bounds in C.SEVERITY_THRESHOLDS[profile].items():
-        chain = chain.when(event_type == name, _level(severity, bounds, below))
+    bounds = _bounds(event_type, profile)
     if below_min == "label":
-        return chain.otherwise(_level(severity, C.FALLBACK_THRESHOLDS, below))
-    return chain
+        bounds = F.coalesce(bounds, _array_of(C.FALLBACK_THRESHOLDS))
+    number = F.nanvl(severity, F.lit(None).cast("double"))
+    reached = sum((number >= F.get(bounds, F.lit(i))).cast("int") for i in range(4))
+    labels = F.array(F.lit(below).cast("string"), *[F.lit(v) for v in C.SEVERITY_LEVELS])
+    return F.get(labels, reached)
+
+
+def reaches_minimum(event_type: Column, severity: Column, profile: str = "cm") -> Column:
+    """Whether a reading (not NaN) is of a known type and at least its minimum."""
+    return severity >= F.get(_bounds(event_type, profile), F.lit(0))
+
+
+def _array_of(values: tuple) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
+def _bounds(event_type: Column, profile: str) -> Column:
+    """The four thresholds of a type, NULL for an unknown type."""
+    entries = C.SEVERITY_THRESHOLDS[profile].items()
+    table = F.create_map(*[part for k, v in entries for part in (F.lit(k), _array_of(v))])
+    return F.try_element_at(table, event_type)
 
 
 def beaufort(wind_ms: Column) -> Column:

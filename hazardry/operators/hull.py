@@ -13,7 +13,7 @@ steps and never gathered whole:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,33 +25,37 @@ from pyspark.sql import types as T
 _SMALL_SHARE = 16
 
 
-def _chain(points: list) -> list:
-    """One side of the hull of lexicographically sorted points."""
-    side: list = []
-    for p in points:
-        while len(side) >= 2 and (
-            (side[-1][0] - side[-2][0]) * (p[1] - side[-2][1])
-            - (side[-1][1] - side[-2][1]) * (p[0] - side[-2][0])
-        ) <= 0:
+def _chain(points: list[tuple]) -> list[tuple]:
+    """One side of the hull of lexicographically sorted points, without its last point."""
+    side: list[tuple] = []
+    for x, y in points:
+        while len(side) >= 2:
+            (ax, ay), (bx, by) = side[-2], side[-1]
+            if (bx - ax) * (y - ay) - (by - ay) * (x - ax) > 0:
+                break
             side.pop()
-        side.append(p)
-    return side
+        side.append((x, y))
+    return side[:-1]
 
 
-def hull_points(points: np.ndarray) -> np.ndarray:
-    """Corner points of the hull, in order; fewer than three points come back as they are."""
-    distinct = np.unique(points, axis=0)
+def hull_corners(points: Iterable[tuple]) -> list[tuple]:
+    """Corners of the hull, in order; fewer than three distinct points come back sorted."""
+    distinct = sorted(set(points))
     if len(distinct) < 3:
         return distinct
-    ordered = distinct.tolist()
-    return np.array(_chain(ordered)[:-1] + _chain(ordered[::-1])[:-1])
+    return _chain(distinct) + _chain(distinct[::-1])
 
 
-def polygon_area(corners: np.ndarray) -> float:
+def polygon_area(corners: list[tuple]) -> float:
     if len(corners) < 3:
         return 0.0
-    x, y = corners[:, 0], corners[:, 1]
-    return float(abs(np.sum(x * np.roll(y, -1) - np.roll(x, -1) * y)) / 2.0)
+    shifted = corners[1:] + corners[:1]
+    return abs(sum(x * v - u * y for (x, y), (u, v) in zip(corners, shifted))) / 2.0
+
+
+def hull_points(points: np.ndarray) -> np.ndarray:
+    """As :func:`hull_corners`, on a two-column array."""
+    return np.array(hull_corners(map(tuple, points.tolist())))
 
 
 def _both_ends(rows: pd.DataFrame) -> np.ndarray:
@@ -103,12 +107,9 @@ def _shrink_shares(keys: list[str]):
 
 
 @F.pandas_udf(T.DoubleType())
-def _hull_area(points: pd.Series) -> pd.Series:
-    return points.map(
-        lambda group: polygon_area(
-            hull_points(np.array([(p["lat"], p["lon"]) for p in group], dtype=float))
-        )
-    )
+def _hull_area(lats: pd.Series, lons: pd.Series) -> pd.Series:
+    groups = zip(lats, lons)
+    return pd.Series([polygon_area(hull_corners(zip(y.tolist(), x.tolist()))) for y, x in groups])
 
 
 def hull_area(points: DataFrame, keys: list[str], lat: str, lon: str) -> DataFrame:
@@ -124,6 +125,6 @@ def hull_area(points: DataFrame, keys: list[str], lat: str, lon: str) -> DataFra
     shares = edges.sortWithinPartitions(*keys).mapInPandas(_shrink_shares(keys), schema)
     return (
         shares.groupBy(*keys)
-        .agg(F.collect_list(F.struct("lat", "lon")).alias("_points"))
-        .select(*keys, _hull_area("_points").alias("hull_area"))
+        .agg(F.collect_list("lat").alias("_lats"), F.collect_list("lon").alias("_lons"))
+        .select(*keys, _hull_area("_lats", "_lons").alias("hull_area"))
     )

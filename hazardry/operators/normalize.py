@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hazardry import constants as C
 from hazardry.functions import timestamps as ts
 from hazardry.functions.lookup import map_or
+from hazardry.functions.predicates import all_of
 from hazardry.functions.rounding import round_exact
 from hazardry.schemas import UNIFIED_EVENT
 
@@ -108,7 +109,7 @@ def normalize_all(raw_by_type: dict[str, DataFrame]) -> tuple[DataFrame, DataFra
     unified = reduce(
         DataFrame.unionByName, [NORMALIZERS[kind](raw) for kind, raw in raw_by_type.items()]
     )
-    reason = malformed_field(["severity_raw", "latitude", "longitude", "timestamp"])
-    checked = unified.withColumn("reason", reason)
-    events = checked.filter(F.col("reason").isNull()).drop("reason")
-    return events, checked.filter(F.col("reason").isNotNull())
+    required = ["severity_raw", "latitude", "longitude", "timestamp"]
+    complete = all_of(F.col(name).isNotNull() for name in required)
+    rejects = unified.filter(~complete).withColumn("reason", malformed_field(required))
+    return unified.filter(complete), rejects

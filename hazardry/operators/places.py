@@ -35,51 +35,74 @@ def distinct_cities(gazetteer: DataFrame) -> DataFrame:
     )
 
 
+def _neighbours(cells: DataFrame) -> DataFrame:
+    """Every cell with the 7x7 offsets around it and the ring each offset belongs to."""
+    span = F.expr(f"sequence(-{MAX_RING}, {MAX_RING})")
+    return (
+        cells.withColumn("d_lat", F.explode(span))
+        .withColumn("d_lon", F.explode(span))
+        .withColumn("offset_ring", F.greatest(F.abs("d_lat"), F.abs("d_lon"), F.lit(1)))
+    )
+
+
 def cell_candidates(gazetteer: DataFrame, chunk_cities: int = CHUNK_CITIES) -> DataFrame:
-    """Candidate cities per cell: ``cell_lat, cell_lon, chunk, cities``.
+    """Candidate cities per cell: ``cell_lat, cell_lon, chunk, blocks``.
 
-    ``gazetteer`` holds row_no, lat, lon, cc.  Cells farther than three cells
+    ``gazetteer`` holds row_no, lat, lon, cc.  A block is one city cell of the
+    deciding ring: its offset and its cities.  Cells farther than three cells
     from any city have no row.
     """
-    offsets = F.expr(f"sequence(-{MAX_RING}, {MAX_RING})")
-    cities = distinct_cities(gazetteer)
-    spread = (
-        cities.withColumn("d_lat", F.explode(offsets))
-        .withColumn("d_lon", F.explode(offsets))
-        .select(
-            (_cell(F.col("lat")) - F.col("d_lat")).alias("cell_lat"),
-            (_cell(F.col("lon")) - F.col("d_lon")).alias("cell_lon"),
-            F.greatest(F.abs("d_lat"), F.abs("d_lon"), F.lit(1)).alias("ring"),
-            F.struct("d_lat", "d_lon", "row_no", "lat", "lon", "cc").alias("city"),
-        )
+    cities = distinct_cities(gazetteer).select(
+        _cell(F.col("lat")).alias("city_lat"),
+        _cell(F.col("lon")).alias("city_lon"),
+        F.struct("lat", "lon", "row_no", "cc").alias("city"),
     )
-    per_ring = spread.groupBy("cell_lat", "cell_lon", "ring").agg(F.count("*").alias("n"))
-    deciding = per_ring.groupBy("cell_lat", "cell_lon").agg(
-        F.min("ring").alias("ring"),
-        F.ceil(F.min_by("n", "ring") / F.lit(chunk_cities)).cast("int").alias("chunks"),
+    occupied = cities.groupBy("city_lat", "city_lon").agg(
+        F.ceil(F.count("*") / F.lit(chunk_cities)).cast("int").alias("chunks")
     )
-    return (
-        spread.join(deciding, ["cell_lat", "cell_lon", "ring"])
+    packed = (
+        cities.join(occupied, ["city_lat", "city_lon"])
         .withColumn("chunk", F.pmod(F.xxhash64("city.row_no"), F.col("chunks")).cast("int"))
-        .groupBy("cell_lat", "cell_lon", "chunk", "chunks")
+        .groupBy("city_lat", "city_lon", "chunk")
         .agg(F.collect_list("city").alias("cities"))
     )
+    # the first ring that meets a city, for every cell within reach of one
+    deciding = (
+        _neighbours(occupied)
+        .groupBy(
+            (F.col("city_lat") - F.col("d_lat")).alias("cell_lat"),
+            (F.col("city_lon") - F.col("d_lon")).alias("cell_lon"),
+        )
+        .agg(F.min("offset_ring").alias("ring"))
+    )
+    return (
+        _neighbours(deciding)
+        .filter(F.col("offset_ring") == F.col("ring"))
+        .withColumn("city_lat", F.col("cell_lat") + F.col("d_lat"))
+        .withColumn("city_lon", F.col("cell_lon") + F.col("d_lon"))
+        .join(packed, ["city_lat", "city_lon"])
+        .groupBy("cell_lat", "cell_lon", "chunk")
+        .agg(F.collect_list(F.struct("d_lat", "d_lon", "cities")).alias("blocks"))
+    )
 
 
-def _nearest(lat: Column, lon: Column, cities: Column) -> Column:
-    """Best city of a list as a struct that orders by distance, cell and file order."""
+def _nearest(lat: Column, lon: Column, blocks: Column) -> Column:
+    """Best city of the blocks as a struct that orders by distance, cell and file order."""
 
-    def ranked(city: Column) -> Column:
-        d_lat, d_lon = city["lat"] - lat, city["lon"] - lon
-        return F.struct(
-            (d_lat * d_lat + d_lon * d_lon).alias("dist2"),
-            city["d_lat"].alias("d_lat"),
-            city["d_lon"].alias("d_lon"),
-            city["row_no"].alias("row_no"),
-            city["cc"].alias("cc"),
-        )
+    def best_of(block: Column) -> Column:
+        def ranked(city: Column) -> Column:
+            d_lat, d_lon = city["lat"] - lat, city["lon"] - lon
+            return F.struct(
+                (d_lat * d_lat + d_lon * d_lon).alias("dist2"),
+                block["d_lat"].alias("d_lat"),
+                block["d_lon"].alias("d_lon"),
+                city["row_no"].alias("row_no"),
+                city["cc"].alias("cc"),
+            )
+
+        return F.array_min(F.transform(block["cities"], ranked))
 
-    return F.array_min(F.transform(cities, ranked))
+    return F.array_min(F.transform(blocks, best_of))
 
 
 def nearest_city(
@@ -98,7 +121,7 @@ def nearest_city(
         _cell(F.col(lat)).alias("cell_lat"),
         _cell(F.col(lon)).alias("cell_lon"),
     ).join(candidates, ["cell_lat", "cell_lon"], "left")
-    best = met.select(lat, lon, _nearest(F.col(lat), F.col(lon), F.col("cities")).alias("best"))
+    best = met.select(lat, lon, _nearest(F.col(lat), F.col(lon), F.col("blocks")).alias("best"))
     # one row per point again: a point of a crowded cell met several chunks
     return best.groupBy(lat, lon).agg(
         F.coalesce(F.min("best")["cc"], F.lit("")).alias("cc")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardry import constants as C
-from hazardry.functions.severity import severity_level
+from hazardry.functions import severity
 from hazardry.operators import quality
 
 
@@ -21,11 +21,12 @@ def process_events(
     ``event_time`` is the event's ``timestamp`` text, ``processed_at`` the current
     time unless given.
     """
-    valid, _ = quality.split_valid(events, "process")
-    level = severity_level(F.col("event_type"), F.col("severity_raw"), profile, below_min)
+    kind, reading = F.col("event_type"), F.col("severity_raw")
+    kept, _ = quality.split_valid(events, "process")
+    if below_min == "drop":
+        kept = kept.filter(severity.reaches_minimum(kind, reading, profile))
     return (
-        valid.withColumn("severity_level", level)
-        .filter(F.col("severity_level").isNotNull())
+        kept.withColumn("severity_level", severity.severity_level(kind, reading, profile, below_min))
         .select(
             "event_id",
             "event_type",
@@ -50,11 +51,9 @@ def processing_report(
     pass_rate and drop_rate in percent, then one row per type and per level of
     the processed events.
     """
-    level = severity_level(F.col("event_type"), F.col("severity_raw"), profile, below_min)
-    checked = quality.with_reasons(events, "process").select(
-        "event_type",
-        (F.size("reasons") == 0).alias("valid"),
-        level.alias("level"),
+    level = severity.severity_level(F.col("event_type"), F.col("severity_raw"), profile, below_min)
+    checked = events.select(
+        "event_type", quality.is_valid(events, "process").alias("valid"), level.alias("level")
     )
     passed = F.col("valid") & F.col("level").isNotNull()
     double = lambda c: c.cast("double")
@@ -92,11 +91,9 @@ def first_per_outcome(
     events: DataFrame, profile: str = "fmi", below_min: str = "drop"
 ) -> DataFrame:
     """The earliest input event of every outcome: the four levels and DROPPED."""
-    level = severity_level(F.col("event_type"), F.col("severity_raw"), profile, below_min)
-    checked = quality.with_reasons(events, "process").withColumn(
-        "outcome",
-        F.when(F.size("reasons") > 0, "DROPPED").otherwise(F.coalesce(level, F.lit("DROPPED"))),
-    )
+    level = severity.severity_level(F.col("event_type"), F.col("severity_raw"), profile, below_min)
+    outcome = F.when(quality.is_valid(events, "process"), level)
+    checked = events.withColumn("outcome", F.coalesce(outcome, F.lit("DROPPED")))
     row = F.struct(*[c for c in events.columns])
     order = F.struct(F.coalesce("timestamp", F.lit("")), F.coalesce("event_id", F.lit("")))
     return (

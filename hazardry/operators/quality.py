@@ -10,62 +10,62 @@ from pyspark.sql import functions as F
 from hazardry import constants as C
 from hazardry.functions import geo
 from hazardry.functions import timestamps as ts
+from hazardry.functions.predicates import all_of
 from hazardry.schemas import UNIFIED_EVENT
 
 REQUIRED = UNIFIED_EVENT.fieldNames()
 
 
-def _missing(columns: list[str]) -> list[Column]:
-    return [F.when(F.col(c).isNull(), F.lit(f"missing {c}")) for c in columns]
+def _range(name: str) -> Column:
+    limit = 90.0 if name == "latitude" else 180.0
+    return F.col(name).between(-limit, limit)
 
 
-def _unknown_type() -> Column:
-    return F.when(~F.col("event_type").isin(*C.EVENT_TYPES), F.lit("unknown event_type"))
-
-
-def _not_a_number() -> Column:
-    return F.when(F.isnan("severity_raw"), F.lit("severity_raw is not a number"))
-
-
-def _out_of_range() -> list[Column]:
-    return [
-        F.when(~F.col("latitude").between(-90.0, 90.0), F.lit("latitude out of range")),
-        F.when(~F.col("longitude").between(-180.0, 180.0), F.lit("longitude out of range")),
-    ]
-
-
-def _checks(mode: str, required: list[str]) -> list[Column]:
-    """Failed checks in order; every element is NULL when its check passes.
+def _checks(mode: str, required: list[str]) -> dict[str, Column]:
+    """Message of every check and the condition that passes it.
 
     strict   all fields, known type, severity a number, coordinates in range
     publish  all fields, known type, coordinates in range
     process  all fields, known type, severity a number
     """
-    checks = [*_missing(required), _unknown_type()]
+    if mode not in ("strict", "publish", "process"):
+        raise ValueError(f"unknown mode {mode!r}")
+    checks = {f"missing {c}": F.col(c).isNotNull() for c in required}
+    checks["unknown event_type"] = F.col("event_type").isin(*C.EVENT_TYPES)
     if mode in ("strict", "process"):
-        checks.append(_not_a_number())
+        checks["severity_raw is not a number"] = ~F.isnan("severity_raw")
     if mode in ("strict", "publish"):
-        checks.extend(_out_of_range())
+        checks["latitude out of range"] = _range("latitude")
+        checks["longitude out of range"] = _range("longitude")
     return checks
 
 
+def _required(events: DataFrame, required: list[str] | None) -> list[str]:
+    return [c for c in (required or REQUIRED) if c in events.columns]
+
+
+def is_valid(events: DataFrame, mode: str, required: list[str] | None = None) -> Column:
+    """TRUE for rows that pass every check, never NULL."""
+    passes = _checks(mode, _required(events, required)).values()
+    return F.coalesce(all_of(passes), F.lit(False))
+
+
 def with_reasons(events: DataFrame, mode: str, required: list[str] | None = None) -> DataFrame:
     """Adds ``reasons``, the list of failed checks (empty for a valid row)."""
-    if mode not in ("strict", "publish", "process"):
-        raise ValueError(f"unknown mode {mode!r}")
-    columns = [c for c in (required or REQUIRED) if c in events.columns]
-    return events.withColumn("reasons", F.array_compact(F.array(*_checks(mode, columns))))
+    checks = _checks(mode, _required(events, required))
+    failed = [F.when(~passes, F.lit(message)) for message, passes in checks.items()]
+    return events.withColumn("reasons", F.array_compact(F.array(*failed)))
 
 
 def split_valid(
     events: DataFrame, mode: str, required: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows with their ``reasons``)."""
-    checked = with_reasons(events, mode, required)
-    return (
-        checked.filter(F.size("reasons") == 0).drop("reasons"),
-        checked.filter(F.size("reasons") > 0),
-    )
+    passes = _checks(mode, _required(events, required)).values()
+    # a plain conjunction, so its parts can be pushed into the scan
+    valid = events.filter(all_of(passes))
+    rejects = events.filter(~is_valid(events, mode, required))
+    return valid, with_reasons(rejects, mode, required)
 
 
 def require_valid(events: DataFrame, required: list[str] | None = None) -> DataFrame:

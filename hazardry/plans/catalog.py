@@ -91,22 +91,18 @@ def _hist(spark: SparkSession, d: str) -> DataFrame:
     return W.classify_events(hist.withColumn("event_time", at))
 
 
-_WAREHOUSES: dict[tuple[str, str], W.Warehouse] = {}
+_STARS: dict[tuple[str, str], S.Star] = {}
 
 
-def _warehouse(spark: SparkSession, d: str) -> W.Warehouse:
+def _star(spark: SparkSession, d: str) -> S.Star:
     """The stored star schema of the history, loaded on first use in a session."""
     key = (spark.sparkContext.applicationId, d)
-    if key not in _WAREHOUSES:
+    if key not in _STARS:
         store = W.Warehouse(spark, fresh_folder(spark, "warehouse"))
         store.load(_hist(spark, d), lift(spark, d, "gaz"))
-        _WAREHOUSES[key] = store
+        _STARS[key] = store.open()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return _WAREHOUSES[key]
-
-
-def _star(spark: SparkSession, d: str) -> S.Star:
-    return _warehouse(spark, d).open()
+    return _STARS[key]
 
 
 def _pixels(spark: SparkSession, d: str, sensor: fires.Sensor) -> DataFrame:

@@ -27,8 +27,8 @@ _CODE = (
 
 LIFTS: dict[str, str] = {
     # one month of reports with a time of day
-    "live": f"""
-SELECT concat('EV-', CAST(event_id AS VARCHAR(20))) AS event_id,
+    "numbered": f"""
+SELECT event_id AS n, concat('EV-', CAST(event_id AS VARCHAR(20))) AS event_id,
        {_TYPE.format('event_id')} AS event_type,
        CASE event_id % 4 WHEN 0 THEN least(value / 15, CAST(9.5 AS DOUBLE)) WHEN 1 THEN value * 20
                          WHEN 2 THEN value * 4 ELSE value * 2 END AS severity_raw,
@@ -37,6 +37,8 @@ SELECT concat('EV-', CAST(event_id AS VARCHAR(20))) AS event_id,
        ts AS event_time,
        concat('SRC-', CAST(user_id % 5 AS VARCHAR(20))) AS source
 FROM {{events}}""",
+    "live": """
+SELECT event_id, event_type, severity_raw, latitude, longitude, event_time, source FROM {numbered}""",
     # live with faults in every field; one source sends its reports twice
     "live_dirty": """
 SELECT CASE WHEN n % 101 = 0 THEN NULL ELSE event_id END AS event_id,
@@ -44,11 +46,11 @@ SELECT CASE WHEN n % 101 = 0 THEN NULL ELSE event_id END AS event_id,
        CASE WHEN n % 97 = 0 THEN NULL WHEN n % 89 = 1 THEN CAST(0 AS DOUBLE) ELSE severity_raw END AS severity_raw,
        CASE WHEN n % 89 = 0 THEN CAST(123 AS DOUBLE) ELSE latitude END AS latitude,
        longitude, event_time, event_time + INTERVAL '3' SECOND AS processed_at, source
-FROM (SELECT *, CAST(substring(event_id, 4, 20) AS BIGINT) AS n FROM {live}) a
+FROM {numbered}
 UNION ALL
 SELECT event_id, event_type, severity_raw * 2 AS severity_raw, latitude, longitude, event_time,
        event_time + INTERVAL '60' SECOND AS processed_at, source
-FROM {live} WHERE source = 'SRC-3'""",
+FROM {numbered} WHERE source = 'SRC-3'""",
     # years of events with a date and an hour
     "hist": f"""
 SELECT concat('OR-', CAST(o_orderkey AS VARCHAR(20))) AS event_id,
@@ -179,5 +181,6 @@ def lift(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def lift_stream(events: DataFrame) -> DataFrame:
     """The live lift over a streaming read of the events table."""
-    out = events.sparkSession.sql(LIFTS["live"], events=events)
+    spark = events.sparkSession
+    out = spark.sql(LIFTS["live"], numbered=spark.sql(LIFTS["numbered"], events=events))
     return out.withColumn("event_time", F.col("event_time").cast("timestamp"))

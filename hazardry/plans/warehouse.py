@@ -13,8 +13,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazardry import constants as C
 from hazardry import schemas
-from hazardry.functions.severity import severity_level
+from hazardry.functions import severity
 from hazardry.operators import star as S
 from hazardry.operators.ranking import keep_one
 from hazardry.sources.readers import existing
@@ -32,8 +33,14 @@ def classify_events(
     events: DataFrame, profile: str = "cm", below_min: str = "drop"
 ) -> DataFrame:
     """Events with a ``severity_level``; those without a level are left out."""
-    level = severity_level(F.col("event_type"), F.col("severity_raw"), profile, below_min)
-    return events.withColumn("severity_level", level).filter(F.col("severity_level").isNotNull())
+    kind, reading = F.col("event_type"), F.col("severity_raw")
+    known = reading.isNotNull() & ~F.isnan(reading)
+    kept = events.filter(known)
+    if below_min == "drop":
+        kept = kept.filter(severity.reaches_minimum(kind, reading, profile))
+    return kept.withColumn(
+        "severity_level", severity.severity_level(kind, reading, profile, below_min)
+    ).filter(kind.isin(*C.EVENT_TYPES))
 
 
 @dataclass(frozen=True)
