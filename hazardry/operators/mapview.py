@@ -117,8 +117,11 @@ def map_points(star: Star, box: tuple, start_date: str, end_date: str, limit: in
     facts = star.facts(start_date, end_date)
     matching = star.with_dimensions(facts, location=inside)
     total = matching.agg(F.count("*")).scalar()
-    latest = matching.orderBy(F.desc("time_id"), "event_id").limit(limit)
-    return star.with_dimensions(latest, time=True, event_type=True).select(
+    newest = [F.desc("time_id"), F.asc("event_id")]
+    latest = matching.orderBy(*newest).limit(limit)
+    named = star.with_dimensions(latest, time=True, event_type=True)
+    # the joins may have moved the few rows that are left
+    return named.orderBy(*newest).select(
         "event_id",
         "event_type",
         "severity_level",

@@ -131,8 +131,11 @@ def search_events(star: Star, limit: int = 20, offset: int = 0, **filters) -> Da
     """
     matching = matching_facts(star, **filters)
     total = matching_total(star, **filters)
-    page = matching.orderBy(F.desc("time_id"), "event_id").offset(offset).limit(limit)
-    return star.with_dimensions(page, time=True, event_type=True).select(
+    newest = [F.desc("time_id"), F.asc("event_id")]
+    page = matching.orderBy(*newest).offset(offset).limit(limit)
+    named = star.with_dimensions(page, time=True, event_type=True)
+    # the joins may have moved the few rows of the page
+    return named.orderBy(*newest).select(
         "event_id",
         "event_type",
         "severity_level",
