@@ -116,7 +116,7 @@ def map_points(star: Star, box: tuple, start_date: str, end_date: str, limit: in
     ).select("location_id", "latitude", "longitude")
     facts = star.facts(start_date, end_date)
     matching = star.with_dimensions(facts, location=inside)
-    total = matching.agg(F.count("*")).scalar()
+    total = _counted_points(star, box, start_date, end_date).agg(F.sum("event_count")).scalar()
     newest = [F.desc("time_id"), F.asc("event_id")]
     latest = matching.orderBy(*newest).limit(limit)
     named = star.with_dimensions(latest, time=True, event_type=True)

@@ -112,9 +112,14 @@ def nearest_city(
     lon: str = "longitude",
     chunk_cities: int = CHUNK_CITIES,
 ) -> DataFrame:
-    """``lat``, ``lon`` (distinct points of the input) and ``cc``, '' when no city is near."""
+    """``lat``, ``lon`` (distinct points of the input) and ``cc``, '' when no city is near.
+
+    ``gazetteer`` is the city table or what :func:`cell_candidates` made of it;
+    the latter is worth storing when many batches of points are looked up.
+    """
     distinct = points.select(lat, lon).distinct()
-    candidates = cell_candidates(gazetteer, chunk_cities)
+    prepared = "blocks" in gazetteer.columns
+    candidates = gazetteer if prepared else cell_candidates(gazetteer, chunk_cities)
     met = distinct.select(
         lat,
         lon,

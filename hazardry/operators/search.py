@@ -99,41 +99,51 @@ def not_loaded(events: DataFrame, loaded_ids: DataFrame) -> DataFrame:
 # --- star schema -----------------------------------------------------------------
 
 
-def matching_facts(
+def _places(
     star: Star,
-    start_date: str | None = None,
-    end_date: str | None = None,
-    event_types: list[str] | None = None,
     country: str | None = None,
     region: str | None = None,
     lat: float | None = None,
     lng: float | None = None,
     proximity_km: float = 500.0,
-) -> DataFrame:
-    """Facts with their location; filters on places are applied to the dimension first."""
+) -> DataFrame | None:
+    """The location dimension cut to the place filters, None when there are none."""
     at = None
     if lat is not None and lng is not None:
         at = geo.near(F.col("latitude"), F.col("longitude"), lat, lng, proximity_km)
-    places = _where(
-        star.location,
-        same_text(F.col("country"), country),
-        contains_text(F.col("region"), region),
-        at,
+    wanted = all_of(
+        [same_text(F.col("country"), country), contains_text(F.col("region"), region), at]
     )
-    return star.with_dimensions(star.facts(start_date, end_date, event_types), location=places)
+    return None if wanted is None else star.location.filter(wanted)
 
 
-def search_events(star: Star, limit: int = 20, offset: int = 0, **filters) -> DataFrame:
+def search_events(
+    star: Star,
+    limit: int = 20,
+    offset: int = 0,
+    start_date: str | None = None,
+    end_date: str | None = None,
+    event_types: list[str] | None = None,
+    **place,
+) -> DataFrame:
     """One page of the star schema, newest first, with ``total`` of the whole result.
 
-    Filters are those of :func:`matching_facts`.  The order is date and hour
-    descending, then event id.
+    ``place`` takes country, region, lat, lng and proximity_km.  Place filters
+    cut the location dimension before the join; the other filters become key
+    ranges of the fact scan.  The order is date and hour descending, then id.
     """
-    matching = matching_facts(star, **filters)
-    total = matching_total(star, **filters)
+    facts = star.facts(start_date, end_date, event_types)
+    cut = _places(star, **place)
     newest = [F.desc("time_id"), F.asc("event_id")]
-    page = matching.orderBy(*newest).offset(offset).limit(limit)
-    named = star.with_dimensions(page, time=True, event_type=True)
+    if cut is None:
+        # no place decides which rows are on the page: find it before any join
+        page = facts.orderBy(*newest).offset(offset).limit(limit)
+        located = star.with_dimensions(page, location=True)
+    else:
+        matching = star.with_dimensions(facts, location=cut)
+        located = matching.orderBy(*newest).offset(offset).limit(limit)
+    total = matching_total(star, start_date, end_date, event_types, **place)
+    named = star.with_dimensions(located, time=True, event_type=True)
     # the joins may have moved the few rows of the page
     return named.orderBy(*newest).select(
         "event_id",
@@ -149,13 +159,22 @@ def search_events(star: Star, limit: int = 20, offset: int = 0, **filters) -> Da
     )
 
 
-def matching_total(star: Star, **filters) -> DataFrame:
-    """``total``, the number of matching facts; without a place filter no join is made."""
-    place_filters = ("country", "region", "lat", "lng")
-    if any(filters.get(name) is not None for name in place_filters):
-        matching = matching_facts(star, **filters)
-    else:
-        matching = star.facts(
-            filters.get("start_date"), filters.get("end_date"), filters.get("event_types")
-        )
-    return matching.agg(F.count("*").alias("total"))
+def matching_total(
+    star: Star,
+    start_date: str | None = None,
+    end_date: str | None = None,
+    event_types: list[str] | None = None,
+    **place,
+) -> DataFrame:
+    """``total``, the number of matching facts.
+
+    Without a place filter no join is made; with one, facts are counted per
+    place before they meet the dimension.
+    """
+    facts = star.facts(start_date, end_date, event_types)
+    cut = _places(star, **place)
+    if cut is None:
+        return facts.agg(F.count("*").alias("total"))
+    per_place = facts.groupBy("location_id").agg(F.count("*").alias("n"))
+    inside = per_place.join(cut.select("location_id"), "location_id")
+    return inside.agg(F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("total"))

@@ -7,6 +7,7 @@ are in :mod:`hazardry.plans.twins`; names and types of the columns agree.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ from hazardry.operators import star as S
 from hazardry.plans import warehouse as W
 from hazardry.plans.lifts import lift, lift_stream
 from hazardry.sources import docstore, readers, sinks
-from hazardry.sources.workspace import fresh_folder
+from hazardry.sources.workspace import fresh_folder, staged
 from hazardry.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -690,17 +691,22 @@ def star_join(spark: SparkSession, d: str) -> DataFrame:
 def star_load_idempotent(spark: SparkSession, d: str) -> DataFrame:
     """Rows per table after a first load, a load of everything, and the same load again."""
     store = W.Warehouse(spark, fresh_folder(spark, "reload"))
-    events, cities = _hist(spark, d), lift(spark, d, "gaz")
+    events = _hist(spark, d)
+    cities = staged(places.cell_candidates(lift(spark, d, "gaz")), "cities")
     early = events.filter(F.col("event_time") < F.lit("1998-01-01").cast("timestamp"))
     counts = []
     for step, batch in enumerate((early, events, events), start=1):
         store.load(batch, cities)
         star = store.open()
-        for name, table in (("fact", star.fact), ("location", star.location), ("time", star.time), ("event_type", star.event_type)):
-            rows = table.agg(F.count("*").alias("row_count"))
-            counts.append(rows.select(F.lit(step).alias("load_no"), F.lit(name).alias("table_name"), "row_count").collect())
-    flat = [tuple(r) for rows in counts for r in rows]  # one number per table and load
-    return spark.createDataFrame(flat, "load_no int, table_name string, row_count long")
+        tables = {"fact": star.fact, "location": star.location, "time": star.time, "event_type": star.event_type}
+        counts += [
+            staged(
+                table.agg(F.lit(step).alias("load_no"), F.lit(name).alias("table_name"), F.count("*").alias("row_count")),
+                "counts",
+            )
+            for name, table in tables.items()
+        ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query
