@@ -37,15 +37,13 @@ def _in_country(star: Star, facts: DataFrame, country: str | None) -> DataFrame:
 def event_counts(star: Star) -> DataFrame:
     """event_type, event_count; most frequent first."""
     counted = star.fact.groupBy("event_type_id").agg(_count())
-    named = star.with_dimensions(counted, event_type=True)
+    named = star.with_type_name(counted)
     return named.select("event_type", "event_count").orderBy(F.desc("event_count"), "event_type")
 
 
 def event_counts_with_total(star: Star) -> DataFrame:
     """As :func:`event_counts`, plus a row ``TOTAL`` from the same pass."""
-    counted = star.with_dimensions(
-        star.fact.groupBy("event_type_id").agg(_count()), event_type=True
-    )
+    counted = star.with_type_name(star.fact.groupBy("event_type_id").agg(_count()))
     return (
         counted.rollup("event_type")
         .agg(F.grouping("event_type").alias("_total"), _sum())
@@ -102,7 +100,7 @@ def event_summary(
     """dimension, label, event_count: per type, per severity and in total, in one pass."""
     facts = _in_country(star, star.facts(start_date, end_date, event_types), country)
     counted = facts.groupBy("event_type_id", "severity_level").agg(_count())
-    named = star.with_dimensions(counted, event_type=True)
+    named = star.with_type_name(counted)
     return summarise_counts(named)
 
 
@@ -130,7 +128,7 @@ def year_type_counts(star: Star) -> DataFrame:
     """year, event_type, event_count."""
     counted = star.fact.groupBy("year", "event_type_id").agg(_count())
     return (
-        star.with_dimensions(counted, event_type=True)
+        star.with_type_name(counted)
         .select("year", "event_type", "event_count")
         .orderBy("year", "event_type")
     )

@@ -26,7 +26,7 @@ def _counted_points(star: Star, box: tuple, start_date: str, end_date: str) -> D
     inside = star.location.filter(
         geo.in_box(F.col("latitude"), F.col("longitude"), *box)
     ).select("location_id", "latitude", "longitude")
-    return star.with_dimensions(per_place, location=inside, event_type=True)
+    return star.with_dimensions(star.with_type_name(per_place), location=inside)
 
 
 def grid_cells(counted: DataFrame, cell: float) -> DataFrame:
@@ -119,7 +119,7 @@ def map_points(star: Star, box: tuple, start_date: str, end_date: str, limit: in
     total = _counted_points(star, box, start_date, end_date).agg(F.sum("event_count")).scalar()
     newest = [F.desc("time_id"), F.asc("event_id")]
     latest = matching.orderBy(*newest).limit(limit)
-    named = star.with_dimensions(latest, time=True, event_type=True)
+    named = star.with_dimensions(star.with_type_name(latest), time=True)
     # the joins may have moved the few rows that are left
     return named.orderBy(*newest).select(
         "event_id",

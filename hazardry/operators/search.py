@@ -143,7 +143,7 @@ def search_events(
         matching = star.with_dimensions(facts, location=cut)
         located = matching.orderBy(*newest).offset(offset).limit(limit)
     total = matching_total(star, start_date, end_date, event_types, **place)
-    named = star.with_dimensions(located, time=True, event_type=True)
+    named = star.with_dimensions(star.with_type_name(located), time=True)
     # the joins may have moved the few rows of the page
     return named.orderBy(*newest).select(
         "event_id",

@@ -29,6 +29,11 @@ def event_type_key(name: Column) -> Column:
     return chain
 
 
+def event_type_name(key: Column) -> Column:
+    """Name of a type key; the keys are positions in the fixed list, so no join is needed."""
+    return F.try_element_at(F.array(*[F.lit(k) for k in C.EVENT_TYPES]), key)
+
+
 def time_key(date: Column, hour: Column) -> Column:
     year = F.year(date).cast("long")
     return year * 1000000 + F.month(date) * 10000 + F.dayofmonth(date) * 100 + hour
@@ -129,6 +134,10 @@ class Star:
         predicate = all_of(clauses)
         return self.fact if predicate is None else self.fact.filter(predicate)
 
+    def with_type_name(self, rows: DataFrame) -> DataFrame:
+        """``event_type`` beside an ``event_type_id``."""
+        return rows.withColumn("event_type", event_type_name(F.col("event_type_id")))
+
     def with_dimensions(
         self,
         facts: DataFrame,

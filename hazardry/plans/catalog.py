@@ -92,12 +92,14 @@ def _hist(spark: SparkSession, d: str) -> DataFrame:
     return W.classify_events(hist.withColumn("event_time", at))
 
 
-_STARS: dict[tuple[str, str], S.Star] = {}
+_STARS: dict[tuple, S.Star] = {}
 
 
 def _star(spark: SparkSession, d: str) -> S.Star:
-    """The stored star schema of the history, loaded on first use in a session."""
-    key = (spark.sparkContext.applicationId, d)
+    """The stored star schema of the history, loaded on first use in a session and again
+    when a table it comes from has changed."""
+    inputs = [f"{d.rstrip('/')}/{name}.parquet" for name in ("orders", "customer", "nation")]
+    key = (spark.sparkContext.applicationId, d, *[readers.modified_at(spark, p) for p in inputs])
     if key not in _STARS:
         store = W.Warehouse(spark, fresh_folder(spark, "warehouse"))
         store.load(_hist(spark, d), lift(spark, d, "gaz"))
@@ -775,7 +777,7 @@ def _half_target() -> Column:
 @query
 def stratified_cap(spark: SparkSession, d: str) -> DataFrame:
     star = _star(spark, d)
-    named = star.with_dimensions(star.fact, event_type=True).select("event_id", "event_type", "year", "severity_level")
+    named = star.with_type_name(star.fact).select("event_id", "event_type", "year", "severity_level")
     return ranking.stratified_cap(named, ["year", "event_type"], _half_target())
 
 

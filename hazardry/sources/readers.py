@@ -13,19 +13,28 @@ from hazardry import constants as C
 from hazardry import schemas
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def existing(spark: SparkSession, paths: list[str]) -> list[str]:
     """The paths that exist, on whatever file system they name."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     found = []
     for path in paths:
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        matches = where.getFileSystem(conf).globStatus(where)
+        system, where = _file_system(spark, path)
+        matches = system.globStatus(where)
         if matches is not None and len(matches) > 0:
             found.append(path)
     return found
 
 
+def modified_at(spark: SparkSession, path: str) -> int:
+    """Time of the last change of a file or folder, in milliseconds."""
+    system, where = _file_system(spark, path)
+    return system.getFileStatus(where).getModificationTime()
+
+
 def quake_features(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """GeoJSON FeatureCollections to one row per feature."""
     collections = spark.read.schema(schemas.QUAKE_COLLECTION).json(path, multiLine=multi_line)

@@ -12,12 +12,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def base_folder(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="hazardry-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return shared.rstrip("/")
+    if shared:
+        return shared.rstrip("/")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="hazardry-")
+    return _LOCAL_FOLDERS[app]
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:

@@ -65,6 +65,18 @@ def route_by_type(events: DataFrame, path: str, checkpoint: str, **trigger) -> S
     return append_files(topic_messages(events), path, checkpoint, ["topic"], **trigger)
 
 
+def publish_to_kafka(events: DataFrame, servers: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Messages to the topics of a Kafka cluster; needs the Kafka connector on the class path."""
+    return (
+        topic_messages(events)
+        .writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def running_counts(
     processed: DataFrame, path: str, checkpoint: str, **trigger
 ) -> StreamingQuery:
