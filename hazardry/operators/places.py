@@ -127,7 +127,8 @@ def nearest_city(
         _cell(F.col(lon)).alias("cell_lon"),
     ).join(candidates, ["cell_lat", "cell_lon"], "left")
     best = met.select(lat, lon, _nearest(F.col(lat), F.col(lon), F.col("blocks")).alias("best"))
-    # one row per point again: a point of a crowded cell met several chunks
+    # one row per point again: a point of a crowded cell met several chunks.  The cell is
+    # not a grouping key: that would save a shuffle but forbid splitting a hot cell's join
     return best.groupBy(lat, lon).agg(
         F.coalesce(F.min("best")["cc"], F.lit("")).alias("cc")
     )

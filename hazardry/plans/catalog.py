@@ -713,7 +713,7 @@ def star_load_idempotent(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def load_stats(spark: SparkSession, d: str) -> DataFrame:
-    events = W.classify_events(lift(spark, d, "live_dirty")).filter(F.col("event_id").isNotNull())
+    events = W.classify_events(lift(spark, d, "live_dirty"))
     loaded = _stored(spark, d).filter(F.col("event_time") < F.lit(AS_OF).cast("timestamp"))
     return W.load_report(events, loaded)
 

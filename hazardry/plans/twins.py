@@ -544,10 +544,12 @@ SELECT event_id, {_TIME_KEY} AS time_id, severity_level, source, CAST(1 AS INTEG
 SELECT event_id, event_type, severity_level, latitude, longitude, country, region, strftime(event_date, '%Y-%m-%d') AS date, event_hour AS hour, source FROM wide"""),
     "star_load_idempotent": _loads(),
     "load_stats": _with(f"""
-SELECT total_events, facts_inserted, total_events - facts_inserted AS facts_skipped, CAST(facts_inserted AS DOUBLE) / total_events * 100 AS load_rate FROM (
-  SELECT count(*) AS total_events, count(DISTINCT event_id) FILTER (event_id NOT IN (SELECT event_id FROM stored WHERE t < TIMESTAMP '{AS_OF}')) AS facts_inserted
+SELECT total_events, facts_inserted, total_events - errors - facts_inserted AS facts_skipped, errors,
+       CAST(facts_inserted AS DOUBLE) / total_events * 100 AS load_rate FROM (
+  SELECT count(*) AS total_events, CAST(count_if(event_id IS NULL) AS BIGINT) AS errors,
+         count(DISTINCT event_id) FILTER (event_id NOT IN (SELECT event_id FROM stored WHERE t < TIMESTAMP '{AS_OF}')) AS facts_inserted
   FROM (SELECT *, {_level('event_type', 'severity_raw', 'cm', 'drop')} AS severity_level FROM live_dirty) l
-  WHERE severity_level IS NOT NULL AND event_id IS NOT NULL) c"""),
+  WHERE severity_level IS NOT NULL) c"""),
     "event_counts": _with("SELECT event_type, count(*) AS event_count FROM ev GROUP BY 1"),
     "event_counts_total": _with("""
 SELECT coalesce(event_type, 'TOTAL') AS event_type, count(*) AS event_count FROM ev GROUP BY ROLLUP (event_type)"""),

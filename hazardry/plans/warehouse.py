@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardry import constants as C
 from hazardry import schemas
 from hazardry.functions import severity
+from hazardry.functions.predicates import all_of
 from hazardry.operators import star as S
 from hazardry.operators.ranking import keep_one
 from hazardry.sources.readers import existing
@@ -43,6 +44,13 @@ def classify_events(
     ).filter(kind.isin(*C.EVENT_TYPES))
 
 
+def loadable(classified: DataFrame) -> Column:
+    """Whether a row can become a fact: a known type and every value that keys need."""
+    needed = ("event_id", "severity_level", "latitude", "longitude", "event_time")
+    known = F.col("event_type").isin(*C.EVENT_TYPES)
+    return all_of([*[F.col(c).isNotNull() for c in needed], F.coalesce(known, F.lit(False))])
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Four Parquet tables below one folder; the fact table is partitioned by year."""
@@ -62,14 +70,16 @@ class Warehouse:
     def load(
         self, classified: DataFrame, gazetteer: DataFrame | None = None, order: list[str] | None = None
     ) -> dict[str, int]:
-        """Append what is new; returns received, inserted and skipped (duplicate) rows.
+        """Append what is new; counts received, inserted, skipped (duplicate) and failed rows.
 
         ``classified`` has event_id, event_type, severity_level, latitude,
         longitude, event_time and source.  Of several rows with one new id the
-        first in ``order`` (event_time unless given) is kept.
+        first in ``order`` (event_time unless given) is kept.  Rows that are not
+        :func:`loadable` are left out.
         """
         stored = self.open()
-        first = keep_one(classified, "event_id", order or ["event_time"])
+        sound = classified.filter(loadable(classified))
+        first = keep_one(sound, "event_id", order or ["event_time"])
         fresh = staged(
             S.decompose(S.not_yet_in(first, stored.fact, "event_id")), "load"
         )
@@ -97,8 +107,16 @@ class Warehouse:
         facts = S.fact_rows(fresh).repartitionByRange("time_id", "event_id")
         self._append(facts.sortWithinPartitions("time_id"), "fact", "year")
 
-        received, inserted = classified.count(), fresh.count()
-        return {"received": received, "inserted": inserted, "skipped": received - inserted}
+        counted = classified.agg(
+            F.count("*").alias("received"), F.count_if(~loadable(classified)).alias("errors")
+        ).first()
+        inserted = fresh.count()
+        return {
+            "received": counted["received"],
+            "inserted": inserted,
+            "skipped": counted["received"] - counted["errors"] - inserted,
+            "errors": counted["errors"],
+        }
 
     def _append(self, rows: DataFrame, name: str, *partition_by: str) -> None:
         columns = TABLES[name].fieldNames()
@@ -109,19 +127,17 @@ class Warehouse:
 
 def load_report(classified: DataFrame, loaded_ids: DataFrame) -> DataFrame:
     """What a load of ``classified`` would do: one row of counts and the load rate in percent."""
-    first = keep_one(classified, "event_id", ["event_time"]).select("event_id")
-    fresh = S.not_yet_in(first, loaded_ids, "event_id")
-    received = classified.agg(F.count("*").alias("total_events"))
-    return (
-        fresh.agg(F.count("*").alias("facts_inserted"))
-        .withColumn("total_events", received.scalar())
-        .select(
-            "total_events",
-            "facts_inserted",
-            (F.col("total_events") - F.col("facts_inserted")).alias("facts_skipped"),
-            F.when(
-                F.col("total_events") > 0,
-                F.col("facts_inserted").cast("double") / F.col("total_events") * 100,
-            ).alias("load_rate"),
-        )
+    sound = classified.filter(loadable(classified)).select("event_id").distinct()
+    fresh = S.not_yet_in(sound, loaded_ids, "event_id")
+    counted = classified.agg(
+        F.count("*").alias("total_events"), F.count_if(~loadable(classified)).alias("errors")
+    )
+    total, errors = F.col("total_events"), F.col("errors")
+    inserted = F.col("facts_inserted")
+    return counted.withColumn("facts_inserted", fresh.agg(F.count("*")).scalar()).select(
+        "total_events",
+        "facts_inserted",
+        (total - errors - inserted).alias("facts_skipped"),
+        "errors",
+        F.when(total > 0, inserted.cast("double") / total * 100).alias("load_rate"),
     )

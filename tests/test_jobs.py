@@ -47,8 +47,8 @@ def star(spark, cities):
 
 def test_load_is_idempotent(spark, cities):
     store = W.Warehouse(spark, fresh_folder(spark, "test-load"))
-    assert store.load(some_events(spark, 300), cities) == {"received": 300, "inserted": 300, "skipped": 0}
-    assert store.load(some_events(spark, 400, 100), cities) == {"received": 400, "inserted": 200, "skipped": 200}
+    assert store.load(some_events(spark, 300), cities) == {"received": 300, "inserted": 300, "skipped": 0, "errors": 0}
+    assert store.load(some_events(spark, 400, 100), cities) == {"received": 400, "inserted": 200, "skipped": 200, "errors": 0}
     assert store.load(some_events(spark, 500), cities)["inserted"] == 0
     star = store.open()
     assert star.fact.count() == star.fact.select("event_id").distinct().count() == 500
@@ -60,9 +60,15 @@ def test_load_is_idempotent(spark, cities):
 
 def test_first_row_of_an_id_wins(spark):
     store = W.Warehouse(spark, fresh_folder(spark, "test-first"))
-    rows = [("a", "fire", "LOW", 1.0, 2.0, 200, "late"), ("a", "fire", "HIGH", 1.0, 2.0, 100, "early")]
+    rows = [
+        ("a", "fire", "LOW", 1.0, 2.0, 200, "late"),
+        ("a", "fire", "HIGH", 1.0, 2.0, 100, "early"),
+        (None, "fire", "HIGH", 1.0, 2.0, 100, "no id"),
+        ("b", "volcano", "HIGH", 1.0, 2.0, 100, "no such type"),
+        ("c", "fire", "HIGH", None, 2.0, 100, "nowhere"),
+    ]
     events = spark.createDataFrame(rows, CLASSIFIED.replace("timestamp", "long")).withColumn("event_time", F.timestamp_seconds("event_time"))
-    assert store.load(events)["skipped"] == 1
+    assert store.load(events) == {"received": 5, "inserted": 1, "skipped": 1, "errors": 3}
     star = store.open()
     assert star.fact.first()["source"] == "early"
     assert star.location.first()["country"] == "Unknown" and star.location.first()["region"] == "North East Hemisphere"
