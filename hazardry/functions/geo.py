@@ -26,12 +26,37 @@ def in_box(lat: Column, lon: Column, min_lat, max_lat, min_lon, max_lon) -> Colu
     return lat.between(float(min_lat), float(max_lat)) & lon.between(float(min_lon), float(max_lon))
 
 
-def near(lat: Column, lon: Column, center_lat: float, center_lon: float, km: float) -> Column:
+_CELLS_PER_ROW = 400
+
+
+def degree_cell(lat: Column, lon: Column) -> Column:
+    """Number of the one-degree cell of a position, row by row from the south-west."""
+    row, place = F.floor(lat) + 90, F.floor(lon) + 180
+    return (row * _CELLS_PER_ROW + place).cast("int")
+
+
+def cells_touch_box(cell: Column, box: tuple) -> Column | None:
+    """A predicate on :func:`degree_cell` that every position in the box passes.
+
+    None for a box beyond the map, whose cells have no number of their own.
+    """
+    min_lat, max_lat, min_lon, max_lon = box
+    if min_lon < -180 or max_lon > 180:
+        return None
+    first, last = math.floor(min_lat) + 90, math.floor(max_lat) + 90
+    west, east = math.floor(min_lon) + 180, math.floor(max_lon) + 180
+    rows = cell.between(first * _CELLS_PER_ROW, last * _CELLS_PER_ROW + _CELLS_PER_ROW - 1)
+    return rows & F.pmod(cell, F.lit(_CELLS_PER_ROW)).between(west, east)
+
+
+def near_box(center_lat: float, center_lon: float, km: float) -> tuple:
     """Square of +-km/111 degrees on both axes; no latitude scaling and no wrap."""
     reach = km / C.KM_PER_DEGREE
-    return in_box(
-        lat, lon, center_lat - reach, center_lat + reach, center_lon - reach, center_lon + reach
-    )
+    return center_lat - reach, center_lat + reach, center_lon - reach, center_lon + reach
+
+
+def near(lat: Column, lon: Column, center_lat: float, center_lon: float, km: float) -> Column:
+    return in_box(lat, lon, *near_box(center_lat, center_lon, km))
 
 
 def in_range(lat: Column, lon: Column) -> Column:

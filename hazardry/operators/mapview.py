@@ -19,7 +19,7 @@ def _counted_points(star: Star, box: tuple, start_date: str, end_date: str) -> D
     Facts are counted per place and type before they meet the location dimension.
     """
     per_place = (
-        star.facts(start_date, end_date)
+        star.facts(start_date, end_date, box=box)
         .groupBy("location_id", "event_type_id")
         .agg(F.count("*").alias("event_count"))
     )
@@ -114,7 +114,7 @@ def map_points(star: Star, box: tuple, start_date: str, end_date: str, limit: in
     inside = star.location.filter(
         geo.in_box(F.col("latitude"), F.col("longitude"), *box)
     ).select("location_id", "latitude", "longitude")
-    facts = star.facts(start_date, end_date)
+    facts = star.facts(start_date, end_date, box=box)
     matching = star.with_dimensions(facts, location=inside)
     total = _counted_points(star, box, start_date, end_date).agg(F.sum("event_count")).scalar()
     newest = [F.desc("time_id"), F.asc("event_id")]

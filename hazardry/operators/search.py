@@ -99,6 +99,10 @@ def not_loaded(events: DataFrame, loaded_ids: DataFrame) -> DataFrame:
 # --- star schema -----------------------------------------------------------------
 
 
+def _near_box(lat=None, lng=None, proximity_km: float = 500.0, **_) -> tuple | None:
+    return None if lat is None or lng is None else geo.near_box(lat, lng, proximity_km)
+
+
 def _places(
     star: Star,
     country: str | None = None,
@@ -132,7 +136,7 @@ def search_events(
     cut the location dimension before the join; the other filters become key
     ranges of the fact scan.  The order is date and hour descending, then id.
     """
-    facts = star.facts(start_date, end_date, event_types)
+    facts = star.facts(start_date, end_date, event_types, _near_box(**place))
     cut = _places(star, **place)
     newest = [F.desc("time_id"), F.asc("event_id")]
     if cut is None:
@@ -171,7 +175,7 @@ def matching_total(
     Without a place filter no join is made; with one, facts are counted per
     place before they meet the dimension.
     """
-    facts = star.facts(start_date, end_date, event_types)
+    facts = star.facts(start_date, end_date, event_types, _near_box(**place))
     cut = _places(star, **place)
     if cut is None:
         return facts.agg(F.count("*").alias("total"))

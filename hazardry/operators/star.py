@@ -8,6 +8,9 @@ task, retry and rerun gives the same key:
 * ``location_id``  ``"lat,lon"`` in shortest decimal text; unique by
                    construction (a 64-bit hash would collide among 10^10 points);
 * ``event_type_id`` position in the fixed list of types.
+
+A fact also carries ``cell_id``, the one-degree cell of its place, so a query on
+a box drops most facts in the scan, before they meet the location dimension.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardry import constants as C
+from hazardry.functions import geo
 from hazardry.functions.predicates import all_of
 from hazardry.operators.places import classify_points
 
@@ -99,6 +103,7 @@ def fact_rows(star_rows: DataFrame) -> DataFrame:
         "severity_level",
         "source",
         F.lit(1).alias("count_metric"),
+        geo.degree_cell(F.col("latitude"), F.col("longitude")).alias("cell_id"),
         "year",
     )
 
@@ -122,14 +127,20 @@ class Star:
         start_date: str | None = None,
         end_date: str | None = None,
         event_types: list[str] | None = None,
+        box: tuple | None = None,
     ) -> DataFrame:
-        """Facts of a date range and of some types, by key ranges alone: no join."""
+        """Facts of a date range and of some types, by key ranges alone: no join.
+
+        With a ``box`` (south, north, west, east) only facts of the one-degree
+        cells it touches; the exact box is cut on the location dimension.
+        """
         known = [C.EVENT_TYPES.index(t) + 1 for t in event_types or [] if t in C.EVENT_TYPES]
         first, last = _date_number(start_date), _date_number(end_date)
         clauses = [
             None if first is None else (F.col("time_id") >= first * 100) & (F.col("year") >= first // 10000),
             None if last is None else (F.col("time_id") <= last * 100 + 23) & (F.col("year") <= last // 10000),
             F.col("event_type_id").isin(known) if event_types else None,
+            None if box is None else geo.cells_touch_box(F.col("cell_id"), box),
         ]
         predicate = all_of(clauses)
         return self.fact if predicate is None else self.fact.filter(predicate)

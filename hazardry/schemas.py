@@ -106,5 +106,6 @@ FACT_EVENT = _struct(
     severity_level=_S,
     source=_S,
     count_metric=_I,
+    cell_id=_I,
     year=_I,
 )

@@ -123,6 +123,20 @@ def test_hexagons_tile_the_plane(spark):
         assert math.hypot(r["lon"] - x, r["lat"] - y) <= edge * 1.0001
 
 
+def test_cells_of_a_box_hold_all_its_points(spark):
+    rng = random.Random(9)
+    points = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(3000)]
+    points += [(lat, lon) for lat in (-90.0, -0.5, 0.0, 90.0) for lon in (-180.0, -0.5, 0.0, 180.0)]
+    df = spark.createDataFrame(points, "lat double, lon double").withColumn("c", geo.degree_cell(F.col("lat"), F.col("lon")))
+    for box in [(-90.0, 90.0, -180.0, 180.0), (-10.5, 3.2, -20.1, 40.0), (89.5, 90.0, 179.5, 180.0), (-1.0, 0.0, -1.0, 0.0)]:
+        inside = geo.in_box(F.col("lat"), F.col("lon"), *box)
+        touched = geo.cells_touch_box(F.col("c"), box)
+        assert df.filter(inside & ~touched).count() == 0
+        loose = geo.in_box(F.col("lat"), F.col("lon"), box[0] - 1, box[1] + 1, box[2] - 1, box[3] + 1)
+        assert df.filter(touched & ~loose).count() == 0
+    assert geo.cells_touch_box(F.col("c"), (0.0, 1.0, 179.0, 181.0)) is None
+
+
 def test_lookup_tables_are_whole():
     assert len(C.COUNTRY_BY_CODE) == 140 and len(C.REGION_BY_CODE) == 140
     assert len(set(C.REGION_BY_CODE.values())) == 23
