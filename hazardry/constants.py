@@ -117,61 +117,289 @@ YEARLY_TARGETS = {
 }
 
 # --- fixed values: country name by ISO 3166-1 alpha-2 code -------------------
-_COUNTRY_TEXT = """
-AF Afghanistan; AL Albania; DZ Algeria; AO Angola; AR Argentina; AM Armenia; AU Australia;
-AZ Azerbaijan; BD Bangladesh; BO Bolivia; BA Bosnia-Herzegovina; BR Brazil; BN Brunei;
-BF Burkina Faso; BI Burundi; KH Cambodia; CM Cameroon; CA Canada; CF Central African Republic;
-TD Chad; CL Chile; CN China; CO Colombia; CD DR Congo; CG Republic of Congo; CR Costa Rica;
-CI Ivory Coast; CU Cuba; CY Cyprus; DJ Djibouti; DO Dominican Republic; EC Ecuador; EG Egypt;
-SV El Salvador; ER Eritrea; ET Ethiopia; FJ Fiji; FR France; GA Gabon; GE Georgia; DE Germany;
-GH Ghana; GR Greece; GT Guatemala; GN Guinea; GW Guinea-Bissau; HT Haiti; HN Honduras;
-HU Hungary; IS Iceland; IN India; ID Indonesia; IR Iran; IQ Iraq; IT Italy; JM Jamaica;
-JP Japan; JO Jordan; KZ Kazakhstan; KE Kenya; KG Kyrgyzstan; LA Laos; LB Lebanon; LR Liberia;
-LY Libya; MG Madagascar; MW Malawi; MY Malaysia; ML Mali; MR Mauritania; MX Mexico; MN Mongolia;
-MA Morocco; MZ Mozambique; MM Myanmar; NA Namibia; NP Nepal; NZ New Zealand; NI Nicaragua;
-NE Niger; NG Nigeria; MK North Macedonia; NO Norway; OM Oman; PK Pakistan; PA Panama;
-PG Papua New Guinea; PY Paraguay; PE Peru; PH Philippines; PL Poland; PT Portugal; RO Romania;
-RU Russia; RW Rwanda; SA Saudi Arabia; SN Senegal; SL Sierra Leone; SB Solomon Islands;
-SO Somalia; ZA South Africa; SS South Sudan; ES Spain; LK Sri Lanka; SD Sudan; SR Suriname;
-SY Syria; TJ Tajikistan; TZ Tanzania; TH Thailand; TL Timor-Leste; TG Togo; TO Tonga;
-TT Trinidad and Tobago; TN Tunisia; TR Turkey; TM Turkmenistan; UG Uganda; UA Ukraine;
-AE United Arab Emirates; GB United Kingdom; US United States; UY Uruguay; UZ Uzbekistan;
-VU Vanuatu; VE Venezuela; VN Vietnam; YE Yemen; ZM Zambia; ZW Zimbabwe; TW Taiwan;
-KR South Korea; KP North Korea; FM Micronesia; PW Palau; WS Samoa; KI Kiribati;
-PF French Polynesia; NC New Caledonia; GU Guam
-"""
-COUNTRY_BY_CODE = dict(
-    entry.strip().split(" ", 1) for entry in _COUNTRY_TEXT.replace("\n", " ").split(";")
-)
-
-# --- fixed values: country codes by region -----------------------------------
-_REGION_TEXT = """
-East Asia: JP CN KR KP MN TW
-Southeast Asia: ID PH VN TH MY MM KH LA TL BN SG
-South Asia: IN BD PK NP LK AF
-Central Asia: KZ UZ TM KG TJ
-Middle East: TR IR IQ SY LB JO SA YE OM AE IL CY
-Caucasus: GE AM AZ
-Southern Europe: GR IT ES PT MK AL BA
-Central Europe: DE PL HU RO
-Eastern Europe: UA
-Western Europe: GB FR
-Northern Europe: NO IS
-Siberia / Russia: RU
-North America: US CA
-Central America: MX GT SV HN NI CR PA
-Caribbean: CU JM HT DO TT
-South America: CO VE EC PE BR BO CL AR PY UY SR
-West Africa: NG GH CI SN ML BF GN SL LR MR NE TD
-Central Africa: CM CF GA CG CD AO
-East Africa: ET KE TZ UG RW BI SO DJ ER SD SS
-Southern Africa: ZA MZ ZW ZM MW NA
-North Africa: DZ LY EG MA TN
-Indian Ocean: MG
-Oceania: AU NZ PG FJ VU SB TO WS FM PW KI PF NC GU
-"""
+COUNTRY_BY_CODE = {
+    "AF": "Afghanistan",
+    "AL": "Albania",
+    "DZ": "Algeria",
+    "AO": "Angola",
+    "AR": "Argentina",
+    "AM": "Armenia",
+    "AU": "Australia",
+    "AZ": "Azerbaijan",
+    "BD": "Bangladesh",
+    "BO": "Bolivia",
+    "BA": "Bosnia-Herzegovina",
+    "BR": "Brazil",
+    "BN": "Brunei",
+    "BF": "Burkina Faso",
+    "BI": "Burundi",
+    "KH": "Cambodia",
+    "CM": "Cameroon",
+    "CA": "Canada",
+    "CF": "Central African Republic",
+    "TD": "Chad",
+    "CL": "Chile",
+    "CN": "China",
+    "CO": "Colombia",
+    "CD": "DR Congo",
+    "CG": "Republic of Congo",
+    "CR": "Costa Rica",
+    "CI": "Ivory Coast",
+    "CU": "Cuba",
+    "CY": "Cyprus",
+    "DJ": "Djibouti",
+    "DO": "Dominican Republic",
+    "EC": "Ecuador",
+    "EG": "Egypt",
+    "SV": "El Salvador",
+    "ER": "Eritrea",
+    "ET": "Ethiopia",
+    "FJ": "Fiji",
+    "FR": "France",
+    "GA": "Gabon",
+    "GE": "Georgia",
+    "DE": "Germany",
+    "GH": "Ghana",
+    "GR": "Greece",
+    "GT": "Guatemala",
+    "GN": "Guinea",
+    "GW": "Guinea-Bissau",
+    "HT": "Haiti",
+    "HN": "Honduras",
+    "HU": "Hungary",
+    "IS": "Iceland",
+    "IN": "India",
+    "ID": "Indonesia",
+    "IR": "Iran",
+    "IQ": "Iraq",
+    "IT": "Italy",
+    "JM": "Jamaica",
+    "JP": "Japan",
+    "JO": "Jordan",
+    "KZ": "Kazakhstan",
+    "KE": "Kenya",
+    "KG": "Kyrgyzstan",
+    "LA": "Laos",
+    "LB": "Lebanon",
+    "LR": "Liberia",
+    "LY": "Libya",
+    "MG": "Madagascar",
+    "MW": "Malawi",
+    "MY": "Malaysia",
+    "ML": "Mali",
+    "MR": "Mauritania",
+    "MX": "Mexico",
+    "MN": "Mongolia",
+    "MA": "Morocco",
+    "MZ": "Mozambique",
+    "MM": "Myanmar",
+    "NA": "Namibia",
+    "NP": "Nepal",
+    "NZ": "New Zealand",
+    "NI": "Nicaragua",
+    "NE": "Niger",
+    "NG": "Nigeria",
+    "MK": "North Macedonia",
+    "NO": "Norway",
+    "OM": "Oman",
+    "PK": "Pakistan",
+    "PA": "Panama",
+    "PG": "Papua New Guinea",
+    "PY": "Paraguay",
+    "PE": "Peru",
+    "PH": "Philippines",
+    "PL": "Poland",
+    "PT": "Portugal",
+    "RO": "Romania",
+    "RU": "Russia",
+    "RW": "Rwanda",
+    "SA": "Saudi Arabia",
+    "SN": "Senegal",
+    "SL": "Sierra Leone",
+    "SB": "Solomon Islands",
+    "SO": "Somalia",
+    "ZA": "South Africa",
+    "SS": "South Sudan",
+    "ES": "Spain",
+    "LK": "Sri Lanka",
+    "SD": "Sudan",
+    "SR": "Suriname",
+    "SY": "Syria",
+    "TJ": "Tajikistan",
+    "TZ": "Tanzania",
+    "TH": "Thailand",
+    "TL": "Timor-Leste",
+    "TG": "Togo",
+    "TO": "Tonga",
+    "TT": "Trinidad and Tobago",
+    "TN": "Tunisia",
+    "TR": "Turkey",
+    "TM": "Turkmenistan",
+    "UG": "Uganda",
+    "UA": "Ukraine",
+    "AE": "United Arab Emirates",
+    "GB": "United Kingdom",
+    "US": "United States",
+    "UY": "Uruguay",
+    "UZ": "Uzbekistan",
+    "VU": "Vanuatu",
+    "VE": "Venezuela",
+    "VN": "Vietnam",
+    "YE": "Yemen",
+    "ZM": "Zambia",
+    "ZW": "Zimbabwe",
+    "TW": "Taiwan",
+    "KR": "South Korea",
+    "KP": "North Korea",
+    "FM": "Micronesia",
+    "PW": "Palau",
+    "WS": "Samoa",
+    "KI": "Kiribati",
+    "PF": "French Polynesia",
+    "NC": "New Caledonia",
+    "GU": "Guam",
+}
+
+# --- fixed values: region by country code ------------------------------------
 REGION_BY_CODE = {
-    code: line.split(":")[0]
-    for line in _REGION_TEXT.strip().splitlines()
-    for code in line.split(":")[1].split()
+    "JP": "East Asia",
+    "CN": "East Asia",
+    "KR": "East Asia",
+    "KP": "East Asia",
+    "MN": "East Asia",
+    "TW": "East Asia",
+    "ID": "Southeast Asia",
+    "PH": "Southeast Asia",
+    "VN": "Southeast Asia",
+    "TH": "Southeast Asia",
+    "MY": "Southeast Asia",
+    "MM": "Southeast Asia",
+    "KH": "Southeast Asia",
+    "LA": "Southeast Asia",
+    "TL": "Southeast Asia",
+    "BN": "Southeast Asia",
+    "SG": "Southeast Asia",
+    "IN": "South Asia",
+    "BD": "South Asia",
+    "PK": "South Asia",
+    "NP": "South Asia",
+    "LK": "South Asia",
+    "AF": "South Asia",
+    "KZ": "Central Asia",
+    "UZ": "Central Asia",
+    "TM": "Central Asia",
+    "KG": "Central Asia",
+    "TJ": "Central Asia",
+    "TR": "Middle East",
+    "IR": "Middle East",
+    "IQ": "Middle East",
+    "SY": "Middle East",
+    "LB": "Middle East",
+    "JO": "Middle East",
+    "SA": "Middle East",
+    "YE": "Middle East",
+    "OM": "Middle East",
+    "AE": "Middle East",
+    "IL": "Middle East",
+    "CY": "Middle East",
+    "GE": "Caucasus",
+    "AM": "Caucasus",
+    "AZ": "Caucasus",
+    "GR": "Southern Europe",
+    "IT": "Southern Europe",
+    "ES": "Southern Europe",
+    "PT": "Southern Europe",
+    "MK": "Southern Europe",
+    "AL": "Southern Europe",
+    "BA": "Southern Europe",
+    "DE": "Central Europe",
+    "PL": "Central Europe",
+    "HU": "Central Europe",
+    "RO": "Central Europe",
+    "UA": "Eastern Europe",
+    "GB": "Western Europe",
+    "FR": "Western Europe",
+    "NO": "Northern Europe",
+    "IS": "Northern Europe",
+    "RU": "Siberia / Russia",
+    "US": "North America",
+    "CA": "North America",
+    "MX": "Central America",
+    "GT": "Central America",
+    "SV": "Central America",
+    "HN": "Central America",
+    "NI": "Central America",
+    "CR": "Central America",
+    "PA": "Central America",
+    "CU": "Caribbean",
+    "JM": "Caribbean",
+    "HT": "Caribbean",
+    "DO": "Caribbean",
+    "TT": "Caribbean",
+    "CO": "South America",
+    "VE": "South America",
+    "EC": "South America",
+    "PE": "South America",
+    "BR": "South America",
+    "BO": "South America",
+    "CL": "South America",
+    "AR": "South America",
+    "PY": "South America",
+    "UY": "South America",
+    "SR": "South America",
+    "NG": "West Africa",
+    "GH": "West Africa",
+    "CI": "West Africa",
+    "SN": "West Africa",
+    "ML": "West Africa",
+    "BF": "West Africa",
+    "GN": "West Africa",
+    "SL": "West Africa",
+    "LR": "West Africa",
+    "MR": "West Africa",
+    "NE": "West Africa",
+    "TD": "West Africa",
+    "CM": "Central Africa",
+    "CF": "Central Africa",
+    "GA": "Central Africa",
+    "CG": "Central Africa",
+    "CD": "Central Africa",
+    "AO": "Central Africa",
+    "ET": "East Africa",
+    "KE": "East Africa",
+    "TZ": "East Africa",
+    "UG": "East Africa",
+    "RW": "East Africa",
+    "BI": "East Africa",
+    "SO": "East Africa",
+    "DJ": "East Africa",
+    "ER": "East Africa",
+    "SD": "East Africa",
+    "SS": "East Africa",
+    "ZA": "Southern Africa",
+    "MZ": "Southern Africa",
+    "ZW": "Southern Africa",
+    "ZM": "Southern Africa",
+    "MW": "Southern Africa",
+    "NA": "Southern Africa",
+    "DZ": "North Africa",
+    "LY": "North Africa",
+    "EG": "North Africa",
+    "MA": "North Africa",
+    "TN": "North Africa",
+    "MG": "Indian Ocean",
+    "AU": "Oceania",
+    "NZ": "Oceania",
+    "PG": "Oceania",
+    "FJ": "Oceania",
+    "VU": "Oceania",
+    "SB": "Oceania",
+    "TO": "Oceania",
+    "WS": "Oceania",
+    "FM": "Oceania",
+    "PW": "Oceania",
+    "KI": "Oceania",
+    "PF": "Oceania",
+    "NC": "Oceania",
+    "GU": "Oceania",
 }
