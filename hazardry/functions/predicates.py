@@ -20,11 +20,6 @@ def equals(column: Column, value) -> Column | None:
     return None if value is None else column == F.lit(value)
 
 
-def one_of(column: Column, values) -> Column | None:
-    """Membership; an empty or missing list means no filter."""
-    return column.isin(list(values)) if values else None
-
-
 def at_least(column: Column, value) -> Column | None:
     return None if value is None else column >= value
 

@@ -54,6 +54,8 @@ def month_name(year: Column, month: Column) -> Column:
     return F.date_format(F.make_date(year, month, F.lit(1)), "MMMM")
 
 
-def date_hour_text(date: Column, hour: Column) -> Column:
-    """Date and hour to ``YYYY-MM-DD HH:00:00`` text."""
-    return F.concat(F.date_format(date, "yyyy-MM-dd"), F.format_string(" %02d:00:00", hour))
+def time_key_text(time_id: Column) -> Column:
+    """The number yyyymmddhh to ``YYYY-MM-DD HH:00:00`` text."""
+    digits = F.lpad(time_id.cast("string"), 10, "0")
+    parts = [F.substring(digits, at, n) for at, n in ((1, 4), (5, 2), (7, 2), (9, 2))]
+    return F.concat(F.concat_ws("-", *parts[:3]), F.lit(" "), parts[3], F.lit(":00:00"))

@@ -1,8 +1,9 @@
 """Counts, trends and rankings over the star schema.
 
-Facts are counted by dimension key first and joined afterwards: what meets a
-dimension is one row per key, so a place or type with a third of all facts costs
-no more than any other.
+Facts carry what these queries filter and group by, so each is one aggregation,
+combined on the map side: a place or type with a third of all facts costs no more
+than any other.  Questions about whole years by type and level are answered from
+the counts kept on load.
 """
 
 from __future__ import annotations
@@ -25,25 +26,21 @@ def _sum() -> Column:
     return F.sum("event_count").alias("event_count")
 
 
-def _in_country(star: Star, facts: DataFrame, country: str | None) -> DataFrame:
-    """Facts of one country; the location dimension is joined only if it is asked for."""
+def _in_country(facts: DataFrame, country: str | None) -> DataFrame:
     wanted = same_text(F.col("country"), country)
-    if wanted is None:
-        return facts
-    places = star.location.filter(wanted).select("location_id")
-    return facts.join(places, "location_id", "left_semi")
+    return facts if wanted is None else facts.filter(wanted)
 
 
 def event_counts(star: Star) -> DataFrame:
     """event_type, event_count; most frequent first."""
-    counted = star.fact.groupBy("event_type_id").agg(_count())
+    counted = star.counted().groupBy("event_type_id").agg(_sum())
     named = star.with_type_name(counted)
     return named.select("event_type", "event_count").orderBy(F.desc("event_count"), "event_type")
 
 
 def event_counts_with_total(star: Star) -> DataFrame:
     """As :func:`event_counts`, plus a row ``TOTAL`` from the same pass."""
-    counted = star.with_type_name(star.fact.groupBy("event_type_id").agg(_count()))
+    counted = star.with_type_name(star.counted())
     return (
         counted.rollup("event_type")
         .agg(F.grouping("event_type").alias("_total"), _sum())
@@ -66,12 +63,11 @@ def monthly_trends(
     facts = star.facts(start_date, end_date, [event_type] if event_type else None)
     if year is not None:
         facts = facts.filter(F.col("year") == year)
-    facts = _in_country(star, facts, country)
-    per_hour = facts.groupBy("time_id", "year").agg(_count())
+    month = F.expr("cast(time_id div 10000 % 100 as int)")
     return (
-        star.with_dimensions(per_hour, time=True)
-        .groupBy("year", "month")
-        .agg(_sum())
+        _in_country(facts, country)
+        .groupBy("year", month.alias("month"))
+        .agg(_count())
         .select("year", "month", month_name(F.col("year"), F.col("month")).alias("month_name"), "event_count")
         .orderBy("year", "month")
     )
@@ -80,11 +76,9 @@ def monthly_trends(
 def top_locations(star: Star, limit: int = 10, event_type: str | None = None) -> DataFrame:
     """country, region, event_count of the busiest regions; ties by name."""
     facts = star.facts(event_types=[event_type] if event_type else None)
-    per_place = facts.groupBy("location_id").agg(_count())
     return (
-        star.with_dimensions(per_place, location=True)
-        .groupBy("country", "region")
-        .agg(_sum())
+        facts.groupBy("country", "region")
+        .agg(_count())
         .orderBy(F.desc("event_count"), "country", "region")
         .limit(limit)
     )
@@ -98,22 +92,30 @@ def event_summary(
     country: str | None = None,
 ) -> DataFrame:
     """dimension, label, event_count: per type, per severity and in total, in one pass."""
-    facts = _in_country(star, star.facts(start_date, end_date, event_types), country)
-    counted = facts.groupBy("event_type_id", "severity_level").agg(_count())
-    named = star.with_type_name(counted)
-    return summarise_counts(named)
+    if country:
+        facts = _in_country(star.facts(start_date, end_date, event_types), country)
+        counted = facts.groupBy("event_type_id", "severity_level").agg(_count())
+    else:
+        counted = star.counted(start_date, end_date, event_types)
+    return summarise_counts(star.with_type_name(counted))
 
 
 def summarise_counts(counted: DataFrame) -> DataFrame:
-    """Marginals of (event_type, severity_level, event_count) by grouping sets."""
-    grouped = counted.groupingSets(
+    """Marginals of (event_type, severity_level, event_count) by grouping sets; a total also of nothing."""
+    nothing = counted.sparkSession.range(1).select(
+        F.lit(None).cast("string").alias("event_type"),
+        F.lit(None).cast("string").alias("severity_level"),
+        F.lit(0).cast("long").alias("event_count"),
+    )
+    grouped = counted.select(*nothing.columns).unionByName(nothing).groupingSets(
         [("event_type",), ("severity_level",), ()], "event_type", "severity_level"
     ).agg(
         F.grouping("event_type").alias("_no_type"),
         F.grouping("severity_level").alias("_no_level"),
-        F.coalesce(F.sum("event_count"), F.lit(0).cast("long")).alias("event_count"),
+        F.sum("event_count").alias("event_count"),
     )
     by_type, by_level = F.col("_no_type") == 0, F.col("_no_level") == 0
+    grouped = grouped.filter((F.col("event_count") > 0) | ~(by_type | by_level))
     return grouped.select(
         F.when(by_type, "type").when(by_level, "severity").otherwise("total").alias("dimension"),
         F.when(by_type, F.col("event_type"))
@@ -126,7 +128,7 @@ def summarise_counts(counted: DataFrame) -> DataFrame:
 
 def year_type_counts(star: Star) -> DataFrame:
     """year, event_type, event_count."""
-    counted = star.fact.groupBy("year", "event_type_id").agg(_count())
+    counted = star.counted().groupBy("year", "event_type_id").agg(_sum())
     return (
         star.with_type_name(counted)
         .select("year", "event_type", "event_count")

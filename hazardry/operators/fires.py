@@ -7,6 +7,8 @@ combined on the map side and never gathered in one task.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,6 +65,32 @@ def parse_pixels(text: DataFrame, sensor: Sensor) -> DataFrame:
     )
 
 
+def located(pixels: DataFrame) -> Column:
+    """Whether a pixel has what an event is made of: a position, a power and a day."""
+    numbers = [F.nanvl(c, F.lit(None)).isNotNull() for c in ("latitude", "longitude", "frp")]
+    sound = reduce(and_, numbers, F.col("acq_date").isNotNull())
+    return sound & F.col("reason").isNull() if "reason" in pixels.columns else sound
+
+
+def fire_rejects(pixels: DataFrame) -> DataFrame:
+    """Pixels that cannot join a cluster, each with the first field that fails in ``reason``."""
+    missing = [
+        *[F.when(F.nanvl(c, F.lit(None)).isNull(), F.lit(c)) for c in ("latitude", "longitude", "frp")],
+        F.when(F.col("acq_date").isNull(), F.lit("acq_date")),
+    ]
+    parsed = [F.col("reason")] if "reason" in pixels.columns else []
+    return pixels.filter(~located(pixels)).withColumn("reason", F.coalesce(*parsed, *missing))
+
+
+def fires_from_text(text: DataFrame, sensor: Sensor, row_no: Column | None = None) -> DataFrame:
+    """File to fire events: parse all-text rows, leave out what fails, cluster the rest.
+
+    ``row_no`` is the order of the rows; without it the order of reading.
+    """
+    order = F.monotonically_increasing_id() if row_no is None else row_no
+    return cluster_fires(parse_pixels(text, sensor).withColumn("row_no", order), sensor)
+
+
 def usable_pixels(pixels: DataFrame, sensor: Sensor) -> DataFrame:
     """Reliable vegetation-fire pixels with a numeric ``confidence_pct``."""
     vegetation = F.col("type") == 0
@@ -77,14 +105,14 @@ def usable_pixels(pixels: DataFrame, sensor: Sensor) -> DataFrame:
 
 
 def cluster_fires(pixels: DataFrame, sensor: Sensor) -> DataFrame:
-    """Aggregate pixels into canonical fire events.
+    """Aggregate pixels into canonical fire events; see :func:`fire_rejects` for those left out.
 
     ``pixels`` holds latitude, longitude, frp, scan, track, acq_date (DD-MM-YYYY
     text), acq_time (HHMM), satellite, daynight, confidence, type, the sensor's
     two temperature columns and ``row_no``, the file order that settles which of
     several pixels of the same minute came first.
     """
-    usable = usable_pixels(pixels, sensor)
+    usable = usable_pixels(pixels.filter(located(pixels)), sensor)
     extent = lambda name: F.coalesce(F.col(name), F.lit(sensor.default_extent))
     acq_time = F.coalesce(F.col("acq_time"), F.lit(0))
     first = F.min_by(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardry import constants as C
@@ -21,8 +21,11 @@ def flood_events(marks: DataFrame) -> DataFrame:
     waterbody, eventName and ``row_no``, the file order of the marks.
 
     The index weighs hull area, depth proxy and duration.  A flood is left out
-    when all its marks are poor and there are fewer than three of them.
+    when all its marks are poor and there are fewer than three of them.  Marks
+    that lack a position, an elevation or a quality take no part; see
+    :func:`flood_rejects`.
     """
+    marks = marks.filter(_fault().isNull())
     usable = F.col("hwm_quality_id") <= C.FLOOD_USABLE_QUALITY
     marks = marks.withColumn("usable", usable)
     count_of = lambda cond: F.count_if(cond)
@@ -119,6 +122,21 @@ def flood_events(marks: DataFrame) -> DataFrame:
     )
 
 
+def _fault() -> Column:
+    """The first field of a mark that an event cannot do without and that is missing."""
+    numbers = [F.when(F.nanvl(c, F.lit(None)).isNull(), F.lit(c)) for c in ("latitude_dd", "longitude_dd", "elev_ft")]
+    return F.coalesce(
+        F.when(F.col("event_id").isNull(), F.lit("event_id")),
+        *numbers,
+        F.when(F.col("hwm_quality_id").isNull(), F.lit("hwm_quality_id")),
+    )
+
+
+def flood_rejects(marks: DataFrame) -> DataFrame:
+    """Marks that take no part in any flood, with the field that is missing in ``reason``."""
+    return marks.withColumn("reason", _fault()).filter(F.col("reason").isNotNull())
+
+
 def parse_marks(raw: DataFrame) -> DataFrame:
     """Text ``flag_date`` (ISO, no zone) to a timestamp; unparseable becomes NULL."""
     return raw.withColumn("flag_date", F.try_to_timestamp("flag_date"))

@@ -21,9 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# a share of at most this many rows is passed on as it is
-_SMALL_SHARE = 16
-
 
 def _chain(points: list[tuple]) -> list[tuple]:
     """One side of the hull of lexicographically sorted points, without its last point."""
@@ -53,59 +50,45 @@ def polygon_area(corners: list[tuple]) -> float:
     return abs(sum(x * v - u * y for (x, y), (u, v) in zip(corners, shifted))) / 2.0
 
 
-def hull_points(points: np.ndarray) -> np.ndarray:
-    """As :func:`hull_corners`, on a two-column array."""
-    return np.array(hull_corners(map(tuple, points.tolist())))
-
-
-def _both_ends(rows: pd.DataFrame) -> np.ndarray:
-    return np.concatenate([rows[["lat", "west"]].to_numpy(), rows[["lat", "east"]].to_numpy()])
-
-
-def _labelled(head: pd.DataFrame, keys: list[str], points: np.ndarray) -> pd.DataFrame:
-    out = pd.DataFrame({k: np.repeat(head[k].to_numpy()[:1], len(points)) for k in keys})
-    return out.assign(lat=points[:, 0], lon=points[:, 1])
+_NOWHERE = (float("nan"), float("nan"))
 
 
 def _shrink_shares(keys: list[str]):
     """Reduce each group's rows of this task (rows are sorted by group) to a partial hull.
 
-    Small shares pass through in bulk.  Only the last group of a batch can go on
-    in the next one, so that is all the state there is, and it is reduced to its
-    hull whenever a batch ends.
+    Only the last group of a batch can go on in the next one, so its corners are
+    all the state there is.  A group without any position keeps one empty row.
     """
 
     def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_head, open_points = None, None
+        held_key, held = None, []
         for batch in batches:
             if batch.empty:
                 continue
-            label = batch[keys].ne(batch[keys].shift()).any(axis=1).cumsum().to_numpy()
-            first, last = batch[label == label[0]], batch[label == label[-1]]
-            done = []
-            if open_head is not None:
-                if (open_head[keys].to_numpy() == first[keys].to_numpy()[:1]).all():
-                    open_points = np.concatenate([open_points, _both_ends(first)])
-                    batch, label = batch[label != label[0]], label[label != label[0]]
-                    if batch.empty:
-                        open_points = hull_points(open_points)
-                        continue
-                done.append(_labelled(open_head, keys, hull_points(open_points)))
-            open_head, open_points = last.iloc[:1], hull_points(_both_ends(last))
-            batch, label = batch[label != label[-1]], label[label != label[-1]]
-            size = pd.Series(label).map(pd.Series(label).value_counts()).to_numpy()
-            small = batch[size <= _SMALL_SHARE]
-            for end in ("west", "east"):
-                done.append(small[[*keys, "lat", end]].rename(columns={end: "lon"}))
-            for _, rows in batch[size > _SMALL_SHARE].groupby(keys, sort=False):
-                done.append(_labelled(rows, keys, hull_points(_both_ends(rows))))
-            yield pd.concat(done, ignore_index=True)
-        if open_head is not None:
-            yield _labelled(open_head, keys, hull_points(open_points))
+            starts = np.flatnonzero(batch[keys].ne(batch[keys].shift()).any(axis=1).to_numpy())
+            names = list(batch[keys].iloc[starts].itertuples(index=False, name=None))
+            lat, west, east = (batch[c].to_numpy().tolist() for c in ("lat", "west", "east"))
+            done_keys, done = [], []
+            for name, start, end in zip(names, starts.tolist(), [*starts[1:].tolist(), len(batch)]):
+                if held and name != held_key:
+                    done_keys += [held_key] * len(held)
+                    done += held
+                    held = []
+                ends = [*zip(lat[start:end], west[start:end]), *zip(lat[start:end], east[start:end])]
+                corners = hull_corners(p for p in held + ends if p[0] == p[0])
+                held_key, held = name, corners or [_NOWHERE]
+            yield _rows(keys, done_keys, done)
+        yield _rows(keys, [held_key] * len(held), held)
 
     return shrink
 
 
+def _rows(keys: list[str], names: list[tuple], points: list[tuple]) -> pd.DataFrame:
+    columns = dict(zip(keys, zip(*names))) if names else {k: [] for k in keys}
+    lats, lons = zip(*points) if points else ((), ())
+    return pd.DataFrame(columns | {"lat": lats, "lon": lons})
+
+
 @F.pandas_udf(T.DoubleType())
 def _hull_area(lats: pd.Series, lons: pd.Series) -> pd.Series:
     groups = zip(lats, lons)
@@ -116,9 +99,12 @@ def hull_area(points: DataFrame, keys: list[str], lat: str, lon: str) -> DataFra
     """``keys`` and ``hull_area`` (square degrees) per group.  Keys must not be NULL.
 
     A group of fewer than three distinct points, or of collinear ones, has area 0.
+    Points without a position (NULL or NaN in either coordinate) do not count; a
+    group of such points alone has area 0.
     """
-    edges = points.groupBy(*keys, F.col(lat).alias("lat")).agg(
-        F.min(lon).alias("west"), F.max(lon).alias("east")
+    placed = F.nanvl(lat, F.lit(None)).isNotNull() & F.nanvl(lon, F.lit(None)).isNotNull()
+    edges = points.groupBy(*keys, F.when(placed, F.col(lat)).alias("lat")).agg(
+        F.min(F.when(placed, F.col(lon))).alias("west"), F.max(F.when(placed, F.col(lon))).alias("east")
     )
     fields = {f.name: f.dataType.simpleString() for f in points.schema.fields}
     schema = ", ".join([*(f"{k} {fields[k]}" for k in keys), "lat double", "lon double"])

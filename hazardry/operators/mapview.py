@@ -9,40 +9,33 @@ from pyspark.sql import functions as F
 
 from hazardry import constants as C
 from hazardry.functions import geo
-from hazardry.functions.timestamps import date_hour_text
+from hazardry.functions.timestamps import time_key_text
 from hazardry.operators.star import Star
 
 
-def _counted_points(star: Star, box: tuple, start_date: str, end_date: str) -> DataFrame:
-    """latitude, longitude, event_type, event_count of every point in the box and range.
+def map_total(star: Star, box: tuple, start_date: str, end_date: str, zoom: int) -> DataFrame:
+    """mode (``clusters`` or ``points``) and total, the number of all events in the box and range.
 
-    Facts are counted per place and type before they meet the location dimension.
+    One row, also where a minimum, a cap or an empty box leaves no cluster or point.
     """
-    per_place = (
-        star.facts(start_date, end_date, box=box)
-        .groupBy("location_id", "event_type_id")
-        .agg(F.count("*").alias("event_count"))
-    )
-    inside = star.location.filter(
-        geo.in_box(F.col("latitude"), F.col("longitude"), *box)
-    ).select("location_id", "latitude", "longitude")
-    return star.with_dimensions(star.with_type_name(per_place), location=inside)
+    mode = "clusters" if zoom <= C.MAP_MAX_CLUSTER_ZOOM else "points"
+    facts = star.facts(start_date, end_date, box=box)
+    return facts.agg(F.lit(mode).alias("mode"), F.count("*").alias("total"))
 
 
-def grid_cells(counted: DataFrame, cell: float) -> DataFrame:
-    """Square-grid cells per type: sums of position and count.
+def grid_cells(points: DataFrame, cell: float) -> DataFrame:
+    """Square-grid cells per type: sums of position and count of events.
 
     A cell is the rounded quotient of the coordinate and the cell size.
     """
-    weight = F.col("event_count")
-    return counted.groupBy(
+    return points.groupBy(
         F.round(F.col("latitude") / cell).alias("cell_lat"),
         F.round(F.col("longitude") / cell).alias("cell_lon"),
-        "event_type",
+        "event_type_id",
     ).agg(
-        F.sum(F.col("latitude") * weight).alias("lat_sum"),
-        F.sum(F.col("longitude") * weight).alias("lng_sum"),
-        F.sum(weight).alias("event_count"),
+        F.sum("latitude").alias("lat_sum"),
+        F.sum("longitude").alias("lng_sum"),
+        F.count("*").alias("event_count"),
     )
 
 
@@ -60,8 +53,8 @@ def map_grid(
 ) -> DataFrame:
     """lat, lng, event_type, event_count of square cells; no minimum, no cap, largest first."""
     size = cell or C.SQUARE_CELL_DEGREES.get(zoom, 1.0)
-    cells = grid_cells(_counted_points(star, box, start_date, end_date), size)
-    return _centers(cells).orderBy(F.desc("event_count"), "event_type", "lat", "lng")
+    cells = grid_cells(star.facts(start_date, end_date, box=box), size)
+    return _centers(star.with_type_name(cells)).orderBy(F.desc("event_count"), "event_type", "lat", "lng")
 
 
 def map_hex(
@@ -78,7 +71,8 @@ def map_hex(
     Points are gathered in fine square cells first; each of those goes to the
     hexagon that holds its mean position, and a hexagon's position is the mean
     weighted by count.  ``min_count`` and ``cap`` (largest clusters per type)
-    default to the tables by zoom.  The hexagons tile the latitude/longitude
+    default to the tables by zoom.  What they leave out is in :func:`map_total`.
+    Ranked are clusters, of which the tiling bounds the number, not events.  The hexagons tile the latitude/longitude
     plane; they are not cells of a spherical index.
     """
     pre_cell = C.PRE_CELL_DEGREES.get(zoom, 0.1)
@@ -86,11 +80,11 @@ def map_hex(
     minimum = C.MIN_CLUSTER_COUNT.get(zoom, 0) if min_count is None else min_count
     limit = C.MAX_CLUSTERS_PER_TYPE.get(zoom) if cap is None else cap
 
-    fine = grid_cells(_counted_points(star, box, start_date, end_date), pre_cell)
+    fine = grid_cells(star.facts(start_date, end_date, box=box), pre_cell)
     mean_lat = F.col("lat_sum") / F.col("event_count")
     mean_lng = F.col("lng_sum") / F.col("event_count")
     clusters = (
-        fine.groupBy(geo.hex_cell(mean_lat, mean_lng, edge).alias("cell"), "event_type")
+        fine.groupBy(geo.hex_cell(mean_lat, mean_lng, edge).alias("cell"), "event_type_id")
         .agg(
             F.sum("lat_sum").alias("lat_sum"),
             F.sum("lng_sum").alias("lng_sum"),
@@ -98,7 +92,7 @@ def map_hex(
         )
         .filter(F.col("event_count") >= minimum)
     )
-    centers = _centers(clusters)
+    centers = _centers(star.with_type_name(clusters))
     if limit is None:
         return centers
     largest = Window.partitionBy("event_type").orderBy(F.desc("event_count"), "lat", "lng")
@@ -111,24 +105,17 @@ def map_hex(
 
 def map_points(star: Star, box: tuple, start_date: str, end_date: str, limit: int = C.MAP_POINT_LIMIT) -> DataFrame:
     """The latest events in the box, with ``total_count`` of all that match."""
-    inside = star.location.filter(
-        geo.in_box(F.col("latitude"), F.col("longitude"), *box)
-    ).select("location_id", "latitude", "longitude")
     facts = star.facts(start_date, end_date, box=box)
-    matching = star.with_dimensions(facts, location=inside)
-    total = _counted_points(star, box, start_date, end_date).agg(F.sum("event_count")).scalar()
     newest = [F.desc("time_id"), F.asc("event_id")]
-    latest = matching.orderBy(*newest).limit(limit)
-    named = star.with_dimensions(star.with_type_name(latest), time=True)
-    # the joins may have moved the few rows that are left
-    return named.orderBy(*newest).select(
+    latest = facts.orderBy(*newest).limit(limit)
+    return star.with_type_name(latest).select(
         "event_id",
         "event_type",
         "severity_level",
         "latitude",
         "longitude",
-        date_hour_text(F.col("date"), F.col("hour")).alias("event_time"),
-        total.alias("total_count"),
+        time_key_text(F.col("time_id")).alias("event_time"),
+        facts.agg(F.count("*")).scalar().alias("total_count"),
     )
 
 
@@ -142,7 +129,7 @@ def map_view(
     start_date: str = C.MAP_FIRST_DATE,
     end_date: str | None = None,
 ) -> DataFrame:
-    """Clusters up to zoom 9, single events above."""
+    """Clusters up to zoom 9, single events above; :func:`map_total` tells which, and how many events there are."""
     end_date = end_date or datetime.date.today().isoformat()
     if min_lat >= max_lat:
         raise ValueError("min_lat must be less than max_lat")

@@ -6,11 +6,12 @@ all rows sends a few rows per task through the shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazardry import constants as C
-
 
 def first_n_per(rows: DataFrame, keys: list[str], order: list, n: int, rank: str) -> DataFrame:
     """The first ``n`` rows of every group with their ``rank`` from 1."""
@@ -19,10 +20,15 @@ def first_n_per(rows: DataFrame, keys: list[str], order: list, n: int, rank: str
 
 
 def keep_one(rows: DataFrame, key: str, order: list[str], keep: str = "first") -> DataFrame:
-    """One row per key: the first or the last in ``order``."""
+    """One row per key: the first or the last in ``order``.
+
+    Rows that tie in ``order`` are told apart by their other columns, in the
+    order in which they stand, so the choice does not depend on the input's.
+    """
     if keep not in ("first", "last"):
         raise ValueError(f"keep must be first or last, not {keep!r}")
-    ordering = [F.col(c).desc() if keep == "last" else F.col(c).asc() for c in order]
+    others = [c for c in rows.columns if c != key and c not in order and not rows.schema[c].dataType.typeName() == "map"]
+    ordering = [F.col(c).desc() if keep == "last" else F.col(c).asc() for c in [*order, *others]]
     return first_n_per(rows, [key], ordering, 1, "_rank").drop("_rank")
 
 
@@ -34,7 +40,6 @@ def sample_per_topic(messages: DataFrame, n: int = 5) -> DataFrame:
 
 
 _BUCKET_DIGITS = 4
-_BUCKETS = 16**_BUCKET_DIGITS
 
 
 def stratified_cap(rows: DataFrame, strata: list[str], target: Column, key: str = "event_id") -> DataFrame:
@@ -43,19 +48,20 @@ def stratified_cap(rows: DataFrame, strata: list[str], target: Column, key: str
     The order is that of the md5 of the key (then the key).  No stratum is sorted
     as a whole: rows are counted by the leading digits of the hash, the running
     count finds the one bucket in which the target is reached, and only that
-    bucket is ranked.  Counts are one row per stratum and bucket.
+    bucket is shuffled and ranked.  Counts are one row per stratum and bucket.
 
-    ``target`` is an expression over the strata columns; the key must be unique.
+    ``target`` is an expression over the strata columns; where it is NULL the
+    stratum stays whole.  The key must be unique.
     """
     hashed = rows.withColumn("_hash", F.md5(F.col(key).cast("string"))).withColumn(
         "_bucket", F.substring("_hash", 1, _BUCKET_DIGITS)
     )
     histogram = hashed.groupBy(*strata, "_bucket").agg(F.count("*").alias("_n"))
-    # at most _BUCKETS rows per stratum
+    # at most 16 ** _BUCKET_DIGITS rows per stratum
     so_far = Window.partitionBy(*strata).orderBy("_bucket")
     cuts = (
         histogram.withColumn("_through", F.sum("_n").over(so_far))
-        .withColumn("_target", target)
+        .withColumn("_target", F.coalesce(target.cast("long"), F.lit((1 << 63) - 1)))
         .withColumn("_before", F.col("_through") - F.col("_n"))
         .filter(F.col("_before") < F.col("_target"))
         .groupBy(*strata)
@@ -63,13 +69,15 @@ def stratified_cap(rows: DataFrame, strata: list[str], target: Column, key: str
             F.max("_bucket").alias("_last_bucket"),
             (F.first("_target") - F.max("_before")).alias("_room"),
         )
+        .withColumnsRenamed({c: f"_of_{c}" for c in strata})
     )
-    # what is reached is the sample plus at most the rest of one bucket per stratum
-    in_bucket = Window.partitionBy(*strata, "_bucket").orderBy("_hash", key)
-    return (
-        hashed.join(cuts, strata)
-        .filter(F.col("_bucket") <= F.col("_last_bucket"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in strata])
+    met = hashed.join(cuts, same)
+    whole = met.filter(F.col("_bucket") < F.col("_last_bucket"))
+    in_bucket = Window.partitionBy(*strata).orderBy("_hash", key)
+    edge = (
+        met.filter(F.col("_bucket") == F.col("_last_bucket"))
         .withColumn("_rank", F.row_number().over(in_bucket))
-        .filter((F.col("_bucket") < F.col("_last_bucket")) | (F.col("_rank") <= F.col("_room")))
-        .select(*rows.columns)
+        .filter(F.col("_rank") <= F.col("_room"))
     )
+    return whole.select(*rows.columns).unionByName(edge.select(*rows.columns))

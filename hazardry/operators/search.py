@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hazardry import constants as C
 from hazardry.functions import geo
 from hazardry.functions.predicates import all_of, at_least, at_most, contains_text, equals, same_text
-from hazardry.functions.timestamps import date_hour_text
+from hazardry.functions.timestamps import time_key_text
 from hazardry.operators.star import Star
 
 
@@ -34,30 +34,42 @@ def recent_events(events: DataFrame, limit: int = 20, event_type: str | None = N
     )
 
 
-def search_page(
+def _searched(
     events: DataFrame,
     event_type: str | None = None,
     severity: str | None = None,
     date_from: str | None = None,
     date_to: str | None = None,
-    page: int = 1,
-    page_size: int = 20,
 ) -> DataFrame:
-    """One page, newest first, with ``total`` and ``pages`` of the whole result."""
-    matching = _where(
+    return _where(
         events,
         equals(F.col("event_type"), event_type),
         equals(F.col("severity_level"), severity),
         at_least(F.col("event_time"), _time(date_from)),
         at_most(F.col("event_time"), _time(date_to)),
     )
-    total = matching.agg(F.count("*")).scalar()
+
+
+def page_total(events: DataFrame, page_size: int = 20, **filters) -> DataFrame:
+    """``total`` and ``pages`` of a search in one row, whatever page is asked for."""
+    pages = F.greatest(F.lit(1), F.ceil(F.col("total") / F.lit(page_size))).cast("long")
+    return _searched(events, **filters).agg(F.count("*").alias("total")).withColumn("pages", pages)
+
+
+def search_page(events: DataFrame, page: int = 1, page_size: int = 20, **filters) -> DataFrame:
+    """One page, newest first, with ``total`` and ``pages`` of the whole result.
+
+    ``filters`` takes event_type, severity, date_from and date_to.  A page past
+    the end has no rows; :func:`page_total` still tells the total.
+    """
+    totals = page_total(events, page_size, **filters)
     return (
-        matching.orderBy(F.desc("event_time"), "event_id")
+        _searched(events, **filters)
+        .orderBy(F.desc("event_time"), "event_id")
         .offset((page - 1) * page_size)
         .limit(page_size)
-        .withColumn("total", total)
-        .withColumn("pages", F.greatest(F.lit(1), F.ceil(F.col("total") / F.lit(page_size))).cast("long"))
+        .withColumn("total", totals.select("total").scalar())
+        .withColumn("pages", totals.select("pages").scalar())
     )
 
 
@@ -99,57 +111,49 @@ def not_loaded(events: DataFrame, loaded_ids: DataFrame) -> DataFrame:
 # --- star schema -----------------------------------------------------------------
 
 
-def _near_box(lat=None, lng=None, proximity_km: float = 500.0, **_) -> tuple | None:
-    return None if lat is None or lng is None else geo.near_box(lat, lng, proximity_km)
-
-
-def _places(
+def _matching(
     star: Star,
+    start_date: str | None = None,
+    end_date: str | None = None,
+    event_types: list[str] | None = None,
     country: str | None = None,
     region: str | None = None,
     lat: float | None = None,
     lng: float | None = None,
     proximity_km: float = 500.0,
-) -> DataFrame | None:
-    """The location dimension cut to the place filters, None when there are none."""
-    at = None
-    if lat is not None and lng is not None:
-        at = geo.near(F.col("latitude"), F.col("longitude"), lat, lng, proximity_km)
-    wanted = all_of(
-        [same_text(F.col("country"), country), contains_text(F.col("region"), region), at]
-    )
-    return None if wanted is None else star.location.filter(wanted)
+) -> DataFrame:
+    """Facts that meet every filter given, from the fact scan alone."""
+    box = None if lat is None or lng is None else geo.near_box(lat, lng, proximity_km)
+    facts = star.facts(start_date, end_date, event_types, box)
+    return _where(facts, same_text(F.col("country"), country), contains_text(F.col("region"), region))
 
 
-def search_events(
-    star: Star,
-    limit: int = 20,
-    offset: int = 0,
-    start_date: str | None = None,
-    end_date: str | None = None,
-    event_types: list[str] | None = None,
-    **place,
-) -> DataFrame:
+def search_events(star: Star, limit: int = 20, offset: int = 0, **filters) -> DataFrame:
     """One page of the star schema, newest first, with ``total`` of the whole result.
 
-    ``place`` takes country, region, lat, lng and proximity_km.  Place filters
-    cut the location dimension before the join; the other filters become key
-    ranges of the fact scan.  The order is date and hour descending, then id.
+    ``filters`` takes start_date, end_date, event_types, country, region, lat,
+    lng and proximity_km.  The order is date and hour descending, then id.  A
+    page past the end has no rows; its total is that of :func:`matching_total`.
+    """
+    matching = _matching(star, **filters)
+    page = matching.orderBy(F.desc("time_id"), F.asc("event_id")).offset(offset).limit(limit)
+    return _shown(star, page, matching_total(star, **filters))
+
+
+def search_after(star: Star, last_time: str, last_id: str, limit: int = 20, **filters) -> DataFrame:
+    """The page after the row with this event_time and event_id: as cheap at any depth as the first.
+
+    Columns and order are those of :func:`search_events`.
     """
-    facts = star.facts(start_date, end_date, event_types, _near_box(**place))
-    cut = _places(star, **place)
-    newest = [F.desc("time_id"), F.asc("event_id")]
-    if cut is None:
-        # no place decides which rows are on the page: find it before any join
-        page = facts.orderBy(*newest).offset(offset).limit(limit)
-        located = star.with_dimensions(page, location=True)
-    else:
-        matching = star.with_dimensions(facts, location=cut)
-        located = matching.orderBy(*newest).offset(offset).limit(limit)
-    total = matching_total(star, start_date, end_date, event_types, **place)
-    named = star.with_dimensions(star.with_type_name(located), time=True)
-    # the joins may have moved the few rows of the page
-    return named.orderBy(*newest).select(
+    matching = _matching(star, **filters)
+    key = int("".join(c for c in last_time[:13] if c.isdigit()))
+    rest = matching.filter((F.col("time_id") < key) | ((F.col("time_id") == key) & (F.col("event_id") > last_id)))
+    page = rest.orderBy(F.desc("time_id"), F.asc("event_id")).limit(limit)
+    return _shown(star, page, matching_total(star, **filters))
+
+
+def _shown(star: Star, page: DataFrame, total: DataFrame) -> DataFrame:
+    return star.with_type_name(page).select(
         "event_id",
         "event_type",
         "severity_level",
@@ -157,28 +161,12 @@ def search_events(
         "longitude",
         "country",
         "region",
-        date_hour_text(F.col("date"), F.col("hour")).alias("event_time"),
+        time_key_text(F.col("time_id")).alias("event_time"),
         "source",
         total.scalar().alias("total"),
     )
 
 
-def matching_total(
-    star: Star,
-    start_date: str | None = None,
-    end_date: str | None = None,
-    event_types: list[str] | None = None,
-    **place,
-) -> DataFrame:
-    """``total``, the number of matching facts.
-
-    Without a place filter no join is made; with one, facts are counted per
-    place before they meet the dimension.
-    """
-    facts = star.facts(start_date, end_date, event_types, _near_box(**place))
-    cut = _places(star, **place)
-    if cut is None:
-        return facts.agg(F.count("*").alias("total"))
-    per_place = facts.groupBy("location_id").agg(F.count("*").alias("n"))
-    inside = per_place.join(cut.select("location_id"), "location_id")
-    return inside.agg(F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("total"))
+def matching_total(star: Star, **filters) -> DataFrame:
+    """``total``, the number of matching facts, in one row whatever page is asked for."""
+    return _matching(star, **filters).agg(F.count("*").alias("total"))

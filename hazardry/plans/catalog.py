@@ -191,7 +191,7 @@ def src_geojson_quakes(spark: SparkSession, d: str) -> DataFrame:
     path = fresh_folder(spark, "geojson")
     _quake_features(spark, d).select(F.array(F.struct("*")).alias("features")).write.json(path)
     return adapters.adapt_quakes(readers.quake_features(spark, path, multi_line=False)).drop(
-        "area_km2", "magnitude", "alert_level", "magnitude_type", "mmi", "felt_count"
+        "alert_level", "magnitude_type", "mmi", "felt_count"
     )
 
 
@@ -510,6 +510,14 @@ def upsert_last_wins(spark: SparkSession, d: str) -> DataFrame:
     return _texts(merged)
 
 
+@query
+def upsert_stats(spark: SparkSession, d: str) -> DataFrame:
+    """What storing all reports does to a store that holds those of one half."""
+    processed = documents.to_document(_processed(spark, d))
+    batch = processed.withColumn("_id", F.when(F.col("source") != "SRC-4", F.col("_id")))
+    return docstore.upsert_report(processed.filter(F.col("event_time") < F.lit(AS_OF).cast("timestamp")), batch, "_id")
+
+
 @query
 def exclude_loaded(spark: SparkSession, d: str) -> DataFrame:
     stored = _stored(spark, d)
@@ -544,11 +552,21 @@ def recent_by_type(spark: SparkSession, d: str) -> DataFrame:
 def search_paged(spark: SparkSession, d: str) -> DataFrame:
     return _texts(
         search.search_page(
-            _stored(spark, d), "fire", "MEDIUM", "2024-01-05 00:00:00", "2024-01-20 00:00:00", page=3, page_size=25
+            _stored(spark, d), page=3, page_size=25, **_PAGED
         )
     )
 
 
+_PAGED = dict(event_type="fire", severity="MEDIUM", date_from="2024-01-05 00:00:00", date_to="2024-01-20 00:00:00")
+
+
+@query
+def search_paged_empty(spark: SparkSession, d: str) -> DataFrame:
+    stored = _stored(spark, d)
+    page = search.search_page(stored, page=10**6, page_size=25, **_PAGED)
+    return search.page_total(stored, 25, **_PAGED).withColumn("rows_on_page", page.agg(F.count("*")).scalar())
+
+
 @query
 def by_location(spark: SparkSession, d: str) -> DataFrame:
     return _texts(search.by_location(_stored(spark, d), *BOX, limit=100))
@@ -612,10 +630,25 @@ def fire_clusters_viirs(spark: SparkSession, d: str) -> DataFrame:
     return fires.cluster_fires(_pixels(spark, d, fires.VIIRS), fires.VIIRS)
 
 
+@query
+def fires_from_csv(spark: SparkSession, d: str) -> DataFrame:
+    """File to fire events in one call; pixels that do not parse are left out."""
+    path = _pixel_file(spark, d, fires.MODIS, schemas.MODIS_PIXEL_TEXT.fieldNames())
+    return fires.fires_from_text(readers.modis_text(spark, path), fires.MODIS, F.col("version").cast("long"))
+
+
+@query
+def fire_rejects(spark: SparkSession, d: str) -> DataFrame:
+    path = _pixel_file(spark, d, fires.MODIS, schemas.MODIS_PIXEL_TEXT.fieldNames())
+    pixels = fires.parse_pixels(readers.modis_text(spark, path), fires.MODIS)
+    nowhere = F.when(F.col("version").cast("long") % 59 != 0, F.col("longitude"))
+    rejects = fires.fire_rejects(pixels.withColumn("longitude", nowhere))
+    return rejects.groupBy("reason").agg(F.count("*").alias("row_count"))
+
+
 @query
 def fires_union(spark: SparkSession, d: str) -> DataFrame:
-    both = fires.union_sensors(fire_clusters_modis(spark, d), fire_clusters_viirs(spark, d))
-    return both.select("event_id", "severity_raw", "timestamp", "source", "pixel_count")
+    return fires.union_sensors(fire_clusters_modis(spark, d), fire_clusters_viirs(spark, d))
 
 
 @query
@@ -628,6 +661,21 @@ def flood_fmi(spark: SparkSession, d: str) -> DataFrame:
     return floods.flood_events(_marks(spark, d))
 
 
+@query
+def flood_rejects(spark: SparkSession, d: str) -> DataFrame:
+    rejects = floods.flood_rejects(lift(spark, d, "hwm_dirty"))
+    return rejects.groupBy("reason").agg(F.count("*").alias("row_count"))
+
+
+@query
+def flood_marks_used(spark: SparkSession, d: str) -> DataFrame:
+    """Floods out of marks of which some lack a position or a quality."""
+    missing = lambda c, n: F.when(F.col("row_no") % n != 0, F.col(c))
+    faults = {"latitude_dd": missing("latitude_dd", 71), "hwm_quality_id": missing("hwm_quality_id", 73)}
+    marks = _marks(spark, d).withColumns(faults)
+    return floods.flood_events(marks).select("flood_event_id", "hwm_count", "quality")
+
+
 # --- places -------------------------------------------------------------------------------------------
 
 
@@ -669,13 +717,23 @@ def dim_time_build(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def dim_location_build(spark: SparkSession, d: str) -> DataFrame:
-    return S.location_rows(S.decompose(_hist(spark, d)), lift(spark, d, "gaz")).drop("location_id")
+    return S.location_rows(S.decompose(_hist(spark, d)), lift(spark, d, "gaz"))
 
 
 @query
 def fact_build(spark: SparkSession, d: str) -> DataFrame:
-    facts = S.fact_rows(S.decompose(_hist(spark, d)))
-    return facts.select("event_id", "time_id", "severity_level", "source", "count_metric", "year")
+    return S.fact_rows(S.decompose(_hist(spark, d))).drop("country", "region")
+
+
+@query
+def dim_event_type_new(spark: SparkSession, d: str) -> DataFrame:
+    """A load meets two types that have no number yet, a later one meets one of them again."""
+    store = W.Warehouse(spark, fresh_folder(spark, "types"))
+    events = _hist(spark, d)
+    kind = F.when(F.col("source") == "SRC-P", F.lit("volcano")).otherwise(F.col("event_type"))
+    store.load(events.filter("source <> 'SRC-F'").withColumn("event_type", kind))
+    store.load(events.filter("source = 'SRC-F'").withColumn("event_type", F.when(F.col("event_hour") == 3, "drought").otherwise(kind)))
+    return analytics.event_counts(store.open())
 
 
 @query
@@ -811,8 +869,23 @@ def bbox_events(spark: SparkSession, d: str) -> DataFrame:
 @query
 def proximity_search(spark: SparkSession, d: str) -> DataFrame:
     lat, lng, km = CENTER
-    found = search.search_events(_star(spark, d), limit=200, lat=lat, lng=lng, proximity_km=km)
-    return found.drop("country", "region")
+    return search.search_events(_star(spark, d), limit=200, lat=lat, lng=lng, proximity_km=km)
+
+
+@query
+def search_after(spark: SparkSession, d: str) -> DataFrame:
+    """The third page of 50 fires, by the last row of the second."""
+    star = _star(spark, d)
+    last = search.search_events(star, limit=1, offset=99, event_types=["fire"]).first()
+    return search.search_after(star, last["event_time"], last["event_id"], 50, event_types=["fire"])
+
+
+@query
+def search_empty_page(spark: SparkSession, d: str) -> DataFrame:
+    """A page past the end: no rows, and the total all the same."""
+    filters = dict(start_date=RANGE[0], end_date=RANGE[1], event_types=["fire", "storm"], region="asia")
+    page = search.search_events(_star(spark, d), limit=50, offset=10**8, **filters)
+    return search.matching_total(_star(spark, d), **filters).withColumn("rows_on_page", page.agg(F.count("*")).scalar())
 
 
 @query
@@ -836,6 +909,15 @@ def map_view(spark: SparkSession, d: str) -> DataFrame:
     return mapview.map_view(_star(spark, d), min_lat, max_lat, min_lon, max_lon, 6, *FULL_RANGE)
 
 
+@query
+def map_total(spark: SparkSession, d: str) -> DataFrame:
+    """Totals beside clusters, beside points, and of a box without events."""
+    star = _star(spark, d)
+    nowhere = (-89.5, -89.0, 10.0, 11.0)
+    totals = [mapview.map_total(star, box, *RANGE, zoom) for box, zoom in ((BOX, 4), (BOX, 12), (nowhere, 9))]
+    return reduce(DataFrame.unionByName, [t.withColumn("map_no", F.lit(n)) for n, t in enumerate(totals, start=1)])
+
+
 # --- streams ------------------------------------------------------------------------------------------------------
 
 
@@ -898,7 +980,7 @@ def stream_route(spark: SparkSession, d: str) -> DataFrame:
 def stream_counts(spark: SparkSession, d: str) -> DataFrame:
     path, checkpoint = _paths(spark, "counts")
     jobs.running_counts(_processed_stream(spark, d), path, checkpoint, availableNow=True).awaitTermination()
-    return spark.read.schema("event_type string, severity_level string, event_count long").parquet(path)
+    return jobs.read_counts(spark, path)
 
 
 @query
@@ -907,7 +989,7 @@ def stream_live_window(spark: SparkSession, d: str) -> DataFrame:
     path, checkpoint = _paths(spark, "live")
     jobs.append_files(jobs.live_events(drained), path, checkpoint, availableNow=True).awaitTermination()
     kept = spark.read.schema(drained.schema).parquet(path)
-    return _texts(search.live_window(kept, AS_OF)).drop("severity_raw")
+    return _texts(search.live_window(kept, AS_OF))
 
 
 @query
@@ -922,18 +1004,18 @@ def stream_new_events(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
-    """The stream is stored twice, the second time without a field; the store merges both."""
+    """Two streams write one store, each with batches numbered from 0; a later batch lacks a field."""
     processed = _processed_stream(spark, d)
     schema = documents.to_document(processed).schema
     base = fresh_folder(spark, "upsert")
     store = docstore.DocumentStore(spark, f"{base}/store", schema)
-    for pass_no in range(2):
+    for left_out in ("SRC-0", "SRC-1"):
         jobs.upsert_documents(
-            processed, store, f"{base}/checkpoint-{pass_no}", ["processed_at"], availableNow=True
+            processed.filter(F.col("source") != left_out), store, f"{base}/checkpoint-{left_out}", ["processed_at"], availableNow=True
         ).awaitTermination()
     late = documents.to_document(_processed(spark, d)).filter(
         F.col("processed_at") > F.col("event_time") + F.expr("INTERVAL '30' SECOND")
     )
-    store.write_batch(late.drop(UPSERT_OMITS), 10, ["processed_at"])
-    compacted = store.compact(f"{base}/compacted", 10)
+    store.write_batch(late.drop(UPSERT_OMITS), 0, ["processed_at"], writer="late")
+    compacted = store.compact(f"{base}/compacted", store.last_sequence() - 1)
     return _texts(documents.flatten_document(compacted.read()))

@@ -97,14 +97,18 @@ SELECT l_partkey AS event_id,
        concat('Flood ', CAST(l_partkey AS VARCHAR(20))) AS eventName,
        l_orderkey * 100000000 + l_partkey * 1000 + (l_suppkey % 100) * 10 + l_linenumber AS row_no
 FROM {lineitem}""",
-    # cities: customers of four of the five segments, so some events have none near
+    # cities: none beyond 61 degrees, so some events have none near
     "gaz": f"""
 SELECT c_custkey AS row_no,
-       CAST((c_custkey * 7919) % 141 AS DOUBLE) - 70 + CAST(c_custkey % 7 AS DOUBLE) / 8 AS lat,
+       CAST((c_custkey * 7919) % 121 AS DOUBLE) - 60 + CAST(c_custkey % 7 AS DOUBLE) / 8 AS lat,
        CAST((c_custkey * 104729) % 341 AS DOUBLE) - 170 + CAST(c_custkey % 9 AS DOUBLE) / 16 AS lon,
        {_CODE} AS cc
-FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey
-WHERE c_mktsegment <> 'BUILDING'""",
+FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey""",
+    # the marks with faults: no position, no quality
+    "hwm_dirty": """
+SELECT event_id, CASE WHEN row_no % 71 = 0 THEN NULL ELSE latitude_dd END AS latitude_dd, longitude_dd, elev_ft,
+       CASE WHEN row_no % 73 = 0 THEN NULL ELSE hwm_quality_id END AS hwm_quality_id, row_no
+FROM {hwm}""",
     # flat columns of the raw agency records
     "raw_quake": f"""
 SELECT concat('us', CAST(event_id AS VARCHAR(20))) AS id,

@@ -168,6 +168,7 @@ WHERE severity_level IS NOT NULL""",
     "near_live": _near("live"),
     "placed_live": _placed("near_live"),
     "modis_groups": _FIRE_GROUP.format(conf="confidence", keep="confidence >= 30"),
+    "csv_groups": _FIRE_GROUP.format(conf="confidence", keep="confidence >= 30 AND row_no % 67 <> 0"),
     "viirs_groups": _FIRE_GROUP.format(
         conf="CASE lower(trim(confidence_class)) WHEN 'l' THEN 25 WHEN 'n' THEN 60 WHEN 'h' THEN 90 ELSE 60 END",
         keep="lower(trim(confidence_class)) <> 'l'",
@@ -338,6 +339,7 @@ _TOP = """
 SELECT country, region, count(*) AS event_count FROM wide WHERE {0} GROUP BY country, region
 ORDER BY event_count DESC, country, region LIMIT {1}"""
 _TIME_KEY = "year(event_date) * 1000000 + month(event_date) * 10000 + day(event_date) * 100 + event_hour"
+_PLACE_KEY = "concat(CAST(latitude + 0.0 AS VARCHAR), ',', CAST(longitude + 0.0 AS VARCHAR))"
 _SEARCH_WHERE = f"{_FACT_RANGE} AND event_type IN ('fire', 'storm') AND region ILIKE '%asia%'"
 _REACH = CENTER[2] / C.KM_PER_DEGREE
 _NEAR_WHERE = (
@@ -380,7 +382,7 @@ TWINS: dict[str, str] = {
     # sources
     "src_geojson_quakes": _with(f"""
 SELECT id AS event_id, 'earthquake' AS event_type, mag AS severity_raw, lat AS latitude, lon AS longitude, time_text AS timestamp,
-       'USGS_EQ' AS source, coalesce(depth, 0) AS depth_km, tsunami <> 0 AS tsunami, sig AS significance, concat('near ', id) AS place,
+       'USGS_EQ' AS source, mag AS magnitude, {_round('area', 4)} AS area_km2, coalesce(depth, 0) AS depth_km, tsunami <> 0 AS tsunami, sig AS significance, concat('near ', id) AS place,
        coalesce(status, 'automatic') AS review_status, coalesce(net, '') AS network FROM quakes"""),
     "src_firms_modis": _with(f"SELECT {_PIXEL_COLUMNS.format(confidence='confidence')} FROM pix"),
     "src_firms_viirs": _with(f"SELECT {_PIXEL_COLUMNS.format(confidence='lower(trim(confidence_class))')} FROM pix"),
@@ -491,6 +493,14 @@ SELECT event_type, count(*) AS event_count, string_agg(DISTINCT severity_level,
 SELECT {_PROC}, count(*) OVER () AS total, CAST(ceil(count(*) OVER () / 25.0) AS BIGINT) AS pages FROM stored
 WHERE event_type = 'fire' AND severity_level = 'MEDIUM' AND t BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-20 00:00:00'
 ORDER BY t DESC, event_id LIMIT 25 OFFSET 50"""),
+    "search_paged_empty": _with("""
+SELECT count(*) AS total, CAST(greatest(1, ceil(count(*) / 25.0)) AS BIGINT) AS pages, CAST(0 AS BIGINT) AS rows_on_page FROM stored
+WHERE event_type = 'fire' AND severity_level = 'MEDIUM' AND t BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-20 00:00:00'"""),
+    "upsert_stats": _with(f"""
+SELECT count(*) AS received, count(DISTINCT id) FILTER (id NOT IN (SELECT event_id FROM proc WHERE t < TIMESTAMP '{AS_OF}')) AS inserted,
+       count(DISTINCT id) FILTER (id IN (SELECT event_id FROM proc WHERE t < TIMESTAMP '{AS_OF}')) AS updated,
+       count(id) - count(DISTINCT id) AS repeated, count(*) - count(id) AS errors
+FROM (SELECT CASE WHEN source <> 'SRC-4' THEN event_id END AS id FROM proc) p"""),
     "by_location": _with(f"SELECT {_PROC} FROM stored WHERE {_BOX_WHERE} ORDER BY event_id LIMIT 100"),
     "new_since": _with(f"SELECT {_PROC} FROM stored WHERE p > TIMESTAMP '{AS_OF}'"),
     "live_window": _with(f"""
@@ -509,9 +519,19 @@ SELECT event_id, event_type, severity_raw, latitude, longitude, timestamp, sourc
     # fires and floods
     "fire_clusters_modis": _with(_fires("MODIS", "modis_groups")),
     "fire_clusters_viirs": _with(_fires("VIIRS", "viirs_groups")),
+    "fires_from_csv": _with(_fires("MODIS", "csv_groups")),
+    "fire_rejects": _with("""
+SELECT CASE WHEN row_no % 67 = 0 THEN 'frp' ELSE 'longitude' END AS reason, count(*) AS row_count FROM pix
+WHERE row_no % 67 = 0 OR row_no % 59 = 0 GROUP BY 1"""),
+    "flood_rejects": _with("""
+SELECT CASE WHEN latitude_dd IS NULL THEN 'latitude_dd' ELSE 'hwm_quality_id' END AS reason, count(*) AS row_count FROM hwm_dirty
+WHERE latitude_dd IS NULL OR hwm_quality_id IS NULL GROUP BY 1"""),
+    "flood_marks_used": _with("""
+SELECT event_id AS flood_event_id, count(*) AS hwm_count, CASE min(hwm_quality_id) WHEN 2 THEN 'Good' WHEN 3 THEN 'Fair' ELSE 'Poor' END AS quality
+FROM hwm_dirty WHERE latitude_dd IS NOT NULL AND hwm_quality_id IS NOT NULL GROUP BY 1 HAVING min(hwm_quality_id) <= 3 OR count(*) >= 3"""),
     "fires_union": _with(
         " UNION ALL ".join(
-            f"SELECT event_id, severity_raw, timestamp, source, pixel_count FROM ({_fires(n, g)}) {g[0]}"
+            f"SELECT * FROM ({_fires(n, g)}) {g[0]}"
             for n, g in (("MODIS", "modis_groups"), ("VIIRS", "viirs_groups"))
         )
     ),
@@ -537,9 +557,14 @@ SELECT event_type AS event_type_name, latitude, longitude, country, region, strf
     "dim_time_build": _with(f"""
 SELECT DISTINCT {_TIME_KEY} AS time_id, strftime(event_date, '%Y-%m-%d') AS date, CAST(day(event_date) AS INTEGER) AS day, CAST(month(event_date) AS INTEGER) AS month,
        CAST(year(event_date) AS INTEGER) AS year, event_hour AS hour FROM ev"""),
-    "dim_location_build": _with("SELECT country, region, latitude, longitude FROM placed_ev"),
+    "dim_location_build": _with(f"SELECT {_PLACE_KEY} AS location_id, country, region, latitude, longitude FROM placed_ev"),
     "fact_build": _with(f"""
-SELECT event_id, {_TIME_KEY} AS time_id, severity_level, source, CAST(1 AS INTEGER) AS count_metric, CAST(year(event_date) AS INTEGER) AS year FROM ev"""),
+SELECT event_id, CAST({_TYPE_KEY} AS INTEGER) AS event_type_id, {_PLACE_KEY} AS location_id, {_TIME_KEY} AS time_id, severity_level, source,
+       CAST(1 AS INTEGER) AS count_metric, CAST((floor(latitude) + 90) * 400 + floor(longitude) + 180 AS INTEGER) AS cell_id,
+       latitude, longitude, CAST(year(event_date) AS INTEGER) AS year FROM ev"""),
+    "dim_event_type_new": _with("""
+SELECT CASE WHEN source = 'SRC-F' AND event_hour = 3 THEN 'drought' WHEN source = 'SRC-P' THEN 'volcano' ELSE event_type END AS event_type,
+       count(*) AS event_count FROM ev GROUP BY 1"""),
     "star_join": _with("""
 SELECT event_id, event_type, severity_level, latitude, longitude, country, region, strftime(event_date, '%Y-%m-%d') AS date, event_hour AS hour, source FROM wide"""),
     "star_load_idempotent": _loads(),
@@ -581,8 +606,16 @@ FROM wide WHERE {_SEARCH_WHERE} ORDER BY event_date DESC, event_hour DESC, event
     "search_total": _with(f"SELECT count(*) AS total FROM ev WHERE {_FACT_RANGE} AND event_type IN ('fire', 'storm')"),
     "bbox_events": _with(f"SELECT event_id, latitude, longitude, strftime(event_date, '%Y-%m-%d') AS event_date FROM hist WHERE {_BOX_WHERE}"),
     "proximity_search": _with(f"""
-SELECT event_id, event_type, severity_level, latitude, longitude, {_HOUR_TEXT} AS event_time, source, count(*) OVER () AS total
-FROM ev WHERE {_NEAR_WHERE} ORDER BY event_date DESC, event_hour DESC, event_id LIMIT 200"""),
+SELECT event_id, event_type, severity_level, latitude, longitude, country, region, {_HOUR_TEXT} AS event_time, source, count(*) OVER () AS total
+FROM wide WHERE {_NEAR_WHERE} ORDER BY event_date DESC, event_hour DESC, event_id LIMIT 200"""),
+    "search_after": _with(f"""
+SELECT event_id, event_type, severity_level, latitude, longitude, country, region, {_HOUR_TEXT} AS event_time, source, count(*) OVER () AS total
+FROM wide WHERE event_type = 'fire' ORDER BY event_date DESC, event_hour DESC, event_id LIMIT 50 OFFSET 100"""),
+    "search_empty_page": _with(f"SELECT count(*) AS total, CAST(0 AS BIGINT) AS rows_on_page FROM wide WHERE {_SEARCH_WHERE}"),
+    "map_total": _with(f"""
+SELECT 1 AS map_no, 'clusters' AS mode, count(*) AS total FROM ev WHERE {_BOX_WHERE} AND {_FACT_RANGE}
+UNION ALL SELECT 2, 'points', count(*) FROM ev WHERE {_BOX_WHERE} AND {_FACT_RANGE}
+UNION ALL SELECT 3, 'clusters', count(*) FROM ev WHERE latitude BETWEEN -89.5 AND -89 AND longitude BETWEEN 10 AND 11 AND {_FACT_RANGE}"""),
     "map_grid": _with(f"SELECT lat_sum / n AS lat, lng_sum / n AS lng, event_type, n AS event_count FROM ({_cells(C.SQUARE_CELL_DEGREES[4], 'true')}) c"),
     "map_hex": _hexes(2, _FACT_RANGE, 3, 20),
     "map_points": _with(f"""
@@ -597,7 +630,7 @@ SELECT event_id, event_type, severity_raw, latitude, longitude, strftime(event_t
     "stream_route": _with("SELECT concat(event_type, 's-topic') AS topic, count(*) AS messages FROM live GROUP BY 1"),
     "stream_counts": _with("SELECT event_type, severity_level, count(*) AS event_count FROM streamed GROUP BY 1, 2"),
     "stream_live_window": _with(f"""
-SELECT event_id, event_type, latitude, longitude, strftime(event_time, {ISO}) AS event_time, source FROM live
+SELECT event_id, event_type, severity_raw, latitude, longitude, strftime(event_time, {ISO}) AS event_time, source FROM live
 WHERE event_time > TIMESTAMP '{AS_OF}' - INTERVAL '8' HOUR AND event_time <= TIMESTAMP '{AS_OF}'"""),
     "stream_new_events": _with(f"SELECT {_PROC} FROM streamed WHERE t + INTERVAL '3' SECOND > TIMESTAMP '{AS_OF}'"),
     "stream_upsert": _with(f"""

@@ -3,14 +3,17 @@
 Loading is idempotent: an event id that is stored is skipped, a natural key that
 has a dimension row gets no second one.  Dimensions are appended before facts,
 so a load that dies half way leaves no fact without its dimensions, and running
-it again completes it.
+it again completes it.  Counts per year, type and level are kept beside the
+facts; a log says which loads ended, and counts that an unended load may have
+left wrong are neither read nor kept: the next load counts the facts anew.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hazardry import constants as C
@@ -20,20 +23,22 @@ from hazardry.functions.predicates import all_of
 from hazardry.operators import star as S
 from hazardry.operators.ranking import keep_one
 from hazardry.sources.readers import existing
-from hazardry.sources.workspace import staged
+from hazardry.sources.workspace import scratch
 
 TABLES = {
     "fact": schemas.FACT_EVENT,
     "event_type": schemas.DIM_EVENT_TYPE,
     "location": schemas.DIM_LOCATION,
     "time": schemas.DIM_TIME,
+    "counts": schemas.EVENT_COUNTS,
+    "log": schemas.LOAD_LOG,
 }
 
 
 def classify_events(
     events: DataFrame, profile: str = "cm", below_min: str = "drop"
 ) -> DataFrame:
-    """Events with a ``severity_level``; those without a level are left out."""
+    """Events with a ``severity_level``; those without a level, or of a type without thresholds, are left out."""
     kind, reading = F.col("event_type"), F.col("severity_raw")
     known = reading.isNotNull() & ~F.isnan(reading)
     kept = events.filter(known)
@@ -45,15 +50,15 @@ def classify_events(
 
 
 def loadable(classified: DataFrame) -> Column:
-    """Whether a row can become a fact: a known type and every value that keys need."""
-    needed = ("event_id", "severity_level", "latitude", "longitude", "event_time")
-    known = F.col("event_type").isin(*C.EVENT_TYPES)
-    return all_of([*[F.col(c).isNotNull() for c in needed], F.coalesce(known, F.lit(False))])
+    """Whether a row can become a fact: it has every value that keys need, and its position is a number."""
+    needed = ("event_id", "event_type", "severity_level", "event_time")
+    numbers = [F.nanvl(c, F.lit(None)).isNotNull() for c in ("latitude", "longitude")]
+    return all_of([*[F.col(c).isNotNull() for c in needed], *numbers])
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Four Parquet tables below one folder; the fact table is partitioned by year."""
+    """Parquet tables below one folder; the fact table is partitioned by year."""
 
     spark: SparkSession
     path: str
@@ -64,8 +69,22 @@ class Warehouse:
             return self.spark.createDataFrame([], TABLES[name])
         return self.spark.read.schema(TABLES[name]).parquet(path)
 
+    def _types(self) -> dict[str, int]:
+        return {r["event_type_name"]: r["event_type_id"] for r in self._table("event_type").collect()}
+
     def open(self) -> S.Star:
-        return S.Star(*[self._table(n) for n in ("fact", "event_type", "location", "time")])
+        """The star as it is now.  Counts of a load that never ended are not used."""
+        tables = [self._table(n) for n in ("fact", "event_type", "location", "time")]
+        counts = None if self._unfinished() else self._table("counts")
+        return S.Star(*tables, counts, S.numbered_types(self._types(), []))
+
+    def _unfinished(self) -> list[str]:
+        """Loads that began and did not end."""
+        begun = self._table("log").groupBy("load_id").agg(F.count_if(F.col("state") == "done").alias("done"))
+        return [r["load_id"] for r in begun.filter("done = 0").collect()]
+
+    def _log(self, state: str, *load_ids: str) -> None:
+        self._append(self.spark.createDataFrame([(i, state) for i in load_ids], TABLES["log"]).coalesce(1), "log")
 
     def load(
         self, classified: DataFrame, gazetteer: DataFrame | None = None, order: list[str] | None = None
@@ -75,42 +94,50 @@ class Warehouse:
         ``classified`` has event_id, event_type, severity_level, latitude,
         longitude, event_time and source.  Of several rows with one new id the
         first in ``order`` (event_time unless given) is kept.  Rows that are not
-        :func:`loadable` are left out.
+        :func:`loadable` are left out.  A type that was never met gets a number.
         """
-        stored = self.open()
-        sound = classified.filter(loadable(classified))
-        first = keep_one(sound, "event_id", order or ["event_time"])
-        fresh = staged(
-            S.decompose(S.not_yet_in(first, stored.fact, "event_id")), "load"
-        )
-
-        kinds = S.not_yet_in(S.event_type_rows(fresh), stored.event_type, "event_type_id")
-        hours = S.not_yet_in(S.time_rows(fresh), stored.time, "time_id")
-        points = fresh.select("latitude", "longitude").distinct()
-        keyed = points.withColumn(
-            "location_id", S.location_key(F.col("latitude"), F.col("longitude"))
-        )
-        places = S.location_rows(S.not_yet_in(keyed, stored.location, "location_id"), gazetteer)
-
-        self._append(kinds.coalesce(1), "event_type")
-        self._append(hours, "time")
-        # neighbouring places share row groups, so a box reads few of them; the
-        # rows are staged because a range partitioning reads its input twice
-        self._append(
-            staged(places, "places")
-            .repartitionByRange("latitude", "longitude")
-            .sortWithinPartitions("latitude", "longitude"),
-            "location",
+        stored, broken = self.open(), self._unfinished()
+        load_id = uuid.uuid4().hex
+        self._log("begun", load_id)
+        seen = Observation(f"load-{load_id}")
+        watched = classified.observe(
+            seen, F.count(F.lit(1)).alias("received"), F.count_if(~loadable(classified)).alias("errors")
         )
-        # a task holds a stretch of time, so it writes few files and a date range
-        # reads few; the id splits an hour that holds very many events
-        facts = S.fact_rows(fresh).repartitionByRange("time_id", "event_id")
-        self._append(facts.sortWithinPartitions("time_id"), "fact", "year")
-
-        counted = classified.agg(
-            F.count("*").alias("received"), F.count_if(~loadable(classified)).alias("errors")
-        ).first()
-        inserted = fresh.count()
+        first = keep_one(watched.filter(loadable(classified)), "event_id", order or ["event_time"])
+        with scratch(self.spark, "load") as area:
+            fresh = area.staged(S.decompose(S.not_yet_in(first, stored.fact, "event_id")))
+            points = fresh.select("latitude", "longitude").distinct()
+            places = area.staged(S.location_rows(points, gazetteer))
+            names = [r[0] for r in fresh.select("event_type_name").distinct().collect()]
+            types = S.numbered_types(self._types(), names)
+
+            kinds = S.not_yet_in(S.event_type_rows(fresh, types), stored.event_type, "event_type_id")
+            hours = S.not_yet_in(S.time_rows(fresh), stored.time, "time_id")
+            self._append(kinds.coalesce(1), "event_type")
+            self._append(hours, "time")
+            # neighbouring places share row groups, so a box reads few of them
+            self._append(
+                S.not_yet_in(places, stored.location, "location_id")
+                .repartitionByRange("latitude", "longitude")
+                .sortWithinPartitions("latitude", "longitude"),
+                "location",
+            )
+            facts = S.fact_rows(S.with_places(fresh, places), types)
+            # a task holds a month or a part of one, in order of place: date ranges skip
+            # files, boxes skip row groups, and few files are written
+            month = F.expr("time_id div 10000")
+            self._append(
+                facts.repartitionByRange(month, "cell_id", "event_id").sortWithinPartitions(month, "cell_id"),
+                "fact",
+                "year",
+            )
+            inserted = fresh.count()
+            self._append(S.counts_of(facts).coalesce(1), "counts")
+        if broken:
+            recounted = S.counts_of(self._table("fact"))
+            recounted.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/counts")
+        self._log("done", load_id, *broken)
+        counted = seen.get
         return {
             "received": counted["received"],
             "inserted": inserted,

@@ -107,5 +107,11 @@ FACT_EVENT = _struct(
     source=_S,
     count_metric=_I,
     cell_id=_I,
+    latitude=_D,
+    longitude=_D,
+    country=_S,
+    region=_S,
     year=_I,
 )
+EVENT_COUNTS = _struct(year=_I, event_type_id=_I, severity_level=_S, event_count=_L)
+LOAD_LOG = _struct(load_id=_S, state=_S)

@@ -1,9 +1,12 @@
 """A keyed store of documents on plain Parquet, upserted by batches.
 
-A batch is written as a change set of its own, ``changes/batch_id=<n>``; writing
-the same batch again replaces the same folder, so a retried batch does no harm.
-Readers merge the change sets by key.  The cost of an upsert is the size of the
-batch, not of the store; :func:`compact` folds the change sets into a new store.
+A batch is a change set of its own, ``changes/writer=<name>/batch_id=<n>``.  Every
+writer (a streaming query with its checkpoint, a job) has its own name, so two
+of them never replace each other's batches; the same batch of the same writer
+written again replaces itself and keeps its place in the order of writes, so a
+retry does no harm.  Readers merge the change sets by key.  The cost of an
+upsert is the size of the batch, not of the store; ``compact`` folds change
+sets into a new store.
 
 Merging follows a field-wise update: a document keeps the value of a field that
 a later batch does not have, and takes every field, NULL or not, that it has.
@@ -11,35 +14,37 @@ a later batch does not have, and takes every field, NULL or not, that it has.
 
 from __future__ import annotations
 
-from functools import reduce
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazardry.operators.ranking import keep_one
+from hazardry.sources.readers import existing
 
-_SEQ, _FIELDS = "_seq", "_fields"
+_SEQ, _FIELDS, _WRITER = "_seq", "_fields", "_writer"
 
 
-def tagged(batch: DataFrame, sequence: Column) -> DataFrame:
+def tagged(batch: DataFrame, sequence: Column, writer: str = "") -> DataFrame:
     """Adds the position in the order of writes and the names of the fields the batch has."""
     names = F.array(*[F.lit(c) for c in batch.columns])
-    return batch.withColumn(_SEQ, sequence.cast("long")).withColumn(_FIELDS, names)
+    return batch.withColumns({_SEQ: sequence.cast("long"), _WRITER: F.lit(writer), _FIELDS: names})
 
 
 def merge_changes(changes: DataFrame, key: str) -> DataFrame:
     """Current documents out of tagged changes: one aggregation by key, no join.
 
-    For every field the last change that has it wins.  Changes are combined on
-    the map side, so a key with very many changes is no burden to one task.
+    For every field the last change that has it wins; writes of one moment are
+    ordered by their writer's name.  Changes are combined on the map side, so a
+    key with very many changes is no burden to one task.
     """
-    fields = [c for c in changes.columns if c not in (key, _SEQ, _FIELDS)]
+    fields = [c for c in changes.columns if c not in (key, _SEQ, _WRITER, _FIELDS)]
     # the value is wrapped so that a NULL written last wins over an older value
     last = [
         F.max_by(
             F.struct(F.col(c)),
-            F.when(F.array_contains(_FIELDS, c), F.col(_SEQ)),
+            F.when(F.array_contains(_FIELDS, c), F.struct(_SEQ, _WRITER)),
         )[c].alias(c)
         for c in fields
     ]
@@ -49,33 +54,60 @@ def merge_changes(changes: DataFrame, key: str) -> DataFrame:
 def upsert(current: DataFrame, batch: DataFrame, key: str, order: list[str]) -> DataFrame:
     """``current`` after a batch: matched rows are updated, new ones inserted.
 
-    Within the batch the last row of a key in ``order`` wins.
+    Within the batch the last row of a key in ``order`` wins; rows without a key
+    are left out (see :func:`upsert_report`).
     """
-    latest = keep_one(batch, key, order, keep="last")
+    latest = keep_one(batch.filter(F.col(key).isNotNull()), key, order, keep="last")
     both = tagged(current, F.lit(0)).unionByName(
         tagged(latest, F.lit(1)), allowMissingColumns=True
     )
     return merge_changes(both, key)
 
 
+def upsert_report(current: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """What an upsert would do: received, inserted, updated, repeated and errors (rows without a key), in one row."""
+    counted = batch.groupBy(key).agg(F.count("*").alias("n"))
+    stored = current.select(key).distinct().withColumn("_stored", F.lit(True))
+    known = F.col(key).isNotNull()
+    total = lambda what: F.coalesce(F.sum(what), F.lit(0).cast("long"))
+    return counted.join(stored, key, "left").agg(
+        total("n").alias("received"),
+        F.count_if(known & F.col("_stored").isNull()).alias("inserted"),
+        F.count_if(known & F.col("_stored").isNotNull()).alias("updated"),
+        total(F.when(known, F.col("n") - 1)).alias("repeated"),
+        total(F.when(~known, F.col("n"))).alias("errors"),
+    )
+
+
 class DocumentStore:
     """Change sets below a folder.  ``schema`` is that of the documents."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str = "_id"):
         self.spark, self.path, self.schema, self.key = spark, path.rstrip("/"), schema, key
 
-    def write_batch(self, batch: DataFrame, batch_id: int, order: list[str]) -> None:
-        """Store one batch, the last row per key only.  Repeating it is harmless."""
-        latest = keep_one(batch, self.key, order, keep="last")
-        tagged(latest, F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{self.path}/changes/batch_id={batch_id}"
-        )
+    def write_batch(
+        self, batch: DataFrame, batch_id: int, order: list[str], writer: str = "main", sequence: int | None = None
+    ) -> None:
+        """Store one batch of a writer, the last row per key only.  Repeating it is harmless.
+
+        ``sequence`` places the batch among all writes; without it the time of
+        its first write does.  Rows without a key are left out.
+        """
+        folder = self._folder(writer, batch_id)
+        before = self.spark.read.parquet(folder).select(_SEQ).first() if existing(self.spark, [folder]) else None
+        place = before[0] if before else time.time_ns() // 1000 if sequence is None else sequence
+        latest = keep_one(batch.filter(F.col(self.key).isNotNull()), self.key, order, keep="last")
+        tagged(latest, F.lit(place), writer).write.mode("overwrite").parquet(folder)
+
+    def _folder(self, writer: str, batch_id: int) -> str:
+        return f"{self.path}/changes/writer={writer}/batch_id={batch_id}"
 
     def changes(self) -> DataFrame:
         stored = T.StructType(
             [
                 *[T.StructField(f.name, f.dataType) for f in self.schema.fields],
                 T.StructField(_SEQ, T.LongType()),
+                T.StructField(_WRITER, T.StringType()),
                 T.StructField(_FIELDS, T.ArrayType(T.StringType())),
             ]
         )
@@ -86,18 +118,15 @@ class DocumentStore:
         """Current documents."""
         return merge_changes(self.changes(), self.key)
 
-    def compact(self, path: str, through_batch: int) -> DocumentStore:
-        """A new store at ``path`` whose only change set is the current state."""
+    def last_sequence(self) -> int:
+        return self.changes().agg(F.max(_SEQ)).first()[0]
+
+    def compact(self, path: str, through: int) -> DocumentStore:
+        """A new store at ``path``: writes up to the sequence ``through`` as one change set, later ones as they are."""
         target = DocumentStore(self.spark, path, self.schema, self.key)
-        tagged(self.read(), F.lit(through_batch)).write.mode("overwrite").parquet(
-            f"{target.path}/changes/batch_id={through_batch}"
-        )
+        changes = self.changes()
+        folded = merge_changes(changes.filter(F.col(_SEQ) <= through), self.key)
+        tagged(folded, F.lit(through)).write.mode("overwrite").parquet(target._folder("compacted", 0))
+        later = changes.filter(F.col(_SEQ) > through)
+        later.write.mode("overwrite").parquet(target._folder("carried", 0))
         return target
-
-
-def fold_changes(batches: list[DataFrame], key: str) -> DataFrame:
-    """Documents after several batches in the order given."""
-    parts = [tagged(b, F.lit(n)) for n, b in enumerate(batches)]
-    return merge_changes(
-        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), key
-    )

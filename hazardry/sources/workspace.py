@@ -1,11 +1,14 @@
 """Where jobs put intermediate tables: the shared folder the cluster names.
 
-``spark.checkpoint.dir`` is read from the session.  Only when it is unset (a
-laptop, a test) a temporary folder takes its place.
+``spark.checkpoint.dir`` is read from the session.  Only when it is unset and
+driver and executors are one process (a laptop, a test) a temporary folder takes
+its place; on a cluster executors would each write to a disk of their own, so
+there the setting is required.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,6 +22,8 @@ def base_folder(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_FOLDERS:
         _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="hazardry-")
@@ -30,6 +35,26 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base_folder(spark)}/hazardry/{purpose}-{uuid.uuid4().hex}"
 
 
+class scratch:
+    """A folder for tables that are needed during one piece of work; it is deleted at its end."""
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.path, self.tables = spark, fresh_folder(spark, purpose), 0
+
+    def __enter__(self) -> scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def staged(self, df: DataFrame) -> DataFrame:
+        self.tables += 1
+        path = f"{self.path}/{self.tables}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """Write once and read back: later steps start from files, not from this lineage."""
     path = fresh_folder(df.sparkSession, purpose)

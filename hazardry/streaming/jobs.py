@@ -8,7 +8,9 @@ the writer; ``availableNow=True`` drains the source and stops.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -47,10 +49,15 @@ def append_files(
 def upsert_documents(
     processed: DataFrame, store: DocumentStore, checkpoint: str, order: list[str], **trigger
 ) -> StreamingQuery:
-    """Upsert processed events into a document store, last write per id wins."""
+    """Upsert processed events into a document store, last write per id wins.
+
+    The checkpoint names the writer, so two streams, or one that starts again
+    from a new checkpoint, keep their batches apart.
+    """
+    writer = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.write_batch(to_document(batch), batch_id, order)
+        store.write_batch(to_document(batch), batch_id, order, writer)
 
     return (
         processed.writeStream.foreachBatch(write)
@@ -80,10 +87,11 @@ def publish_to_kafka(events: DataFrame, servers: str, checkpoint: str, **trigger
 def running_counts(
     processed: DataFrame, path: str, checkpoint: str, **trigger
 ) -> StreamingQuery:
-    """Counters by type and level; the folder always holds the counts so far."""
+    """Counters by type and level.  Every batch is a version of its own, so a reader
+    (:func:`read_counts`) or a crash never meets a half-written one."""
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
 
     return (
         processing.running_counts(processed)
@@ -95,6 +103,13 @@ def running_counts(
     )
 
 
+def read_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The latest version of :func:`running_counts`."""
+    schema = "event_type string, severity_level string, event_count long, version long"
+    stored = spark.read.schema(schema).parquet(path)
+    return stored.filter(F.col("version") == stored.agg(F.max("version")).scalar()).drop("version")
+
+
 def critical_alerts(processed: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     return append_files(processing.critical(processed), path, checkpoint, **trigger)
 
@@ -104,13 +119,21 @@ def live_events(events: DataFrame, hours: int = C.LIVE_WINDOW_HOURS) -> DataFram
 
     For the live feed only.  The watermark forgets ids after ``hours`` and drops
     rows that come later than that, so a replay of history must not pass here;
-    the durable store takes the stream before this step.
+    the durable store takes the stream before this step.  What is dropped is
+    counted: :func:`late_rows`.
     """
     return events.withWatermark("event_time", f"{hours} hours").dropDuplicatesWithinWatermark(
         ["event_id"]
     )
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows a query has dropped as later than its watermark, over the progress it still remembers."""
+    return sum(
+        op.numRowsDroppedByWatermark for progress in query.recentProgress for op in progress.stateOperators
+    )
+
+
 def new_events(stored: DataFrame, cursor: str) -> DataFrame:
     """Events of a growing table that were processed after the cursor."""
     return stored.filter(F.col("processed_at") > F.lit(cursor).cast("timestamp"))

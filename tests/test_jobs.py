@@ -58,17 +58,110 @@ def test_load_is_idempotent(spark, cities):
     assert joined.count() == 500
 
 
+def test_second_load_of_a_broken_one_counts_anew(spark, cities):
+    """A load that dies after its facts leaves no counts; they are not used, and the next load mends them."""
+    store = W.Warehouse(spark, fresh_folder(spark, "test-broken"))
+    store.load(some_events(spark, 300), cities)
+    append = W.Warehouse._append
+
+    def dies(self, rows, name, *partition_by):
+        if name == "counts":
+            raise RuntimeError("lost")
+        append(self, rows, name, *partition_by)
+
+    W.Warehouse._append = dies
+    try:
+        with pytest.raises(RuntimeError):
+            store.load(some_events(spark, 500), cities)
+    finally:
+        W.Warehouse._append = append
+    assert store.open().counts is None
+    total = lambda: analytics.event_summary(store.open()).filter("dimension = 'total'").first()["event_count"]
+    assert total() == 500
+    assert store.load(some_events(spark, 500), cities)["inserted"] == 0
+    assert store.open().counts.agg(F.sum("event_count")).first()[0] == 500 == total()
+
+
+def test_kept_counts_equal_the_facts(star):
+    kept = {tuple(r) for r in star.counts.groupBy("year", "event_type_id", "severity_level").agg(F.sum("event_count")).collect()}
+    assert kept == {tuple(r) for r in S.counts_of(star.fact).collect()}
+    files = analytics.event_summary(star, "2001-01-01", "2003-12-31").inputFiles()
+    assert files and all("/counts/" in f for f in files)
+    for span in (("2001-01-01", "2003-12-31"), ("2001-01-02", "2003-12-31"), (None, "2003-12-31")):
+        rows = analytics.event_summary(star, *span, ["fire"]).filter("dimension = 'total'").collect()
+        assert rows[0]["event_count"] == star.facts(*span, ["fire"]).count()
+
+
+def test_new_types_get_numbers(spark):
+    store = W.Warehouse(spark, fresh_folder(spark, "test-types"))
+    events = some_events(spark, 40)
+    store.load(events.withColumn("event_type", F.when(F.col("event_type") == "flood", "tsunami").otherwise(F.col("event_type"))))
+    store.load(some_events(spark, 40, 40).withColumn("event_type", F.lit("avalanche")))
+    store.load(some_events(spark, 40, 80).withColumn("event_type", F.lit("tsunami")))
+    star = store.open()
+    assert star.types == S.FIXED_TYPES | {"tsunami": 5, "avalanche": 6}
+    counts = {r["event_type"]: r["event_count"] for r in analytics.event_counts(star).collect()}
+    assert counts == {"earthquake": 10, "fire": 10, "storm": 10, "tsunami": 50, "avalanche": 40}
+    joined = star.with_dimensions(star.fact, location=True, time=True, event_type=True)
+    assert joined.filter("event_type = 'tsunami'").count() == 50
+    assert star.facts(event_types=["avalanche"]).count() == 40 and star.facts(event_types=["nothing"]).count() == 0
+
+
+def test_nothing_is_left_of_a_load(spark, cities):
+    from pathlib import Path
+
+    folder = fresh_folder(spark, "test-scratch")
+    W.Warehouse(spark, folder).load(some_events(spark, 50), cities)
+    assert not list(Path(folder).parent.glob("load-*"))
+
+
+def test_star_queries_read_facts_alone(star):
+    box = (0.0, 40.0, 10.0, 60.0)
+    plans = [
+        search.search_events(star, country="Japan", lat=10.0, lng=20.0),
+        mapview.map_hex(star, box, 5, "2000-01-01", "2010-01-01"),
+        mapview.map_points(star, box, "2000-01-01", "2010-01-01"),
+        analytics.top_locations(star),
+        analytics.monthly_trends(star, country="Japan"),
+    ]
+    for frame in plans:
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and all("/fact/" in f for f in frame.inputFiles())
+    assert "cell_id" in plans[1]._jdf.queryExecution().executedPlan().toString().split("PushedFilters")[1]
+
+
+def test_row_groups_are_skipped_by_box(spark, tmp_path):
+    """With facts in order of month and cell, a small box leaves most row groups unread."""
+    import pyarrow.parquet as pq
+
+    facts = S.fact_rows(S.decompose(some_events(spark, 20_000)))
+    month = F.expr("time_id div 10000")
+    facts = facts.filter("year < 2002").coalesce(1).sortWithinPartitions(month, "cell_id")
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", "2048")
+    try:
+        facts.write.parquet(str(tmp_path / "f"))
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+    file = pq.ParquetFile(next((tmp_path / "f").glob("part-*")))
+    at = file.schema_arrow.names.index("cell_id")
+    spans = [file.metadata.row_group(k).column(at).statistics for k in range(file.num_row_groups)]
+    cell = (30 + 90) * 400 + 30 + 180
+    touched = sum(s.min <= cell + 400 and s.max >= cell for s in spans)
+    assert len(spans) > 5 and touched < len(spans)
+
+
 def test_first_row_of_an_id_wins(spark):
     store = W.Warehouse(spark, fresh_folder(spark, "test-first"))
     rows = [
         ("a", "fire", "LOW", 1.0, 2.0, 200, "late"),
         ("a", "fire", "HIGH", 1.0, 2.0, 100, "early"),
         (None, "fire", "HIGH", 1.0, 2.0, 100, "no id"),
-        ("b", "volcano", "HIGH", 1.0, 2.0, 100, "no such type"),
+        ("b", None, "HIGH", 1.0, 2.0, 100, "no type"),
         ("c", "fire", "HIGH", None, 2.0, 100, "nowhere"),
+        ("d", "fire", "HIGH", float("nan"), 2.0, 100, "not a number"),
     ]
     events = spark.createDataFrame(rows, CLASSIFIED.replace("timestamp", "long")).withColumn("event_time", F.timestamp_seconds("event_time"))
-    assert store.load(events) == {"received": 5, "inserted": 1, "skipped": 1, "errors": 3}
+    assert store.load(events) == {"received": 6, "inserted": 1, "skipped": 1, "errors": 4}
     star = store.open()
     assert star.fact.first()["source"] == "early"
     assert star.location.first()["country"] == "Unknown" and star.location.first()["region"] == "North East Hemisphere"
@@ -112,6 +205,19 @@ def test_pages_cover_the_result(star):
     assert [k[0] for k in keys] == sorted((k[0] for k in keys), reverse=True)
 
 
+def test_keyset_pages_equal_offset_pages(star):
+    whole = search.search_events(star, limit=300).collect()
+    rows = whole[:100]
+    for _ in range(2):
+        rows += search.search_after(star, rows[-1]["event_time"], rows[-1]["event_id"], 100).collect()
+    assert rows == whole
+
+
+def test_total_of_an_empty_page(star):
+    assert search.search_events(star, limit=5, offset=10**7).count() == 0
+    assert search.matching_total(star).first()["total"] == star.fact.count()
+
+
 def test_map_tables_by_zoom(star):
     world = (-90.0, 90.0, -180.0, 180.0)
     for zoom in range(2, 10):
@@ -126,6 +232,11 @@ def test_map_tables_by_zoom(star):
 
 def test_map_mode_switch_and_checks(star):
     assert "total_count" not in mapview.map_view(star, -50, 50, -100, 100, 9).columns
+    box, years = (-50, 50, -100, 100), ("1980-01-01", "2030-01-01")
+    modes = {z: mapview.map_total(star, box, *years, z).first() for z in (9, 10)}
+    assert [modes[z]["mode"] for z in (9, 10)] == ["clusters", "points"]
+    assert modes[9]["total"] == modes[10]["total"] == star.facts(*years, box=box).count() > 0
+    assert mapview.map_total(star, (-89.9, -89.8, 0, 1), *years, 5).first()["total"] == 0
     points = mapview.map_view(star, -50, 50, -100, 100, 10).collect()
     assert len(points) == C.MAP_POINT_LIMIT < points[0]["total_count"]
     with pytest.raises(ValueError):
@@ -158,17 +269,62 @@ def test_fields_absent_stay_and_nulls_written_win(spark):
     assert got == {"a": (None, "x", 1), "b": (2, "y", None), "c": (4, None, 2)}
 
 
-def test_repeated_batches_and_compaction(spark):
+def documents_store(spark, name):
     schema = "_id string, n int, at int"
     batch = lambda rows: spark.createDataFrame(rows, schema)
-    store = docstore.DocumentStore(spark, fresh_folder(spark, "test-store"), batch([]).schema)
+    return batch, docstore.DocumentStore(spark, fresh_folder(spark, name), batch([]).schema)
+
+
+def held(store):
+    return sorted(map(tuple, store.read().collect()))
+
+
+def test_repeated_batches_and_compaction(spark):
+    batch, store = documents_store(spark, "test-store")
     store.write_batch(batch([("a", 1, 1), ("b", 2, 1)]), 0, ["at"])
     store.write_batch(batch([("a", 5, 2)]), 1, ["at"])
-    before = sorted(map(tuple, store.read().collect()))
+    before = held(store)
     store.write_batch(batch([("a", 1, 1), ("b", 2, 1)]), 0, ["at"])
-    assert sorted(map(tuple, store.read().collect())) == before == [("a", 5, 2), ("b", 2, 1)]
-    compacted = store.compact(fresh_folder(spark, "test-compact"), 1)
-    assert sorted(map(tuple, compacted.read().collect())) == before
+    assert held(store) == before == [("a", 5, 2), ("b", 2, 1)]
+    assert held(store.compact(fresh_folder(spark, "test-compact"), store.last_sequence())) == before
+
+
+def test_two_writers_keep_their_batches(spark):
+    batch, store = documents_store(spark, "test-writers")
+    store.write_batch(batch([("a", 1, 1)]), 0, ["at"], writer="one")
+    store.write_batch(batch([("b", 2, 1), (None, 9, 9)]), 0, ["at"], writer="two")
+    assert held(store) == [("a", 1, 1), ("b", 2, 1)]
+
+
+def test_compaction_stops_at_its_bound(spark):
+    batch, store = documents_store(spark, "test-bound")
+    for k in range(4):
+        store.write_batch(batch([("a", k, k), (f"k{k}", k, k)]), k, ["at"], sequence=10 + k)
+    compacted = store.compact(fresh_folder(spark, "test-bound"), 11)
+    folded = compacted.changes().filter("_seq = 11").collect()
+    assert sorted((r["_id"], r["n"]) for r in folded) == [("a", 1), ("k0", 0), ("k1", 1)]
+    assert held(compacted) == held(store) and compacted.last_sequence() == 13
+
+
+def test_upsert_report(spark):
+    batch, _ = documents_store(spark, "test-report")
+    report = docstore.upsert_report(batch([("a", 1, 1), ("b", 1, 1)]), batch([("a", 2, 2), ("c", 1, 1), ("c", 2, 2), (None, 1, 1)]), "_id").first()
+    assert report.asDict() == {"received": 4, "inserted": 1, "updated": 1, "repeated": 1, "errors": 1}
+
+
+def test_staging_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from hazardry.sources import workspace
+
+    def session(master):
+        context = SimpleNamespace(master=master, applicationId=master)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
+
+    assert workspace.base_folder(session("local[4]"))
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            workspace.base_folder(session(master))
 
 
 # --- sources and sinks ----------------------------------------------------------------
@@ -184,6 +340,13 @@ def test_missing_feeds_are_skipped(spark):
     assert set(raw) == set(C.EVENT_TYPES) and raw["storm"].count() == 0
 
 
+def test_canonical_files_per_hazard(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "fire"), ("b", "flood"), ("c", "fire")], "event_id string, event_type string")
+    sinks.write_canonical({"fire": rows.filter("event_type = 'fire'"), "flood": rows.filter("event_type = 'flood'")}, str(tmp_path))
+    found = {p.name: spark.read.json(str(p)).count() for p in tmp_path.iterdir() if not p.name.startswith((".", "_"))}
+    assert sorted(found.values()) == [1, 2]
+
+
 def test_multi_line_geojson(spark, tmp_path):
     text = '{"type": "FeatureCollection", "features": [\n {"id": "q", "properties": {"mag": 3, "time": 1},\n "geometry": {"type": "Point", "coordinates": [1, 2]}},\n {"id": "p", "properties": {"mag": "x"}, "geometry": {"type": "Point", "coordinates": [1, 2, 3]}}]}'
     path = tmp_path / "q.geojson"
@@ -224,6 +387,48 @@ def test_stream_resumes_after_its_checkpoint(spark, tmp_path):
         assert spark.read.parquet(out).count() == step
 
 
+def test_two_consumers_of_one_source(spark, tmp_path):
+    """Each has its own checkpoint, so each sees every event, whenever it runs."""
+    source = str(tmp_path / "in")
+    events = spark.createDataFrame([(str(k), "fire", 6000.0 * k, 1.0, 2.0, "t", "S") for k in range(4)], schemas.UNIFIED_EVENT)
+    for step, rows in enumerate((events.filter("event_id < '2'"), events.filter("event_id >= '2'")), start=1):
+        rows.write.mode("append").parquet(source)
+        for name in ("all", "alerts") if step == 2 else ("all",):
+            processed = jobs.process(readers.file_stream(spark, source, schemas.UNIFIED_EVENT, "parquet"), "cm")
+            run = jobs.critical_alerts if name == "alerts" else jobs.append_files
+            run(processed, str(tmp_path / name), str(tmp_path / f"ck-{name}"), availableNow=True).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "all")).count() == 4
+    assert sorted(r["event_id"] for r in spark.read.parquet(str(tmp_path / "alerts")).collect()) == ["2", "3"]
+
+
+def test_streams_with_new_checkpoints_lose_nothing(spark, tmp_path):
+    batch, store = documents_store(spark, "test-streams")
+    processed = jobs.process(spark.createDataFrame([("a", "fire", 60.0, 1.0, 2.0, "2024-01-01T00:00:00Z", "S")], schemas.UNIFIED_EVENT))
+    from hazardry.operators.documents import to_document
+
+    store = docstore.DocumentStore(spark, fresh_folder(spark, "test-streams"), to_document(processed).schema)
+    for k in range(2):
+        source = str(tmp_path / f"in{k}")
+        spark.createDataFrame([(f"e{k}", "fire", 60.0, 1.0, 2.0, "2024-01-01T00:00:00Z", "S")], schemas.UNIFIED_EVENT).write.parquet(source)
+        stream = jobs.process(readers.file_stream(spark, source, schemas.UNIFIED_EVENT, "parquet"))
+        jobs.upsert_documents(stream, store, str(tmp_path / f"ck{k}"), ["processed_at"], availableNow=True).awaitTermination()
+    assert sorted(r["_id"] for r in store.read().collect()) == ["e0", "e1"]
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    source = tmp_path / "in"
+    schema = "event_id string, t string"
+    at = lambda rows: spark.createDataFrame(rows, schema).select("event_id", F.col("t").cast("timestamp").alias("event_time"))
+    dropped = 0
+    for rows in ([("a", "2024-01-02 00:00:00")], [("b", "2024-01-02 01:00:00")], [("old", "2024-01-01 00:00:00")]):
+        at(rows).coalesce(1).write.mode("append").parquet(str(source))
+        stream = jobs.live_events(readers.file_stream(spark, str(source), at(rows).schema, "parquet"), 2)
+        query = jobs.append_files(stream, str(tmp_path / "out"), str(tmp_path / "ck"), availableNow=True)
+        query.awaitTermination()
+        dropped += jobs.late_rows(query)
+    assert dropped == 1 and spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
 def test_live_feed_drops_repeats(spark, tmp_path):
     source = str(tmp_path / "in")
     rows = [("a", "2024-01-01 00:00:00"), ("a", "2024-01-01 00:00:00"), ("b", "2024-01-01 01:00:00")]

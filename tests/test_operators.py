@@ -162,6 +162,14 @@ def test_pixel_parsing_and_clusters(spark):
     assert odd["timestamp"] == C.FALLBACK_FIRE_TIMESTAMP and odd["brightness_k"] == 0.0 and odd["area_km2"] == 1.5
 
 
+def test_pixels_without_a_place_are_rejects(spark):
+    rows = [pixel_row(frp="9"), pixel_row(latitude=None), pixel_row(longitude="NaN", frp="50"), pixel_row(acq_date=None), pixel_row(frp="much")]
+    text = spark.createDataFrame(rows, schemas.MODIS_PIXEL_TEXT)
+    assert [r["event_id"] for r in fires.fires_from_text(text, fires.MODIS).collect()] == ["FIRMS-MODIS-10.00-20.00-10-01-2025"]
+    rejects = fires.fire_rejects(fires.parse_pixels(text, fires.MODIS))
+    assert sorted(r["reason"] for r in rejects.collect()) == ["acq_date", "frp", "latitude", "longitude"]
+
+
 def test_viirs_confidence_letters(spark):
     df = spark.createDataFrame([(c, 0) for c in ("l", " L ", "n", "H", "?", None)], "confidence string, type int")
     assert sorted(r["confidence_pct"] for r in fires.usable_pixels(df, fires.VIIRS).collect()) == [60, 60, 60, 90]
@@ -196,6 +204,13 @@ def test_hull_area_against_brute_force(spark):
     assert got == {g: abs(brute_area(pts)) for g, pts in groups.items()}
 
 
+def test_hull_leaves_out_points_without_a_position(spark):
+    nan = float("nan")
+    rows = [(1, 0.0, 0.0), (1, 0.0, 1.0), (1, 1.0, 0.0), (1, None, 5.0), (1, 9.0, None), (1, nan, 1.0), (2, None, 1.0), (3, nan, nan)]
+    df = spark.createDataFrame(rows, "g long, y double, x double")
+    assert {r["g"]: r["hull_area"] for r in hull.hull_area(df, ["g"], "y", "x").collect()} == {1: 0.5, 2: 0.0, 3: 0.0}
+
+
 def test_hull_of_a_hot_group(spark):
     """One group holds nearly all rows; its hull is known."""
     hot = spark.range(200_000).select(
@@ -246,6 +261,13 @@ def test_flood_rules(spark):
     assert out[4]["area_km2"] == 0.0
 
 
+def test_marks_without_a_value_are_rejects(spark):
+    rows = [mark(1, 0.0, 0.0, 1.0, 2, None, 1), mark(1, None, 0.0, 1.0, 2, None, 2), mark(1, 0.0, 1.0, None, 2, None, 3), mark(2, 0.0, 0.0, 1.0, None, None, 4)]
+    marks = floods.parse_marks(spark.createDataFrame(rows, MARKS))
+    assert [(r["flood_event_id"], r["hwm_count"]) for r in floods.flood_events(marks).collect()] == [(1, 1)]
+    assert sorted(r["reason"] for r in floods.flood_rejects(marks).collect()) == ["elev_ft", "hwm_quality_id", "latitude_dd"]
+
+
 # --- places -----------------------------------------------------------------------------
 
 
@@ -320,6 +342,20 @@ def test_keep_first_and_last(spark):
     assert sorted(tuple(r) for r in ranking.keep_one(df, "id", ["n"], "last").collect()) == [("a", 3), ("b", 5)]
 
 
+def test_ties_do_not_depend_on_the_order_of_rows(spark):
+    rows = [("x", 1, "c", 2.0), ("x", 1, "a", 3.0), ("x", 1, "b", 1.0), ("x", 1, None, 9.0)]
+    for keep, want in (("first", None), ("last", "c")):
+        for turned in (rows, rows[::-1]):
+            frame = spark.createDataFrame(turned, "id string, n int, s string, v double").repartition(2)
+            assert ranking.keep_one(frame, "id", ["n"], keep).first()["s"] == want
+
+
+def test_strata_without_a_target_stay_whole(spark):
+    df = spark.range(100).select(F.col("id").cast("string").alias("event_id"), F.when(F.col("id") < 60, "a").when(F.col("id") < 80, "b").alias("s"))
+    got = ranking.stratified_cap(df, ["s"], F.when(F.col("s") == "a", F.lit(7)))
+    assert {r["s"]: r["count"] for r in got.groupBy("s").count().collect()} == {"a": 7, "b": 20, None: 20}
+
+
 def test_rank_is_cut_before_the_shuffle(spark):
     df = spark.range(100).select(F.col("id").alias("n"), (F.col("id") % 3).alias("k"))
     plan = ranking.first_n_per(df, ["k"], ["n"], 5, "r")._jdf.queryExecution().executedPlan().toString()
