@@ -31,6 +31,7 @@ from hazardry.sources.workspace import staged
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 LEAST_REVISIT = 100
+MOST_BROADCAST_ROWS = 500_000
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
 
 
@@ -42,18 +43,25 @@ def write_archives(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00
     that tie on the smallest page_id of their payload are all responses.
     Payloads under `least` bytes are always responses.  An empty table writes
     no records.
+
+    Payloads that occur more than once, a digest and an id each, are counted;
+    up to MOST_BROADCAST_ROWS of them are broadcast and pages are not shuffled,
+    beyond that pages are joined to them by digest.
     """
     size = F.octet_length("payload")
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload")).withColumn(
-        "digest", F.sha2("payload", 256)
+        "digest", F.unhex(F.sha2("payload", 256))
     )
-    first = (
+    first = staged(
         rows.filter(size >= least)
         .groupBy("digest")
         .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
-        .select(F.col("digest").alias("first_digest"), "first_id")
+        .select(F.col("digest").alias("first_digest"), "first_id"),
+        "warc-first",
     )
+    if first.count() <= MOST_BROADCAST_ROWS:
+        first = F.broadcast(first)
     revisits = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     http = F.concat(F.lit(HTTP_HEAD), size.cast("string"), F.lit(END))
     block = F.when(revisits, http).otherwise(F.concat(http, F.col("payload")))
@@ -68,7 +76,7 @@ def write_archives(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00
         F.concat(F.lit("WARC-Record-ID: "), urn(F.col("page_id"))),
         F.lit(f"WARC-Date: {date}"),
         F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace("url", "[\\r\\n]", "%0A")),
-        F.concat(F.lit("WARC-Payload-Digest: sha256:"), F.col("digest")),
+        F.concat(F.lit("WARC-Payload-Digest: sha256:"), F.lower(F.hex("digest"))),
         F.concat(F.lit("WARC-Payload-Length: "), size.cast("string")),
         F.when(revisits, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
         F.when(revisits, F.concat(F.lit("WARC-Refers-To: "), urn(F.col("first_id")))),

@@ -59,7 +59,9 @@ def round_trip(spark, rows, folder, payload):
 
 
 @pytest.mark.parametrize("payload", [False, True])
-def test_round_trip(spark, tmp_path, payload):
+@pytest.mark.parametrize("broadcast_rows", [0, W.MOST_BROADCAST_ROWS])
+def test_round_trip(spark, tmp_path, monkeypatch, payload, broadcast_rows):
+    monkeypatch.setattr(W, "MOST_BROADCAST_ROWS", broadcast_rows)
     got = W.page_records(round_trip(spark, pages(), f"{tmp_path}/w", payload)).collect()
     assert sorted(map(tuple, got), key=str) == expected(pages())
 
