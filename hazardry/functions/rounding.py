@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _SPLITTER = 134217729.0  # 2^27 + 1
+_WHOLE = 2.0**52
 
 
 def split_constant(value: float) -> tuple[float, float]:
@@ -26,7 +27,9 @@ def split_constant(value: float) -> tuple[float, float]:
 def round_exact(value: Column, digits: int) -> Column:
     """Round a double column to ``digits`` decimals, ties of the exact value to even.
 
-    Exact while ``|x| * 10^digits`` is below 2^50.
+    Exact while ``|x| * 10^digits`` is below 2^50.  From 2^52 on neighbouring
+    doubles lie about as far apart as the wanted decimals, so the value itself is
+    the answer.  In between the result may be off by one unit of the last digit.
     """
     scale = float(10**digits)
     scale_high, scale_low = split_constant(scale)
@@ -38,4 +41,5 @@ def round_exact(value: Column, digits: int) -> Column:
     low = x - high
     error = ((high * scale_high - product) + high * scale_low + low * scale_high) + low * scale_low
     tie = F.rint(product + F.signum(error) * 0.25)
-    return F.when(F.abs(product - nearest) != 0.5, nearest).otherwise(tie) / scale
+    rounded = F.when(F.abs(product - nearest) != 0.5, nearest).otherwise(tie) / scale
+    return F.when(F.abs(product) < _WHOLE, rounded).otherwise(x)

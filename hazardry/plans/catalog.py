@@ -684,6 +684,22 @@ def nearest_city(spark: SparkSession, d: str) -> DataFrame:
     return places.nearest_city(lift(spark, d, "live"), lift(spark, d, "gaz"))
 
 
+@query
+def nearest_city_fine(spark: SparkSession, d: str) -> DataFrame:
+    """As nearest_city, at positions that are no multiples of a power of two."""
+    return places.nearest_city(lift(spark, d, "live_fine"), lift(spark, d, "gaz"))
+
+
+@query
+def hex_counts_fine(spark: SparkSession, d: str) -> DataFrame:
+    """Events per hexagon, at positions that are no multiples of a power of two."""
+    cell = geo.hex_cell(F.col("latitude"), F.col("longitude"), geo.hex_edge_degrees(4))
+    inside = lift(spark, d, "live_fine").filter(geo.in_box(F.col("latitude"), F.col("longitude"), *BOX))
+    return inside.groupBy(cell.alias("cell")).agg(F.count("*").alias("event_count")).select(
+        F.col("cell.q").cast("long").alias("q"), F.col("cell.r").cast("long").alias("r"), "event_count"
+    )
+
+
 @query
 def classify_location(spark: SparkSession, d: str) -> DataFrame:
     return places.classify_points(lift(spark, d, "live"), lift(spark, d, "gaz"))

@@ -39,6 +39,10 @@ SELECT event_id AS n, concat('EV-', CAST(event_id AS VARCHAR(20))) AS event_id,
 FROM {{events}}""",
     "live": """
 SELECT event_id, event_type, severity_raw, latitude, longitude, event_time, source FROM {numbered}""",
+    # live at positions that use every bit of a double
+    "live_fine": """
+SELECT event_id, event_type, latitude + severity_raw / 1000003 AS latitude, longitude + severity_raw / 700001 AS longitude
+FROM {live}""",
     # live with faults in every field; one source sends its reports twice
     "live_dirty": """
 SELECT CASE WHEN n % 101 = 0 THEN NULL ELSE event_id END AS event_id,

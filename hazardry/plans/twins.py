@@ -9,15 +9,38 @@ from __future__ import annotations
 
 import re
 
-from hazardry import constants as C
-from hazardry.functions.geo import SQRT3, hex_edge_degrees
-from hazardry.functions.rounding import split_constant
+from hazardry.constants import COUNTRY_BY_CODE, REGION_BY_CODE
 from hazardry.plans.catalog import AS_OF, BOX, CENTER, RANGE
 from hazardry.plans.lifts import LIFTS
 
 ISO = "'%Y-%m-%dT%H:%M:%SZ'"
 
-
+# --- fixed values, written out a second time so that a wrong one in the engine shows ---
+KINDS = ("earthquake", "fire", "flood", "storm")
+LEVELS = ("LOW", "MEDIUM", "HIGH", "CRITICAL")
+FMI_LEVELS = {
+    "earthquake": (1.5, 3.0, 5.0, 7.0),
+    "fire": (5.0, 20.0, 50.0, 200.0),
+    "flood": (0.5, 1.0, 2.0, 3.0),
+    "storm": (35.0, 62.0, 120.0, 200.0),
+}
+CM_LEVELS = {
+    "earthquake": (1.5, 3.0, 5.0, 7.0),
+    "fire": (5.0, 100.0, 2000.0, 7000.0),
+    "flood": (5.0, 50.0, 200.0, 800.0),
+    "storm": (35.0, 62.0, 120.0, 200.0),
+}
+BEAUFORT = (0.3, 1.6, 3.4, 5.5, 8.0, 10.8, 13.9, 17.2, 20.8, 24.5, 28.5, 32.7)
+RANGES = {"earthquake": (0.0, 9.5), "fire": (0.0, 10000.0), "flood": (0.0, 2000.0), "storm": (0.0, 300.0)}
+TARGETS = {
+    "earthquake": {1980: 740, 1990: 740, 2000: 740, 2010: 740, 2020: 740, 2025: 740},
+    "flood": {1980: 820, 1990: 880, 2000: 980, 2010: 1080, 2020: 1200, 2025: 1200},
+    "storm": {1980: 740, 1990: 880, 2000: 1080, 2010: 1320, 2020: 1600, 2025: 1600},
+    "fire": {1980: 820, 1990: 1020, 2000: 1320, 2010: 1750, 2020: 2200, 2025: 2200},
+}
+ZOOM_4_CELL, ZOOM_2_CELL, ZOOM_6_CELL = 6.0, 5.0, 0.2
+ZOOM_2_HEX_KM2, ZOOM_6_HEX_KM2 = 86000.0, 12000.0
+ZOOM_6_CAP = 80
 
 
 def _plain(text: str) -> str:
@@ -28,7 +51,8 @@ def _plain(text: str) -> str:
 def _round(x: str, digits: int) -> str:
     """Exact rounding of a double column, true ties to even."""
     scale = float(10**digits)
-    high, low = (f"CAST({v!r} AS DOUBLE)" for v in split_constant(scale))
+    top = 134217729.0 * scale - (134217729.0 * scale - scale)
+    high, low = (f"CAST({v!r} AS DOUBLE)" for v in (top, scale - top))
     p = f"({x} * CAST({scale!r} AS DOUBLE))"
     c = f"({x} * CAST(134217729 AS DOUBLE))"
     h = f"({c} - ({c} - {x}))"
@@ -45,7 +69,7 @@ def _round(x: str, digits: int) -> str:
 def _level(kind: str, value: str, profile: str, below: str) -> str:
     low = {"low": "'LOW'", "drop": "NULL", "label": "'DROP'"}[below]
     arms = []
-    for name, (least, medium, high, top) in C.SEVERITY_THRESHOLDS[profile].items():
+    for name, (least, medium, high, top) in {"fmi": FMI_LEVELS, "cm": CM_LEVELS}[profile].items():
         arms.append(
             f"WHEN {kind} = '{name}' THEN CASE WHEN {value} < {least} THEN {low} WHEN {value} < {medium} THEN 'LOW' "
             f"WHEN {value} < {high} THEN 'MEDIUM' WHEN {value} < {top} THEN 'HIGH' ELSE 'CRITICAL' END"
@@ -53,20 +77,20 @@ def _level(kind: str, value: str, profile: str, below: str) -> str:
     return f"(CASE WHEN {value} IS NULL THEN NULL {' '.join(arms)} END)"
 
 
-_KINDS = "(" + ", ".join(f"'{k}'" for k in C.EVENT_TYPES) + ")"
+_KINDS = "(" + ", ".join(f"'{k}'" for k in KINDS) + ")"
 _HEMISPHERE = (
     "concat(CASE WHEN {0} >= 0 THEN 'North' ELSE 'South' END, ' ', "
     "CASE WHEN {1} >= 0 THEN 'East' ELSE 'West' END, ' Hemisphere')"
 )
 _BOX_WHERE = f"latitude BETWEEN {BOX[0]} AND {BOX[1]} AND longitude BETWEEN {BOX[2]} AND {BOX[3]}"
-_TYPE_KEY = "CASE event_type " + " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(C.EVENT_TYPES, 1)) + " END"
+_TYPE_KEY = "CASE event_type " + " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(KINDS, 1)) + " END"
 
 
 def _codes() -> str:
     quoted = lambda v: "NULL" if v is None else "'" + v.replace("'", "''") + "'"
     rows = [
-        f"('{c}', {quoted(C.COUNTRY_BY_CODE.get(c))}, {quoted(C.REGION_BY_CODE.get(c))})"
-        for c in sorted({*C.COUNTRY_BY_CODE, *C.REGION_BY_CODE})
+        f"('{c}', {quoted(COUNTRY_BY_CODE.get(c))}, {quoted(REGION_BY_CODE.get(c))})"
+        for c in sorted({*COUNTRY_BY_CODE, *REGION_BY_CODE})
     ]
     return f"SELECT * FROM (VALUES {', '.join(rows)}) AS t(cc, country_name, region_name)"
 
@@ -167,6 +191,7 @@ WHERE severity_level IS NOT NULL""",
     "wide": "SELECT ev.*, country, region FROM ev JOIN placed_ev USING (latitude, longitude)",
     "near_live": _near("live"),
     "placed_live": _placed("near_live"),
+    "near_fine": _near("live_fine"),
     "modis_groups": _FIRE_GROUP.format(conf="confidence", keep="confidence >= 30"),
     "csv_groups": _FIRE_GROUP.format(conf="confidence", keep="confidence >= 30 AND row_no % 67 <> 0"),
     "viirs_groups": _FIRE_GROUP.format(
@@ -235,19 +260,19 @@ def _with(select: str) -> str:
 _PROC = "event_id, event_type, severity_level, latitude, longitude, event_time, processed_at, source"
 _UNI = "event_id, event_type, severity_raw, latitude, longitude, ts_text AS timestamp, source"
 
-_BEAUFORT = "CASE " + " ".join(f"WHEN wind < {b} THEN {i}" for i, b in enumerate(C.BEAUFORT_BOUNDS)) + " ELSE 12 END"
+_BEAUFORT = "CASE " + " ".join(f"WHEN wind < {b} THEN {i}" for i, b in enumerate(BEAUFORT)) + " ELSE 12 END"
 _BASIN = """CASE WHEN lat >= 0 THEN CASE WHEN lon >= 100 THEN 'WP' WHEN lon >= 40 THEN 'NI' WHEN lon < -100 THEN 'EP' ELSE 'NA' END
  ELSE CASE WHEN lon >= 90 THEN 'SP' ELSE 'SI' END END"""
 
 
 def _range_case(which: int) -> str:
-    arms = " ".join(f"WHEN '{k}' THEN {r[which]}" for k, r in C.SEVERITY_RANGES.items())
+    arms = " ".join(f"WHEN '{k}' THEN {r[which]}" for k, r in RANGES.items())
     return f"CASE event_type {arms} END"
 
 
 def _target_case() -> str:
     arms = []
-    for kind, anchors in C.YEARLY_TARGETS.items():
+    for kind, anchors in TARGETS.items():
         points = sorted(anchors.items())
         inner = f"WHEN year <= {points[0][0]} THEN {points[0][1]} "
         for (y0, v0), (y1, v1) in zip(points, points[1:]):
@@ -262,9 +287,10 @@ SELECT round(latitude / CAST({cell} AS DOUBLE)) AS gy, round(longitude / CAST({c
        sum(latitude) AS lat_sum, sum(longitude) AS lng_sum, count(*) AS n FROM ev WHERE {where} GROUP BY 1, 2, 3"""
 
 
-def _hexes(zoom: int, where: str, least: int, cap: int) -> str:
-    edge = f"CAST({hex_edge_degrees(C.HEX_RESOLUTION[zoom])!r} AS DOUBLE)"
-    third = f"CAST({SQRT3 / 3.0!r} AS DOUBLE)"
+def _hexes(pre_cell: float, hex_km2: float, where: str, least: int, cap: int) -> str:
+    """Hexagons of the given area, pointy top, on the plane of degrees."""
+    edge = f"(sqrt(CAST({hex_km2} AS DOUBLE) * 2 / (3 * sqrt(CAST(3 AS DOUBLE)))) / 111)"
+    third = "(sqrt(CAST(3 AS DOUBLE)) / 3)"
     return _with(f"""
 SELECT lat, lng, event_type, event_count FROM (
   SELECT lat_sum / event_count AS lat, lng_sum / event_count AS lng, event_type, event_count,
@@ -277,7 +303,7 @@ SELECT lat, lng, event_type, event_count FROM (
           FROM (SELECT *, -q - r AS s FROM (
             SELECT *, (lng_sum / n * {third} - lat_sum / n * CAST({1.0 / 3.0!r} AS DOUBLE)) / {edge} AS q,
                    lat_sum / n * CAST({2.0 / 3.0!r} AS DOUBLE) / {edge} AS r
-            FROM ({_cells(C.PRE_CELL_DEGREES[zoom], where)}) f) a) b) c) d
+            FROM ({_cells(pre_cell, where)}) f) a) b) c) d
     GROUP BY hq, hr, event_type) e WHERE event_count >= {least}) g WHERE n <= {cap}""")
 
 
@@ -299,8 +325,8 @@ def _stats() -> str:
         "processed": f"count_if({passed})",
         "dropped_invalid": "count_if(NOT valid)",
         "dropped_below_threshold": "count_if(valid AND level IS NULL)",
-        **{f"type:{k}": f"count_if({passed} AND event_type = '{k}')" for k in C.EVENT_TYPES},
-        **{f"level:{v}": f"count_if({passed} AND level = '{v}')" for v in C.SEVERITY_LEVELS},
+        **{f"type:{k}": f"count_if({passed} AND event_type = '{k}')" for k in KINDS},
+        **{f"level:{v}": f"count_if({passed} AND level = '{v}')" for v in LEVELS},
         "total_dropped": "count_if(NOT valid) + count_if(valid AND level IS NULL)",
         "pass_rate": f"CAST(count_if({passed}) AS DOUBLE) / count(*) * 100",
         "drop_rate": "CAST(count_if(NOT valid) + count_if(valid AND level IS NULL) AS DOUBLE) / count(*) * 100",
@@ -341,7 +367,7 @@ ORDER BY event_count DESC, country, region LIMIT {1}"""
 _TIME_KEY = "year(event_date) * 1000000 + month(event_date) * 10000 + day(event_date) * 100 + event_hour"
 _PLACE_KEY = "concat(CAST(latitude + 0.0 AS VARCHAR), ',', CAST(longitude + 0.0 AS VARCHAR))"
 _SEARCH_WHERE = f"{_FACT_RANGE} AND event_type IN ('fire', 'storm') AND region ILIKE '%asia%'"
-_REACH = CENTER[2] / C.KM_PER_DEGREE
+_REACH = CENTER[2] / 111.0
 _NEAR_WHERE = (
     f"latitude BETWEEN {CENTER[0] - _REACH!r} AND {CENTER[0] + _REACH!r} "
     f"AND longitude BETWEEN {CENTER[1] - _REACH!r} AND {CENTER[1] + _REACH!r}"
@@ -378,6 +404,8 @@ FROM flood_facts"""
 CTES["flood_index"] = """
 SELECT *, log10(area + 1) * CAST(0.5 AS DOUBLE) + depth * CAST(0.3 AS DOUBLE) + log10(hours + 1) * CAST(0.2 AS DOUBLE) AS raw FROM flood_scores"""
 
+_EDGE_4 = "(sqrt(CAST(1700 AS DOUBLE) * 2 / (3 * sqrt(CAST(3 AS DOUBLE)))) / 111)"
+
 TWINS: dict[str, str] = {
     # sources
     "src_geojson_quakes": _with(f"""
@@ -547,6 +575,16 @@ SELECT concat('USGS-FLOOD-', event_id) AS event_id, 'flood' AS event_type, great
 FROM flood_index"""),
     # places
     "nearest_city": _with("SELECT latitude, longitude, cc FROM near_live"),
+    "nearest_city_fine": _with("SELECT latitude, longitude, cc FROM near_fine"),
+    "hex_counts_fine": _with(f"""
+SELECT CAST(CASE WHEN dq > dr AND dq > ds THEN -rr - rs ELSE rq END AS BIGINT) AS q,
+       CAST(CASE WHEN dq > dr AND dq > ds THEN rr WHEN dr > ds THEN -rq - rs ELSE rr END AS BIGINT) AS r, count(*) AS event_count
+FROM (SELECT *, abs(rq - q) AS dq, abs(rr - r) AS dr, abs(rs - s) AS ds
+      FROM (SELECT *, floor(q + 0.5) AS rq, floor(r + 0.5) AS rr, floor(s + 0.5) AS rs
+            FROM (SELECT *, -q - r AS s FROM (
+              SELECT (longitude * (sqrt(CAST(3 AS DOUBLE)) / 3) - latitude * (CAST(1 AS DOUBLE) / 3)) / {_EDGE_4} AS q,
+                     latitude * (CAST(2 AS DOUBLE) / 3) / {_EDGE_4} AS r
+              FROM live_fine WHERE {_BOX_WHERE}) a) b) c) d GROUP BY 1, 2"""),
     "classify_location": _with("SELECT latitude, longitude, cc, country, region FROM placed_live"),
     "hemisphere": _with(f"SELECT {_HEMISPHERE.format('latitude', 'longitude')} AS hemisphere, count(*) AS row_count FROM live GROUP BY 1"),
     # star schema
@@ -616,12 +654,12 @@ FROM wide WHERE event_type = 'fire' ORDER BY event_date DESC, event_hour DESC, e
 SELECT 1 AS map_no, 'clusters' AS mode, count(*) AS total FROM ev WHERE {_BOX_WHERE} AND {_FACT_RANGE}
 UNION ALL SELECT 2, 'points', count(*) FROM ev WHERE {_BOX_WHERE} AND {_FACT_RANGE}
 UNION ALL SELECT 3, 'clusters', count(*) FROM ev WHERE latitude BETWEEN -89.5 AND -89 AND longitude BETWEEN 10 AND 11 AND {_FACT_RANGE}"""),
-    "map_grid": _with(f"SELECT lat_sum / n AS lat, lng_sum / n AS lng, event_type, n AS event_count FROM ({_cells(C.SQUARE_CELL_DEGREES[4], 'true')}) c"),
-    "map_hex": _hexes(2, _FACT_RANGE, 3, 20),
+    "map_grid": _with(f"SELECT lat_sum / n AS lat, lng_sum / n AS lng, event_type, n AS event_count FROM ({_cells(ZOOM_4_CELL, 'true')}) c"),
+    "map_hex": _hexes(ZOOM_2_CELL, ZOOM_2_HEX_KM2, _FACT_RANGE, 3, 20),
     "map_points": _with(f"""
 SELECT event_id, event_type, severity_level, latitude, longitude, {_HOUR_TEXT} AS event_time, count(*) OVER () AS total_count
 FROM ev WHERE {_BOX_WHERE} AND {_FACT_RANGE} ORDER BY event_date DESC, event_hour DESC, event_id LIMIT 1000"""),
-    "map_view": _hexes(6, _BOX_WHERE, 0, C.MAX_CLUSTERS_PER_TYPE[6]),
+    "map_view": _hexes(ZOOM_6_CELL, ZOOM_6_HEX_KM2, _BOX_WHERE, 0, ZOOM_6_CAP),
     # streams: the same as their batch twins
     "stream_ingest": _with(f"""
 SELECT event_id, event_type, severity_raw, latitude, longitude, strftime(event_time, {ISO}) AS timestamp, source FROM live"""),

@@ -122,8 +122,9 @@ def table_stream(spark: SparkSession, folder: str, name: str, files_per_trigger:
     """A Parquet table ``folder/name.parquet`` as a stream, be it one file or a folder of parts."""
     path = f"{folder.rstrip('/')}/{name}.parquet"
     table = spark.read.parquet(path)
+    system, where = _file_system(spark, path)
     options = {} if files_per_trigger is None else {"maxFilesPerTrigger": str(files_per_trigger)}
-    if any(f.rstrip("/").endswith(f"/{name}.parquet") for f in table.inputFiles()[:1]):
+    if system.getFileStatus(where).isFile():
         # a file stream watches folders; the filter picks the one file
         return file_stream(
             spark, folder, table.schema, "parquet", pathGlobFilter=f"{name}.parquet", **options

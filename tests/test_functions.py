@@ -64,6 +64,15 @@ def test_round_exact_equals_python_round(spark):
             assert row[f"r{n}"] == round(row["x"], n), (row["x"], n)
 
 
+def test_round_exact_on_both_sides_of_its_bound(spark):
+    rng = random.Random(9)
+    small = [rng.uniform(2.0**48, 2.0**50) / 10**4 for _ in range(3000)]
+    large = [rng.uniform(2.0**52, 2.0**60) / 10**4 for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in [*small, *large, -large[0], 1e300, float("inf")]], "x double")
+    for x, r in df.select("x", round_exact(F.col("x"), 4)).collect():
+        assert r == (round(x, 4) if abs(x) < 1e290 else x), x
+
+
 def test_round_exact_passes_null_and_nan(spark):
     df = spark.createDataFrame([(None,), (float("nan"),)], "x double")
     out = [r[0] for r in df.select(round_exact(F.col("x"), 2)).collect()]

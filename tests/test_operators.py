@@ -287,7 +287,7 @@ def brute_nearest(lat, lon, cities):
     return ""
 
 
-@pytest.mark.parametrize("chunk", [2048, 3])
+@pytest.mark.parametrize("chunk", [2048, 3, 1])
 def test_nearest_city_against_brute_force(spark, chunk):
     rng = random.Random(11)
     grid = lambda lo, hi: rng.randint(lo * 8, hi * 8) / 8
