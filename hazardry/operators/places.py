@@ -14,11 +14,12 @@ makes more rows, not a bigger one.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardry.functions import geo
 from hazardry.functions.lookup import country_codes
+from hazardry.sources.workspace import staged
 
 MAX_RING = 3
 CHUNK_CITIES = 2048
@@ -46,11 +47,11 @@ def _neighbours(cells: DataFrame) -> DataFrame:
 
 
 def cell_candidates(gazetteer: DataFrame, chunk_cities: int = CHUNK_CITIES) -> DataFrame:
-    """Candidate cities per cell: ``cell_lat, cell_lon, chunk, blocks``.
+    """Candidate cities per cell: ``cell_lat, cell_lon, chunk, blocks, parts``.
 
     ``gazetteer`` holds row_no, lat, lon, cc.  A block is one city cell of the
-    deciding ring: its offset and its cities.  Cells farther than three cells
-    from any city have no row.
+    deciding ring: its offset and its cities.  ``parts`` is the number of rows of
+    the cell.  Cells farther than three cells from any city have no row.
     """
     cities = distinct_cities(gazetteer).select(
         _cell(F.col("lat")).alias("city_lat"),
@@ -83,6 +84,7 @@ def cell_candidates(gazetteer: DataFrame, chunk_cities: int = CHUNK_CITIES) -> D
         .join(packed, ["city_lat", "city_lon"])
         .groupBy("cell_lat", "cell_lon", "chunk")
         .agg(F.collect_list(F.struct("d_lat", "d_lon", "cities")).alias("blocks"))
+        .withColumn("parts", F.count("*").over(Window.partitionBy("cell_lat", "cell_lon")))
     )
 
 
@@ -115,23 +117,25 @@ def nearest_city(
     """``lat``, ``lon`` (distinct points of the input) and ``cc``, '' when no city is near.
 
     ``gazetteer`` is the city table or what :func:`cell_candidates` made of it;
-    the latter is worth storing when many batches of points are looked up.
+    the latter is worth storing when many batches of points are looked up.  The
+    city table is prepared and written at once, as it is read in two places.
     """
     distinct = points.select(lat, lon).distinct()
     prepared = "blocks" in gazetteer.columns
-    candidates = gazetteer if prepared else cell_candidates(gazetteer, chunk_cities)
+    candidates = gazetteer if prepared else staged(cell_candidates(gazetteer, chunk_cities), "cities")
     met = distinct.select(
         lat,
         lon,
         _cell(F.col(lat)).alias("cell_lat"),
         _cell(F.col(lon)).alias("cell_lon"),
     ).join(candidates, ["cell_lat", "cell_lon"], "left")
-    best = met.select(lat, lon, _nearest(F.col(lat), F.col(lon), F.col("blocks")).alias("best"))
-    # one row per point again: a point of a crowded cell met several chunks.  The cell is
+    best = met.select(lat, lon, "parts", _nearest(F.col(lat), F.col(lon), F.col("blocks")).alias("best"))
+    found = lambda city: F.coalesce(city["cc"], F.lit("")).alias("cc")
+    alone = best.filter(F.coalesce("parts", F.lit(0)) <= 1).select(lat, lon, found(F.col("best")))
+    # a point of a crowded cell met several chunks and becomes one row again.  The cell is
     # not a grouping key: that would save a shuffle but forbid splitting a hot cell's join
-    return best.groupBy(lat, lon).agg(
-        F.coalesce(F.min("best")["cc"], F.lit("")).alias("cc")
-    )
+    crowded = best.filter(F.col("parts") > 1).groupBy(lat, lon).agg(F.min("best").alias("best"))
+    return alone.unionByName(crowded.select(lat, lon, found(F.col("best"))))
 
 
 def with_place(points_with_code: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:

@@ -21,6 +21,7 @@ from hazardry import schemas
 from hazardry.functions import severity
 from hazardry.functions.predicates import all_of
 from hazardry.operators import star as S
+from hazardry.operators.places import cell_candidates
 from hazardry.operators.ranking import keep_one
 from hazardry.sources.readers import existing
 from hazardry.sources.workspace import scratch
@@ -74,8 +75,11 @@ class Warehouse:
 
     def open(self) -> S.Star:
         """The star as it is now.  Counts of a load that never ended are not used."""
+        return self._star(self._unfinished())
+
+    def _star(self, unfinished: list[str]) -> S.Star:
         tables = [self._table(n) for n in ("fact", "event_type", "location", "time")]
-        counts = None if self._unfinished() else self._table("counts")
+        counts = None if unfinished else self._table("counts")
         return S.Star(*tables, counts, S.numbered_types(self._types(), []))
 
     def _unfinished(self) -> list[str]:
@@ -96,7 +100,9 @@ class Warehouse:
         first in ``order`` (event_time unless given) is kept.  Rows that are not
         :func:`loadable` are left out.  A type that was never met gets a number.
         """
-        stored, broken = self.open(), self._unfinished()
+        broken = self._unfinished()
+        stored = self._star(broken)
+        known = {r["event_type_name"] for r in stored.event_type.collect()}
         load_id = uuid.uuid4().hex
         self._log("begun", load_id)
         seen = Observation(f"load-{load_id}")
@@ -107,13 +113,16 @@ class Warehouse:
         with scratch(self.spark, "load") as area:
             fresh = area.staged(S.decompose(S.not_yet_in(first, stored.fact, "event_id")))
             points = fresh.select("latitude", "longitude").distinct()
+            if gazetteer is not None and "blocks" not in gazetteer.columns:
+                gazetteer = area.staged(cell_candidates(gazetteer))
             places = area.staged(S.location_rows(points, gazetteer))
             names = [r[0] for r in fresh.select("event_type_name").distinct().collect()]
-            types = S.numbered_types(self._types(), names)
+            types = S.numbered_types(stored.types, names)
 
-            kinds = S.not_yet_in(S.event_type_rows(fresh, types), stored.event_type, "event_type_id")
+            kinds = [(types[name], name) for name in sorted(set(names) - known)]
             hours = S.not_yet_in(S.time_rows(fresh), stored.time, "time_id")
-            self._append(kinds.coalesce(1), "event_type")
+            if kinds:
+                self._append(self.spark.createDataFrame(kinds, TABLES["event_type"]).coalesce(1), "event_type")
             self._append(hours, "time")
             # neighbouring places share row groups, so a box reads few of them
             self._append(
@@ -122,7 +131,8 @@ class Warehouse:
                 .sortWithinPartitions("latitude", "longitude"),
                 "location",
             )
-            facts = S.fact_rows(S.with_places(fresh, places), types)
+            # written once: the range partitioning reads its input twice, the counts once more
+            facts = area.staged(S.fact_rows(S.with_places(fresh, places), types))
             # a task holds a month or a part of one, in order of place: date ranges skip
             # files, boxes skip row groups, and few files are written
             month = F.expr("time_id div 10000")
