@@ -16,13 +16,15 @@ def held_out() -> Column:
     return fold("doc_id", FOLDS) == 0
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, target: str, rows: int = SAMPLE_ROWS) -> DataFrame:
+def training_sample(
+    docs: DataFrame, labels: DataFrame, target: str, rows: int = SAMPLE_ROWS, distinct: bool = False
+) -> DataFrame:
     """text and label (0 or 1) of labelled documents outside the held-out fold, written down.
 
     At most `rows` labels, those with the smallest hash of their id, whatever
     the size of the corpus; they are broadcast, so documents are not shuffled.
     An id with several labels counts once, with the largest.  Null ids and null
-    labels are passed over.
+    labels are passed over.  With `distinct`, equal texts with equal labels count once.
     """
     chosen = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(target).isNotNull() & ~held_out())
@@ -32,9 +34,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, target: str, rows: int =
         .limit(rows)
         .withColumnRenamed("doc_id", "__id")
     )
-    return staged(
+    sample = (
         docs.select("doc_id", text_or_empty().alias("text"))
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
-        .select("text", F.col("__label").alias("label")),
-        f"sample-{target}",
+        .select("text", F.col("__label").alias("label"))
     )
+    return staged(sample.distinct() if distinct else sample, f"sample-{target}")

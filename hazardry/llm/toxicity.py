@@ -5,7 +5,8 @@ ones, digits and signs inside words to the letters they stand for.  The lexicon
 holds words and word beginnings with weights, found by an Aho-Corasick automaton
 in one pass; of several entries in one word the heaviest counts.  A phrase of
 two words that is listed as an exception silences its word.  The sum of weights
-is damped by the length of the text and turned into a probability.
+over distinct words is damped by the length of the text and turned into a
+probability.
 
 Entries, weights, exceptions and the last step are learned from labelled
 documents.  An entry's weight is its log-odds between documents labelled toxic
@@ -28,9 +29,9 @@ from hazardry.llm.common import text_or_empty
 from hazardry.llm.labelled import SAMPLE_ROWS, held_out, training_sample
 
 SHORTEST, LONGEST = 4, 8
-LEAST_ODDS = 3.0
+LEAST_ODDS = 4.0
 LEAST_DOCS = 5
-LEAST_SHARE = 0.004
+LEAST_SHARE = 0.01
 MOST_ENTRIES = 20_000
 PHRASE_DOCS = 3
 
@@ -108,19 +109,17 @@ class Lexicon:
         return found
 
     def density(self, words: list[str]) -> float:
-        """Sum of weights that no exception silences, damped by the text's length."""
-        total = sum(
-            w for w, before, word, after in self.hits(words) if not {(before, word), (word, after)} & self.exceptions
-        )
-        return damped(total, len(words))
+        """Sum of weights of distinct words that no exception silences, damped by the text's length."""
+        return damped(self.hits(words), self.exceptions, len(words))
 
     def score(self, text: str) -> float:
         z = self.slope * self.density(folded(text)) + self.base
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
-def damped(total: float, n_words: int) -> float:
-    return total / np.log2(16 + n_words)
+def damped(hits: list[tuple[float, str, str, str]], exceptions: set[tuple[str, str]], n_words: int) -> float:
+    heard = {word: w for w, before, word, after in hits if not {(before, word), (word, after)} & exceptions}
+    return sum(heard.values()) / np.log2(16 + n_words)
 
 
 def _counted(sample: DataFrame, wanted: set[str] | None) -> DataFrame:
@@ -185,7 +184,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Lexico
     Without a document labelled toxic it is empty and every score is the same,
     below one half; without any other, above.
     """
-    sample = training_sample(docs, labels, "toxic", rows)
+    sample = training_sample(docs, labels, "toxic", rows, distinct=True)  # copies would lend their words weight
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
@@ -207,10 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Lexico
     for doc in found:
         phrases[doc["label"]].update({p for h in doc["hits"] for p in ((h["before"], h["word"]), (h["word"], h["after"]))})
     exceptions = {p for p, n in phrases[0].items() if all(p) and n >= PHRASE_DOCS and n > 4 * phrases[1][p] * n0 / n1}
-    x = [
-        damped(sum(h["weight"] for h in d["hits"] if not {(h["before"], h["word"]), (h["word"], h["after"])} & exceptions), d["words"])
-        for d in found
-    ]
+    x = [damped([tuple(h.values()) for h in d["hits"]], exceptions, d["words"]) for d in found]
     slope, base = _logistic(np.array(x), np.array([d["label"] for d in found], float))
     return Lexicon(weights, exceptions, slope, base)
 

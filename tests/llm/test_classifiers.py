@@ -86,16 +86,17 @@ def test_lexicon_against_looking_at_every_word():
         if own:
             want.append((max(own), words[k - 1] if k else "", w, words[k + 1] if k + 1 < len(words) else ""))
     assert sorted(lexicon.hits(words)) == sorted(want)
-    silenced = toxicity.damped(sum(w for w, *_ in want) - 1.0, len(words))
+    heard = {w: x for x, before, w, after in want if (w, after) != ("trash", "can")}
+    silenced = sum(heard.values()) / np.log2(16 + len(words))
     assert lexicon.density(words) == pytest.approx(silenced)
     assert toxicity.Lexicon().hits(words) == [] and toxicity.Lexicon(weights).hits([]) == []
 
 
 def test_exceptions_are_learned(spark):
-    docs = [(k, f"the {'idiot' if k % 2 else 'idiot light'} is on number {k}") for k in range(400)]
+    docs = [(k, f"the {'idiot light' if k % 10 == 0 else 'idiot'} is on number {k}") for k in range(400)]
     docs += [(k, f"what a worthless idiot {k}") for k in range(400, 600)]
-    marks = [(k, 1, int(k >= 400 or k % 2)) for k in range(600)] + [(k, 1, 0) for k in range(600, 5000)]
+    marks = [(k, 1, int(k >= 400 or k % 10 > 0)) for k in range(600)] + [(k, 1, 0) for k in range(600, 5000)]
     docs += [(k, f"quite another text {k}") for k in range(600, 5000)]
     lexicon = toxicity.train(docs_frame(spark, docs), spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
     assert ("idiot", "light") in lexicon.exceptions
-    assert lexicon.score("an 1d1ot here") > 0.5 > lexicon.score("the idiot light here")
+    assert lexicon.score("the 1d1ot is on number 4") > 0.5 > lexicon.score("the idiot light here")
