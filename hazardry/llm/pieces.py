@@ -25,6 +25,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from math import inf
 
 import ahocorasick
 import pyarrow as pa
@@ -37,29 +38,40 @@ from hazardry.llm.common import text_or_empty
 
 MARK = "▁"
 UNKNOWN_COST = 10.0
-REMEMBERED = 1 << 18
+REMEMBERED = 200_000
+ROWS_AT_ONCE = 512
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
 class Vocabulary:
-    """Pieces with scores, their automaton, and what was encoded lately."""
+    """Pieces with scores, their automaton, and what was encoded lately.
+
+    Up to REMEMBERED words are remembered, and the REMEMBERED before them.
+    """
 
     def __init__(self, pieces: list[str], scores: list[float], kinds: list[str]):
         """`kinds`: normal, byte, unknown or control, for each id."""
         self.pieces, self.scores = pieces, scores
         self.unknown = kinds.index("unknown") if "unknown" in kinds else None
-        self.control = {i for i, k in enumerate(kinds) if k == "control"}
         self.byte_id = {int(pieces[i][3:5], 16): i for i, k in enumerate(kinds) if k == "byte"}
-        self.id_byte = {i: b for b, i in self.byte_id.items()}
+        id_byte = {i: b for b, i in self.byte_id.items()}
         normal = [i for i, k in enumerate(kinds) if k == "normal"]
         self.single = {pieces[i] for i in normal if len(pieces[i]) == 1}
         self.floor = min((scores[i] for i in normal), default=0.0) - UNKNOWN_COST
         self.by_word = not any(MARK in pieces[i].lstrip(MARK) for i in normal)
+        self.by_line = not any("\n" in pieces[i] for i in normal)
+        self.line_end = tuple(self._spell("\n"))
         self.automaton = ahocorasick.Automaton()
         for i in normal:
             self.automaton.add_word(pieces[i], (len(pieces[i]), scores[i], i))
         self.automaton.make_automaton()
+        unknown = "⁇".encode()
+        self.bytes_of = [
+            bytes([id_byte[i]]) if k == "byte" else unknown if k == "unknown" else b"" if k == "control" else pieces[i].encode()
+            for i, k in enumerate(kinds)
+        ]
         self.seen: dict[str, tuple[int, ...]] = {}
+        self.seen_before: dict[str, tuple[int, ...]] = {}
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -75,9 +87,28 @@ class Vocabulary:
 
     def best_path(self, text: str) -> list[int]:
         """Ids of the best segmentation of a text in which blanks are marks already."""
-        n = len(text)
-        if n and not len(self.automaton):
+        if not text or not len(self.automaton):
             return self._spell(text)
+        if not self.single.issuperset(text):
+            return self._best_path_with_unknown(text)
+        # every position is reached by the piece of its own character
+        n = len(text)
+        best, back = [0.0] + [-inf] * n, [None] * (n + 1)
+        for at, found in self.automaton.iter(text):
+            length, score, _ = found
+            end = at + 1
+            total = best[end - length] + score
+            if total > best[end]:
+                best[end], back[end] = total, found
+        ids: list[int] = []
+        while n:
+            length, _, piece = back[n]
+            n -= length
+            ids.append(piece)
+        return ids[::-1]
+
+    def _best_path_with_unknown(self, text: str) -> list[int]:
+        n = len(text)
         best, back = [0.0] * (n + 1), [(-1, 1)] * (n + 1)
         done = 0
 
@@ -114,32 +145,43 @@ class Vocabulary:
         """Ids of a text; none for the empty one."""
         if not text:
             return []
-        marked = MARK + text.replace(" ", MARK)
         if not self.by_word:
-            return self.best_path(marked)
-        seen, out = self.seen, []
-        for word in _WORD.findall(marked):
-            ids = seen.get(word)
-            if ids is None:
-                ids = tuple(self.best_path(word))
-                if len(word) < 64:
-                    if len(seen) >= REMEMBERED:
-                        seen.clear()
-                    seen[word] = ids
-            out.append(ids)
+            return self.best_path(MARK + text.replace(" ", MARK))
+        out: list[tuple[int, ...]] = []
+        for k, line in enumerate(text.split("\n") if self.by_line else [text]):
+            if k:
+                out.append(self.line_end)
+            if "  " in line or line.startswith(" ") or line.endswith(" "):
+                marked = line.replace(" ", MARK)
+                out += [tuple(self.best_path(w)) for w in _WORD.findall(marked if k else MARK + marked)]
+                continue
+            words = line.split(" ")
+            if k:
+                out.append(self._remembered(words[0], ""))
+                del words[0]
+            found = list(map(self.seen.get, words))
+            if None in found:
+                found = [self._remembered(w, MARK) if ids is None else ids for w, ids in zip(words, found)]
+            out += found
         return list(chain.from_iterable(out))
 
+    def _remembered(self, word: str, before: str) -> tuple[int, ...]:
+        """Ids of a word after a mark, or of one that begins a line, which goes under a name of its own."""
+        name = word if before else f"\n{word}"
+        ids = self.seen.get(name)
+        if ids is None:
+            ids = self.seen_before.get(name)
+            if ids is None:
+                ids = tuple(self.best_path(before + word))
+            if len(word) < 64:
+                if len(self.seen) >= REMEMBERED:
+                    self.seen, self.seen_before = {}, self.seen
+                self.seen[name] = ids
+        return ids
+
     def decode(self, ids: list[int]) -> str:
         """The text of ids.  Byte pieces that are no UTF-8 give U+FFFD, unknown pieces U+2047."""
-        out: list[bytes] = []
-        for i in ids:
-            if i in self.id_byte:
-                out.append(bytes([self.id_byte[i]]))
-            elif i == self.unknown:
-                out.append("⁇".encode())
-            elif i not in self.control:
-                out.append(self.pieces[i].encode())
-        text = b"".join(out).decode("utf-8", "replace").replace(MARK, " ")
+        text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -154,6 +196,13 @@ def _sent(docs: DataFrame, model: str) -> str:
     return model.rstrip("/").rsplit("/", 1)[-1]
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the lists of one portion, not of a whole batch, are in memory."""
+    for batch in batches:
+        for start in range(0, len(batch), ROWS_AT_ONCE):
+            yield batch.slice(start, ROWS_AT_ONCE)
+
+
 def encode(docs: DataFrame, model: str) -> DataFrame:
     """All columns of docs with token_ids, n_tokens and round_trip.
 
@@ -166,7 +215,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = vocabulary(name)
-        for batch in batches:
+        for batch in _portions(batches):
             texts = batch.column(batch.num_columns - 1).to_pylist()
             ids = [pieces.encode(t) for t in texts]
             same = [pieces.decode(i) == t for i, t in zip(ids, texts)]
@@ -187,7 +236,7 @@ def decode(rows: DataFrame, model: str, ids: str = "token_ids", to: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = vocabulary(name)
-        for batch in batches:
+        for batch in _portions(batches):
             texts = [None if i is None else pieces.decode(i) for i in batch.column(batch.num_columns - 1).to_pylist()]
             own = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*own, pa.array(texts, pa.string())], names=schema.names)
