@@ -14,6 +14,7 @@ from hazardry.llm.queries import MODEL
 TEXTS = [
     "", " ", "  two  blanks ", "Hello world", "naïve façade ﬁ", "日本語 テキスト", "tab\tline\nend\r\n", "🙂🙂 \U0001f9ff", "a" * 300, "\x00\x01",
     "x = {'k': [1, 2.5]}; // ok", "Éauouon.\nEnpaeux leaux", "        indented", "  odd blanks",
+    "\n", "\n\nlines\n and  more \nend ", "a\nb\n\nc d\n", " \n \n", "    four", " one  two   ",
 ]
 
 
@@ -44,7 +45,7 @@ def test_known_texts(vocabulary, library, text):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.text(alphabet=st.sampled_from("abcdeé theion日.,\n ñ🙂"), max_size=40))
+@given(st.text(alphabet=st.sampled_from("abcdeé theion日.,\n\n  ñ🙂"), max_size=40))
 def test_best_path_like_the_library(vocabulary, library, text):
     ids = vocabulary.encode(text)
     assert vocabulary.decode(ids) == text
