@@ -134,6 +134,7 @@ def search_events(star: Star, limit: int = 20, offset: int = 0, **filters) -> Da
     ``filters`` takes start_date, end_date, event_types, country, region, lat,
     lng and proximity_km.  The order is date and hour descending, then id.  A
     page past the end has no rows; its total is that of :func:`matching_total`.
+    Every task holds offset + limit rows, so deep pages are for :func:`search_after`.
     """
     matching = _matching(star, **filters)
     page = matching.orderBy(F.desc("time_id"), F.asc("event_id")).offset(offset).limit(limit)

@@ -563,7 +563,7 @@ _PAGED = dict(event_type="fire", severity="MEDIUM", date_from="2024-01-05 00:00:
 @query
 def search_paged_empty(spark: SparkSession, d: str) -> DataFrame:
     stored = _stored(spark, d)
-    page = search.search_page(stored, page=10**6, page_size=25, **_PAGED)
+    page = search.search_page(stored, page=10**4, page_size=25, **_PAGED)
     return search.page_total(stored, 25, **_PAGED).withColumn("rows_on_page", page.agg(F.count("*")).scalar())
 
 
@@ -900,7 +900,7 @@ def search_after(spark: SparkSession, d: str) -> DataFrame:
 def search_empty_page(spark: SparkSession, d: str) -> DataFrame:
     """A page past the end: no rows, and the total all the same."""
     filters = dict(start_date=RANGE[0], end_date=RANGE[1], event_types=["fire", "storm"], region="asia")
-    page = search.search_events(_star(spark, d), limit=50, offset=10**8, **filters)
+    page = search.search_after(_star(spark, d), "0001-01-01 00:00:00", "", 50, **filters)
     return search.matching_total(_star(spark, d), **filters).withColumn("rows_on_page", page.agg(F.count("*")).scalar())
 
 
