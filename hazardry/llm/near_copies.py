@@ -1,0 +1,313 @@
+"""Near copies by word shingles: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+
+Candidates come from SimHash fingerprints of the shingle sets, searched in the
+BK-trees of simhash.py.  At similarity 0.8 fingerprints differ in 10 of 64 bits
+on average, so the search radius is RADIUS = 24.  Bands of the fingerprint
+itself would be three bits wide at that radius and every shard a part of all
+texts; shards are keyed by min-hashes of the shingles instead: BANDS bands of
+ROWS min-hashes each, of which two sets of similarity s share one with
+probability 1 - (1 - s**ROWS)**BANDS, 0.99995 at 0.8.
+
+Candidates are not trusted.  They make clusters, and inside a cluster the exact
+similarity of every pair decides; confirmed pairs make the components.  No pair
+is emitted: a task unites what it finds and gives at most one edge per text and
+group.  Shards above BLOCK members and clusters above CLUSTER_SHINGLES shingles
+are cut into pairs of blocks, so memory is bounded.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+from itertools import repeat
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from hazardry.llm.common import text_or_empty
+from hazardry.llm.components import components
+from hazardry.llm.simhash import SEED, SHINGLES_AT_ONCE, Forest, _flat, unite
+from hazardry.sources.workspace import staged
+
+WORDS = 5
+RADIUS = 24
+BANDS, ROWS = 25, 5
+BLOCK = 1 << 15
+CLUSTER_SHINGLES = 1 << 18
+SKETCH_AT_ONCE = 1 << 11
+
+_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 32, (BANDS * ROWS, 1), dtype=np.uint32) | np.uint32(1)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the word shingles; a shorter text is one shingle, also one without words."""
+    own = text.lower().split()
+    parts = map(b" ".join, zip(*[own[k:] for k in range(words)])) if len(own) > words else [b" ".join(own)]
+    return np.unique(np.frombuffer(b"".join(map(xxhash.xxh64_digest, parts, repeat(SEED))), ">u8").astype(np.uint64))
+
+
+def similar(inside: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes and of that intersection have a Jaccard similarity of 0.8 or more, in whole numbers."""
+    return 9 * inside >= 4 * (one + other)
+
+
+def fingerprint(hashes: np.ndarray) -> int:
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), SHINGLES_AT_ONCE):
+        part = hashes[at : at + SHINGLES_AT_ONCE].astype(">u8")
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(ones * 2 > len(hashes)).tobytes(), "big", signed=True)
+
+
+def bands(hashes: np.ndarray) -> np.ndarray:
+    """One value per band of min-hashes."""
+    low = np.full(len(_FACTORS), 0xFFFFFFFF, np.uint32)
+    short = (hashes >> np.uint64(32)).astype(np.uint32)
+    for at in range(0, len(short), SKETCH_AT_ONCE):
+        low = np.minimum(low, (short[at : at + SKETCH_AT_ONCE] * _FACTORS).min(axis=1))
+    value = np.zeros(BANDS, np.uint64)
+    for column in low.reshape(BANDS, ROWS).T.astype(np.uint64):
+        value = (value ^ column) * _MIX
+        value ^= value >> np.uint64(29)
+    return value.view(np.int64)
+
+
+def _node(hashes: np.ndarray) -> bytes:
+    """Texts of the same shingles are one node."""
+    return xxhash.xxh3_128_digest(hashes.tobytes())
+
+
+def sketches(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key, node, n (distinct shingles), fp and bands of every document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, sizes, prints, values = [], [], [], []
+            for text in batch.column(2):
+                own = shingles(text.as_py())
+                nodes.append(_node(own))
+                sizes.append(len(own))
+                prints.append(fingerprint(own))
+                values.append(bands(own))
+            flat = np.concatenate(values) if values else np.zeros(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * BANDS), pa.array(flat))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), lists],
+                names=["doc_id", "text_key", "node", "n", "fp", "bands"],
+            )
+
+    text = text_or_empty()
+    source = docs.select("doc_id", F.xxhash64(text).alias("text_key"), text.cast("binary").alias("text"))
+    return source.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, text_key long, node binary, n long, fp long, bands array<long>")
+
+
+def _by_group(names: tuple[str, ...], work: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]], weight: str | None, limit: int):
+    """Over rows sorted by group: edges that `work` finds in whole groups, several at a time up to the limit."""
+
+    def edges(rows: list[pa.Table]) -> pa.RecordBatch:
+        table = pa.concat_tables(rows).combine_chunks()
+        a, b = work(table)
+        node = table.column("node")
+        return pa.RecordBatch.from_arrays([node.take(pa.array(k)).combine_chunks() for k in (a, b)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.Table] = []
+        size = 0
+        for batch in batches:
+            if not len(batch):
+                continue
+            table = pa.Table.from_batches([batch])
+            while len(table):
+                new = _starts(table, names)
+                big = np.cumsum(table.column(weight).to_numpy()) if weight else np.arange(1, len(table) + 1)
+                if kept and any(kept[-1].column(c)[-1].as_py() != table.column(c)[0].as_py() for c in names) and size >= limit:
+                    yield edges(kept)
+                    kept, size = [], 0
+                cuts = np.nonzero(new[1:])[0] + 1
+                full = cuts[size + big[cuts - 1] >= limit]
+                cut = int(full[0]) if len(full) else len(table)
+                kept.append(table.slice(0, cut))
+                size += int(big[cut - 1])
+                table = table.slice(cut)
+        if kept:
+            yield edges(kept)
+
+    return run
+
+
+def _starts(table: pa.Table, names: tuple[str, ...]) -> np.ndarray:
+    """Whether a row is the first of its group."""
+    new = np.ones(len(table), bool)
+    new[1:] = False
+    for name in names:
+        column = table.column(name).to_numpy()
+        new[1:] |= column[1:] != column[:-1]
+    return new
+
+
+def _moved(parent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    parent = _flat(parent)
+    moved = np.nonzero(parent != np.arange(len(parent)))[0]
+    return moved, parent[moved]
+
+
+def _search(names: tuple[str, ...], radius: int):
+    """Candidates: rows of a group whose fingerprints differ in `radius` bits or less and whose sizes allow 0.8."""
+
+    def work(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        fp, n, member, asks = (table.column(c).to_numpy() for c in ("fp", "n", "member", "ask"))
+        shard = np.cumsum(_starts(table, names)) - 1
+        parent = np.arange(len(fp))
+        # Rows alike in all a search looks at are united beforehand, so that a tree has no long chains.
+        order = np.lexsort((n, fp, shard))
+        first = np.ones(len(fp), bool)
+        at, before = order[1:], order[:-1]
+        first[1:] = (shard[at] != shard[before]) | (fp[at] != fp[before]) | (n[at] != n[before])
+        parent[order] = order[np.maximum.accumulate(np.where(first, np.arange(len(fp)), 0))]
+        # In a pair of two blocks each side has a row of its own to stand for the group of like rows.
+        sides = []
+        for side in (member, asks):
+            own = order[side[order]]
+            head = np.ones(len(own), bool)
+            head[1:] = (shard[own[1:]] != shard[own[:-1]]) | (fp[own[1:]] != fp[own[:-1]]) | (n[own[1:]] != n[own[:-1]])
+            sides.append(own[head])
+        members, queries = sides
+        if not len(members):
+            return _moved(parent)
+        used, number = np.unique(shard[members], return_inverse=True)
+        queries = queries[np.isin(shard[queries], used)]
+        prints = fp.view(np.uint64)
+        forest = Forest(prints[members], number)
+        for q, m in forest.search(prints[queries], np.searchsorted(used, shard[queries]), radius):
+            a, b = queries[q], members[m]
+            fits = (a != b) & similar(np.minimum(n[a], n[b]), n[a], n[b])
+            unite(parent, a[fits], b[fits])
+        return _moved(parent)
+
+    return work
+
+
+def _confirm(names: tuple[str, ...]):
+    """Edges between rows of a group whose shingle sets have a similarity of 0.8 or more, every pair compared."""
+
+    def work(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        n = table.column("n").to_numpy()
+        member, asks = (table.column(c).to_numpy() for c in ("member", "ask"))
+        sets = table.column("shingles").chunk(0)
+        ids = np.unique(sets.flatten().to_numpy(), return_inverse=True)[1]
+        ends = np.cumsum(n)
+        parent = np.arange(len(n))
+        cuts = [*np.nonzero(_starts(table, names))[0].tolist(), len(n)]
+        mark = np.zeros(int(ids.max(initial=0)) + 1, bool)
+        for low, high in zip(cuts, cuts[1:]):
+            rows = np.arange(low, high)
+            base = ends[low] - n[low]
+            own = ids[base : ends[high - 1]]
+            starts = ends[low:high] - n[low:high] - base
+            for x in rows[asks[rows]]:
+                mark[ids[ends[x] - n[x] : ends[x]]] = True
+                shared = np.add.reduceat(mark[own], starts, dtype=np.int64)
+                mark[ids[ends[x] - n[x] : ends[x]]] = False
+                near = rows[similar(shared, n[x], n[rows]) & member[rows] & (rows != x)]
+                unite(parent, np.full(len(near), x), near)
+        return _moved(parent)
+
+    return work
+
+
+def _blocks(rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows once per pair of blocks of their group: `own` is the row's block of `blocks`."""
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    return rows.withColumn("own", F.expr("pmod(xxhash64(node), blocks)")).withColumn("other", other).select(
+        *columns,
+        F.least("own", "other").alias("low"),
+        F.greatest("own", "other").alias("high"),
+        "node",
+        "n",
+        (F.col("own") <= F.col("other")).alias("member"),
+        (F.col("own") >= F.col("other")).alias("ask"),
+    )
+
+
+def candidate_edges(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) that connect all candidates; `nodes` has distinct nodes with n, fp and bands."""
+    shards = staged(
+        nodes.select("node", "n", "fp", F.posexplode("bands").alias("band", "value")), "near-shards"
+    )
+    sizes = (
+        shards.groupBy("band", "value")
+        .agg(F.count(F.lit(1)).alias("members"))
+        .filter("members > 1")
+        .withColumn("blocks", F.expr(f"(members + {block - 1}) div {block}"))
+    )
+    group = ("band", "value", "low", "high")
+    return (
+        _blocks(shards.join(sizes, ["band", "value"]), "band", "value", "fp")
+        .repartition(*group)
+        .sortWithinPartitions(*group)
+        .mapInArrow(_by_group(group, _search(group, radius), None, block), "a binary, b binary")
+    )
+
+
+def _sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """node, shingles of the texts whose hash is in `keys`, one row per node."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [shingles(t.as_py()) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(map(_node, own), pa.binary()), pa.array([s.view(np.int64) for s in own], pa.list_(pa.int64()))],
+                names=["node", "shingles"],
+            )
+
+    text = text_or_empty()
+    found = docs.select(F.xxhash64(text).alias("text_key"), text.cast("binary").alias("text")).join(keys, "text_key", "left_semi")
+    return found.select("text").mapInArrow(run, "node binary, shingles array<long>").dropDuplicates(["node"])
+
+
+def confirmed_edges(docs: DataFrame, nodes: DataFrame, edges: DataFrame, limit: int = CLUSTER_SHINGLES) -> DataFrame:
+    """Edges (a, b) that connect what exact similarity links, among nodes that `edges` puts into one cluster."""
+    clusters = staged(
+        components(edges).withColumnRenamed("root", "cluster").join(nodes.select("node", "n", "text_key"), "node"), "near-clusters"
+    )
+    sizes = clusters.groupBy("cluster").agg(F.expr(f"sum(n) div {limit} + 1").alias("blocks"))
+    # Bytes of a cluster's name as a long; clusters of one number only share a group.
+    number = F.xxhash64("cluster").alias("number")
+    sets = staged(_sets(docs, clusters.select("text_key").distinct()), "near-sets")
+    group = ("number", "low", "high")
+    dealt = _blocks(clusters.join(sizes, "cluster").select("node", "n", "blocks", number), "number")
+    return (
+        dealt.join(sets, "node")
+        .repartition(*group)
+        .sortWithinPartitions(*group)
+        .mapInArrow(_by_group(group, _confirm(group), "n", limit), "a binary, b binary")
+    )
+
+
+def near_copies(docs: DataFrame, radius: int = RADIUS, block: int = BLOCK, limit: int = CLUSTER_SHINGLES) -> DataFrame:
+    """One row per document: doc_id, component_id.
+
+    Texts of the same shingles are always linked, also texts without words.
+    component_id is the smallest doc_id that can be reached; null ids are passed
+    over unless a component has no other.  Repeated rows are rows of their own.
+    """
+    own = staged(sketches(docs), "near-sketches")
+    nodes = staged(
+        own.groupBy("node").agg(
+            F.min("doc_id").alias("least_id"), F.min("text_key").alias("text_key"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands")
+        ),
+        "near-nodes",
+    )
+    roots = components(confirmed_edges(docs, nodes, candidate_edges(nodes, radius, block), limit))
+    rooted = nodes.select("node", "least_id").join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "root")
+    return own.select("doc_id", "node").join(named.select("node", "component_id"), "node").select("doc_id", "component_id")
+
+
+def drop_near_copies(docs: DataFrame) -> DataFrame:
+    """Of each component the documents with the smallest id, with all their columns."""
+    kept = near_copies(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    return docs.join(kept.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")

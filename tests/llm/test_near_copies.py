@@ -1,0 +1,80 @@
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from helpers import by_id, docs_frame, lower
+from hazardry.llm import near_copies as N
+
+
+def shingles(text):
+    words = lower(text).encode().split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+
+def brute(rows):
+    """(doc_id, component_id) by the similarity of every pair of texts."""
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    least = defaultdict(list)
+    for i, (doc_id, _) in enumerate(rows):
+        least[find(i)] += [doc_id] if doc_id is not None else []
+    out = [(d, min(least[find(i)], default=None)) for i, (d, _) in enumerate(rows)]
+    return sorted(out, key=lambda r: (r[0] is None, r[0], str(r[1:])))
+
+
+def corpus():
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(14):
+        words = [f"w{rng.integers(4000)}" for _ in range(rng.integers(6, 300))]
+        for copy in range(12):
+            own = list(words)
+            for _ in range(int(rng.integers(0, 1 + len(words) // 20))):
+                own[int(rng.integers(len(own)))] = f"v{rng.integers(4000)}"
+            rows.append((1000 - 13 * k - copy, " ".join(own)))
+    rows += [(2000, None), (2001, ""), (2002, " \t\n"), (2003, "one"), (2004, "ONE"), (2005, "one two"), (2006, "a b c d e f " * 30_000)]
+    return rows + [(None, rows[0][1]), (5, rows[0][1].upper()), (5, rows[0][1].upper()), (7, "Ünï côdé wörds joined")]
+
+
+@pytest.mark.parametrize("block, limit", [(N.BLOCK, N.CLUSTER_SHINGLES), (3, 300)])
+def test_components_against_brute_jaccard(spark, block, limit):
+    rows = corpus()
+    got = N.near_copies(docs_frame(spark, rows), block=block, limit=limit)
+    assert by_id(got, "component_id") == brute(rows)
+
+
+def test_stage_drops_similar_texts(spark):
+    """Copies that differ in a few words are far apart in three-word fingerprints, but not in similarity."""
+    rows = [(d, t) for d, t in corpus() if d is not None]
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, docs_frame(spark, rows), "")
+    assert {r["doc_id"] for r in kept.collect()} == {r[1] for r in brute(rows)}
+
+
+def test_every_pair_at_the_bound_is_a_candidate():
+    """Pairs of similarity just above 0.8, of sizes from a few shingles to many: a shared band and a print within the radius."""
+    rng = np.random.default_rng(9)
+    found = 0
+    for k in range(2000):
+        n = int(rng.integers(9, 400))
+        one = rng.integers(0, 1 << 63, n, dtype=np.int64).astype(np.uint64)
+        inside = -(-8 * n // 9)
+        two = np.concatenate([one[:inside], rng.integers(0, 1 << 63, n - inside, dtype=np.int64).astype(np.uint64)])
+        far = (N.fingerprint(one) ^ N.fingerprint(two)) & (1 << 64) - 1
+        found += bool((N.bands(one) == N.bands(two)).any()) and far.bit_count() <= N.RADIUS
+    assert found >= 1995
+
+
+def test_empty_table(spark):
+    assert N.near_copies(docs_frame(spark, [])).collect() == []
