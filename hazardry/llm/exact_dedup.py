@@ -11,8 +11,12 @@ text, is the content of the index:
   all its bits;
 * each bucket, a range of keys, belongs to one owner task, which sorts its
   entries by key and chains different texts under one key;
-* the buckets are files in the shared folder, and documents look their key up
-  there, following the chain where it has more than one link.
+* the buckets are written to the shared folder.
+
+Documents do not look their key up by slot, bucket and link: an equi-join of the
+stored index on key and SHA-256 replaces that lookup.  keep_id and group_size
+come from the aggregation; the directory only deals out how the index is stored,
+and the links of a chain are stored for readers of the index, not read here.
 """
 
 from __future__ import annotations
