@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardry.llm import decontaminate, exact_dedup, hilbert, lm, pieces, quality, sanitise, simhash, toxicity, warc
+from hazardry.llm import decontaminate, divergence, exact_dedup, hilbert, lm, multi_index, phrases
+from hazardry.llm import pieces, quality, sanitise, simhash, toxicity, warc
 from hazardry.sources.workspace import fresh_folder
 
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -61,6 +62,18 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"))
+
+
+def collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_decontamination": decontamination,
     "op2_sentencepiece": sentencepiece,
@@ -72,6 +85,9 @@ QUERIES = {
     "op8_lm_scoring": lm_scores,
     "op9_simhash": near_duplicates,
     "op10_quality": quality_scores,
+    "op11_source_divergence": source_divergence,
+    "op12_collocations": collocations,
+    "op13_nearest_vectors": nearest_vectors,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -114,4 +130,63 @@ TWINS = {
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AND row_number() OVER (PARTITION BY t, doc_id) = 1 AS kept,
                sha256(t) AS text_sha256
         FROM doc WINDOW g AS (PARTITION BY t)""",
+    "op11_source_divergence": f"""
+        WITH doc AS (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all({_LOWER}, '[a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w
+            FROM documents),
+        occurs AS (SELECT r, lang, source, term, count(*) AS n FROM (SELECT r, lang, source, unnest(w) AS term FROM doc) GROUP BY ALL),
+        kept AS (SELECT lang, term FROM occurs GROUP BY ALL HAVING count(*) >= 30),
+        size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+        counts AS (SELECT lang, source, term, sum(n) AS n FROM occurs SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+        groups AS (SELECT DISTINCT lang, source FROM doc),
+        totals AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM groups LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+        shares AS (
+            SELECT lang, t.source, term, coalesce(n, 0) AS n,
+                   CAST(1 + (CAST(1000000000 AS HUGEINT) * CAST(coalesce(n, 0) + 5 AS HUGEINT)) // CAST(total + 5 * v AS HUGEINT) AS BIGINT) AS p
+            FROM totals t JOIN kept USING (lang) JOIN size USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+        sums AS (SELECT lang, term, sum(n) AS n FROM counts GROUP BY ALL),
+        whole AS (
+            SELECT lang, term,
+                   CAST(1 + (CAST(1000000000 AS HUGEINT) * CAST(n + 5 AS HUGEINT))
+                        // CAST(sum(n) OVER (PARTITION BY lang) + 5 * count(*) OVER (PARTITION BY lang) AS HUGEINT) AS BIGINT) AS q
+            FROM sums),
+        pairs AS (
+            SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        parts AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, p - q FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, value, rank FROM (
+            SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM parts)
+        WHERE part = 'pair' OR rank <= 50""",
+    "op12_collocations": f"""
+        WITH piece AS (
+            SELECT lang, regexp_extract_all(p, '[^ \\t]+') AS w
+            FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents)),
+        counts AS (
+            SELECT lang, m, list_slice(w, i, i + m - 1) AS words, count(*) AS f
+            FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM piece, (VALUES (1), (2), (3)) s(m) WHERE len(w) >= m)
+            GROUP BY ALL HAVING count(*) >= 10),
+        total AS (SELECT lang, sum(len(w)) AS n FROM piece GROUP BY lang),
+        longer AS (
+            SELECT lang, words, max(f) AS f
+            FROM (SELECT lang, list_slice(words, i, i + 1) AS words, f FROM counts, (VALUES (1), (2)) s(i) WHERE m = 3) GROUP BY ALL),
+        cuts AS (
+            SELECT c.lang, c.words, c.f AS a, k, x.f AS l, y.f AS r,
+                   CAST(CAST(1000000 AS HUGEINT) * CAST(c.f AS HUGEINT) * CAST(c.f AS HUGEINT) // (CAST(x.f AS HUGEINT) * CAST(y.f AS HUGEINT)) AS BIGINT) AS score
+            FROM counts c JOIN (VALUES (1), (2)) s(k) ON k < c.m
+            JOIN counts x ON x.lang = c.lang AND x.words = list_slice(c.words, 1, k)
+            JOIN counts y ON y.lang = c.lang AND y.words = list_slice(c.words, k + 1, c.m)
+            LEFT JOIN longer o ON o.lang = c.lang AND o.words = c.words
+            WHERE o.f IS NULL OR 100 * o.f < 50 * c.f),
+        worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+        ranked AS (
+            SELECT *, array_to_string(words, ' ') AS phrase,
+                   row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(words, ' ')) AS rank
+            FROM worst)
+        SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000""",
 }
