@@ -167,26 +167,28 @@ TWINS = {
         WITH piece AS (
             SELECT lang, regexp_extract_all(p, '[^ \\t]+') AS w
             FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents)),
-        counts AS (
-            SELECT lang, m, list_slice(w, i, i + m - 1) AS words, count(*) AS f
+        counts AS MATERIALIZED (
+            SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, count(*) AS f
             FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM piece, (VALUES (1), (2), (3)) s(m) WHERE len(w) >= m)
             GROUP BY ALL HAVING count(*) >= 10),
         total AS (SELECT lang, sum(len(w)) AS n FROM piece GROUP BY lang),
+        long AS MATERIALIZED (SELECT lang, m, phrase, f, string_split(phrase, ' ') AS w FROM counts WHERE m > 1),
         longer AS (
-            SELECT lang, words, max(f) AS f
-            FROM (SELECT lang, list_slice(words, i, i + 1) AS words, f FROM counts, (VALUES (1), (2)) s(i) WHERE m = 3) GROUP BY ALL),
-        cuts AS (
-            SELECT c.lang, c.words, c.f AS a, k, x.f AS l, y.f AS r,
-                   CAST(CAST(1000000 AS HUGEINT) * CAST(c.f AS HUGEINT) * CAST(c.f AS HUGEINT) // (CAST(x.f AS HUGEINT) * CAST(y.f AS HUGEINT)) AS BIGINT) AS score
-            FROM counts c JOIN (VALUES (1), (2)) s(k) ON k < c.m
-            JOIN counts x ON x.lang = c.lang AND x.words = list_slice(c.words, 1, k)
-            JOIN counts y ON y.lang = c.lang AND y.words = list_slice(c.words, k + 1, c.m)
-            LEFT JOIN longer o ON o.lang = c.lang AND o.words = c.words
-            WHERE o.f IS NULL OR 100 * o.f < 50 * c.f),
-        worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+            SELECT lang, phrase, max(f) AS f
+            FROM (SELECT lang, f, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM long WHERE m = 3) GROUP BY ALL),
+        cuts AS MATERIALIZED (
+            SELECT lang, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:m], ' ') AS tail
+            FROM (SELECT *, unnest(range(1, m)) AS k FROM long)),
+        scored AS (
+            SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r,
+                   CAST(CAST(1000000 AS HUGEINT) * CAST(a AS HUGEINT) * CAST(a AS HUGEINT) // (CAST(x.f AS HUGEINT) * CAST(y.f AS HUGEINT)) AS BIGINT) AS score
+            FROM cuts c
+            JOIN counts x ON x.lang = c.lang AND x.phrase = c.head
+            JOIN counts y ON y.lang = c.lang AND y.phrase = c.tail
+            LEFT JOIN longer o ON o.lang = c.lang AND o.phrase = c.phrase
+            WHERE o.f IS NULL OR 100 * o.f < 50 * a),
+        worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
         ranked AS (
-            SELECT *, array_to_string(words, ' ') AS phrase,
-                   row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(words, ' ')) AS rank
-            FROM worst)
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM worst)
         SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000""",
 }

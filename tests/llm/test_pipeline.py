@@ -5,13 +5,13 @@ from __spark_entry__ import oracle_sql, queries
 from check import TABLES, compare
 from hazardry.llm.queries import QUERIES, TWINS
 from test_decontaminate import brute as contaminated
-from test_simhash import brute as near
+from test_near_copies import brute as near
 from helpers import docs_frame, lower
 
 
 def test_registered():
     assert {"pipeline", *QUERIES} <= set(queries()) and set(TWINS) <= set(oracle_sql())
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(TWINS))
