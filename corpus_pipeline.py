@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hazardry.llm import decontaminate, exact_dedup, near_copies, pieces, quality
+from hazardry.llm import decontaminate, exact_dedup, pieces, quality, simhash
 from hazardry.llm.queries import MODEL
 from hazardry.sources.workspace import staged
 
@@ -20,8 +20,8 @@ def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of texts with a five-word Jaccard similarity of 0.8 or more the smallest doc_id."""
-    return near_copies.drop_near_copies(docs)
+    """Of each component of linked fingerprints (three-word shingles, two bits) the smallest doc_id."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
