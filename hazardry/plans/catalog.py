@@ -33,9 +33,10 @@ from hazardry.operators import (
 )
 from hazardry.operators import star as S
 from hazardry.plans import warehouse as W
+from hazardry.plans.keyset import KeySet
 from hazardry.plans.lifts import lift, lift_stream
 from hazardry.sources import docstore, readers, sinks
-from hazardry.sources.workspace import fresh_folder, staged
+from hazardry.sources.workspace import fresh_folder, scratch, staged
 from hazardry.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -525,6 +526,16 @@ def exclude_loaded(spark: SparkSession, d: str) -> DataFrame:
     return _texts(search.not_loaded(stored, loaded))
 
 
+@query
+def exclude_by_filter(spark: SparkSession, d: str) -> DataFrame:
+    """The same through the stored keys and their Bloom filters."""
+    stored = _stored(spark, d)
+    ids = KeySet(spark, fresh_folder(spark, "keys"))
+    ids.add(stored.filter(F.col("event_time") < F.lit(AS_OF).cast("timestamp")), "event_id")
+    with scratch(spark, "exclude") as area:
+        return staged(_texts(ids.unseen(stored, "event_id", area)), "unseen")
+
+
 @query
 def collection_stats(spark: SparkSession, d: str) -> DataFrame:
     return analytics.collection_stats(_stored(spark, d)).withColumn("levels", F.array_join("levels", ","))
@@ -1020,18 +1031,16 @@ def stream_new_events(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
-    """Two streams write one store, each with batches numbered from 0; a later batch lacks a field."""
+    """Two streams write one store, one after the other; a later batch lacks a field."""
     processed = _processed_stream(spark, d)
     schema = documents.to_document(processed).schema
     base = fresh_folder(spark, "upsert")
-    store = docstore.DocumentStore(spark, f"{base}/store", schema)
     for left_out in ("SRC-0", "SRC-1"):
         jobs.upsert_documents(
-            processed.filter(F.col("source") != left_out), store, f"{base}/checkpoint-{left_out}", ["processed_at"], availableNow=True
+            processed.filter(F.col("source") != left_out), f"{base}/store", f"{base}/checkpoint-{left_out}", ["processed_at"], availableNow=True
         ).awaitTermination()
     late = documents.to_document(_processed(spark, d)).filter(
         F.col("processed_at") > F.col("event_time") + F.expr("INTERVAL '30' SECOND")
     )
-    store.write_batch(late.drop(UPSERT_OMITS), 0, ["processed_at"], writer="late")
-    compacted = store.compact(f"{base}/compacted", store.last_sequence() - 1)
-    return _texts(documents.flatten_document(compacted.read()))
+    docstore.write_batch(late.drop(UPSERT_OMITS), f"{base}/store", schema, ["processed_at"])
+    return _texts(documents.flatten_document(docstore.read_documents(spark, f"{base}/store", schema)))

@@ -510,6 +510,8 @@ SELECT coalesce(b.event_id, a.event_id) AS event_id, coalesce(b.event_type, a.ev
 FROM (SELECT {_PROC} FROM proc WHERE p <= t + INTERVAL '30' SECOND) a
 FULL JOIN (SELECT {_PROC} FROM proc WHERE p > t + INTERVAL '30' SECOND) b ON a.event_id = b.event_id"""),
     "exclude_loaded": _with(f"""
+SELECT {_PROC} FROM stored WHERE event_id NOT IN (SELECT event_id FROM stored WHERE t < TIMESTAMP '{AS_OF}')"""),
+    "exclude_by_filter": _with(f"""
 SELECT {_PROC} FROM stored WHERE event_id NOT IN (SELECT event_id FROM stored WHERE t < TIMESTAMP '{AS_OF}')"""),
     "collection_stats": _with("""
 SELECT event_type, count(*) AS event_count, string_agg(DISTINCT severity_level, ',' ORDER BY severity_level) AS levels FROM stored GROUP BY 1"""),

@@ -6,6 +6,11 @@ so a load that dies half way leaves no fact without its dimensions, and running
 it again completes it.  Counts per year, type and level are kept beside the
 facts; a log says which loads ended, and counts that an unended load may have
 left wrong are neither read nor kept: the next load counts the facts anew.
+
+The ids of events and places are also kept as :class:`KeySet`s, whose Bloom
+filters tell a load which of its ids may be stored: a load of new events reads no
+stored id.  A load that never ended may have left them short of its facts, so the
+next one builds them anew from the tables.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from hazardry.functions.predicates import all_of
 from hazardry.operators import star as S
 from hazardry.operators.places import cell_candidates
 from hazardry.operators.ranking import keep_one
+from hazardry.plans.keyset import KeySet
 from hazardry.sources.readers import existing
 from hazardry.sources.workspace import scratch
 
@@ -90,6 +96,10 @@ class Warehouse:
     def _log(self, state: str, *load_ids: str) -> None:
         self._append(self.spark.createDataFrame([(i, state) for i in load_ids], TABLES["log"]).coalesce(1), "log")
 
+    def keys(self, table: str) -> KeySet:
+        """The stored ids of `fact` or `location`."""
+        return KeySet(self.spark, f"{self.path}/keys_{table}")
+
     def load(
         self, classified: DataFrame, gazetteer: DataFrame | None = None, order: list[str] | None = None
     ) -> dict[str, int]:
@@ -109,9 +119,13 @@ class Warehouse:
         watched = classified.observe(
             seen, F.count(F.lit(1)).alias("received"), F.count_if(~loadable(classified)).alias("errors")
         )
-        first = keep_one(watched.filter(loadable(classified)), "event_id", order or ["event_time"])
+        event_ids, place_ids = self.keys("fact"), self.keys("location")
+        for table, key, ids in (("fact", "event_id", event_ids), ("location", "location_id", place_ids)):
+            if broken or existing(self.spark, [f"{self.path}/{table}"]) and not ids.exists():
+                ids.rebuild(self._table(table).select(key).distinct(), key)
         with scratch(self.spark, "load") as area:
-            fresh = area.staged(S.decompose(S.not_yet_in(first, stored.fact, "event_id")))
+            first = area.staged(keep_one(watched.filter(loadable(classified)), "event_id", order or ["event_time"]))
+            fresh = area.staged(S.decompose(event_ids.unseen(first, "event_id", area)))
             points = fresh.select("latitude", "longitude").distinct()
             if gazetteer is not None and "blocks" not in gazetteer.columns:
                 gazetteer = area.staged(cell_candidates(gazetteer))
@@ -125,12 +139,12 @@ class Warehouse:
                 self._append(self.spark.createDataFrame(kinds, TABLES["event_type"]).coalesce(1), "event_type")
             self._append(hours, "time")
             # neighbouring places share row groups, so a box reads few of them
+            new_places = area.staged(place_ids.unseen(places, "location_id", area))
             self._append(
-                S.not_yet_in(places, stored.location, "location_id")
-                .repartitionByRange("latitude", "longitude")
-                .sortWithinPartitions("latitude", "longitude"),
+                new_places.repartitionByRange("latitude", "longitude").sortWithinPartitions("latitude", "longitude"),
                 "location",
             )
+            place_ids.add(new_places, "location_id")
             # written once: the range partitioning reads its input twice, the counts once more
             facts = area.staged(S.fact_rows(S.with_places(fresh, places), types))
             # a task holds a month or a part of one, in order of place: date ranges skip
@@ -141,6 +155,7 @@ class Warehouse:
                 "fact",
                 "year",
             )
+            event_ids.add(facts, "event_id")
             inserted = fresh.count()
             self._append(S.counts_of(facts).coalesce(1), "counts")
         if broken:

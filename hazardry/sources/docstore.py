@@ -1,67 +1,42 @@
-"""A keyed store of documents on plain Parquet, upserted by batches.
-
-A batch is a change set of its own, ``changes/writer=<name>/batch_id=<n>``.  Every
-writer (a streaming query with its checkpoint, a job) has its own name, so two
-of them never replace each other's batches; the same batch of the same writer
-written again replaces itself and keeps its place in the order of writes, so a
-retry does no harm.  Readers merge the change sets by key.  The cost of an
-upsert is the size of the batch, not of the store; ``compact`` folds change
-sets into a new store.
-
-Merging follows a field-wise update: a document keeps the value of a field that
-a later batch does not have, and takes every field, NULL or not, that it has.
+"""Documents by key in plain Parquet, upserted by rewriting the hash folders a batch touches.
+
+A batch changes documents field by field: a document takes every field, NULL or
+not, that the batch has, and keeps the others.  Only the folders its keys fall
+into are read, merged with the batch in one join and overwritten; the rest of the
+store is not touched.  Writing a batch again changes nothing, so a retry does no
+harm.  One writer at a time: streams that share a store are united into one query
+or run one after the other.
 """
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazardry.operators.ranking import keep_one
-from hazardry.sources.readers import existing
-
-_SEQ, _FIELDS, _WRITER = "_seq", "_fields", "_writer"
-
+from hazardry.sources.readers import existing, file_system
 
-def tagged(batch: DataFrame, sequence: Column, writer: str = "") -> DataFrame:
-    """Adds the position in the order of writes and the names of the fields the batch has."""
-    names = F.array(*[F.lit(c) for c in batch.columns])
-    return batch.withColumns({_SEQ: sequence.cast("long"), _WRITER: F.lit(writer), _FIELDS: names})
-
-
-def merge_changes(changes: DataFrame, key: str) -> DataFrame:
-    """Current documents out of tagged changes: one aggregation by key, no join.
-
-    For every field the last change that has it wins; writes of one moment are
-    ordered by their writer's name.  Changes are combined on the map side, so a
-    key with very many changes is no burden to one task.
-    """
-    fields = [c for c in changes.columns if c not in (key, _SEQ, _WRITER, _FIELDS)]
-    # the value is wrapped so that a NULL written last wins over an older value
-    last = [
-        F.max_by(
-            F.struct(F.col(c)),
-            F.when(F.array_contains(_FIELDS, c), F.struct(_SEQ, _WRITER)),
-        )[c].alias(c)
-        for c in fields
-    ]
-    return changes.groupBy(key).agg(*last)
+BUCKETS = 32
 
 
 def upsert(current: DataFrame, batch: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """``current`` after a batch: matched rows are updated, new ones inserted.
+    """``current`` (one row per key) after a batch: matched rows are updated, new ones inserted.
 
     Within the batch the last row of a key in ``order`` wins; rows without a key
-    are left out (see :func:`upsert_report`).
+    are left out (see :func:`upsert_report`).  The batch is the hashed side of
+    the join, so the store is neither sorted nor aggregated.
     """
     latest = keep_one(batch.filter(F.col(key).isNotNull()), key, order, keep="last")
-    both = tagged(current, F.lit(0)).unionByName(
-        tagged(latest, F.lit(1)), allowMissingColumns=True
-    )
-    return merge_changes(both, key)
+    new = latest.select([F.col(c).alias(f"_new_{c}") for c in latest.columns]).withColumn("_changed", F.lit(True))
+    joined = current.join(new.hint("shuffle_hash"), F.col(key) == F.col(f"_new_{key}"), "full_outer")
+
+    def value(c: str) -> Column:
+        if c not in current.columns:
+            return F.col(f"_new_{c}").alias(c)
+        return (F.when(F.col("_changed"), F.col(f"_new_{c}")).otherwise(F.col(c)) if c in latest.columns else F.col(c)).alias(c)
+
+    return joined.select([value(c) for c in [*current.columns, *[c for c in latest.columns if c not in current.columns]]])
 
 
 def upsert_report(current: DataFrame, batch: DataFrame, key: str) -> DataFrame:
@@ -79,54 +54,47 @@ def upsert_report(current: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     )
 
 
-class DocumentStore:
-    """Change sets below a folder.  ``schema`` is that of the documents."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str = "_id"):
-        self.spark, self.path, self.schema, self.key = spark, path.rstrip("/"), schema, key
-
-    def write_batch(
-        self, batch: DataFrame, batch_id: int, order: list[str], writer: str = "main", sequence: int | None = None
-    ) -> None:
-        """Store one batch of a writer, the last row per key only.  Repeating it is harmless.
-
-        ``sequence`` places the batch among all writes; without it the time of
-        its first write does.  Rows without a key are left out.
-        """
-        folder = self._folder(writer, batch_id)
-        before = self.spark.read.parquet(folder).select(_SEQ).first() if existing(self.spark, [folder]) else None
-        place = before[0] if before else time.time_ns() // 1000 if sequence is None else sequence
-        latest = keep_one(batch.filter(F.col(self.key).isNotNull()), self.key, order, keep="last")
-        tagged(latest, F.lit(place), writer).write.mode("overwrite").parquet(folder)
-
-    def _folder(self, writer: str, batch_id: int) -> str:
-        return f"{self.path}/changes/writer={writer}/batch_id={batch_id}"
-
-    def changes(self) -> DataFrame:
-        stored = T.StructType(
-            [
-                *[T.StructField(f.name, f.dataType) for f in self.schema.fields],
-                T.StructField(_SEQ, T.LongType()),
-                T.StructField(_WRITER, T.StringType()),
-                T.StructField(_FIELDS, T.ArrayType(T.StringType())),
-            ]
-        )
-        files = self.spark.read.schema(stored).option("basePath", f"{self.path}/changes")
-        return files.parquet(f"{self.path}/changes").select(*stored.fieldNames())
-
-    def read(self) -> DataFrame:
-        """Current documents."""
-        return merge_changes(self.changes(), self.key)
-
-    def last_sequence(self) -> int:
-        return self.changes().agg(F.max(_SEQ)).first()[0]
-
-    def compact(self, path: str, through: int) -> DocumentStore:
-        """A new store at ``path``: writes up to the sequence ``through`` as one change set, later ones as they are."""
-        target = DocumentStore(self.spark, path, self.schema, self.key)
-        changes = self.changes()
-        folded = merge_changes(changes.filter(F.col(_SEQ) <= through), self.key)
-        tagged(folded, F.lit(through)).write.mode("overwrite").parquet(target._folder("compacted", 0))
-        later = changes.filter(F.col(_SEQ) > through)
-        later.write.mode("overwrite").parquet(target._folder("carried", 0))
-        return target
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+def _folders(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    stored = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
+    return spark.read.schema(stored).parquet(path) if existing(spark, [path]) else spark.createDataFrame([], stored)
+
+
+def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Current documents, one per key."""
+    return _folders(spark, path, schema).drop("bucket")
+
+
+def write_batch(batch: DataFrame, path: str, schema: T.StructType, order: list[str], key: str = "_id") -> None:
+    """Upsert a batch into the store at ``path``, whose documents have ``schema``.
+
+    The merged folders are written beside the store first and then take the place
+    of the old ones.  A writer that dies in between leaves them there, and the
+    next write begins by finishing that one.
+    """
+    spark = batch.sparkSession
+    pending = f"{path.rstrip('/')}_pending"
+    _finish(spark, pending, path, schema)
+    known = [f.name for f in schema.fields if f.name in batch.columns]
+    touched = [r["bucket"] for r in batch.filter(F.col(key).isNotNull()).select(_bucket(key)).distinct().collect()]  # BUCKETS at most
+    if not touched:
+        return
+    old = _folders(spark, path, schema).filter(F.col("bucket").isin(touched)).drop("bucket")
+    merged = upsert(old, batch.select(known), key, order).select("*", _bucket(key))
+    _write(merged.repartition("bucket"), pending, "overwrite")
+    _finish(spark, pending, path, schema)
+
+
+def _write(rows: DataFrame, path: str, mode: str, **options: str) -> None:
+    rows.write.mode(mode).options(**options).partitionBy("bucket").parquet(path)
+
+
+def _finish(spark: SparkSession, pending: str, path: str, schema: T.StructType) -> None:
+    """Move folders that were written whole into the store; what was not written whole is dropped by the next write."""
+    if existing(spark, [f"{pending}/_SUCCESS"]):
+        _write(_folders(spark, pending, schema), path, "overwrite", partitionOverwriteMode="dynamic")
+        files, where = file_system(spark, pending)
+        files.delete(where, True)

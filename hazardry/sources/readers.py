@@ -13,7 +13,7 @@ from hazardry import constants as C
 from hazardry import schemas
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
@@ -22,7 +22,7 @@ def existing(spark: SparkSession, paths: list[str]) -> list[str]:
     """The paths that exist, on whatever file system they name."""
     found = []
     for path in paths:
-        system, where = _file_system(spark, path)
+        system, where = file_system(spark, path)
         matches = system.globStatus(where)
         if matches is not None and len(matches) > 0:
             found.append(path)
@@ -31,7 +31,7 @@ def existing(spark: SparkSession, paths: list[str]) -> list[str]:
 
 def modified_at(spark: SparkSession, path: str) -> int:
     """Time of the last change of a file or folder, in milliseconds."""
-    system, where = _file_system(spark, path)
+    system, where = file_system(spark, path)
     return system.getFileStatus(where).getModificationTime()
 
 
@@ -122,7 +122,7 @@ def table_stream(spark: SparkSession, folder: str, name: str, files_per_trigger:
     """A Parquet table ``folder/name.parquet`` as a stream, be it one file or a folder of parts."""
     path = f"{folder.rstrip('/')}/{name}.parquet"
     table = spark.read.parquet(path)
-    system, where = _file_system(spark, path)
+    system, where = file_system(spark, path)
     options = {} if files_per_trigger is None else {"maxFilesPerTrigger": str(files_per_trigger)}
     if system.getFileStatus(where).isFile():
         # a file stream watches folders; the filter picks the one file

@@ -8,8 +8,6 @@ the writer; ``availableNow=True`` drains the source and stops.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from hazardry import constants as C
 from hazardry.operators import processing
 from hazardry.operators.documents import to_document
-from hazardry.sources.docstore import DocumentStore
+from hazardry.sources import docstore
 from hazardry.sources.readers import parse_messages
 from hazardry.sources.sinks import topic_messages
 
@@ -47,17 +45,16 @@ def append_files(
 
 
 def upsert_documents(
-    processed: DataFrame, store: DocumentStore, checkpoint: str, order: list[str], **trigger
+    processed: DataFrame, path: str, checkpoint: str, order: list[str], **trigger
 ) -> StreamingQuery:
-    """Upsert processed events into a document store, last write per id wins.
+    """Upsert processed events into the documents at ``path``, last write per id wins.
 
-    The checkpoint names the writer, so two streams, or one that starts again
-    from a new checkpoint, keep their batches apart.
+    A batch rewrites the folders it touches (see :mod:`hazardry.sources.docstore`).
     """
-    writer = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    schema = to_document(processed).schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.write_batch(to_document(batch), batch_id, order, writer)
+        docstore.write_batch(to_document(batch), path, schema, order)
 
     return (
         processed.writeStream.foreachBatch(write)

@@ -11,8 +11,9 @@ from hazardry.functions import geo
 from hazardry.operators import analytics, mapview, search
 from hazardry.operators import star as S
 from hazardry.plans import warehouse as W
+from hazardry.plans.keyset import KeySet
 from hazardry.sources import docstore, readers, sinks
-from hazardry.sources.workspace import fresh_folder
+from hazardry.sources.workspace import fresh_folder, scratch
 from hazardry.streaming import jobs
 
 CLASSIFIED = "event_id string, event_type string, severity_level string, latitude double, longitude double, event_time timestamp, source string"
@@ -92,6 +93,59 @@ def test_kept_counts_equal_the_facts(star):
         assert rows[0]["event_count"] == star.facts(*span, ["fire"]).count()
 
 
+def test_new_ids_read_no_stored_id(spark, cities, monkeypatch):
+    """A load of new events never opens the stored ids; one that repeats some opens only folders it needs."""
+    store = W.Warehouse(spark, fresh_folder(spark, "test-filter"))
+    store.load(some_events(spark, 300), cities)
+    read, opened = KeySet.stored, []
+    unseen = KeySet.unseen
+
+    def watched(self, rows, key, area):
+        monkeypatch.setattr(KeySet, "stored", lambda s: opened.append(key) or read(s))
+        out = unseen(self, rows, key, area)
+        monkeypatch.setattr(KeySet, "stored", read)
+        return out
+
+    monkeypatch.setattr(KeySet, "unseen", watched)
+    assert store.load(some_events(spark, 400, 300), cities)["inserted"] == 400
+    assert "event_id" not in opened
+    assert store.load(some_events(spark, 10, 695), cities)["inserted"] == 5 and "event_id" in opened
+    assert store.open().fact.count() == 705 == store.keys("fact").stored().select("key").distinct().count()
+
+
+@pytest.mark.parametrize("first_rows", [1, 64])
+def test_key_set_equals_an_anti_join(spark, first_rows):
+    """Whatever the filters let through: also when they are full of ones, and when they grow and are combined."""
+    keys = KeySet(spark, fresh_folder(spark, "test-keys"), first_rows)
+    ids = lambda low, high: spark.range(low, high).selectExpr("concat('E', id) as event_id", "id")
+    new = lambda: sorted(r["id"] for r in keys.unseen(ids(300, 900), "event_id", area).collect())
+    with scratch(spark, "test") as area:
+        assert new() == list(range(300, 900))
+        for low in range(0, 600, 150):
+            keys.add(ids(low, low + 150), "event_id")
+            assert new() == list(range(max(300, low + 150), 900))
+        made = keys._generation()
+        assert (made[0] > 0) == (first_rows == 1) and keys.filters().count() <= 2 * made[1] * 32
+        plan = keys.unseen(ids(10_000, 10_100), "event_id", area)._jdf.queryExecution().executedPlan().toString()
+        assert "parquet" not in plan.lower()
+        full = keys.filters().select("block", *[F.lit(-1).cast("long").alias(f"word{i}") for i in range(4)], "bucket")
+        every = keys._filter_rows(ids(0, 2000).withColumnRenamed("event_id", "key"), made[1])
+        full = full.unionByName(every.select("block", *[F.lit(-1).cast("long").alias(f"word{i}") for i in range(4)], "bucket"))
+        keys._write_filter(area.staged(full), *made)
+        assert keys.possible(ids(300, 900), "event_id").count() == 600 and new() == list(range(600, 900))
+        keys.rebuild(ids(0, 400), "event_id")
+        assert new() == list(range(400, 900)) and keys.stored().count() == 400
+
+
+def test_stored_keys_are_read_around_their_hash(spark):
+    keys = KeySet(spark, fresh_folder(spark, "test-place"))
+    keys.add(spark.range(5000).selectExpr("concat('E', id) as event_id"), "event_id")
+    with scratch(spark, "test") as area:
+        plan = keys.unseen(spark.createDataFrame([("E7",)], "event_id string"), "event_id", area)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "bucket#" in plan.split("PartitionFilters")[1]
+    assert "EqualTo(place," in plan or "In(place," in plan
+
+
 def test_new_types_get_numbers(spark):
     store = W.Warehouse(spark, fresh_folder(spark, "test-types"))
     events = some_events(spark, 40)
@@ -269,45 +323,66 @@ def test_fields_absent_stay_and_nulls_written_win(spark):
     assert got == {"a": (None, "x", 1), "b": (2, "y", None), "c": (4, None, 2)}
 
 
-def documents_store(spark, name):
-    schema = "_id string, n int, at int"
-    batch = lambda rows: spark.createDataFrame(rows, schema)
-    return batch, docstore.DocumentStore(spark, fresh_folder(spark, name), batch([]).schema)
+def batch_of(spark, rows):
+    return spark.createDataFrame(rows, "_id string, n int, at int")
+
 
+def held(spark, path):
+    return sorted(map(tuple, docstore.read_documents(spark, path, batch_of(spark, []).schema).collect()))
 
-def held(store):
-    return sorted(map(tuple, store.read().collect()))
 
+def test_batches_rewrite_touched_folders(spark):
+    """A batch changes its documents and its folders only; writing it again changes nothing."""
+    from pathlib import Path
+
+    path, schema = fresh_folder(spark, "test-store"), batch_of(spark, []).schema
+    write = lambda rows: docstore.write_batch(batch_of(spark, rows), path, schema, ["at"])
+    files = lambda: {f for f in Path(path).rglob("*.parquet")}
+    write([(f"k{i}", i, 1) for i in range(200)])
+    before = files()
+    write([("k7", 70, 2), ("k7", 71, 3), ("new", 5, 1), (None, 9, 9)])
+    after = held(spark, path)
+    assert after == sorted([(f"k{i}", i, 1) for i in range(200) if i != 7] + [("k7", 71, 3), ("new", 5, 1)])
+    folders = {f.parent.name for f in before - files()}
+    assert 1 <= len(folders) <= 2 and {f.parent.name for f in files() - before} >= folders
+    write([("k7", 70, 2), ("k7", 71, 3), ("new", 5, 1), (None, 9, 9)])
+    assert held(spark, path) == after and len({f.parent for f in files()}) <= docstore.BUCKETS
+    write([])
+    docstore.write_batch(batch_of(spark, [("k7", 1, None)]).select("_id", "at"), path, schema, ["at"])
+    assert ("k7", 71, None) in held(spark, path) and len(held(spark, path)) == 201
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_a_writer_that_dies_is_finished_by_the_next(spark, monkeypatch, whole):
+    from pathlib import Path
 
-def test_repeated_batches_and_compaction(spark):
-    batch, store = documents_store(spark, "test-store")
-    store.write_batch(batch([("a", 1, 1), ("b", 2, 1)]), 0, ["at"])
-    store.write_batch(batch([("a", 5, 2)]), 1, ["at"])
-    before = held(store)
-    store.write_batch(batch([("a", 1, 1), ("b", 2, 1)]), 0, ["at"])
-    assert held(store) == before == [("a", 5, 2), ("b", 2, 1)]
-    assert held(store.compact(fresh_folder(spark, "test-compact"), store.last_sequence())) == before
+    path, schema = fresh_folder(spark, "test-dies"), batch_of(spark, []).schema
+    docstore.write_batch(batch_of(spark, [("a", 1, 1), ("b", 1, 1)]), path, schema, ["at"])
+    write = docstore._write
 
+    def dies(rows, to, *args, **options):
+        if options:
+            raise RuntimeError("lost")
+        write(rows, to, *args)
 
-def test_two_writers_keep_their_batches(spark):
-    batch, store = documents_store(spark, "test-writers")
-    store.write_batch(batch([("a", 1, 1)]), 0, ["at"], writer="one")
-    store.write_batch(batch([("b", 2, 1), (None, 9, 9)]), 0, ["at"], writer="two")
-    assert held(store) == [("a", 1, 1), ("b", 2, 1)]
+    monkeypatch.setattr(docstore, "_write", dies)
+    with pytest.raises(RuntimeError):
+        docstore.write_batch(batch_of(spark, [("a", 2, 2)]), path, schema, ["at"])
+    monkeypatch.undo()
+    if not whole:
+        Path(f"{path}_pending/_SUCCESS").rename(f"{path}_pending/_partial")
+    docstore.write_batch(batch_of(spark, [("b", 3, 3)]), path, schema, ["at"])
+    assert held(spark, path) == [("a", 2, 2) if whole else ("a", 1, 1), ("b", 3, 3)]
 
 
-def test_compaction_stops_at_its_bound(spark):
-    batch, store = documents_store(spark, "test-bound")
-    for k in range(4):
-        store.write_batch(batch([("a", k, k), (f"k{k}", k, k)]), k, ["at"], sequence=10 + k)
-    compacted = store.compact(fresh_folder(spark, "test-bound"), 11)
-    folded = compacted.changes().filter("_seq = 11").collect()
-    assert sorted((r["_id"], r["n"]) for r in folded) == [("a", 1), ("k0", 0), ("k1", 1)]
-    assert held(compacted) == held(store) and compacted.last_sequence() == 13
+def test_upsert_does_not_sort_the_store(spark):
+    old = spark.range(1000).selectExpr("cast(id as string) as _id", "cast(id as int) as n", "1 as at")
+    plan = docstore.upsert(old, batch_of(spark, [("1", 2, 2)]), "_id", ["at"])._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortAggregate" not in plan and "SortMergeJoin" not in plan
 
 
 def test_upsert_report(spark):
-    batch, _ = documents_store(spark, "test-report")
+    batch = lambda rows: batch_of(spark, rows)
     report = docstore.upsert_report(batch([("a", 1, 1), ("b", 1, 1)]), batch([("a", 2, 2), ("c", 1, 1), ("c", 2, 2), (None, 1, 1)]), "_id").first()
     assert report.asDict() == {"received": 4, "inserted": 1, "updated": 1, "repeated": 1, "errors": 1}
 
@@ -402,17 +477,16 @@ def test_two_consumers_of_one_source(spark, tmp_path):
 
 
 def test_streams_with_new_checkpoints_lose_nothing(spark, tmp_path):
-    batch, store = documents_store(spark, "test-streams")
     processed = jobs.process(spark.createDataFrame([("a", "fire", 60.0, 1.0, 2.0, "2024-01-01T00:00:00Z", "S")], schemas.UNIFIED_EVENT))
     from hazardry.operators.documents import to_document
 
-    store = docstore.DocumentStore(spark, fresh_folder(spark, "test-streams"), to_document(processed).schema)
+    path = fresh_folder(spark, "test-streams")
     for k in range(2):
         source = str(tmp_path / f"in{k}")
         spark.createDataFrame([(f"e{k}", "fire", 60.0, 1.0, 2.0, "2024-01-01T00:00:00Z", "S")], schemas.UNIFIED_EVENT).write.parquet(source)
         stream = jobs.process(readers.file_stream(spark, source, schemas.UNIFIED_EVENT, "parquet"))
-        jobs.upsert_documents(stream, store, str(tmp_path / f"ck{k}"), ["processed_at"], availableNow=True).awaitTermination()
-    assert sorted(r["_id"] for r in store.read().collect()) == ["e0", "e1"]
+        jobs.upsert_documents(stream, path, str(tmp_path / f"ck{k}"), ["processed_at"], availableNow=True).awaitTermination()
+    assert sorted(r["_id"] for r in docstore.read_documents(spark, path, to_document(processed).schema).collect()) == ["e0", "e1"]
 
 
 def test_late_rows_are_counted(spark, tmp_path):
