@@ -103,6 +103,7 @@ MAP_FIRST_DATE = "1980-01-01"
 # --- fixed values: map tables by zoom level ----------------------------------
 SQUARE_CELL_DEGREES = {2: 20.0, 3: 12.0, 4: 6.0, 5: 3.0, 6: 1.5, 7: 0.75, 8: 0.3, 9: 0.1}
 PRE_CELL_DEGREES = {2: 5.0, 3: 2.0, 4: 1.0, 5: 0.5, 6: 0.2, 7: 0.1, 8: 0.05, 9: 0.02}
+PYRAMID_ZOOMS = range(2, 7)
 HEX_RESOLUTION = {2: 2, 3: 2, 4: 2, 5: 3, 6: 3, 7: 3, 8: 4, 9: 4}
 HEX_AREA_KM2 = {2: 86000.0, 3: 12000.0, 4: 1700.0, 5: 250.0}
 MIN_CLUSTER_COUNT = {2: 100, 3: 50, 4: 20, 5: 5}

@@ -1,16 +1,25 @@
-"""Map queries: clusters at low zoom, single events at high zoom."""
+"""Map queries: clusters at low zoom, single events at high zoom.
+
+The sums of the zooms up to the deepest of ``PYRAMID_ZOOMS`` are kept per month,
+type and cell by every load.  A map takes cells wholly inside its box, of months
+wholly inside its range, from there and reads facts for the ragged edges only.
+Deeper zooms have about as many cells as events; their boxes are small, and they
+read facts alone.
+"""
 
 from __future__ import annotations
 
 import datetime
+import math
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardry import constants as C
 from hazardry.functions import geo
 from hazardry.functions.timestamps import time_key_text
-from hazardry.operators.star import Star
+from hazardry.operators.star import Star, date_number
 
 
 def map_total(star: Star, box: tuple, start_date: str, end_date: str, zoom: int) -> DataFrame:
@@ -19,8 +28,8 @@ def map_total(star: Star, box: tuple, start_date: str, end_date: str, zoom: int)
     One row, also where a minimum, a cap or an empty box leaves no cluster or point.
     """
     mode = "clusters" if zoom <= C.MAP_MAX_CLUSTER_ZOOM else "points"
-    facts = star.facts(start_date, end_date, box=box)
-    return facts.agg(F.lit(mode).alias("mode"), F.count("*").alias("total"))
+    cells = map_cells(star, "square", zoom, box, start_date, end_date)
+    return cells.agg(F.lit(mode).alias("mode"), F.coalesce(F.sum("event_count"), F.lit(0)).alias("total"))
 
 
 def grid_cells(points: DataFrame, cell: float) -> DataFrame:
@@ -29,8 +38,8 @@ def grid_cells(points: DataFrame, cell: float) -> DataFrame:
     A cell is the rounded quotient of the coordinate and the cell size.
     """
     return points.groupBy(
-        F.round(F.col("latitude") / cell).alias("cell_lat"),
-        F.round(F.col("longitude") / cell).alias("cell_lon"),
+        _cell("latitude", cell).alias("cell_lat"),
+        _cell("longitude", cell).alias("cell_lon"),
         "event_type_id",
     ).agg(
         F.sum("latitude").alias("lat_sum"),
@@ -39,6 +48,97 @@ def grid_cells(points: DataFrame, cell: float) -> DataFrame:
     )
 
 
+_SUMS = ("lat_sum", "lng_sum", "event_count")
+_SIZES = {"square": (C.SQUARE_CELL_DEGREES, 1.0), "pre": (C.PRE_CELL_DEGREES, 0.1)}
+
+
+def _cell(position: str, size: float) -> Column:
+    return F.round(F.col(position) / size)
+
+
+def _added(cells: DataFrame, *keys: str) -> DataFrame:
+    return cells.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _SUMS])
+
+
+def pyramid_rows(facts: DataFrame) -> DataFrame:
+    """Sums per kind of cell, zoom, month, type and cell: facts are added up at the deepest zoom, its rows one zoom up, and so on.
+
+    Cells of two zooms do not nest.  A row therefore keeps the cells of all
+    zooms above its own, so an event is at each zoom in the cell its own
+    position gives.
+    """
+    levels = []
+    for kind, (sizes, _) in _SIZES.items():
+        zooms = sorted(C.PYRAMID_ZOOMS)
+        cells = {f"{axis}{z}": _cell(position, sizes[z]) for z in zooms for axis, position in (("lat", "latitude"), ("lon", "longitude"))}
+        rows = facts.select(
+            F.expr("cast(time_id div 10000 as int)").alias("month"),
+            "event_type_id",
+            F.col("latitude").alias("lat_sum"),
+            F.col("longitude").alias("lng_sum"),
+            F.lit(1).cast("long").alias("event_count"),
+            *[c.alias(name) for name, c in cells.items()],
+        )
+        for zoom in reversed(zooms):
+            above = [name for name in cells if int(name[3:]) <= zoom]
+            rows = _added(rows, "month", "event_type_id", *above)
+            level = rows.withColumnsRenamed({f"lat{zoom}": "cell_lat", f"lon{zoom}": "cell_lon"})
+            levels.append(
+                _added(level, "month", "event_type_id", "cell_lat", "cell_lon").withColumns({"kind": F.lit(kind), "zoom": F.lit(zoom)})
+            )
+    return reduce(DataFrame.unionByName, levels)
+
+
+def _whole_months(start_date: str | None, end_date: str | None) -> tuple[int, int]:
+    """First and last month (yyyymm) of which every day is in the range; the first is after the last if there is none."""
+    first, last = date_number(start_date) or 0, date_number(end_date) or 99991231
+    low = first // 100 if first % 100 <= 1 else _next_month(first // 100)
+    after = datetime.date(last // 10000, last // 100 % 100, last % 100) + datetime.timedelta(1) if last < 99991231 else None
+    high = last // 100 if after is None or after.day == 1 else _next_month(last // 100, -1)
+    return low, high
+
+
+def _next_month(month: int, step: int = 1) -> int:
+    n = month // 100 * 12 + month % 100 - 1 + step
+    return n // 12 * 100 + n % 12 + 1
+
+
+def _whole_cells(low: float, high: float, size: float) -> tuple[int, int]:
+    """First and last cell that lies inside low..high, short of it by a hair against rounding."""
+    hair = 1e-6
+    return math.ceil(low / size + 0.5 + hair), math.floor(high / size - 0.5 - hair)
+
+
+def map_cells(star: Star, kind: str, zoom: int, box: tuple, start_date: str, end_date: str, size: float | None = None) -> DataFrame:
+    """Cells per type of a box and a date range, as :func:`grid_cells` of the facts gives them.
+
+    ``kind`` is ``square`` or ``pre``.  A ``size`` of one's own reads facts alone.
+    """
+    sizes, default = _SIZES[kind]
+    degrees = size or sizes.get(zoom, default)
+    facts = star.facts(start_date, end_date, box=box)
+    (south, north), (west, east) = _whole_cells(*box[:2], degrees), _whole_cells(*box[2:], degrees)
+    first, last = _whole_months(start_date, end_date)
+    if star.pyramid is None or size or zoom not in C.PYRAMID_ZOOMS or south > north or west > east or first > last:
+        return grid_cells(facts, degrees)
+    kept = star.pyramid.filter(
+        (F.col("kind") == kind)
+        & (F.col("zoom") == zoom)
+        & F.col("month").between(first, last)
+        & F.col("cell_lat").between(float(south), float(north))
+        & F.col("cell_lon").between(float(west), float(east))
+    )
+    inside = _cell("latitude", degrees).between(float(south), float(north)) & _cell("longitude", degrees).between(float(west), float(east))
+    # what is pushed into the scan: months at the ends, or positions at the rim or up to a cell within it
+    months = (F.col("time_id") < first * 10000) | (F.col("time_id") >= _next_month(last) * 10000)
+    lat, lon = F.col("latitude"), F.col("longitude")
+    rim = (lat < south * degrees) | (lat > north * degrees) | (lon < west * degrees) | (lon > east * degrees)
+    edge = facts.filter((months | rim) & (months | ~inside))
+    return _added(
+        kept.select("cell_lat", "cell_lon", "event_type_id", *_SUMS).unionByName(grid_cells(edge, degrees)), "cell_lat", "cell_lon", "event_type_id"
+    )
+
+
 def _centers(cells: DataFrame) -> DataFrame:
     return cells.select(
         (F.col("lat_sum") / F.col("event_count")).alias("lat"),
@@ -52,8 +152,7 @@ def map_grid(
     star: Star, box: tuple, zoom: int, start_date: str, end_date: str, cell: float | None = None
 ) -> DataFrame:
     """lat, lng, event_type, event_count of square cells; no minimum, no cap, largest first."""
-    size = cell or C.SQUARE_CELL_DEGREES.get(zoom, 1.0)
-    cells = grid_cells(star.facts(start_date, end_date, box=box), size)
+    cells = map_cells(star, "square", zoom, box, start_date, end_date, cell)
     return _centers(star.with_type_name(cells)).orderBy(F.desc("event_count"), "event_type", "lat", "lng")
 
 
@@ -75,12 +174,11 @@ def map_hex(
     Ranked are clusters, of which the tiling bounds the number, not events.  The hexagons tile the latitude/longitude
     plane; they are not cells of a spherical index.
     """
-    pre_cell = C.PRE_CELL_DEGREES.get(zoom, 0.1)
     edge = geo.hex_edge_degrees(C.HEX_RESOLUTION.get(zoom, 5))
     minimum = C.MIN_CLUSTER_COUNT.get(zoom, 0) if min_count is None else min_count
     limit = C.MAX_CLUSTERS_PER_TYPE.get(zoom) if cap is None else cap
 
-    fine = grid_cells(star.facts(start_date, end_date, box=box), pre_cell)
+    fine = map_cells(star, "pre", zoom, box, start_date, end_date)
     mean_lat = F.col("lat_sum") / F.col("event_count")
     mean_lng = F.col("lng_sum") / F.col("event_count")
     clusters = (

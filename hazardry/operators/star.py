@@ -156,7 +156,7 @@ def not_yet_in(candidates: DataFrame, existing: DataFrame, key: str) -> DataFram
 
 @dataclass(frozen=True)
 class Star:
-    """The four tables of the schema, the counts kept beside them and the numbers of the types."""
+    """The four tables of the schema, the counts and map cells kept beside them and the numbers of the types."""
 
     fact: DataFrame
     event_type: DataFrame
@@ -164,6 +164,7 @@ class Star:
     time: DataFrame
     counts: DataFrame | None = None
     types: dict[str, int] = field(default_factory=lambda: dict(FIXED_TYPES))
+    pyramid: DataFrame | None = None
 
     def facts(
         self,
@@ -178,7 +179,7 @@ class Star:
         the one-degree cells that the box touches, and the box itself.
         """
         known = [self.types[t] for t in event_types or [] if t in self.types]
-        first, last = _date_number(start_date), _date_number(end_date)
+        first, last = date_number(start_date), date_number(end_date)
         clauses = [
             None if first is None else (F.col("time_id") >= first * 100) & (F.col("year") >= first // 10000),
             None if last is None else (F.col("time_id") <= last * 100 + 23) & (F.col("year") <= last // 10000),
@@ -237,6 +238,6 @@ class Star:
         return out
 
 
-def _date_number(text: str | None) -> int | None:
+def date_number(text: str | None) -> int | None:
     """YYYY-MM-DD as the integer yyyymmdd."""
     return None if not text else int(text[:10].replace("-", ""))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from hazardry.sources.readers import existing, file_system
 from hazardry.sources.workspace import scratch
 
-BUCKETS = 32
+BUCKETS = 8
 FIRST_ROWS = 1 << 10
 KEYS_PER_ROW = 8
 MOST_PLACES = 1000

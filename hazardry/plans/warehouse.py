@@ -3,9 +3,9 @@
 Loading is idempotent: an event id that is stored is skipped, a natural key that
 has a dimension row gets no second one.  Dimensions are appended before facts,
 so a load that dies half way leaves no fact without its dimensions, and running
-it again completes it.  Counts per year, type and level are kept beside the
-facts; a log says which loads ended, and counts that an unended load may have
-left wrong are neither read nor kept: the next load counts the facts anew.
+it again completes it.  Counts per year, type and level and the map's cells
+are kept beside the facts; a log says which loads ended, and what an unended load
+may have left wrong is neither read nor kept: the next load counts the facts anew.
 
 The ids of events and places are also kept as :class:`KeySet`s, whose Bloom
 filters tell a load which of its ids may be stored: a load of new events reads no
@@ -25,6 +25,7 @@ from hazardry import constants as C
 from hazardry import schemas
 from hazardry.functions import severity
 from hazardry.functions.predicates import all_of
+from hazardry.operators import mapview
 from hazardry.operators import star as S
 from hazardry.operators.places import cell_candidates
 from hazardry.operators.ranking import keep_one
@@ -38,6 +39,7 @@ TABLES = {
     "location": schemas.DIM_LOCATION,
     "time": schemas.DIM_TIME,
     "counts": schemas.EVENT_COUNTS,
+    "pyramid": schemas.MAP_PYRAMID,
     "log": schemas.LOAD_LOG,
 }
 
@@ -86,7 +88,8 @@ class Warehouse:
     def _star(self, unfinished: list[str]) -> S.Star:
         tables = [self._table(n) for n in ("fact", "event_type", "location", "time")]
         counts = None if unfinished else self._table("counts")
-        return S.Star(*tables, counts, S.numbered_types(self._types(), []))
+        pyramid = None if unfinished else self._table("pyramid")
+        return S.Star(*tables, counts, S.numbered_types(self._types(), []), pyramid)
 
     def _unfinished(self) -> list[str]:
         """Loads that began and did not end."""
@@ -158,9 +161,11 @@ class Warehouse:
             event_ids.add(facts, "event_id")
             inserted = fresh.count()
             self._append(S.counts_of(facts).coalesce(1), "counts")
+            self._append(self._cells(facts), "pyramid", "kind", "zoom")
         if broken:
             recounted = S.counts_of(self._table("fact"))
             recounted.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/counts")
+            self._cells(self._table("fact")).write.mode("overwrite").partitionBy("kind", "zoom").parquet(f"{self.path}/pyramid")
         self._log("done", load_id, *broken)
         counted = seen.get
         return {
@@ -170,6 +175,12 @@ class Warehouse:
             "errors": counted["errors"],
         }
 
+    @staticmethod
+    def _cells(facts: DataFrame) -> DataFrame:
+        """The map's sums of facts, in the order that months and boxes are asked for."""
+        order = ["kind", "zoom", "month", "cell_lat", "cell_lon"]
+        return mapview.pyramid_rows(facts).repartitionByRange(*order).sortWithinPartitions(*order)
+
     def _append(self, rows: DataFrame, name: str, *partition_by: str) -> None:
         columns = TABLES[name].fieldNames()
         rows.select(*columns).write.mode("append").partitionBy(*partition_by).parquet(

@@ -114,4 +114,7 @@ FACT_EVENT = _struct(
     year=_I,
 )
 EVENT_COUNTS = _struct(year=_I, event_type_id=_I, severity_level=_S, event_count=_L)
+MAP_PYRAMID = _struct(
+    month=_I, event_type_id=_I, cell_lat=_D, cell_lon=_D, lat_sum=_D, lng_sum=_D, event_count=_L, kind=_S, zoom=_I
+)
 LOAD_LOG = _struct(load_id=_S, state=_S)

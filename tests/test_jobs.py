@@ -81,6 +81,8 @@ def test_second_load_of_a_broken_one_counts_anew(spark, cities):
     assert total() == 500
     assert store.load(some_events(spark, 500), cities)["inserted"] == 0
     assert store.open().counts.agg(F.sum("event_count")).first()[0] == 500 == total()
+    kept = store.open().pyramid.groupBy("kind", "zoom").agg(F.sum("event_count").alias("n")).collect()
+    assert len(kept) == 2 * len(C.PYRAMID_ZOOMS) and {r["n"] for r in kept} == {500}
 
 
 def test_kept_counts_equal_the_facts(star):
@@ -125,7 +127,7 @@ def test_key_set_equals_an_anti_join(spark, first_rows):
             keys.add(ids(low, low + 150), "event_id")
             assert new() == list(range(max(300, low + 150), 900))
         made = keys._generation()
-        assert (made[0] > 0) == (first_rows == 1) and keys.filters().count() <= 2 * made[1] * 32
+        assert (made[0] > 0) == (first_rows == 1) and keys.filters().count() <= 2 * made[1] * 8
         plan = keys.unseen(ids(10_000, 10_100), "event_id", area)._jdf.queryExecution().executedPlan().toString()
         assert "parquet" not in plan.lower()
         full = keys.filters().select("block", *[F.lit(-1).cast("long").alias(f"word{i}") for i in range(4)], "bucket")
@@ -146,6 +148,43 @@ def test_stored_keys_are_read_around_their_hash(spark):
     assert "EqualTo(place," in plan or "In(place," in plan
 
 
+def cells_of(frame):
+    return {(r["cell_lat"], r["cell_lon"], r["event_type_id"]): (r["lat_sum"], r["lng_sum"], r["event_count"]) for r in frame.collect()}
+
+
+@pytest.mark.parametrize(
+    "box, start, end",
+    [
+        ((-90, 90, -180, 180), "1980-01-01", "2030-01-01"),
+        ((-33.3, 41.7, -77.1, 120.4), "2001-02-11", "2009-11-30"),
+        ((-60, 60, -150, 150), "2003-03-01", "2003-03-31"),
+        ((10.4, 10.6, 20.4, 20.6), "2000-01-01", "2010-12-31"),
+        ((0.0, 40.0, 0.0, 60.0), "2005-06-10", "2005-06-20"),
+    ],
+)
+def test_map_cells_from_the_pyramid(spark, star, box, start, end):
+    """Whole cells of whole months come from the pyramid, the rest from facts: the same cells as from facts alone."""
+    for kind, sizes in (("square", C.SQUARE_CELL_DEGREES), ("pre", C.PRE_CELL_DEGREES)):
+        for zoom in (2, 4, 6, 9):
+            frame = mapview.map_cells(star, kind, zoom, box, start, end)
+            got, want = cells_of(frame), cells_of(mapview.grid_cells(star.facts(start, end, box=box), sizes[zoom]))
+            assert got.keys() == want.keys()
+            for cell, sums in want.items():
+                assert got[cell] == pytest.approx(sums, abs=1e-7) and got[cell][2] == sums[2]
+            if zoom < 9 and box == (-90, 90, -180, 180):
+                assert any("/pyramid/" in f for f in frame.inputFiles())
+    total = mapview.map_total(star, box, start, end, 5).first()["total"]
+    assert total == star.facts(start, end, box=box).count()
+
+
+def test_whole_months():
+    assert mapview._whole_months("2001-01-01", "2008-12-31") == (200101, 200812)
+    assert mapview._whole_months("2001-01-02", "2008-12-30") == (200102, 200811)
+    assert mapview._whole_months("2004-02-01", "2004-02-29") == (200402, 200402)
+    low, high = mapview._whole_months("2004-02-02", "2004-02-28")
+    assert low > high
+
+
 def test_new_types_get_numbers(spark):
     store = W.Warehouse(spark, fresh_folder(spark, "test-types"))
     events = some_events(spark, 40)
