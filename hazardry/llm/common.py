@@ -29,6 +29,16 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % folds
 
 
+def free_names(rows: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores put before it until no column of `rows` has it."""
+    taken, out = {c.lower() for c in rows.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def positions(rows: DataFrame, order: Sequence[str], weight: str | None = None) -> DataFrame:
     """Rows with `position`: how many rows (or how much weight) stand before each in the given order.
 

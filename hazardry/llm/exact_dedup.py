@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazardry.llm.common import lower_ascii, text_or_empty
+from hazardry.llm.common import free_names, lower_ascii, text_or_empty
 from hazardry.sources.workspace import staged
 
 CAPACITY = 1 << 16
@@ -139,13 +139,13 @@ def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY, most_bits: int =
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
+    keep_id, keep_sha, own_sha = free_names(docs, "_id", "_sha", "_own_sha")
     kept = (
         exact_duplicates(docs)
         .filter("kept")
-        .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+        .select(F.col("doc_id").alias(keep_id), F.col("text_sha256").alias(keep_sha))
     )
-    sha = F.sha2(lower_ascii(text_or_empty()), 256)
-    both = docs.withColumn("_own_sha", sha).join(
-        kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own_sha") == F.col("_sha"))
+    both = docs.withColumn(own_sha, F.sha2(lower_ascii(text_or_empty()), 256)).join(
+        kept, F.col("doc_id").eqNullSafe(F.col(keep_id)) & (F.col(own_sha) == F.col(keep_sha))
     )
-    return both.dropDuplicates(["_id", "_sha"]).select(*docs.columns)
+    return both.dropDuplicates([keep_id, keep_sha]).select(*docs.columns)

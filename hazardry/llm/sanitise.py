@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardry.llm.common import text_or_empty
+from hazardry.llm.common import free_names, text_or_empty
 from hazardry.sources.workspace import staged
 
 KINDS = ("email", "ip", "card", "phone")
@@ -236,12 +236,17 @@ def redacted(text: str, marks: list[Span]) -> str:
 
 def redact(docs: DataFrame) -> DataFrame:
     """All rows and columns of docs with the text sanitised; null stays null."""
-    marks = personal_data(docs).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "marks").dropDuplicates(["__id", "__key"])
+    own_id, own_key, own_marks = free_names(docs, "_id", "_key", "_marks")
+    marks = (
+        personal_data(docs)
+        .select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key), F.col("marks").alias(own_marks))
+        .dropDuplicates([own_id, own_key])
+    )
     key = F.xxhash64(text_or_empty())
-    both = docs.join(marks.withColumnRenamed("marks", "__marks"), F.col("doc_id").eqNullSafe(F.col("__id")) & (key == F.col("__key")), "left")
+    both = docs.join(marks, F.col("doc_id").eqNullSafe(F.col(own_id)) & (key == F.col(own_key)), "left")
 
     @F.udf("string", useArrow=True)
     def clean(text, spans):
         return None if text is None else redacted(text, [(s["kind"], s["start"], s["end"]) for s in spans or ()])
 
-    return both.withColumn("text", clean("text", "__marks")).select(*docs.columns)
+    return both.withColumn("text", clean("text", own_marks)).select(*docs.columns)

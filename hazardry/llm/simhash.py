@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardry.llm.common import text_or_empty
+from hazardry.llm.common import free_names, text_or_empty
 from hazardry.llm.components import components
 from hazardry.sources.workspace import staged
 
@@ -278,4 +278,5 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, b
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """Of each component the documents with the smallest id, with all their columns."""
     kept = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(kept.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    (keep_id,) = free_names(docs, "_id")
+    return docs.join(kept.withColumnRenamed("doc_id", keep_id), F.col("doc_id").eqNullSafe(F.col(keep_id)), "left_semi")

@@ -6,12 +6,14 @@ from zlib import crc32
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars int"
 
+CLASHES = ["_id", "__id", "_sha", "__sha", "_own_sha", "_key", "__key", "_marks", "__text"]
+
 
 def docs_frame(spark, rows, partitions=3):
     """Rows of (doc_id, text) or longer as a frame with the columns of documents and two that clash with inner names."""
     full = [(*r, *("en", "src0", len(r[1] or ""))[len(r) - 2 :]) for r in rows]
     frame = spark.createDataFrame(full, DOCS).repartition(partitions)
-    return frame.selectExpr("*", "cast(null as string) as key", "'x' as fp", "1 as row", "2 as position", "'t' as __other")
+    return frame.selectExpr("*", "cast(null as string) as key", "'x' as fp", "1 as row", "2 as position", "'t' as __other", *[f"'c' as `{c}`" for c in CLASHES])
 
 
 def by_id(frame, *columns):
