@@ -8,14 +8,18 @@ to `most` words inside a piece.  All is per language.
   ends without one word do (Apriori).  For each length numpy hashes the phrases
   at all text positions whose ends are alive, tasks add them up and Spark adds
   up the tasks; the buckets that reach `least` are the next length's ends.
-  Buckets that collide only let more candidates through.  Words of candidates
-  are candidates, too, as their counts are needed.
+  Buckets that collide only let more candidates through.  A bucket also names a
+  text that holds it (the smallest checksum), which alone spells its phrase out.
+  Words of candidates are candidates, too, as their counts are needed.
 * Counting.  Candidates are cut into shards of neighbours in byte order, each a
   double-array trie over bytes, a byte per level.  Tries are broadcast, and each
   task moves the states of all its words' positions together, level by level;
   positions that fall out of the trie are dropped.  Where a state accepts and a
   word ends, it is counted by bincount; the counts of tasks and shards are added
   by key.  These counts are exact; the buckets only choose what is counted.
+* Proof.  The counts of a bucket's phrases must add up to the bucket's own.
+  Where they do not, a second phrase shares the hash, and all texts spell that
+  bucket out.
 
 The buckets and the tries of one pass are bounded (BUCKETS, SHARD, SHARDS_AT_ONCE);
 more of them take more passes over the texts, so nothing is left out.
@@ -25,6 +29,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache, reduce
+from itertools import repeat
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -73,13 +79,17 @@ class Pieces:
         raw = np.frombuffer(b"\n".join([*texts, b""]).translate(_BYTES) + b"\n", np.uint8)
         gap = (raw == _SPACE) | (raw == _END)
         after_gap = np.concatenate([[True], gap[:-1]])
-        self.data = raw[~((raw == _SPACE) & after_gap)]  # a blank after a blank or a line end goes
+        kept = ~((raw == _SPACE) & after_gap)  # a blank after a blank or a line end goes
+        self.data = raw[kept]
         gap = (self.data == _SPACE) | (self.data == _END)
         after_gap = np.concatenate([[True], gap[:-1]])
         self.starts = np.flatnonzero(~gap & after_gap)
         self.ends = np.flatnonzero(gap & ~after_gap)
         lines = np.cumsum(self.data == _END, dtype=np.int32)
         self.piece = lines[self.starts] if len(self.starts) else np.empty(0, np.int32)
+        self.checksums = np.array([crc32(t) for t in texts], np.int64)
+        bounds = np.cumsum(kept)[np.cumsum([len(t) + 1 for t in texts]) - 1]
+        self.text = np.searchsorted(bounds, self.starts, "right")
 
     def word_hashes(self) -> np.ndarray:
         """A polynomial in the word's bytes modulo 2**64, mixed."""
@@ -129,32 +139,39 @@ def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, Pieces]]:
 
 
 class _Sums:
-    """Counts by bucket, added up in the task and let go when there are too many."""
+    """Counts by bucket and the smallest checksum of a text with it, added up in the task and let go when there are too many."""
 
     def __init__(self, held: int):
-        self.held, self.keys, self.counts, self.n = held, [], [], 0
+        self.held, self.parts, self.n = held, [], 0
 
-    def add(self, buckets: np.ndarray) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.unique(buckets, return_counts=True)
-        self.keys.append(keys)
-        self.counts.append(counts)
-        self.n += len(keys)
+    def add(self, buckets: np.ndarray, checksums: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append(self._folded(buckets, np.ones(len(buckets), np.int64), checksums))
+        self.n += len(self.parts[-1][0])
         if self.n > self.held:
             self._fold()
             if self.n > self.held // 2:
                 yield from self.out()
 
+    @staticmethod
+    def _folded(buckets: np.ndarray, counts: np.ndarray, checksums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.argsort(buckets)
+        buckets = buckets[order]
+        first = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]])) if len(buckets) else np.empty(0, np.int64)
+        if not len(first):
+            return buckets, counts, checksums
+        return buckets[first], np.add.reduceat(counts[order], first), np.minimum.reduceat(checksums[order], first)
+
     def _fold(self) -> None:
-        if len(self.keys) > 1:
-            keys, place = np.unique(np.concatenate(self.keys), return_inverse=True)
-            self.counts = [np.bincount(place, np.concatenate(self.counts)).astype(np.int64)]
-            self.keys, self.n = [keys], len(keys)
+        if len(self.parts) > 1:
+            self.parts = [self._folded(*map(np.concatenate, zip(*self.parts)))]
+            self.n = len(self.parts[0][0])
 
     def out(self) -> Iterator[pa.RecordBatch]:
         self._fold()
         if self.n:
-            yield pa.RecordBatch.from_arrays([pa.array(self.keys[0].view(np.int64)), pa.array(self.counts[0].astype(np.int64))], names=["bucket", "n"])
-        self.keys, self.counts, self.n = [], [], 0
+            buckets, counts, checksums = self.parts[0]
+            yield pa.RecordBatch.from_arrays([pa.array(buckets.view(np.int64)), pa.array(counts), pa.array(checksums.astype(np.uint32).view(np.int32))], names=["bucket", "n", "text"])
+        self.parts, self.n = [], 0
 
 
 def _salt(lang: str) -> np.uint64:
@@ -162,17 +179,20 @@ def _salt(lang: str) -> np.uint64:
     return np.uint64(int.from_bytes(lang.encode(), "big") % ((1 << 64) - 59))
 
 
-def _alive(blocks: list[np.ndarray], hashes: np.ndarray) -> np.ndarray:
-    """Which hashes are in one of the sorted blocks."""
+def _alive(blocks: list[tuple[np.ndarray, np.ndarray]], hashes: np.ndarray) -> np.ndarray:
+    """Which hashes are in one of the blocks of sorted buckets."""
     found = np.zeros(len(hashes), bool)
-    for block in blocks:
-        at = np.searchsorted(block, hashes)
-        found |= block[np.minimum(at, len(block) - 1)] == hashes
+    for buckets, _ in blocks:
+        at = np.searchsorted(buckets, hashes)
+        found |= buckets[np.minimum(at, len(buckets) - 1)] == hashes
     return found
 
 
 def bucket_counts(texts: DataFrame, words: int, ends: list | None, held: int = HELD) -> DataFrame:
-    """bucket, n: occurrences of runs of `words` words by hash; both ends of a run must be in `ends`, if given."""
+    """bucket, n, text: occurrences of runs of `words` words by hash, and the checksum of a text that has one.
+
+    Both ends of a run must be in the broadcast blocks `ends`, if given.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums(held)
@@ -183,36 +203,46 @@ def bucket_counts(texts: DataFrame, words: int, ends: list | None, held: int = H
                 if ends is not None:
                     inner = pieces.hashes_at(hashes, np.arange(len(hashes) - words + 2), words - 1) if len(first) else own
                     alive = _alive([b.value for b in ends], inner)
-                    own = own[alive[first] & alive[first + 1]]
-                yield from sums.add(own)
+                    both = alive[first] & alive[first + 1]
+                    first, own = first[both], own[both]
+                yield from sums.add(own, pieces.checksums[pieces.text[first]])
         yield from sums.out()
 
-    return texts.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    summed = texts.mapInArrow(run, "bucket long, n long, text int").groupBy("bucket")
+    return summed.agg(F.sum("n").alias("n"), F.min("text").alias("text"))
 
 
-def spelled(texts: DataFrame, words: int, buckets, held: int = HELD // 4) -> DataFrame:
-    """lang, phrase of all runs of `words` words whose hash is in the broadcast `buckets`."""
+def spelled(texts: DataFrame, words: int, block, anywhere: bool = False, held: int = HELD // 4) -> DataFrame:
+    """lang, phrase, bucket of the runs of `words` words whose hash is in a broadcast block.
+
+    A run is spelled by the text its bucket names, or by all that hold it (`anywhere`).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, set[bytes]] = {}
+        found: set[tuple[str, bytes, int]] = set()
 
         def out() -> pa.RecordBatch:
-            flat = [(lang, p) for lang, some in found.items() for p in some]
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in flat], pa.string()), pa.array([x for _, x in flat], pa.binary())], names=["lang", "phrase"])
+            columns = list(zip(*found)) or [[]] * 3
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.binary(), pa.int64()))], names=["lang", "phrase", "bucket"])
 
+        buckets, named = block.value
         for batch in batches:
             for lang, pieces in _by_lang(batch):
                 hashes = pieces.word_hashes() ^ _mixed(_salt(lang).reshape(1))
                 first, own = pieces.phrases(hashes, words)
-                first = first[_alive([buckets.value], own)]
-                data, known = pieces.data.tobytes(), found.setdefault(lang, set())
-                known.update(map(data.__getitem__, map(slice, pieces.starts[first].tolist(), pieces.ends[first + words - 1].tolist())))
-            if sum(map(len, found.values())) > held:
+                at = np.minimum(np.searchsorted(buckets, own), len(buckets) - 1)
+                wanted = buckets[at] == own
+                if not anywhere:
+                    wanted &= named[at] == pieces.checksums[pieces.text[first]]
+                first, data = first[wanted], pieces.data.tobytes()
+                slices = map(data.__getitem__, map(slice, pieces.starts[first].tolist(), pieces.ends[first + words - 1].tolist()))
+                found.update(zip(repeat(lang), slices, own[wanted].view(np.int64).tolist()))
+            if len(found) > held:
                 yield out()
-                found = {}
+                found = set()
         yield out()
 
-    return texts.mapInArrow(run, "lang string, phrase binary").distinct()
+    return texts.mapInArrow(run, "lang string, phrase binary, bucket long").distinct()
 
 
 class Trie:
@@ -323,26 +353,59 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def candidates(texts: DataFrame, most: int = MOST, least: int = LEAST, buckets: int = BUCKETS) -> DataFrame:
-    """lang, phrase: a superset of the phrases of two to `most` words with `least` occurrences, and their words."""
-    context = texts.sparkSession.sparkContext
-    ends, found = None, []
+def _blocks(full: DataFrame, most: int) -> Iterator:
+    """Broadcasts of sorted buckets and the checksums of their texts, about `most` of them each."""
+    blocks = max(1, -(-full.count() // most))
+    for block in range(blocks):
+        some = full.filter(F.pmod("bucket", F.lit(blocks)) == block).select("bucket", "text").toArrow()
+        if some.num_rows:
+            buckets, named = some["bucket"].to_numpy().view(np.uint64), some["text"].to_numpy().view(np.uint32).astype(np.int64)
+            order = np.argsort(buckets)
+            yield full.sparkSession.sparkContext.broadcast((buckets[order], named[order]))
+
+
+def full_buckets(texts: DataFrame, most: int = MOST, least: int = LEAST, buckets: int = BUCKETS) -> tuple[DataFrame, DataFrame]:
+    """The buckets that reach `least` (words, bucket, n, text), and their phrases (lang, phrase, bucket)."""
+    ends, full, found = None, [], []
     for words in range(2, most + 1):
-        full = staged(bucket_counts(texts, words, ends).filter(F.col("n") >= least).select("bucket"), "phrase-buckets")
+        full.append(staged(bucket_counts(texts, words, ends).filter(F.col("n") >= least).withColumn("words", F.lit(words)), "phrase-buckets"))
         for old in ends or ():
             old.unpersist()
-        ends, n = [], full.count()
-        blocks = max(1, -(-n // buckets))
-        for block in range(blocks):
-            some = full.filter(F.pmod("bucket", F.lit(blocks)) == block).toArrow()["bucket"].to_numpy().view(np.uint64)
-            if len(some):  # about `buckets` longs
-                ends.append(context.broadcast(np.sort(some)))
+        ends = list(_blocks(full[-1], buckets))
         found += [staged(spelled(texts, words, block), "phrase-spelled") for block in ends]
         if not ends:
             break
-    if not found:
-        return texts.select("lang", F.col("text").alias("phrase")).limit(0)
-    phrases = _union(found).distinct()
+    for old in ends:
+        old.unpersist()
+    none = texts.select("lang", F.col("text").alias("phrase"), F.lit(0).cast("long").alias("bucket")).limit(0)
+    return _union(full), _union([none, *found])
+
+
+def shared_buckets(full: DataFrame, phrases: DataFrame, counts: DataFrame) -> DataFrame:
+    """Buckets with occurrences that the counts of their phrases do not account for."""
+    named = phrases.select("lang", F.col("phrase").cast("string").alias("phrase"), "bucket")
+    sums = named.join(counts, ["lang", "phrase"]).groupBy("bucket").agg(F.sum("f").alias("f"))
+    return full.join(sums, "bucket", "left").filter(F.col("n") > F.coalesce("f", F.lit(0))).select(full.columns)
+
+
+def counted_phrases(texts: DataFrame, most: int, least: int, buckets: int, shard: int, at_once: int) -> DataFrame:
+    """lang, phrase, f: all phrases of two to `most` words with `least` occurrences, their words, and some more."""
+    full, phrases = full_buckets(texts, most, least, buckets)
+    counts = staged(phrase_counts(texts, _with_words(phrases), shard, at_once), "phrases")
+    shared = staged(shared_buckets(full, phrases, counts), "phrase-shared")
+    if shared.isEmpty():
+        return counts
+    more = [
+        staged(spelled(texts, words, block, anywhere=True), "phrase-spelled")
+        for words in range(2, most + 1)
+        for block in _blocks(shared.filter(F.col("words") == words), buckets)
+    ]
+    return staged(phrase_counts(texts, _with_words(_union([phrases, *more])), shard, at_once), "phrases")
+
+
+def _with_words(phrases: DataFrame) -> DataFrame:
+    """lang, phrase: the phrases and their words, each once."""
+    phrases = phrases.select("lang", "phrase").distinct()
     words = phrases.select("lang", F.explode(F.split(F.col("phrase").cast("string"), " ")).alias("phrase")).distinct()
     return phrases.unionByName(words.withColumn("phrase", F.col("phrase").cast("binary")))
 
@@ -402,7 +465,7 @@ def collocations(docs: DataFrame, most: int = MOST, least: int = LEAST, top: int
     columns are not read; an empty table gives no rows.
     """
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
-    counts = staged(phrase_counts(texts, candidates(texts, most, least, buckets), shard, at_once), "phrases")
+    counts = counted_phrases(texts, most, least, buckets, shard, at_once)
     words = F.split("phrase", " ")
     chosen = counts.filter((F.col("f") >= least) & F.col("phrase").contains(" ")).withColumn("words", words)
     runs = F.explode(

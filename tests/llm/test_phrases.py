@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hazardry.llm import phrases
 from helpers import docs_frame, lower
@@ -57,6 +58,23 @@ def test_against_brute_force(spark, most, least, buckets, shard, at_once):
     assert sorted(tuple(r) for r in got) == brute(rows, most, least)
 
 
+def test_phrases_that_share_a_bucket(spark, monkeypatch):
+    """A phrase its bucket's text does not spell leaves the bucket's count unexplained, and is spelled by all texts."""
+    rows = rows_of(5)
+    frame = docs_frame(spark, [(i, t, x, "s", 1) for i, (t, x) in enumerate(rows)])
+    texts = frame.selectExpr("coalesce(lang, 'und') as lang", "cast(coalesce(text, '') as binary) as text")
+    full, found = phrases.full_buckets(texts)
+    counts = phrases.phrase_counts(texts, phrases._with_words(found)).cache()
+    assert phrases.shared_buckets(full, found, counts).count() == 0
+    few = found.orderBy("lang", "phrase").limit(found.count() - 3)
+    fewer = phrases.phrase_counts(texts, phrases._with_words(few))
+    assert phrases.shared_buckets(full, few, fewer).count() == 3
+    spelled = phrases.spelled
+    lose = lambda texts, words, block, anywhere=False, held=9: spelled(texts, words, block, anywhere, held).filter(F.lit(anywhere) | (F.col("bucket") % 3 != 0))
+    monkeypatch.setattr(phrases, "spelled", lose)
+    assert sorted(tuple(r) for r in phrases.collocations(frame).collect()) == brute(rows)
+
+
 def test_top_per_language(spark):
     rows = rows_of(9)
     frame = docs_frame(spark, [(i, t, x, "s", 1) for i, (t, x) in enumerate(rows)])
