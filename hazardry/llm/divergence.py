@@ -4,12 +4,11 @@ A term is a run of letters (A-Z, a-z, lower-cased, and every character outside
 ASCII).  A language keeps the terms that stand in at least LEAST of its
 documents.  They are found by growing byte prefixes level by level:
 
-* A task reads its texts once and notes for every (lang, source, term) how
-  often it occurs and in how many documents, added up in the task.  The terms of
-  a document are sorted, so a term also knows how many levels of prefix it shares
-  with the one before it; a prefix of some level is counted once per document, at
-  the first term that brings it.
-* Level by level, prefixes of 2, 4, 8, ... bytes are counted by distinct
+* A task reads its texts once and notes the terms of every document and how often
+  they occur, added up in the task.  The terms of a document are sorted, so a term
+  also knows how many levels of prefix it shares with the one before it; a prefix
+  of some level is counted once per document, at the first term that brings it.
+* Level by level, prefixes of 4, 8, 16, ... bytes are counted by distinct
   documents, and those below LEAST are discarded.  The next level reads only
   terms below a prefix that is left, so the rare tail of the vocabulary is
   shuffled as a few short prefixes.  A term shorter than the level's length is
@@ -18,8 +17,9 @@ documents.  They are found by growing byte prefixes level by level:
   joined by key beyond that.
 
 Distances of sources sum over all kept terms.  A task takes a share of a
-language's terms, as a matrix of sources by terms of about CELLS cells, and adds
-up the distances of its rows, block by block; the sums of tasks are added by key.
+language's terms, as a matrix of sources by terms of CELLS cells or the square of
+the sources, whichever is more, so its sums are no more rows than it reads.  The
+sums of tasks are added by key.
 """
 
 from __future__ import annotations
@@ -39,51 +39,81 @@ LEAST = 30
 PRIOR = 5
 UNIT = 1_000_000_000
 TOP = 50
-FIRST_LEVEL = 2
+FIRST_LEVEL = 4
 MOST_BROADCAST = 200_000
-HELD = 400_000
-CELLS = 1 << 18
+NOTES_AT_ONCE = 200_000
+HELD = 2_000_000
+CELLS = 1 << 15
 
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 _NOTES = "lang string, source string, term binary, shared int, docs long, n long"
+_KEYS = ["lang", "source", "term", "shared"]
 
 
-def shared_levels(before: bytes, term: bytes) -> int:
-    """How many levels of prefix two different terms share."""
-    levels, width = 0, FIRST_LEVEL
-    while before[:width] == term[:width]:
-        levels, width = levels + 1, width * 2
-    return levels
+def shared_levels(terms: list[bytes], new: np.ndarray) -> np.ndarray:
+    """How many levels of prefix each term shares with the one before it; none where a document is `new`."""
+    if not terms:
+        return np.empty(0, np.int32)
+    heads = np.array(terms, "S16").view(np.uint8).reshape(len(terms), 16)  # terms hold no zero bytes
+    shared, width = np.zeros(len(terms), np.int32), FIRST_LEVEL
+    same = ~new
+    while width <= 16:
+        same[1:] &= (heads[1:, :width] == heads[:-1, :width]).all(axis=1) & (heads[1:, width - 1] > 0)
+        shared += same
+        width *= 2
+    for i in np.flatnonzero(same).tolist():
+        longer = width
+        while len(terms[i]) >= longer and terms[i][:longer] == terms[i - 1][:longer]:
+            shared[i], longer = shared[i] + 1, longer * 2
+    return shared
 
 
-def term_notes(docs: DataFrame, held: int = HELD) -> DataFrame:
-    """Per task, (lang, source, term, shared): documents and occurrences.  One row per group has no term."""
+def _added(tables: list[pa.Table]) -> pa.Table:
+    sums = pa.concat_tables(tables).group_by(_KEYS, use_threads=False).aggregate([("docs", "sum"), ("n", "sum")])
+    return sums.rename_columns([c.removesuffix("_sum") for c in sums.column_names]).select([*_KEYS, "docs", "n"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        notes: dict[tuple, list[int]] = {}
 
-        def out() -> pa.RecordBatch:
-            keys = list(zip(*notes)) or [[]] * 4
-            sums = list(zip(*notes.values())) or [[]] * 2
-            kinds = (pa.string(), pa.string(), pa.binary(), pa.int32(), pa.int64(), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((*keys, *sums), kinds)], names=["lang", "source", "term", "shared", "docs", "n"])
+def term_notes(docs: DataFrame, held: int = HELD) -> DataFrame:
+    """(lang, source, term, shared) with its documents and occurrences, added up in each task; a group has a row without a term."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables: list[pa.Table] = []
+        for part in parts(batches):
+            tables.append(part)
+            if sum(t.num_rows for t in tables) > held:
+                tables = [_added(tables)]
+                if tables[0].num_rows > held // 2:
+                    yield from tables.pop().to_batches(NOTES_AT_ONCE)
+        if tables:
+            yield from _added(tables).to_batches(NOTES_AT_ONCE)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         for batch in batches:
-            for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
-                counts = Counter(_TERM.findall(text.lower()))  # bytes: only A-Z change
-                before = b""
-                for term in sorted(counts):
-                    shared = shared_levels(before, term) if before else 0
-                    note = notes.setdefault((lang, source, term, shared), [0, 0])
-                    note[0] += 1
-                    note[1] += counts[term]
-                    before = term
-                note = notes.setdefault((lang, source, None, 0), [0, 0])
-                note[0] += 1
-                if len(notes) > held:
-                    yield out()
-                    notes = {}
-        yield out()
+            terms, n, sizes = [], [], []
+            for at, text in enumerate(batch.column(2)):
+                counts = Counter(_TERM.findall(text.as_py().lower()))  # bytes: only A-Z change
+                own = sorted(counts)
+                terms += own
+                n += map(counts.__getitem__, own)
+                sizes.append(len(own))
+                if len(terms) > NOTES_AT_ONCE or at == batch.num_rows - 1:
+                    yield noted(batch.slice(at + 1 - len(sizes), len(sizes)), terms, n, np.array(sizes))
+                    terms, n, sizes = [], [], []
+
+    def noted(batch: pa.RecordBatch, terms: list[bytes], n: list[int], sizes: np.ndarray) -> pa.Table:
+        new = np.zeros(len(terms), bool)
+        new[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+        rows = pa.array(np.concatenate([np.repeat(np.arange(len(sizes)), sizes), np.arange(len(sizes))]))
+        none = len(sizes)
+        columns = {
+            "lang": batch.column(0).take(rows),
+            "source": batch.column(1).take(rows),
+            "term": pa.array(terms + [None] * none, pa.binary()),
+            "shared": pa.array(np.concatenate([shared_levels(terms, new), np.zeros(none, np.int32)])),
+            "docs": pa.array(np.ones(len(terms) + none, np.int64)),
+            "n": pa.array(n + [0] * none, pa.int64()),
+        }
+        return pa.table(columns)
 
     empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     texts = docs.select(empty("lang").alias("lang"), empty("source").alias("source"), empty("text").cast("binary").alias("text"))
@@ -94,6 +124,11 @@ def _head(width: int) -> Column:
     return F.substring("term", 1, width)
 
 
+def _sized(rows: DataFrame, n: int, most: int) -> DataFrame:
+    """To be broadcast if it is few rows; joined by key otherwise."""
+    return F.broadcast(rows) if n <= most else rows
+
+
 def kept_terms(notes: DataFrame, least: int = LEAST, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """lang and term of the terms in at least `least` documents of their language."""
     whole: list[DataFrame] = []
@@ -113,9 +148,10 @@ def kept_terms(notes: DataFrame, least: int = LEAST, most_broadcast: int = MOST_
         n = open_heads.count()
         if not n:
             break
+        if level > 1:  # the first levels leave most terms, later ones few
+            notes = staged(below, "terms-below")
         longer = notes.filter(F.octet_length("term") >= width)
-        joined = F.broadcast(open_heads) if n <= most_broadcast else open_heads  # checked size
-        below = longer.join(joined, (F.col("lang") == F.col("_lang")) & (_head(width) == F.col("_head")), "left_semi")
+        below = longer.join(_sized(open_heads, n, most_broadcast), (F.col("lang") == F.col("_lang")) & (_head(width) == F.col("_head")), "left_semi")
         level, width = level + 1, width * 2
     kept = whole[0]
     for more in whole[1:]:
@@ -137,7 +173,7 @@ def pair_sums(shares: DataFrame, groups: DataFrame, cells: int = CELLS) -> DataF
     g, p0 (the share of a term the group lacks), kept (the language's terms).
     """
     sizes = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"))
-    chunks = sizes.select(F.col("lang").alias("_lang"), F.greatest(F.lit(1), F.ceil(F.col("n") * F.col("kept") / cells)).cast("int").alias("chunks"))
+    chunks = sizes.select(F.col("lang").alias("_lang"), F.greatest(F.lit(1), F.ceil(F.col("n") * F.col("kept") / F.greatest(F.lit(cells), F.col("n") * F.col("n")))).cast("int").alias("chunks"))
     dealt = shares.join(chunks, F.col("lang") == F.col("_lang")).withColumn("chunk", F.expr("pmod(xxhash64(term), chunks)").cast("int"))
     rows = groups.join(chunks, F.col("lang") == F.col("_lang")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
 
@@ -176,10 +212,9 @@ def source_divergence(docs: DataFrame, least: int = LEAST, top: int = TOP, most_
     kept = staged(kept_terms(notes, least, most_broadcast), "terms-kept")
     sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"))
     counts = staged(
-        notes.filter(F.col("term").isNotNull())
+        notes.join(_sized(kept, kept.count(), most_broadcast), ["lang", "term"], "left_semi")
         .groupBy("lang", "source", "term")
-        .agg(F.sum("n").alias("n"))
-        .join(kept, ["lang", "term"], "left_semi"),
+        .agg(F.sum("n").alias("n")),
         "terms-counts",
     )
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
