@@ -43,7 +43,7 @@ def hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sanitise.personal_data(_table(spark, sf_dir, "documents")).drop("marks", "text_key")
+    return sanitise.personal_data(_table(spark, sf_dir, "documents")).drop("marks")
 
 
 def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

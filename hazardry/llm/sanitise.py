@@ -1,39 +1,43 @@
 """Personal data, and the terms that give it away.
 
 Four kinds are found by pattern: email, ip, card and phone.  Each found value is
-a protected entity.  A term, a word of three letters or more, that stands within
-REACH words of an entity may reveal it.  The corpus tells how strongly: the
-pointwise mutual information
-
-    log2( documents with term beside entity * all documents
-          / (documents with the entity * documents with the term) )
-
-is the number of bits the term discloses about the entity.  From GENERALISE bits
-on a term is generalised where it stands beside that entity, from REMOVE bits on
-it is removed.  Pairs seen in fewer than SUPPORT documents say nothing.
-
-Counts cover every document.  Entities travel as 128-bit hashes.
+a protected entity.  A term is a word of three letters or more outside all found
+values.  Any term of a text that holds an entity may reveal it, near or far; how
+strongly, the corpus tells.  Of N distinct texts, `of` hold the entity, `n` the
+term and `both` both.  The term then discloses
+
+    log2( (both * N / n + PRIOR) / (of + PRIOR) )      bits about the entity:
+
+the pointwise mutual information, with the share of the entity's texts that hold
+the term drawn towards its share of all texts, as if PRIOR more texts had been
+seen, so that entities of one or two texts are judged as well.  The entity itself
+is worth log2(N / of) bits.  A term that discloses GENERALISE of them or more is
+generalised wherever it stands in the entity's texts, from REMOVE on it is
+removed.  An entity that all texts hold is no secret.
+
+Counts cover every text; equal texts count once.  Entities travel as 128-bit
+hashes.  Entities that stand in the same texts disclose alike and are one class,
+so a list of addresses meets its terms once, not once per address.  Pairs whose
+bits can't reach the bound, given `of` and `n`, are not counted.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardry.llm.common import free_names, text_or_empty
 from hazardry.sources.workspace import staged
 
 KINDS = ("email", "ip", "card", "phone")
-REACH = 5
-SUPPORT = 3
-GENERALISE, REMOVE = 8.0, 11.0
+PRIOR = 1.0
+GENERALISE, REMOVE = 0.7, 0.85
 COUNTER_SIZE = 400_000
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -44,6 +48,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TERM = re.compile(r"[^\W\d_]{3,}")
 _NO_DIGIT = re.compile(r"[^0-9]")
 
+KEY = ["key1", "key2"]
+CLASS = ["of", "set1", "set2"]
+
 Span = tuple[str, int, int]
 
 
@@ -89,139 +96,134 @@ def base_spans(text: str) -> list[Span]:
     return spans
 
 
-def beside(text: str, spans: list[Span], reach: int = REACH) -> list[tuple[bytes, str, int, int]]:
-    """(entity, term, start, end) of the terms within `reach` terms of a span and in no span."""
-    if not spans:
-        return []
-    words = [m.span() for m in _TERM.finditer(text)]
-    starts = [s for s, _ in words]
+def terms_outside(text: str, spans: list[Span]) -> list[tuple[str, int, int]]:
+    """(term, start, end) of the terms that touch no span."""
     taken = sorted((a, b) for _, a, b in spans)
-    covered = set()
-    for a, b in taken:
-        k = max(bisect_left(starts, a) - 1, 0)
-        while k < len(words) and words[k][0] < b:
-            if words[k][1] > a:
-                covered.add(k)
-            k += 1
-    found = {}
-    for kind, a, b in spans:
-        entity = xxhash.xxh3_128_digest(f"{kind}:{text[a:b].lower()}")
-        left, right = bisect_left(starts, a), bisect_left(starts, b)
-        for k in range(max(left - reach, 0), min(right + reach, len(words))):
-            if k not in covered:
-                found[entity, k] = (entity, text[words[k][0] : words[k][1]].lower(), *words[k])
-    return list(found.values())
-
-
-def _found(docs: DataFrame) -> DataFrame:
-    """Every document with its spans and the terms beside them."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        near = pa.list_(
-            pa.struct([("entity", pa.binary()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-        )
-        for batch in batches:
-            spans, terms = [], []
-            for text in batch.column(1).to_pylist():
-                own = base_spans(text)
-                spans.append([dict(zip(("kind", "start", "end"), s)) for s in own])
-                terms.append([dict(zip(("entity", "term", "start", "end"), t)) for t in beside(text, own)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(spans, span), pa.array(terms, near)],
-                names=["doc_id", "text_key", "spans", "terms"],
-            )
-
+    out, at, reach = [], 0, 0
+    for m in _TERM.finditer(text):
+        while at < len(taken) and taken[at][0] < m.end():
+            reach = max(reach, taken[at][1])
+            at += 1
+        if m.start() >= reach:
+            out.append((m.group().lower(), *m.span()))
+    return out
+
+
+def text_keys() -> list[Column]:
+    """128 bits that stand for a text; null counts as empty."""
     text = text_or_empty()
-    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_key")).mapInArrow(
-        run,
-        f"doc_id {dict(docs.dtypes)['doc_id']}, text_key long, spans array<struct<kind: string, start: int, end: int>>, "
-        "terms array<struct<entity: binary, term: string, start: int, end: int>>",
-    )
+    return [F.xxhash64(text).alias("key1"), F.xxhash64(F.lit(1), text).alias("key2")]
 
 
-def term_documents(docs: DataFrame) -> DataFrame:
-    """term, n: in how many documents each term stands, added up in each task first."""
+def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct texts with spans, entities and, if there are any, terms; and in how many texts each term stands."""
+    schema = (
+        "key1 long, key2 long, spans array<struct<kind: string, start: int, end: int>>, entities array<binary>, "
+        "terms array<struct<term: string, start: int, end: int>>, term string, n long"
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"]
-            )
+        place = [("start", pa.int32()), ("end", pa.int32())]
+        types = [
+            pa.int64(),
+            pa.int64(),
+            pa.list_(pa.struct([("kind", pa.string()), *place])),
+            pa.list_(pa.binary()),
+            pa.list_(pa.struct([("term", pa.string()), *place])),
+            pa.string(),
+            pa.int64(),
+        ]
+        names = [*KEY, "spans", "entities", "terms", "term", "n"]
+
+        def rows(size: int, **columns: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(columns.get(c, [None] * size), t) for c, t in zip(names, types)], names=names)
 
         counts: Counter = Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(set(_TERM.findall(text.lower())))
+            spans, entities, terms = [], [], []
+            for text in batch.column("text").to_pylist():
+                own = base_spans(text)
+                words = terms_outside(text, own) if own else []
+                counts.update({w[0] for w in words} if own else {w.lower() for w in set(_TERM.findall(text))})
+                spans.append([dict(zip(("kind", "start", "end"), s)) for s in own])
+                entities.append(list({xxhash.xxh3_128_digest(f"{k}:{text[a:b].lower()}") for k, a, b in own}))
+                terms.append([dict(zip(("term", "start", "end"), w)) for w in words])
                 if len(counts) > COUNTER_SIZE:
-                    yield out()
+                    yield rows(len(counts), term=list(counts), n=list(counts.values()))
                     counts = Counter()
-        yield out()
+            key1, key2 = (batch.column(c).to_pylist() for c in KEY)
+            yield rows(batch.num_rows, key1=key1, key2=key2, spans=spans, entities=entities, terms=terms)
+        yield rows(len(counts), term=list(counts), n=list(counts.values()))
 
-    source = docs.select(text_or_empty().alias("text"))
-    return source.mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    texts = docs.select(text_or_empty().alias("text")).distinct().select("text", *text_keys())
+    both = staged(texts.mapInArrow(run, schema), "sanitise-found")
+    counts = both.filter(F.col("term").isNotNull()).groupBy("term").agg(F.sum("n").alias("n"))
+    return both.filter(F.col("key1").isNotNull()).select(*KEY, "spans", "entities", "terms"), counts
 
 
-def disclosure(found: DataFrame, docs: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """entity, term, bits of pairs that stand side by side in `support` documents or more."""
-    near = found.select("row", F.explode("terms").alias("t")).select("row", "t.entity", "t.term").distinct()
-    pairs = staged(near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= support), "disclosure-pairs")
-    entities = (
-        found.select("row", F.explode("terms.entity").alias("entity"))
-        .distinct()
-        .groupBy("entity")
-        .agg(F.count(F.lit(1)).alias("of_entity"))
-    )
-    terms = term_documents(docs).join(pairs.select("term").distinct(), "term", "left_semi")
+def disclosed(both: Column, of: Column, n: Column, total: int) -> Column:
+    """The share of an entity's information that a term discloses; null if all texts hold the entity."""
+    every = F.lit(float(total))
+    return F.when(of < total, F.log2((both * every / n + PRIOR) / (of + PRIOR)) / F.log2(every / of))
+
+
+def disclosure(found: DataFrame, counts: DataFrame, generalise: float = GENERALISE) -> DataFrame:
+    """key1, key2, term, share: the terms of each text that disclose one of its entities, with the largest share."""
     total = found.count()
-    return (
-        pairs.join(entities, "entity")
-        .join(terms, "term")
-        .select("entity", "term", F.log2(F.col("both") * total / (F.col("of_entity") * F.col("n"))).alias("bits"))
+    held = found.filter(F.size("entities") > 0)
+    entities = held.select(*KEY, F.explode("entities").alias("entity"))
+    sets = entities.groupBy("entity").agg(
+        F.count(F.lit(1)).alias("of"), F.bit_xor("key1").alias("set1"), F.bit_xor("key2").alias("set2")
+    )
+    classes = entities.join(sets, "entity").select(*KEY, *CLASS).distinct()
+    terms = held.select(*KEY, F.explode(F.array_distinct(F.transform("terms", lambda t: t["term"]))).alias("term"))
+    at_most = disclosed(F.least("of", "n"), F.col("of"), F.col("n"), total)
+    pairs = staged(terms.join(counts, "term").join(classes, KEY).filter(at_most >= generalise), "sanitise-pairs")
+    share = disclosed(F.col("both"), F.col("of"), F.col("n"), total)
+    telling = (
+        pairs.groupBy("term", "n", *CLASS)
+        .agg(F.count(F.lit(1)).alias("both"))
+        .select("term", *CLASS, share.alias("share"))
+        .filter(F.col("share") >= generalise)
+    )
+    return pairs.drop("n").join(telling, ["term", *CLASS]).groupBy(*KEY, "term").agg(F.max("share").alias("share"))
+
+
+def _marked(docs: DataFrame, generalise: float, remove: float) -> DataFrame:
+    """key1, key2 and marks of each distinct text: its spans, then terms to generalise, then those to remove."""
+    found, counts = _found(docs)
+    more = (
+        found.select(*KEY, F.explode("terms").alias("t"))
+        .select(*KEY, "t.*")
+        .join(disclosure(found, counts, generalise), [*KEY, "term"])
+        .groupBy(*KEY)
+        .agg(F.array_sort(F.collect_list(F.struct((F.col("share") >= remove).alias("gone"), "start", "end"))).alias("more"))
+    )
+    kind = lambda s: F.when(s["gone"], "gone").otherwise("term").alias("kind")
+    later = F.transform("more", lambda s: F.struct(kind(s), s["start"].alias("start"), s["end"].alias("end")))
+    return found.select(*KEY, "spans").join(more, KEY, "left").select(
+        *KEY, "spans", F.when(F.col("more").isNull(), F.col("spans")).otherwise(F.concat("spans", later)).alias("marks")
     )
 
 
 def personal_data(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
-    """One row per document: doc_id, counts per kind, base_sha256, spans, and `marks` for redact().
+    """One row per document: doc_id, counts per kind, base_sha256, spans, and `marks`, the same as a list.
 
     Terms are listed in spans as kind `term` (generalised) or `gone` (removed),
     after the four kinds.  Null counts as empty and has no spans.  Repeated rows
-    are documents of their own.  Other columns are not read.
+    each give a row; equal texts have equal marks.  An empty table gives no rows.
+    Other columns are not read.
     """
-    found = staged(_found(docs).withColumn("row", F.monotonically_increasing_id()), "sanitise-found")
-    telling = disclosure(found, docs).filter(F.col("bits") >= generalise)
-    extra = (
-        found.select("row", F.explode("terms").alias("t"))
-        .select("row", "t.*")
-        .join(telling, ["entity", "term"])
-        .groupBy("row", "start", "end")
-        .agg(F.max("bits").alias("bits"))
-        .groupBy("row")
-        .agg(
-            F.collect_list(
-                F.struct(F.when(F.col("bits") >= remove, "gone").otherwise("term").alias("kind"), "start", "end")
-            ).alias("more")
-        )
-    )
     told = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    later = F.array_sort(
-        F.transform(
-            F.coalesce("more", F.expr("array()")),
-            lambda s: F.struct((s["kind"] == "gone").alias("last"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")),
-        )
-    )
-    marks = F.concat(
-        F.col("spans"), F.transform(later, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    )
-    return found.drop("terms").join(extra, "row", "left").select(
-        "doc_id",
+    of_text = _marked(docs, generalise, remove).select(
+        *KEY,
         *[count(k) for k in KINDS],
         F.sha2(F.array_join(F.transform("spans", told), ","), 256).alias("base_sha256"),
-        F.array_join(F.transform(marks, told), ",").alias("spans"),
-        marks.alias("marks"),
-        "text_key",
+        F.array_join(F.transform("marks", told), ",").alias("spans"),
+        "marks",
     )
+    return docs.select("doc_id", *text_keys()).join(of_text, KEY).drop(*KEY)
 
 
 def redacted(text: str, marks: list[Span]) -> str:
@@ -234,19 +236,15 @@ def redacted(text: str, marks: list[Span]) -> str:
     return "".join([*out, text[at:]])
 
 
-def redact(docs: DataFrame) -> DataFrame:
+def redact(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """All rows and columns of docs with the text sanitised; null stays null."""
-    own_id, own_key, own_marks = free_names(docs, "_id", "_key", "_marks")
-    marks = (
-        personal_data(docs)
-        .select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key), F.col("marks").alias(own_marks))
-        .dropDuplicates([own_id, own_key])
-    )
-    key = F.xxhash64(text_or_empty())
-    both = docs.join(marks, F.col("doc_id").eqNullSafe(F.col(own_id)) & (key == F.col(own_key)), "left")
+    own = free_names(docs, "_key1", "_key2", "_marks")
+    marks = _marked(docs, generalise, remove).select(*[F.col(c).alias(o) for c, o in zip([*KEY, "marks"], own)])
+    first, second = text_keys()
+    both = docs.join(marks, (first == F.col(own[0])) & (second == F.col(own[1])), "left")
 
     @F.udf("string", useArrow=True)
     def clean(text, spans):
         return None if text is None else redacted(text, [(s["kind"], s["start"], s["end"]) for s in spans or ()])
 
-    return both.withColumn("text", clean("text", own_marks)).select(*docs.columns)
+    return both.withColumn("text", clean("text", own[2])).select(*docs.columns)
