@@ -13,10 +13,10 @@ text, is the content of the index:
   entries by key and chains different texts under one key;
 * the buckets are written to the shared folder.
 
-Documents do not look their key up by slot, bucket and link: an equi-join of the
-stored index on key and SHA-256 replaces that lookup.  keep_id and group_size
-come from the aggregation; the directory only deals out how the index is stored,
-and the links of a chain are stored for readers of the index, not read here.
+A document takes its slot from the first bits of its key, the bucket from the
+directory, and from the bucket's entries under its key the link of the chain that
+has its SHA-256; keep_id and group_size are those of that entry.  This is one
+equi-join on bucket, key and SHA-256, so adaptive execution may split a hot entry.
 """
 
 from __future__ import annotations
@@ -87,8 +87,15 @@ def build_directory(entries: DataFrame, capacity: int = CAPACITY, most_bits: int
     return spark.createDataFrame(slots, "slot long, bucket int"), depth
 
 
-def build_index(docs: DataFrame, capacity: int = CAPACITY, most_bits: int = MOST_BITS) -> DataFrame:
-    """The stored index: bucket, key, sha, keep_id, group_size and the entry's link in its chain."""
+def _in_bucket(rows: DataFrame, directory: DataFrame, depth: int) -> DataFrame:
+    """Rows with the bucket that the directory names for their key's slot; 2**most_bits slots at most."""
+    return rows.withColumn("slot", _slot(depth)).join(F.broadcast(directory), "slot").drop("slot")
+
+
+def build_index(
+    docs: DataFrame, capacity: int = CAPACITY, most_bits: int = MOST_BITS
+) -> tuple[DataFrame, DataFrame, int]:
+    """The stored index (bucket, key, sha, keep_id, group_size, the entry's link in its chain), the directory and its depth."""
     entries = staged(
         _keyed(docs)
         .groupBy("key", "norm")
@@ -98,16 +105,15 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY, most_bits: int = MOST
     )
     directory, depth = build_directory(entries, capacity, most_bits)
     chain = Window.partitionBy("bucket", "key")
-    return staged(
-        entries.withColumn("slot", _slot(depth))
-        .join(F.broadcast(directory), "slot")  # 2**most_bits slots at most
-        .drop("slot")
+    index = staged(
+        _in_bucket(entries, directory, depth)
         .repartition("bucket")
         .withColumn("link", F.row_number().over(chain.orderBy("sha")))
         .withColumn("links", F.count(F.lit(1)).over(chain))
         .sortWithinPartitions("bucket", "key", "link"),
         "dedup-index",
     )
+    return index, directory, depth
 
 
 def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY, most_bits: int = MOST_BITS) -> DataFrame:
@@ -117,7 +123,7 @@ def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY, most_bits: int =
     than all others.  Of rows equal in id and text one is kept.  Other columns
     are not read.  An empty table gives no rows.
     """
-    index = build_index(docs, capacity, most_bits)
+    index, directory, depth = build_index(docs, capacity, most_bits)
     rows = (
         _keyed(docs)
         .select("doc_id", "key", F.unhex(F.sha2("norm", 256)).alias("sha"))
@@ -125,7 +131,8 @@ def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY, most_bits: int =
         .agg(F.count(F.lit(1)).alias("repeats"))
     )
     return (
-        rows.join(index.select("key", "sha", "keep_id", "group_size"), ["key", "sha"])
+        _in_bucket(rows, directory, depth)
+        .join(index.select("bucket", "key", "sha", "keep_id", "group_size"), ["bucket", "key", "sha"])
         .withColumn("repeat", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats"))))
         .select(
             "doc_id",

@@ -40,10 +40,25 @@ def test_colliding_keys_are_told_apart(spark, monkeypatch):
     monkeypatch.setattr(E, "_keyed", lambda docs: keyed(docs).withColumn("key", E.F.lit(7).cast("long")))
     got = E.exact_duplicates(docs_frame(spark, ROWS), capacity=2, most_bits=4)
     assert by_id(got, "keep_id", "group_size", "kept", "text_sha256") == expected(ROWS)
-    index = E.build_index(docs_frame(spark, ROWS), capacity=2, most_bits=4).collect()
+    index = E.build_index(docs_frame(spark, ROWS), capacity=2, most_bits=4)[0].collect()
     assert sorted(r["link"] for r in index) == list(range(1, len(index) + 1)) and {r["links"] for r in index} == {len(index)}
 
 
+def test_documents_go_through_the_directory(spark, monkeypatch):
+    """Slots taken out of the directory take their documents out of the result."""
+    whole = E.build_index
+
+    def cut(*args):
+        index, directory, depth = whole(*args)
+        return index, directory.filter("bucket > 0"), depth
+
+    lost = [r["key"] for r in whole(docs_frame(spark, ROWS), 2)[0].filter("bucket = 0").collect()]
+    everything = {r["text_sha256"] for r in E.exact_duplicates(docs_frame(spark, ROWS), capacity=2).collect()}
+    monkeypatch.setattr(E, "build_index", cut)
+    found = {r["text_sha256"] for r in E.exact_duplicates(docs_frame(spark, ROWS), capacity=2).collect()}
+    assert lost and len(found) == len(everything) - len(lost)
+
+
 def test_empty_table(spark):
     assert E.exact_duplicates(docs_frame(spark, [])).collect() == []
 
@@ -61,7 +76,7 @@ def test_directory_splits_and_doubles():
 
 
 def test_owners_hold_key_ranges(spark):
-    index = E.build_index(docs_frame(spark, ROWS), capacity=2).collect()
+    index = E.build_index(docs_frame(spark, ROWS), capacity=2)[0].collect()
     spans = {}
     for r in index:
         key = r["key"] % (1 << 64)
