@@ -23,20 +23,20 @@ def training_sample(
 
     At most `rows` labels, those with the smallest hash of their id, whatever
     the size of the corpus; they are broadcast, so documents are not shuffled.
-    An id with several labels counts once, with the largest.  Null ids and null
+    An id with several labels counts once, with the largest; an id with several
+    texts counts once, with the text of the smallest hash.  Null ids and null
     labels are passed over.  With `distinct`, equal texts with equal labels count once.
     """
     chosen = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(target).isNotNull() & ~held_out())
         .groupBy("doc_id")
-        .agg(F.max(F.col(target).cast("int")).alias("__label"))
+        .agg(F.max(F.col(target).cast("int")).alias("label"))
         .orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
         .limit(rows)
-        .withColumnRenamed("doc_id", "__id")
-    )
-    sample = (
-        docs.select("doc_id", text_or_empty().alias("text"))
-        .join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
-        .select("text", F.col("__label").alias("label"))
     )
+    texts = docs.select("doc_id", text_or_empty().alias("text")).withColumn("hash", F.xxhash64("text"))
+    one = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("hash").alias("hash"))
+    picked = staged(one, f"picked-{target}")  # `rows` at most, so it may be broadcast
+    sample = texts.join(F.broadcast(picked), ["doc_id", "hash"]).select("doc_id", "text", "label").distinct()
+    sample = sample.select("text", "label")
     return staged(sample.distinct() if distinct else sample, f"sample-{target}")

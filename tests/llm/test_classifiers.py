@@ -61,6 +61,15 @@ def test_sample_is_bounded_and_repeatable(spark):
     assert len(first) == 40 and first == second
 
 
+def test_an_id_with_a_third_of_all_rows_gives_one_row(spark):
+    rows = [(k, f"text {k}") for k in range(60)] + [(3, f"again {k % 20}") for k in range(30)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    sample = labelled.training_sample(docs_frame(spark, rows), labels, "toxic", 60).collect()
+    ids = [k for k in range(60) if remainder(k, 5) != 0]
+    assert 3 in ids and len(sample) == len(ids)
+    assert {r["text"] for r in sample} >= {f"text {k}" for k in ids if k != 3}
+
+
 def test_ranking_learns_the_order():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(600, 3))
