@@ -223,5 +223,6 @@ def contamination(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BY
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents no window of an item occurs in, with all their columns."""
-    return mark_items(docs, items).filter("__hits is null").select(*docs.columns)
+    own = ["text" if c == "text" else f"column{k}" for k, c in enumerate(docs.columns)]  # none is a name of mark_items
+    return mark_items(docs.toDF(*own), items).filter("__hits is null").select(*own).toDF(*docs.columns)
 

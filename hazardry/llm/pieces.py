@@ -34,7 +34,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardry.llm.common import text_or_empty
+from hazardry.llm.common import free_names, text_or_empty
 
 MARK = "▁"
 UNKNOWN_COST = 10.0
@@ -227,7 +227,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     schema = source.selectExpr(
         "*", "cast(null as array<int>) token_ids", "cast(null as bigint) n_tokens", "cast(null as boolean) round_trip"
     ).schema
-    return source.select("*", text_or_empty().alias("__text")).mapInArrow(run, schema)
+    return source.select("*", text_or_empty().alias(*free_names(source, "__text"))).mapInArrow(run, schema)
 
 
 def decode(rows: DataFrame, model: str, ids: str = "token_ids", to: str = "text") -> DataFrame:
@@ -243,4 +243,4 @@ def decode(rows: DataFrame, model: str, ids: str = "token_ids", to: str = "text"
 
     source = rows.drop(to)
     schema = source.withColumn(to, F.lit(None).cast("string")).schema
-    return source.select("*", rows[ids].alias("__ids")).mapInArrow(run, schema)
+    return source.select("*", rows[ids].alias(*free_names(source, "__ids"))).mapInArrow(run, schema)

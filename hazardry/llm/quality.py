@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardry.llm.common import text_or_empty
+from hazardry.llm.common import free_names, text_or_empty
 from hazardry.llm.labelled import SAMPLE_ROWS, held_out, training_sample
 
 THRESHOLD = 0.3
@@ -134,7 +134,7 @@ def score_column(docs: DataFrame, ranking: Ranking, name: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*own, pa.array(ranking.score(x))], names=schema.names)
 
     schema = docs.withColumn(name, F.lit(0.0).cast("double")).schema
-    return docs.select("*", text_or_empty().cast("binary").alias("__bytes")).mapInArrow(run, schema)
+    return docs.select("*", text_or_empty().cast("binary").alias(*free_names(docs, "__bytes"))).mapInArrow(run, schema)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -145,4 +145,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that score THRESHOLD or more, with all their columns."""
-    return score_column(docs, train(docs, labels), "__quality").filter(F.col("__quality") >= THRESHOLD).select(*docs.columns)
+    (score,) = free_names(docs, "__quality")
+    return score_column(docs, train(docs, labels), score).filter(F.col(score) >= THRESHOLD).select(*docs.columns)
