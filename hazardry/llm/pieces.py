@@ -29,17 +29,19 @@ from math import inf
 
 import ahocorasick
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardry.llm.common import free_names, text_or_empty
+from hazardry.llm.common import free_names
 
 MARK = "▁"
 UNKNOWN_COST = 10.0
 REMEMBERED = 200_000
 ROWS_AT_ONCE = 512
+BYTES_AT_ONCE = 1 << 22
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -196,11 +198,28 @@ def _sent(docs: DataFrame, model: str) -> str:
     return model.rstrip("/").rsplit("/", 1)[-1]
 
 
-def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that the lists of one portion, not of a whole batch, are in memory."""
+def _place(rows: DataFrame, column: str) -> int:
+    """Where a column stands, found as Spark finds it, in any case."""
+    return [c.lower() for c in rows.columns].index(column.lower())
+
+
+def _portions(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the lists of one portion, not of a whole batch, are in memory.
+
+    A portion ends at ROWS_AT_ONCE rows, or with the row at which its texts or ids reach BYTES_AT_ONCE.
+    """
     for batch in batches:
-        for start in range(0, len(batch), ROWS_AT_ONCE):
-            yield batch.slice(start, ROWS_AT_ONCE)
+        values = batch.column(column)
+        width = 1 if pa.types.is_string(values.type) else 4
+        measure = pc.binary_length if width == 1 else pc.list_value_length
+        start = size = 0
+        for row, length in enumerate(measure(values).to_pylist()):
+            size += (length or 0) * width
+            if row + 1 - start == ROWS_AT_ONCE or size >= BYTES_AT_ONCE:
+                yield batch.slice(start, row + 1 - start)
+                start, size = row + 1, 0
+        if start < len(batch):
+            yield batch.slice(start)
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
@@ -212,22 +231,22 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     have no ids and round_trip true.  Columns of these three names are replaced.
     """
     name = _sent(docs, model)
+    source = docs.drop("token_ids", "n_tokens", "round_trip")
+    place = _place(source, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = vocabulary(name)
-        for batch in _portions(batches):
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+        for batch in _portions(batches, place):
+            texts = [t or "" for t in batch.column(place).to_pylist()]
             ids = [pieces.encode(t) for t in texts]
             same = [pieces.decode(i) == t for i, t in zip(ids, texts)]
-            own = [batch.column(i) for i in range(batch.num_columns - 1)]
             added = [pa.array(ids, pa.list_(pa.int32())), pa.array([len(i) for i in ids], pa.int64()), pa.array(same)]
-            yield pa.RecordBatch.from_arrays(own + added, names=schema.names)
+            yield pa.RecordBatch.from_arrays(batch.columns + added, names=schema.names)
 
-    source = docs.drop("token_ids", "n_tokens", "round_trip")
     schema = source.selectExpr(
         "*", "cast(null as array<int>) token_ids", "cast(null as bigint) n_tokens", "cast(null as boolean) round_trip"
     ).schema
-    return source.select("*", text_or_empty().alias(*free_names(source, "__text"))).mapInArrow(run, schema)
+    return source.mapInArrow(run, schema)
 
 
 def decode(rows: DataFrame, model: str, ids: str = "token_ids", to: str = "text") -> DataFrame:
@@ -236,7 +255,7 @@ def decode(rows: DataFrame, model: str, ids: str = "token_ids", to: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = vocabulary(name)
-        for batch in _portions(batches):
+        for batch in _portions(batches, len(schema) - 1):
             texts = [None if i is None else pieces.decode(i) for i in batch.column(batch.num_columns - 1).to_pylist()]
             own = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*own, pa.array(texts, pa.string())], names=schema.names)
