@@ -1,4 +1,4 @@
-"""Planar geography on latitude/longitude columns."""
+"""Geography on latitude/longitude columns; planar, but for polygons with great-circle edges."""
 
 from __future__ import annotations
 
@@ -26,6 +26,90 @@ def in_box(lat: Column, lon: Column, min_lat, max_lat, min_lon, max_lon) -> Colu
     return lat.between(float(min_lat), float(max_lat)) & lon.between(float(min_lon), float(max_lon))
 
 
+def _unit(lat: float, lon: float) -> tuple[float, float, float]:
+    """A position as a vector from the centre of a sphere of radius one."""
+    a, b = math.radians(lat), math.radians(lon)
+    return math.cos(a) * math.cos(b), math.cos(a) * math.sin(b), math.sin(a)
+
+
+def _cross(u: tuple, v: tuple) -> tuple[float, float, float]:
+    return u[1] * v[2] - u[2] * v[1], u[2] * v[0] - u[0] * v[2], u[0] * v[1] - u[1] * v[0]
+
+
+def _dot(u: tuple, v: tuple) -> float:
+    return sum(a * b for a, b in zip(u, v))
+
+
+_ON_EDGE = 1e-12
+
+
+def _edge_normals(corners: list[tuple[float, float]]) -> list[tuple[float, float, float]]:
+    """Unit normals of the planes through the edges, pointing inwards.
+
+    Corners are (latitude, longitude), eastwards along the south first, the last
+    not repeated.  The polygon must be convex, within a hemisphere, without
+    repeated corners, a pole inside or the antimeridian across it.
+    """
+    if len(corners) < 3:
+        raise ValueError("a polygon has three corners at least")
+    lons = [lon for _, lon in corners]
+    if max(lons) - min(lons) >= 180 or min(lons) < -180 or max(lons) > 180:
+        raise ValueError("a polygon spans less than 180 degrees and does not cross the antimeridian")
+    if any(abs(lat) >= 90 for lat, _ in corners):
+        raise ValueError("corners lie between the poles")
+    points = [_unit(*c) for c in corners]
+    normals = []
+    for a, b in zip(points, points[1:] + points[:1]):
+        n = _cross(a, b)
+        size = math.sqrt(_dot(n, n))
+        if size < _ON_EDGE:
+            raise ValueError("neighbouring corners are equal")
+        normals.append(tuple(x / size for x in n))
+    if any(_dot(n, p) < -_ON_EDGE for n in normals for p in points):
+        raise ValueError("corners must go round a convex polygon counter-clockwise")
+    return normals
+
+
+def polygon_bounds(corners: list[tuple[float, float]]) -> tuple[float, float, float, float]:
+    """The planar box around a polygon with great-circle edges, a hair wider.
+
+    An edge bulges towards the nearer pole; where its highest point lies between its ends, that counts.
+    """
+    lats, lons = [c[0] for c in corners], [c[1] for c in corners]
+    points = [_unit(*c) for c in corners]
+    low, high = min(lats), max(lats)
+    for a, b, n in zip(points, points[1:] + points[:1], _edge_normals(corners)):
+        steep = math.hypot(n[0], n[1])
+        if steep < _ON_EDGE:
+            continue
+        for sign in (1.0, -1.0):
+            top = (-sign * n[0] * n[2] / steep, -sign * n[1] * n[2] / steep, sign * steep)
+            if _dot(_cross(a, top), n) > 0 and _dot(_cross(top, b), n) > 0:
+                lat = math.degrees(math.asin(top[2]))
+                low, high = min(low, lat), max(high, lat)
+    hair = 1e-9
+    return low - hair, high + hair, min(lons) - hair, max(lons) + hair
+
+
+def in_polygon(lat: Column, lon: Column, corners: list[tuple[float, float]]) -> Column:
+    """Whether a position lies in a convex polygon whose edges are great circles; edges belong to it.
+
+    A position is inside when it lies on the inner side of every edge's plane.
+    The planar box around the polygon comes first and reaches the scan.
+    """
+    phi, theta = F.radians(lat), F.radians(lon)
+    x, y, z = F.cos(phi) * F.cos(theta), F.cos(phi) * F.sin(theta), F.sin(phi)
+    inside = in_box(lat, lon, *polygon_bounds(corners))
+    for a, b, c in _edge_normals(corners):
+        inside = inside & (x * a + y * b + z * c >= -_ON_EDGE)
+    return inside
+
+
+def box_corners(min_lat: float, max_lat: float, min_lon: float, max_lon: float) -> list[tuple[float, float]]:
+    """Corners of a box in the order :func:`in_polygon` takes."""
+    return [(min_lat, min_lon), (min_lat, max_lon), (max_lat, max_lon), (max_lat, min_lon)]
+
+
 _CELLS_PER_ROW = 400
 
 

@@ -51,22 +51,30 @@ def processing_report(
     pass_rate and drop_rate in percent, then one row per type and per level of
     the processed events.
     """
+    return report_of(outcome_counts(events, profile, below_min))
+
+
+def outcome_counts(events: DataFrame, profile: str = "fmi", below_min: str = "drop") -> DataFrame:
+    """One row of counts: received, processed, the two kinds dropped, per type and per level.  Rows of several inputs add up."""
     level = severity.severity_level(F.col("event_type"), F.col("severity_raw"), profile, below_min)
     checked = events.select(
         "event_type", quality.is_valid(events, "process").alias("valid"), level.alias("level")
     )
     passed = F.col("valid") & F.col("level").isNotNull()
-    double = lambda c: c.cast("double")
-    row = checked.agg(
+    return checked.agg(
         F.count("*").alias("received"),
         F.count_if(passed).alias("processed"),
         F.count_if(~F.col("valid")).alias("dropped_invalid"),
         F.count_if(F.col("valid") & F.col("level").isNull()).alias("dropped_below_threshold"),
         *[F.count_if(passed & (F.col("event_type") == t)).alias(f"type:{t}") for t in C.EVENT_TYPES],
         *[F.count_if(passed & (F.col("level") == v)).alias(f"level:{v}") for v in C.SEVERITY_LEVELS],
-    ).withColumn(
-        "total_dropped", F.col("dropped_invalid") + F.col("dropped_below_threshold")
     )
+
+
+def report_of(counts: DataFrame) -> DataFrame:
+    """``measure``, ``value`` of one row of :func:`outcome_counts`, with the totals and rates that follow from it."""
+    row = counts.withColumn("total_dropped", F.col("dropped_invalid") + F.col("dropped_below_threshold"))
+    double = lambda c: c.cast("double")
     rate = lambda part: F.when(
         F.col("received") > 0, double(F.col(part)) / F.col("received") * 100
     ).otherwise(F.lit(0.0))
@@ -94,10 +102,8 @@ def first_per_outcome(
     level = severity.severity_level(F.col("event_type"), F.col("severity_raw"), profile, below_min)
     outcome = F.when(quality.is_valid(events, "process"), level)
     checked = events.withColumn("outcome", F.coalesce(outcome, F.lit("DROPPED")))
-    row = F.struct(*[c for c in events.columns])
     order = F.struct(F.coalesce("timestamp", F.lit("")), F.coalesce("event_id", F.lit("")))
-    return (
-        checked.groupBy("outcome")
-        .agg(F.min_by(row, order).alias("first"))
-        .select("outcome", "first.*")
-    )
+    row = F.struct("outcome", *events.columns)
+    # one aggregation without a key per outcome: rows are neither sorted nor hashed
+    firsts = [F.min_by(row, F.when(F.col("outcome") == v, order)) for v in [*C.SEVERITY_LEVELS, "DROPPED"]]
+    return checked.agg(F.array_compact(F.array(*firsts)).alias("firsts")).select(F.inline("firsts"))

@@ -81,6 +81,22 @@ def by_location(
     return events.filter(inside).orderBy("event_id").limit(limit)
 
 
+def by_polygon(events: DataFrame, corners: list[tuple[float, float]], limit: int = 100) -> DataFrame:
+    """Events in a convex polygon with great-circle edges, in order of id.
+
+    ``corners`` are (latitude, longitude), counter-clockwise; ``geo.box_corners``
+    gives those of a box.  See :func:`geo.in_polygon`.
+    """
+    inside = geo.in_polygon(F.col("latitude"), F.col("longitude"), corners)
+    return events.filter(inside).orderBy("event_id").limit(limit)
+
+
+def polygon_events(star: Star, corners: list[tuple[float, float]], start_date: str | None = None, end_date: str | None = None) -> DataFrame:
+    """Facts in a polygon, from the cells that its box touches."""
+    facts = star.facts(start_date, end_date, box=geo.polygon_bounds(corners))
+    return facts.filter(geo.in_polygon(F.col("latitude"), F.col("longitude"), corners))
+
+
 def since(events: DataFrame, start: str | None) -> DataFrame:
     """Events at or after a time (incremental extract)."""
     return _where(events, at_least(F.col("event_time"), _time(start)))

@@ -45,6 +45,7 @@ QUERIES: dict[str, Query] = {}
 # literal parameters of the registered queries; the SQL twins use the same
 AS_OF = "2024-01-15 12:00:00"
 BOX = (20.0, 50.0, 60.0, 120.0)
+GEODESIC_BOX = (20.003, 50.003, 60.003, 120.003)
 WORLD = (-90.0, 90.0, -180.0, 180.0)
 RANGE = ("1996-03-01", "1999-10-31")
 FULL_RANGE = ("1980-01-01", "2030-12-31")
@@ -583,6 +584,18 @@ def by_location(spark: SparkSession, d: str) -> DataFrame:
     return _texts(search.by_location(_stored(spark, d), *BOX, limit=100))
 
 
+@query
+def by_polygon(spark: SparkSession, d: str) -> DataFrame:
+    return _texts(search.by_polygon(_stored(spark, d), geo.box_corners(*GEODESIC_BOX), limit=100))
+
+
+@query
+def polygon_events(spark: SparkSession, d: str) -> DataFrame:
+    return search.polygon_events(_star(spark, d), geo.box_corners(*GEODESIC_BOX), *RANGE).select(
+        "event_id", "latitude", "longitude", "severity_level"
+    )
+
+
 @query
 def new_since(spark: SparkSession, d: str) -> DataFrame:
     return _texts(search.new_since(_stored(spark, d), AS_OF))
@@ -1010,6 +1023,15 @@ def stream_counts(spark: SparkSession, d: str) -> DataFrame:
     return jobs.read_counts(spark, path)
 
 
+@query
+def stream_stats(spark: SparkSession, d: str) -> DataFrame:
+    """One source sends no readings."""
+    events = _unified_stream(spark, d).withColumn("severity_raw", F.when(F.col("source") != "SRC-4", F.col("severity_raw")))
+    path, checkpoint = _paths(spark, "stats")
+    jobs.running_stats(events, path, checkpoint, "cm", availableNow=True).awaitTermination()
+    return jobs.read_stats(spark, path)
+
+
 @query
 def stream_live_window(spark: SparkSession, d: str) -> DataFrame:
     drained = _live_stream(spark, d)

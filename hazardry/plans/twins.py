@@ -83,6 +83,13 @@ _HEMISPHERE = (
     "CASE WHEN {1} >= 0 THEN 'East' ELSE 'West' END, ' Hemisphere')"
 )
 _BOX_WHERE = f"latitude BETWEEN {BOX[0]} AND {BOX[1]} AND longitude BETWEEN {BOX[2]} AND {BOX[3]}"
+GEODESIC_BOX = (20.003, 50.003, 60.003, 120.003)
+# the latitude of a great circle through two positions of one latitude, at a longitude between them
+_BOW = "degrees(atan(tan(radians({0})) / cos(radians({1} - {2}) / 2) * cos(radians(longitude - ({1} + {2}) / 2))))"
+_GEODESIC_WHERE = (
+    f"longitude BETWEEN {GEODESIC_BOX[2]} AND {GEODESIC_BOX[3]} AND latitude BETWEEN "
+    + " AND ".join(_BOW.format(lat, GEODESIC_BOX[3], GEODESIC_BOX[2]) for lat in GEODESIC_BOX[:2])
+)
 _TYPE_KEY = "CASE event_type " + " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(KINDS, 1)) + " END"
 
 
@@ -315,10 +322,10 @@ _PIXEL_COLUMNS = """row_no, latitude, longitude, CASE WHEN row_no % 67 = 0 THEN
 
 _PASSED = f"""
 SELECT event_type, severity_raw, {_level('event_type', 'severity_raw', 'cm', 'drop')} AS level,
-       event_id IS NOT NULL AND event_type IN {_KINDS} AND severity_raw IS NOT NULL AS valid FROM uni"""
+       event_id IS NOT NULL AND event_type IN {_KINDS} AND severity_raw IS NOT NULL AS valid FROM"""
 
 
-def _stats() -> str:
+def _stats(source: str) -> str:
     passed = "valid AND level IS NOT NULL"
     measures = {
         "received": "count(*)",
@@ -333,7 +340,7 @@ def _stats() -> str:
     }
     return _with(
         " UNION ALL ".join(
-            f"SELECT '{n}' AS measure, CAST({e} AS DOUBLE) AS value FROM ({_PASSED}) c" for n, e in measures.items()
+            f"SELECT '{n}' AS measure, CAST({e} AS DOUBLE) AS value FROM ({_PASSED} {source}) c" for n, e in measures.items()
         )
     )
 
@@ -464,7 +471,7 @@ SELECT coalesce(event_type, 'TOTAL') AS event_type, count(*) AS event_count, min
     "severity_distribution": _with(f"""
 SELECT {_level('event_type', 'severity_raw', 'fmi', 'label')} AS severity_level, count(*) AS event_count FROM live GROUP BY 1"""),
     "process_events": _with(f"SELECT {_PROC} FROM proc"),
-    "processing_stats": _stats(),
+    "processing_stats": _stats("uni"),
     "first_per_level": _with(f"""
 SELECT * EXCLUDE (n) FROM (
   SELECT outcome, {_UNI}, row_number() OVER (PARTITION BY outcome ORDER BY ts_text, coalesce(event_id, ''), processed_at) AS n
@@ -532,6 +539,8 @@ SELECT count(*) AS received, count(DISTINCT id) FILTER (id NOT IN (SELECT event_
        count(id) - count(DISTINCT id) AS repeated, count(*) - count(id) AS errors
 FROM (SELECT CASE WHEN source <> 'SRC-4' THEN event_id END AS id FROM proc) p"""),
     "by_location": _with(f"SELECT {_PROC} FROM stored WHERE {_BOX_WHERE} ORDER BY event_id LIMIT 100"),
+    "by_polygon": _with(f"SELECT {_PROC} FROM stored WHERE {_GEODESIC_WHERE} ORDER BY event_id LIMIT 100"),
+    "polygon_events": _with(f"SELECT event_id, latitude, longitude, severity_level FROM wide WHERE {_FACT_RANGE} AND {_GEODESIC_WHERE}"),
     "new_since": _with(f"SELECT {_PROC} FROM stored WHERE p > TIMESTAMP '{AS_OF}'"),
     "live_window": _with(f"""
 SELECT {_PROC} FROM stored WHERE t > TIMESTAMP '{AS_OF}' - INTERVAL '8' HOUR AND t <= TIMESTAMP '{AS_OF}'"""),
@@ -669,6 +678,7 @@ SELECT event_id, event_type, severity_raw, latitude, longitude, strftime(event_t
     "stream_critical": _with(f"SELECT {_PROC} FROM streamed WHERE severity_level = 'CRITICAL'"),
     "stream_route": _with("SELECT concat(event_type, 's-topic') AS topic, count(*) AS messages FROM live GROUP BY 1"),
     "stream_counts": _with("SELECT event_type, severity_level, count(*) AS event_count FROM streamed GROUP BY 1, 2"),
+    "stream_stats": _stats("(SELECT * REPLACE (CASE WHEN source <> 'SRC-4' THEN severity_raw END AS severity_raw) FROM live) s"),
     "stream_live_window": _with(f"""
 SELECT event_id, event_type, severity_raw, latitude, longitude, strftime(event_time, {ISO}) AS event_time, source FROM live
 WHERE event_time > TIMESTAMP '{AS_OF}' - INTERVAL '8' HOUR AND event_time <= TIMESTAMP '{AS_OF}'"""),

@@ -35,6 +35,12 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base_folder(spark)}/hazardry/{purpose}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder; none there is no fault."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 class scratch:
     """A folder for tables that are needed during one piece of work; it is deleted at its end."""
 
@@ -45,8 +51,7 @@ class scratch:
         return self
 
     def __exit__(self, *_) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(self.spark, self.path)
 
     def staged(self, df: DataFrame) -> DataFrame:
         self.tables += 1

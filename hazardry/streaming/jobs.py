@@ -18,6 +18,7 @@ from hazardry.operators.documents import to_document
 from hazardry.sources import docstore
 from hazardry.sources.readers import parse_messages
 from hazardry.sources.sinks import topic_messages
+from hazardry.sources.workspace import remove
 
 
 def ingest(messages: DataFrame) -> DataFrame:
@@ -81,6 +82,18 @@ def publish_to_kafka(events: DataFrame, servers: str, checkpoint: str, **trigger
     )
 
 
+def _write_version(rows: DataFrame, path: str, version: int) -> None:
+    """Write a version whole; the one before stays for a retry and for readers, the one before that goes."""
+    rows.write.mode("overwrite").parquet(f"{path}/version={version}")
+    if version > 1:
+        remove(rows.sparkSession, f"{path}/version={version - 2}")
+
+
+def _latest(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    stored = spark.read.schema(f"{schema}, version long").parquet(path)
+    return stored.filter(F.col("version") == stored.agg(F.max("version")).scalar()).drop("version")
+
+
 def running_counts(
     processed: DataFrame, path: str, checkpoint: str, **trigger
 ) -> StreamingQuery:
@@ -88,7 +101,7 @@ def running_counts(
     (:func:`read_counts`) or a crash never meets a half-written one."""
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        _write_version(batch, path, batch_id)
 
     return (
         processing.running_counts(processed)
@@ -102,9 +115,34 @@ def running_counts(
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
     """The latest version of :func:`running_counts`."""
-    schema = "event_type string, severity_level string, event_count long, version long"
-    stored = spark.read.schema(schema).parquet(path)
-    return stored.filter(F.col("version") == stored.agg(F.max("version")).scalar()).drop("version")
+    return _latest(spark, path, "event_type string, severity_level string, event_count long")
+
+
+def running_stats(
+    events: DataFrame, path: str, checkpoint: str, profile: str = "fmi", below_min: str = "drop", **trigger
+) -> StreamingQuery:
+    """Processing statistics of everything a stream has received so far.
+
+    A batch's row of counts is added to that of the version before, which a
+    version names by its batch, so a batch that is run again gives the same row
+    and a restart goes on where the last one ended.
+    """
+    names = processing.outcome_counts(events, profile, below_min).columns
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        counts = processing.outcome_counts(batch, profile, below_min)
+        if batch_id:
+            counts = counts.unionByName(batch.sparkSession.read.schema(counts.schema).parquet(f"{path}/version={batch_id - 1}"))
+        _write_version(counts.agg(*[F.sum(F.col(f"`{n}`")).alias(n) for n in names]), path, batch_id)
+
+    return events.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def read_stats(spark: SparkSession, path: str) -> DataFrame:
+    """``measure``, ``value`` of the latest version of :func:`running_stats`, as ``processing.processing_report`` gives them."""
+    counts = ["received", "processed", "dropped_invalid", "dropped_below_threshold"]
+    counts += [f"type:{t}" for t in C.EVENT_TYPES] + [f"level:{v}" for v in C.SEVERITY_LEVELS]
+    return processing.report_of(_latest(spark, path, ", ".join(f"`{n}` long" for n in counts)))
 
 
 def critical_alerts(processed: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:

@@ -146,6 +146,65 @@ def test_cells_of_a_box_hold_all_its_points(spark):
     assert geo.cells_touch_box(F.col("c"), (0.0, 1.0, 179.0, 181.0)) is None
 
 
+def slerp_side(point, corners):
+    """Whether a point is inside, by the triple product of each edge's ends with it."""
+    def unit(lat, lon):
+        a, b = math.radians(lat), math.radians(lon)
+        return [math.cos(a) * math.cos(b), math.cos(a) * math.sin(b), math.sin(a)]
+
+    def det(u, v, w):
+        return (
+            u[0] * (v[1] * w[2] - v[2] * w[1]) - u[1] * (v[0] * w[2] - v[2] * w[0]) + u[2] * (v[0] * w[1] - v[1] * w[0])
+        )
+
+    return min(det(unit(*a), unit(*b), unit(*point)) for a, b in zip(corners, corners[1:] + corners[:1]))
+
+
+POLYGONS = [
+    geo.box_corners(20.0, 50.0, 60.0, 120.0),
+    geo.box_corners(-50.0, -20.0, -170.0, -10.0),
+    geo.box_corners(-30.0, 40.0, -60.0, 60.0),
+    [(10.0, 10.0), (-5.0, 40.0), (30.0, 35.0)],
+    [(0.0, 0.0), (0.0, 20.0), (10.0, 25.0), (18.0, 10.0), (9.0, -4.0)],
+]
+
+
+@pytest.mark.parametrize("corners", POLYGONS)
+def test_polygon_with_great_circle_edges(spark, corners):
+    rng = random.Random(4)
+    points = [(rng.uniform(-89, 89), rng.uniform(-179, 179)) for _ in range(4000)] + [(None, 1.0), (1.0, None)]
+    df = spark.createDataFrame(points, "lat double, lon double")
+    got = {(r["lat"], r["lon"]) for r in df.filter(geo.in_polygon(F.col("lat"), F.col("lon"), corners)).collect()}
+    west, east = min(c[1] for c in corners), max(c[1] for c in corners)
+    want = {p for p in points if None not in p and slerp_side(p, corners) > 0 and west <= p[1] <= east}
+    assert got == want and len(got) > 20
+
+
+def test_polygon_bulges_towards_the_pole(spark):
+    corners = geo.box_corners(20.0, 50.0, 60.0, 120.0)
+    middle = math.degrees(math.atan(math.tan(math.radians(50)) / math.cos(math.radians(30))))
+    assert geo.polygon_bounds(corners)[1] == pytest.approx(middle, abs=1e-6)
+    df = spark.createDataFrame([(middle - 0.01, 90.0), (middle + 0.01, 90.0), (20.5, 90.0), (50.0, 60.0)], "lat double, lon double")
+    got = [tuple(r) for r in df.filter(geo.in_polygon(F.col("lat"), F.col("lon"), corners)).collect()]
+    assert got == [(middle - 0.01, 90.0), (50.0, 60.0)]
+
+
+@pytest.mark.parametrize(
+    "corners",
+    [
+        [(0.0, 0.0), (1.0, 1.0)],
+        [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)],
+        [(0.0, -100.0), (0.0, 100.0), (10.0, 0.0)],
+        [(0.0, 0.0), (0.0, 0.0), (10.0, 0.0)],
+        [(0.0, 0.0), (0.0, 10.0), (90.0, 0.0)],
+        [(0.0, 0.0), (0.0, 20.0), (4.0, 10.0), (20.0, 20.0), (20.0, 0.0)],
+    ],
+)
+def test_polygons_that_are_refused(corners):
+    with pytest.raises(ValueError):
+        geo.in_polygon(F.col("lat"), F.col("lon"), corners)
+
+
 def test_lookup_tables_are_whole():
     assert len(C.COUNTRY_BY_CODE) == 140 and len(C.REGION_BY_CODE) == 140
     assert len(set(C.REGION_BY_CODE.values())) == 23

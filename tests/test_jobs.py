@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from hazardry import constants as C
 from hazardry import schemas
 from hazardry.functions import geo
-from hazardry.operators import analytics, mapview, search
-from hazardry.operators import star as S
+from hazardry.operators import analytics, mapview, search, processing
+from hazardry.operators import star as S, processing
 from hazardry.plans import warehouse as W
 from hazardry.plans.keyset import KeySet
 from hazardry.sources import docstore, readers, sinks
@@ -554,3 +554,45 @@ def test_live_feed_drops_repeats(spark, tmp_path):
 
 def test_distances_are_finite(star):
     assert all(math.isfinite(r["latitude"]) for r in star.location.collect())
+
+
+def test_running_stats_over_batches_and_restarts(spark, tmp_path):
+    schema = "event_id string, event_type string, severity_raw double, latitude double, longitude double, timestamp string, source string"
+    rows = [
+        (None if k % 11 == 0 else f"e{k}", ("fire", "storm", "volcano")[k % 3], None if k % 7 == 0 else k * 3.0, 1.0, 2.0, "2024-01-01T00:00:00Z", "s")
+        for k in range(90)
+    ]
+    source, path, checkpoint = (str(tmp_path / n) for n in ("in", "stats", "checkpoint"))
+
+    def drain():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        jobs.running_stats(stream, path, checkpoint, "cm", availableNow=True).awaitTermination()
+
+    for step in range(3):
+        for part in range(2):
+            at = step * 30 + part * 15
+            spark.createDataFrame(rows[at : at + 15], schema).coalesce(1).write.mode("append").parquet(source)
+        drain()
+        got = {r["measure"]: r["value"] for r in jobs.read_stats(spark, path).collect()}
+        seen = spark.createDataFrame(rows[: step * 30 + 30], schema)
+        want = {r["measure"]: r["value"] for r in processing.processing_report(seen, "cm", "drop").collect()}
+        assert got == want and got["received"] == step * 30 + 30
+        assert len([p for p in (tmp_path / "stats").iterdir() if p.name.startswith("version=")]) == 2
+    # the last batch runs again: its commit is lost, its version is written once more
+    commits = sorted((int(p.name) for p in (tmp_path / "checkpoint" / "commits").iterdir() if p.name.isdigit()))
+    for name in (f"{commits[-1]}", f".{commits[-1]}.crc"):
+        (tmp_path / "checkpoint" / "commits" / name).unlink(missing_ok=True)
+    drain()
+    assert {r["measure"]: r["value"] for r in jobs.read_stats(spark, path).collect()} == want
+
+
+def test_first_per_outcome_does_not_sort(spark):
+    events = spark.createDataFrame(
+        [("b", "storm", 500.0, "2"), ("a", "storm", 500.0, "2"), ("c", "storm", 0.0, "1"), (None, "fire", 1.0, "0")],
+        "event_id string, event_type string, severity_raw double, timestamp string",
+    )
+    first = processing.first_per_outcome(events, "cm", "drop")
+    assert "Sort [" not in first._jdf.queryExecution().executedPlan().toString()
+    got = {r["outcome"]: r["event_id"] for r in first.collect()}
+    assert got["DROPPED"] is None and "a" in got.values() and "b" not in got.values()
+    assert processing.first_per_outcome(events.limit(0), "cm", "drop").collect() == []
