@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardry.llm.common import positions, text_or_empty
+from hazardry.llm.common import free_names, positions, text_or_empty
 from hazardry.sources.workspace import staged
 
 BITS = 10
@@ -81,18 +81,12 @@ def rank_codes(rows: DataFrame, column: str, n: int, bits: int = BITS) -> DataFr
     )
 
 
-def hilbert_shards(docs: DataFrame, shards: int = 8, dims: Sequence[str] = ("lang", "source", "size"), bits: int = BITS) -> DataFrame:
-    """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard, curve.
-
-    `size` is the text's bytes plus one and may be named in `dims`, as may any
-    column of documents.  The law is `rows`: counts of two shards differ by one
-    at most.  Nulls in a dimension sort first and share one code.  Rows on one
-    cell are ordered by checksum, size and id, so copies lie side by side.
-    """
+def _placed(docs: DataFrame, shards: int, dims: Sequence[str], bits: int, key: str) -> DataFrame:
+    """key, size, text_crc32, curve, shard and slot of each row."""
     own = [d for d in dims if d != "size"]
     base = staged(
         docs.select(
-            "doc_id",
+            F.col(key).alias("_key"),
             *[F.col(d).alias(f"_dim_{d}") for d in own],
             (F.octet_length(text_or_empty()) + 1).cast("long").alias("size"),
             F.crc32(text_or_empty()).alias("text_crc32"),
@@ -107,17 +101,53 @@ def hilbert_shards(docs: DataFrame, shards: int = 8, dims: Sequence[str] = ("lan
         coded = coded.join(steps, F.col(column).eqNullSafe(F.col(f"_value{k}")))
         codes.append(F.col(f"_code{k}"))
     placed = positions(
-        coded.select("doc_id", "size", "text_crc32", curve_index(codes, bits).alias("curve")),
-        ["curve", "text_crc32", "size", "doc_id"],
+        coded.select("_key", "size", "text_crc32", curve_index(codes, bits).alias("curve")),
+        ["curve", "text_crc32", "size", "_key"],
     )
     shard = F.expr(f"cast(position * {shards}L div {max(n, 1)}L as int)")
     return placed.withColumn("shard", shard).select(
+        F.col("_key").alias(key),
+        "size",
+        "text_crc32",
+        "shard",
+        F.expr(f"position - (shard * {n}L + {shards - 1}L) div {shards}L").alias("slot"),
+        "curve",
+    )
+
+
+def hilbert_shards(docs: DataFrame, shards: int = 8, dims: Sequence[str] = ("lang", "source", "size"), bits: int = BITS) -> DataFrame:
+    """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard, curve.
+
+    `size` is the text's bytes plus one and may be named in `dims`, as may any
+    column of documents.  The law is `rows`: counts of two shards differ by one
+    at most.  Nulls in a dimension sort first and share one code.  Rows on one
+    cell are ordered by checksum, size and id, so copies lie side by side.
+    """
+    return _placed(docs, shards, dims, bits, "doc_id").select(
         "doc_id",
         "size",
         "text_crc32",
         F.lit("rows").alias("law"),
         "shard",
-        F.expr(f"position - (shard * {n}L + {shards - 1}L) div {shards}L").alias("slot"),
+        "slot",
         F.lit(None).cast("int").alias("grown_shard"),
         "curve",
     )
+
+
+def write_shards(docs: DataFrame, path: str, shards: int = 8, dims: Sequence[str] = ("lang", "source", "size"), bits: int = BITS) -> None:
+    """Write all rows and columns of docs as Parquet, a folder per shard, in curve order.
+
+    A file is a run of one shard, and the minima and maxima in its footer bound
+    every dimension, so readers that filter on several of them skip files.
+    Added are `size`, for such filters, and the folder `shard`; where docs has a
+    column of such a name, an underscore goes before the added one.  An empty
+    table writes an empty folder.  Repeated rows are written each.
+    """
+    row, shard, slot, size = free_names(docs, "__row", "shard", "__slot", "size")
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "hilbert-rows")
+    places = _placed(rows, shards, dims, bits, row).select(
+        row, F.col("shard").alias(shard), F.col("slot").alias(slot), F.col("size").alias(size)
+    )
+    run = rows.join(places, row).drop(row).repartitionByRange(shard, slot).sortWithinPartitions(shard, slot)
+    run.drop(slot).write.partitionBy(shard).parquet(path)

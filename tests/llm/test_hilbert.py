@@ -2,6 +2,7 @@ from collections import Counter
 from itertools import product
 from zlib import crc32
 
+import pyarrow.parquet as pq
 import pytest
 
 from helpers import docs_frame
@@ -58,6 +59,49 @@ def test_runs_cover_small_boxes(spark):
     assert boxes < 8 * 20 * 0.8
 
 
+def test_written_runs_are_skipped_by_filters_on_several_dimensions(spark, tmp_path):
+    """Footers alone tell which files a filter on two columns can leave out."""
+    rows = [(i, "ab " * (1 + i * 7 % 90), ("en", "de", "fr", "es")[i * 5 % 4], f"src{i * 3 % 16:02d}", 1) for i in range(800)]
+    rows += [(3, rows[3][1], "de", "src09", 1)] * 2 + [(None, None, None, None, None), (900, "", "en", None, 2)]
+    docs = docs_frame(spark, rows)
+    path = str(tmp_path / "runs")
+    H.write_shards(docs, path, shards=32)
+    back = spark.read.parquet(path)
+    assert set(back.columns) - set(docs.columns) == {"shard", "size"}
+    same = [tuple(r) for r in back.select(*docs.columns).collect()]
+    assert Counter(map(str, same)) == Counter(str(tuple(r)) for r in docs.collect())
+    counts = Counter(r["shard"] for r in back.collect())
+    assert len(counts) == 32 and max(counts.values()) - min(counts.values()) <= 1
+    boxes = []
+    for file in (tmp_path / "runs").rglob("*.parquet"):
+        footer = pq.ParquetFile(file).metadata
+        box = {}
+        for g in range(footer.num_row_groups):
+            for c in range(footer.num_columns):
+                column = footer.row_group(g).column(c)
+                if column.path_in_schema in ("lang", "source", "size") and column.statistics.has_min_max:
+                    low, high = box.get(column.path_in_schema, (column.statistics.min, column.statistics.max))
+                    box[column.path_in_schema] = (min(low, column.statistics.min), max(high, column.statistics.max))
+        boxes.append(box)
+
+    def read(**wanted):
+        return sum(all(b.get(k, (v, v))[0] <= v <= b.get(k, (v, v))[1] for k, v in wanted.items()) for b in boxes)
+
+    assert len(boxes) >= 32
+    for lang, source in product(("en", "de", "fr", "es"), ("src02", "src09", "src14")):
+        assert read(lang=lang, source=source) <= len(boxes) / 3
+        assert read(lang=lang, source=source, size=31) <= len(boxes) / 4
+
+
+def test_written_runs_of_clashing_names_and_no_rows(spark, tmp_path):
+    docs = docs_frame(spark, rows_of(40)).withColumn("shard", F.lit("mine")).withColumn("__row", F.lit(1)).withColumn("size", F.lit(2))
+    H.write_shards(docs, str(tmp_path / "runs"), shards=4)
+    back = spark.read.parquet(str(tmp_path / "runs"))
+    assert back.count() == 40 and set(back.columns) == {*docs.columns, "_shard", "_size"}
+    assert {r["shard"] for r in back.collect()} == {"mine"}
+    H.write_shards(docs.limit(0), str(tmp_path / "none"), shards=4)
+
+
 def test_rank_codes_against_counting(spark):
     values = [None, "a", "a", "b", "c", "c", "c", "d"]
     frame = spark.createDataFrame([(v,) for v in values], "v string")
