@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime
 import math
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,12 +33,13 @@ def map_total(star: Star, box: tuple, start_date: str, end_date: str, zoom: int)
     return cells.agg(F.lit(mode).alias("mode"), F.coalesce(F.sum("event_count"), F.lit(0)).alias("total"))
 
 
-def grid_cells(points: DataFrame, cell: float) -> DataFrame:
-    """Square-grid cells per type: sums of position and count of events.
+def grid_cells(points: DataFrame, cell: float, *by: str) -> DataFrame:
+    """Square-grid cells per type, and per columns of ``by``: sums of position and count of events.
 
     A cell is the rounded quotient of the coordinate and the cell size.
     """
     return points.groupBy(
+        *by,
         _cell("latitude", cell).alias("cell_lat"),
         _cell("longitude", cell).alias("cell_lon"),
         "event_type_id",
@@ -48,6 +50,7 @@ def grid_cells(points: DataFrame, cell: float) -> DataFrame:
     )
 
 
+BLOCK_DEGREES = 15
 _SUMS = ("lat_sum", "lng_sum", "event_count")
 _SIZES = {"square": (C.SQUARE_CELL_DEGREES, 1.0), "pre": (C.PRE_CELL_DEGREES, 0.1)}
 
@@ -60,32 +63,22 @@ def _added(cells: DataFrame, *keys: str) -> DataFrame:
     return cells.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _SUMS])
 
 
-def pyramid_rows(facts: DataFrame) -> DataFrame:
-    """Sums per kind of cell, zoom, month, type and cell: facts are added up at the deepest zoom, its rows one zoom up, and so on.
+def pyramid_rows(facts: DataFrame, tasks: Sequence[int] = ()) -> DataFrame:
+    """Sums per kind of cell, zoom, month, type and cell.
 
-    Cells of two zooms do not nest.  A row therefore keeps the cells of all
-    zooms above its own, so an event is at each zoom in the cell its own
-    position gives.
+    Facts are shuffled once, by range of month and block of BLOCK_DEGREES; every
+    zoom is added up from there within the tasks.  A cell on the rim of a block
+    has a row in each block it touches, as it has one for each load; readers add
+    rows.  ``tasks`` may hold the number of ranges, which bounds what a task holds.
     """
-    levels = []
-    for kind, (sizes, _) in _SIZES.items():
-        zooms = sorted(C.PYRAMID_ZOOMS)
-        cells = {f"{axis}{z}": _cell(position, sizes[z]) for z in zooms for axis, position in (("lat", "latitude"), ("lon", "longitude"))}
-        rows = facts.select(
-            F.expr("cast(time_id div 10000 as int)").alias("month"),
-            "event_type_id",
-            F.col("latitude").alias("lat_sum"),
-            F.col("longitude").alias("lng_sum"),
-            F.lit(1).cast("long").alias("event_count"),
-            *[c.alias(name) for name, c in cells.items()],
-        )
-        for zoom in reversed(zooms):
-            above = [name for name in cells if int(name[3:]) <= zoom]
-            rows = _added(rows, "month", "event_type_id", *above)
-            level = rows.withColumnsRenamed({f"lat{zoom}": "cell_lat", f"lon{zoom}": "cell_lon"})
-            levels.append(
-                _added(level, "month", "event_type_id", "cell_lat", "cell_lon").withColumns({"kind": F.lit(kind), "zoom": F.lit(zoom)})
-            )
+    block = F.floor(F.col("latitude") / BLOCK_DEGREES) * 360 + F.floor(F.col("longitude") / BLOCK_DEGREES)
+    slim = facts.select(F.expr("cast(time_id div 10000 as int)").alias("month"), block.alias("block"), "event_type_id", "latitude", "longitude")
+    dealt = slim.repartitionByRange(*tasks, "month", "block")
+    levels = [
+        grid_cells(dealt, sizes[zoom], "month", "block").drop("block").withColumns({"kind": F.lit(kind), "zoom": F.lit(zoom)})
+        for kind, (sizes, _) in _SIZES.items()
+        for zoom in sorted(C.PYRAMID_ZOOMS)
+    ]
     return reduce(DataFrame.unionByName, levels)
 
 

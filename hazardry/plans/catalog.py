@@ -532,7 +532,8 @@ def exclude_by_filter(spark: SparkSession, d: str) -> DataFrame:
     """The same through the stored keys and their Bloom filters."""
     stored = _stored(spark, d)
     ids = KeySet(spark, fresh_folder(spark, "keys"))
-    ids.add(stored.filter(F.col("event_time") < F.lit(AS_OF).cast("timestamp")), "event_id")
+    loaded = stored.filter(F.col("event_time") < F.lit(AS_OF).cast("timestamp")).select("event_id")
+    ids.add(staged(loaded, "loaded"), "event_id")
     with scratch(spark, "exclude") as area:
         return staged(_texts(ids.unseen(stored, "event_id", area)), "unseen")
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardry.sources.readers import existing, file_system
-from hazardry.sources.workspace import scratch
+from hazardry.sources.workspace import range_tasks, scratch
 
 BUCKETS = 8
 FIRST_ROWS = 1 << 10
@@ -121,38 +121,45 @@ class KeySet:
         return rows.join(known, key, "left_anti")
 
     def add(self, rows: DataFrame, key: str) -> None:
-        """Store new keys, each once, and set their bits."""
+        """Store new keys, each once, and set their bits.  `rows` is read several times: stage it if it is dear."""
         keys = rows.select(F.col(key).alias("key"))
         self._write_keys(keys, "append")
         number, size = self._generation() or (0, self.first_rows)
-        self._write_filter(self._filter_rows(keys, size), number, size)
+        if self._needed(size) == size:
+            self._write_filter(self._filter_rows(keys, size), number, size)
         self._grow(number, size)
 
     def rebuild(self, rows: DataFrame, key: str) -> None:
         """Forget everything and store the keys of `rows`."""
-        keys = rows.select(F.col(key).alias("key"))
-        self._write_keys(keys, "overwrite")
+        self._write_keys(rows.select(F.col(key).alias("key")), "overwrite")
         number, size = self._generation() or (0, self.first_rows)
+        size = self._needed(size)
         self._next(self._filter_rows(self.stored().select("key"), size), number, size)
-        self._grow(number + 1, size)
 
     def _write_keys(self, keys: DataFrame, mode: str) -> None:
         key = F.col("key")
         placed = keys.select("key", _place(key).alias("place"), _bucket(key).alias("bucket"))
-        placed.repartition("bucket").sortWithinPartitions("bucket", "place").write.mode(mode).partitionBy("bucket").parquet(f"{self.path}/keys")
+        order = ["bucket", "place"]
+        ranged = placed.repartitionByRange(*range_tasks(keys.count()), *order).sortWithinPartitions(*order)
+        ranged.write.mode(mode).partitionBy("bucket").parquet(f"{self.path}/keys")
 
     def _write_filter(self, rows: DataFrame, number: int, size: int) -> None:
         ordered = rows.repartition("bucket").sortWithinPartitions("bucket", "block")
         ordered.write.mode("append").partitionBy("bucket").parquet(f"{self.path}/filter/{number}-{size}")
 
-    def _grow(self, number: int, size: int) -> None:
-        """Keep the filters sparse and short."""
-        n, rows, larger = self.stored().count(), self.filters().count(), size  # counts come from the footers
+    def _needed(self, size: int) -> int:
+        """Rows per bucket for the keys that are stored: `size`, or twice the next power that would do."""
+        n, larger = self.stored().count(), size  # counts come from the footers
         while n > larger * BUCKETS * KEYS_PER_ROW:
             larger *= 2
+        return size if larger == size else 2 * larger
+
+    def _grow(self, number: int, size: int) -> None:
+        """Keep the filters sparse and short."""
+        larger = self._needed(size)
         if larger > size:
-            self._next(self._filter_rows(self.stored().select("key"), 2 * larger), number, 2 * larger)
-        elif rows > 2 * size * BUCKETS:
+            self._next(self._filter_rows(self.stored().select("key"), larger), number, larger)
+        elif self.filters().count() > 2 * size * BUCKETS:
             self._next(self._combined(self.filters()), number, size)
 
     def _next(self, rows: DataFrame, number: int, size: int) -> None:

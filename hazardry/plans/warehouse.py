@@ -31,7 +31,7 @@ from hazardry.operators.places import cell_candidates
 from hazardry.operators.ranking import keep_one
 from hazardry.plans.keyset import KeySet
 from hazardry.sources.readers import existing
-from hazardry.sources.workspace import scratch
+from hazardry.sources.workspace import range_tasks, scratch
 
 TABLES = {
     "fact": schemas.FACT_EVENT,
@@ -128,7 +128,9 @@ class Warehouse:
                 ids.rebuild(self._table(table).select(key).distinct(), key)
         with scratch(self.spark, "load") as area:
             first = area.staged(keep_one(watched.filter(loadable(classified)), "event_id", order or ["event_time"]))
-            fresh = area.staged(S.decompose(event_ids.unseen(first, "event_id", area)))
+            unseen = event_ids.unseen(first, "event_id", area)
+            fresh = S.decompose(first) if unseen is first else area.staged(S.decompose(unseen))
+            inserted = fresh.count()
             points = fresh.select("latitude", "longitude").distinct()
             if gazetteer is not None and "blocks" not in gazetteer.columns:
                 gazetteer = area.staged(cell_candidates(gazetteer))
@@ -142,24 +144,26 @@ class Warehouse:
                 self._append(self.spark.createDataFrame(kinds, TABLES["event_type"]).coalesce(1), "event_type")
             self._append(hours, "time")
             # neighbouring places share row groups, so a box reads few of them
-            new_places = area.staged(place_ids.unseen(places, "location_id", area))
+            new_places = place_ids.unseen(places, "location_id", area)
+            if new_places is not places:
+                new_places = area.staged(new_places)
+            position = ["latitude", "longitude"]
             self._append(
-                new_places.repartitionByRange("latitude", "longitude").sortWithinPartitions("latitude", "longitude"),
+                new_places.repartitionByRange(*range_tasks(new_places.count()), *position).sortWithinPartitions(*position),
                 "location",
             )
             place_ids.add(new_places, "location_id")
-            # written once: the range partitioning reads its input twice, the counts once more
+            # written once: the range partitioning reads its input twice
             facts = area.staged(S.fact_rows(S.with_places(fresh, places), types))
             # a task holds a month or a part of one, in order of place: date ranges skip
             # files, boxes skip row groups, and few files are written
             month = F.expr("time_id div 10000")
             self._append(
-                facts.repartitionByRange(month, "cell_id", "event_id").sortWithinPartitions(month, "cell_id"),
+                facts.repartitionByRange(*range_tasks(inserted), month, "cell_id", "event_id").sortWithinPartitions(month, "cell_id"),
                 "fact",
                 "year",
             )
             event_ids.add(facts, "event_id")
-            inserted = fresh.count()
             self._append(S.counts_of(facts).coalesce(1), "counts")
             self._append(self._cells(facts), "pyramid", "kind", "zoom")
         if broken:
@@ -179,7 +183,7 @@ class Warehouse:
     def _cells(facts: DataFrame) -> DataFrame:
         """The map's sums of facts, in the order that months and boxes are asked for."""
         order = ["kind", "zoom", "month", "cell_lat", "cell_lon"]
-        return mapview.pyramid_rows(facts).repartitionByRange(*order).sortWithinPartitions(*order)
+        return mapview.pyramid_rows(facts, range_tasks(facts.count())).sortWithinPartitions(*order)
 
     def _append(self, rows: DataFrame, name: str, *partition_by: str) -> None:
         columns = TABLES[name].fieldNames()

@@ -14,6 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROWS_PER_TASK = 500_000
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -65,3 +66,9 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     path = fresh_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def range_tasks(rows: int) -> list[int]:
+    """The number of ranges, for `repartitionByRange`, that gives a task at most about ROWS_PER_TASK of ``rows``
+    to sort or add up in memory; left to Spark where one would do."""
+    return [-(-rows // ROWS_PER_TASK)] if rows > ROWS_PER_TASK else []

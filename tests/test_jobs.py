@@ -12,7 +12,7 @@ from hazardry.operators import analytics, mapview, search, processing
 from hazardry.operators import star as S, processing
 from hazardry.plans import warehouse as W
 from hazardry.plans.keyset import KeySet
-from hazardry.sources import docstore, readers, sinks
+from hazardry.sources import docstore, readers, sinks, workspace
 from hazardry.sources.workspace import fresh_folder, scratch
 from hazardry.streaming import jobs
 
@@ -596,3 +596,46 @@ def test_first_per_outcome_does_not_sort(spark):
     got = {r["outcome"]: r["event_id"] for r in first.collect()}
     assert got["DROPPED"] is None and "a" in got.values() and "b" not in got.values()
     assert processing.first_per_outcome(events.limit(0), "cm", "drop").collect() == []
+
+
+def test_pyramid_shuffles_facts_once(spark, star):
+    """Every zoom is added up within the tasks of one range partitioning; a task's share is bounded."""
+    rows = mapview.pyramid_rows(star.fact, [5])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in plan and "hashpartitioning" not in plan
+    keys = ["kind", "zoom", "month", "cell_lat", "cell_lon", "event_type_id"]
+    got = {tuple(r[:6]): r[6:] for r in mapview._added(rows, *keys).collect()}
+    by_month = star.fact.withColumn("month", F.expr("cast(time_id div 10000 as int)"))
+    want = {}
+    for kind, (sizes, _) in mapview._SIZES.items():
+        for zoom in C.PYRAMID_ZOOMS:
+            for r in mapview.grid_cells(by_month, sizes[zoom], "month").collect():
+                want[kind, zoom, r["month"], r["cell_lat"], r["cell_lon"], r["event_type_id"]] = r[4:]
+    assert got.keys() == want.keys() and all(got[k][2] == want[k][2] and got[k] == pytest.approx(want[k], abs=1e-7) for k in want)
+
+
+def test_load_in_many_ranges(spark, cities, monkeypatch):
+    """Tasks of a few rows each load the same tables as one task does."""
+    stores = []
+    for most in (7, 500_000):
+        monkeypatch.setattr(workspace, "ROWS_PER_TASK", most)
+        store = W.Warehouse(spark, fresh_folder(spark, "test-ranges"))
+        assert [store.load(some_events(spark, n), cities)["inserted"] for n in (60, 150, 150)] == [60, 90, 0]
+        stores.append(store)
+    few, one = [s.open() for s in stores]
+    assert workspace.range_tasks(500_001) == [2] and not workspace.range_tasks(500_000)
+    for name in ("fact", "location", "time", "counts"):
+        a, b = getattr(few, name), getattr(one, name)
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert sorted(map(str, stores[0].keys("fact").stored().collect())) == sorted(map(str, stores[1].keys("fact").stored().collect()))
+
+
+def test_growing_keys_write_one_generation(spark, monkeypatch):
+    """Keys that need larger filters do not get small ones first."""
+    made, write = [], KeySet._write_filter
+    monkeypatch.setattr(KeySet, "_write_filter", lambda self, rows, number, size: made.append((number, size)) or write(self, rows, number, size))
+    keys = KeySet(spark, fresh_folder(spark, "test-one"), first_rows=4)
+    rows = spark.range(2000).selectExpr("concat('E', id) as event_id")
+    keys.add(rows, "event_id")
+    assert len(made) == 1 and made[0][1] * 64 >= 2000
+    assert keys.possible(rows, "event_id").count() == 2000
