@@ -7,8 +7,8 @@ read.  A key the filter rules out is new for certain, so the result is that of
 an anti-join with all keys.
 
 A filter is rows of 256 bits, four longs.  A key picks a row and two bits in each
-of the longs by its hash.  Rows are appended by every load and combined by
-`bit_or` where they are read.  With KEYS_PER_ROW keys to a row on average about
+of the longs by its hash.  Every load appends its rows; a stored key has all its
+bits in one of them.  With KEYS_PER_ROW keys to a row on average about
 one new key in 30,000 is taken for a stored one.  When there are more keys, or
 many rows to combine, a new generation of the filters is written; only the former
 reads the stored keys again, each time their number doubles.
@@ -98,14 +98,10 @@ class KeySet:
         if made is None:
             return self.spark.createDataFrame([], _KEYS)
         name = F.col(key)
-        asked = rows.select(
-            name.alias("key"), _place(name).alias("place"), _bucket(name).alias("bucket"),
-            F.pmod(_place(name), F.lit(made[1])).alias("block"), *[b.alias(f"own_{w}") for w, b in zip(_WORDS, _bits(name))],
-        )
-        own = [f"own_{w}" for w in _WORDS]
-        met = asked.join(self.filters(), ["bucket", "block"]).groupBy("key", "place", "bucket", *own).agg(*[F.bit_or(w).alias(w) for w in _WORDS])
-        held = reduce(lambda a, b: a & b, [F.col(w).bitwiseAND(F.col(o)) == F.col(o) for w, o in zip(_WORDS, own)])
-        return met.filter(held).select("key", "place", "bucket")
+        asked = rows.select(name.alias("key"), _place(name).alias("place"), _bucket(name).alias("bucket"), F.pmod(_place(name), F.lit(made[1])).alias("block"))
+        held = reduce(lambda a, b: a & b, [F.col(w).bitwiseAND(bit) == bit for w, bit in zip(_WORDS, _bits(F.col("key")))])
+        # the load that stored a key set all its bits in one row, so rows need not be combined first
+        return asked.join(self.filters(), ["bucket", "block"]).filter(held).select("key", "place", "bucket").distinct()
 
     def unseen(self, rows: DataFrame, key: str, area: scratch) -> DataFrame:
         """Rows whose key is not stored.  `rows` is read twice: stage it if it is dear."""

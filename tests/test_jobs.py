@@ -639,3 +639,18 @@ def test_growing_keys_write_one_generation(spark, monkeypatch):
     keys.add(rows, "event_id")
     assert len(made) == 1 and made[0][1] * 64 >= 2000
     assert keys.possible(rows, "event_id").count() == 2000
+
+
+def test_a_stored_key_has_its_bits_in_one_row(spark):
+    """Bits that two loads set for other keys do not make a key a possible one."""
+    keys = KeySet(spark, fresh_folder(spark, "test-bits"))
+    keys.add(spark.createDataFrame([("A",)], "event_id string"), "event_id")
+    number, size = keys._generation()
+    whole = keys._filter_rows(spark.createDataFrame([("B",)], "key string"), size)
+    halves = [whole.withColumns({w: F.lit(0).cast("long") for w in words}) for words in (("word0", "word1"), ("word2", "word3"))]
+    asked = spark.createDataFrame([("A",), ("B",), ("C",)], "event_id string")
+    for half in halves:
+        keys._write_filter(half, number, size)
+    assert [r["key"] for r in keys.possible(asked, "event_id").collect()] == ["A"]
+    keys.add(spark.createDataFrame([("B",)], "event_id string"), "event_id")
+    assert sorted(r["key"] for r in keys.possible(asked, "event_id").collect()) == ["A", "B"]
