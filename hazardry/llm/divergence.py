@@ -44,6 +44,8 @@ MOST_BROADCAST = 200_000
 NOTES_AT_ONCE = 200_000
 HELD = 2_000_000
 CELLS = 1 << 15
+TASKS_PER_CORE = 4
+LEVELS = 64  # more than the levels of a text of 2 GB, the longest
 
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 _NOTES = "lang string, source string, term binary, shared int, docs long, n long"
@@ -69,26 +71,39 @@ def shared_levels(terms: list[bytes], new: np.ndarray) -> np.ndarray:
 
 
 def _added(tables: list[pa.Table]) -> pa.Table:
-    sums = pa.concat_tables(tables).group_by(_KEYS, use_threads=False).aggregate([("docs", "sum"), ("n", "sum")])
-    return sums.rename_columns([c.removesuffix("_sum") for c in sums.column_names]).select([*_KEYS, "docs", "n"])
+    sums = pa.concat_tables(tables).group_by(["key", "term"], use_threads=False).aggregate([("docs", "sum"), ("n", "sum")])
+    return sums.rename_columns([c.removesuffix("_sum") for c in sums.column_names]).select(["key", "term", "docs", "n"])
 
 
 def term_notes(docs: DataFrame, held: int = HELD) -> DataFrame:
     """(lang, source, term, shared) with its documents and occurrences, added up in each task; a group has a row without a term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers: dict[tuple[str, str], int] = {}  # the task's groups; rows hold group * LEVELS + shared
         tables: list[pa.Table] = []
-        for part in parts(batches):
+        for part in parts(batches, numbers):
             tables.append(part)
             if sum(t.num_rows for t in tables) > held:
                 tables = [_added(tables)]
                 if tables[0].num_rows > held // 2:
-                    yield from tables.pop().to_batches(NOTES_AT_ONCE)
+                    yield from named(tables.pop(), numbers)
         if tables:
-            yield from _added(tables).to_batches(NOTES_AT_ONCE)
-
-    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+            tables = [_added(tables)]
+            yield from named(tables.pop(), numbers)
+        pa.default_memory_pool().release_unused()  # the worker stays for later stages
+
+    def named(table: pa.Table, numbers: dict[tuple[str, str], int]) -> Iterator[pa.RecordBatch]:
+        langs, sources = (pa.array([g[i] for g in numbers], pa.string()) for i in (0, 1))
+        for batch in table.to_batches(NOTES_AT_ONCE):
+            group, shared = np.divmod(batch.column("key").to_numpy(), LEVELS)
+            group = pa.array(group)
+            columns = [langs.take(group), sources.take(group), batch.column("term"), pa.array(shared.astype(np.int32)), batch.column("docs"), batch.column("n")]
+            yield pa.RecordBatch.from_arrays(columns, [*_KEYS, "docs", "n"])
+
+    def parts(batches: Iterator[pa.RecordBatch], numbers: dict[tuple[str, str], int]) -> Iterator[pa.Table]:
         for batch in batches:
+            owners = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            groups = np.array([numbers.setdefault(g, len(numbers)) for g in owners], np.int64)
             terms, n, sizes = [], [], []
             for at, text in enumerate(batch.column(2)):
                 counts = Counter(_TERM.findall(text.as_py().lower()))  # bytes: only A-Z change
@@ -97,21 +112,18 @@ def term_notes(docs: DataFrame, held: int = HELD) -> DataFrame:
                 n += map(counts.__getitem__, own)
                 sizes.append(len(own))
                 if len(terms) > NOTES_AT_ONCE or at == batch.num_rows - 1:
-                    yield noted(batch.slice(at + 1 - len(sizes), len(sizes)), terms, n, np.array(sizes))
+                    yield noted(groups[at + 1 - len(sizes) : at + 1], terms, n, np.array(sizes))
                     terms, n, sizes = [], [], []
 
-    def noted(batch: pa.RecordBatch, terms: list[bytes], n: list[int], sizes: np.ndarray) -> pa.Table:
+    def noted(groups: np.ndarray, terms: list[bytes], n: list[int], sizes: np.ndarray) -> pa.Table:
         new = np.zeros(len(terms), bool)
         new[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
-        rows = pa.array(np.concatenate([np.repeat(np.arange(len(sizes)), sizes), np.arange(len(sizes))]))
-        none = len(sizes)
+        none = np.unique(groups)  # a row without a term for each group
         columns = {
-            "lang": batch.column(0).take(rows),
-            "source": batch.column(1).take(rows),
-            "term": pa.array(terms + [None] * none, pa.binary()),
-            "shared": pa.array(np.concatenate([shared_levels(terms, new), np.zeros(none, np.int32)])),
-            "docs": pa.array(np.ones(len(terms) + none, np.int64)),
-            "n": pa.array(n + [0] * none, pa.int64()),
+            "key": pa.array(np.concatenate([np.repeat(groups, sizes) * LEVELS + shared_levels(terms, new), none * LEVELS])),
+            "term": pa.array(terms + [None] * len(none), pa.binary()),
+            "docs": pa.array(np.ones(len(terms) + len(none), np.int64)),
+            "n": pa.array(n + [0] * len(none), pa.int64()),
         }
         return pa.table(columns)
 
@@ -120,6 +132,11 @@ def term_notes(docs: DataFrame, held: int = HELD) -> DataFrame:
     return texts.mapInArrow(run, _NOTES)
 
 
+def _gathered(df: DataFrame, purpose: str) -> DataFrame:
+    """Staged by a few tasks a core, however many partitions the session shuffles into: a file and a task each have buffers."""
+    return staged(df.coalesce(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism), purpose)
+
+
 def _head(width: int) -> Column:
     return F.substring("term", 1, width)
 
@@ -142,7 +159,7 @@ def kept_terms(notes: DataFrame, least: int = LEAST, most_broadcast: int = MOST_
             .filter(F.col("docs") >= least)
             .select("lang", "head", "complete")
         )
-        left = staged(counted, "terms-level")
+        left = _gathered(counted, "terms-level")
         whole.append(left.filter("complete").select("lang", F.col("head").alias("term")))
         open_heads = left.filter("not complete").select(F.col("lang").alias("_lang"), F.col("head").alias("_head"))
         n = open_heads.count()
@@ -209,9 +226,9 @@ def source_divergence(docs: DataFrame, least: int = LEAST, top: int = TOP, most_
     an empty table gives no rows.
     """
     notes = staged(term_notes(docs), "terms-notes")
-    kept = staged(kept_terms(notes, least, most_broadcast), "terms-kept")
+    kept = _gathered(kept_terms(notes, least, most_broadcast), "terms-kept")
     sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"))
-    counts = staged(
+    counts = _gathered(
         notes.join(_sized(kept, kept.count(), most_broadcast), ["lang", "term"], "left_semi")
         .groupBy("lang", "source", "term")
         .agg(F.sum("n").alias("n")),
@@ -219,7 +236,7 @@ def source_divergence(docs: DataFrame, least: int = LEAST, top: int = TOP, most_
     )
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     number = F.row_number().over(Window.partitionBy("lang").orderBy("source"))
-    groups = staged(
+    groups = _gathered(
         notes.filter(F.col("term").isNull())
         .select("lang", "source")
         .distinct()

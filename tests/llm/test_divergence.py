@@ -78,3 +78,12 @@ def test_discarded_prefixes_are_not_read_again(spark):
 
 def test_empty(spark):
     assert divergence.source_divergence(docs_frame(spark, [])).count() == 0
+
+
+def test_few_files_of_many_partitions(spark, monkeypatch):
+    """Tables between steps are written by a few tasks a core, also when the session shuffles into many partitions."""
+    monkeypatch.setattr(divergence, "TASKS_PER_CORE", 1)
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(1000).repartition(4 * cores)
+    table = divergence._gathered(many, "test-gathered")
+    assert len(table.inputFiles()) <= cores and table.count() == 1000
