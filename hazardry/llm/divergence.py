@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazardry.sources.workspace import staged
+from hazardry.sources.workspace import ROWS_PER_TASK, staged
 
 LEAST = 30
 PRIOR = 5
@@ -132,9 +132,13 @@ def term_notes(docs: DataFrame, held: int = HELD) -> DataFrame:
     return texts.mapInArrow(run, _NOTES)
 
 
-def _gathered(df: DataFrame, purpose: str) -> DataFrame:
-    """Staged by a few tasks a core, however many partitions the session shuffles into: a file and a task each have buffers."""
-    return staged(df.coalesce(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism), purpose)
+def _gathered(df: DataFrame, purpose: str, rows: int) -> DataFrame:
+    """Staged by a few tasks a core, however many partitions the session shuffles into: a file and a task each have buffers.
+
+    ``rows`` of input keep as many tasks as they need at ROWS_PER_TASK.
+    """
+    fewest = TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism
+    return staged(df.coalesce(max(fewest, rows // ROWS_PER_TASK)), purpose)
 
 
 def _head(width: int) -> Column:
@@ -149,6 +153,7 @@ def _sized(rows: DataFrame, n: int, most: int) -> DataFrame:
 def kept_terms(notes: DataFrame, least: int = LEAST, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """lang and term of the terms in at least `least` documents of their language."""
     whole: list[DataFrame] = []
+    rows = notes.count()
     below, level, width = notes.filter(F.col("term").isNotNull()), 0, FIRST_LEVEL
     while True:
         complete = F.octet_length("term") < width
@@ -159,7 +164,7 @@ def kept_terms(notes: DataFrame, least: int = LEAST, most_broadcast: int = MOST_
             .filter(F.col("docs") >= least)
             .select("lang", "head", "complete")
         )
-        left = _gathered(counted, "terms-level")
+        left = _gathered(counted, "terms-level", rows)
         whole.append(left.filter("complete").select("lang", F.col("head").alias("term")))
         open_heads = left.filter("not complete").select(F.col("lang").alias("_lang"), F.col("head").alias("_head"))
         n = open_heads.count()
@@ -226,13 +231,15 @@ def source_divergence(docs: DataFrame, least: int = LEAST, top: int = TOP, most_
     an empty table gives no rows.
     """
     notes = staged(term_notes(docs), "terms-notes")
-    kept = _gathered(kept_terms(notes, least, most_broadcast), "terms-kept")
+    rows = notes.count()  # from the footers
+    kept = _gathered(kept_terms(notes, least, most_broadcast), "terms-kept", rows)
     sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"))
     counts = _gathered(
         notes.join(_sized(kept, kept.count(), most_broadcast), ["lang", "term"], "left_semi")
         .groupBy("lang", "source", "term")
         .agg(F.sum("n").alias("n")),
         "terms-counts",
+        rows,
     )
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     number = F.row_number().over(Window.partitionBy("lang").orderBy("source"))
@@ -246,6 +253,7 @@ def source_divergence(docs: DataFrame, least: int = LEAST, top: int = TOP, most_
         .withColumn("g", number)
         .withColumn("p0", F.when(F.col("kept") > 0, _share(F.lit(0).cast("long"), F.col("total"), F.col("kept"))).otherwise(0).cast("long")),
         "terms-groups",
+        rows,
     )
     shares = counts.join(groups, ["lang", "source"]).withColumn("p", _share(F.col("n"), F.col("total"), F.col("kept")))
 

@@ -85,5 +85,7 @@ def test_few_files_of_many_partitions(spark, monkeypatch):
     monkeypatch.setattr(divergence, "TASKS_PER_CORE", 1)
     cores = spark.sparkContext.defaultParallelism
     many = spark.range(1000).repartition(4 * cores)
-    table = divergence._gathered(many, "test-gathered")
+    table = divergence._gathered(many, "test-gathered", 1000)
     assert len(table.inputFiles()) <= cores and table.count() == 1000
+    monkeypatch.setattr(divergence, "ROWS_PER_TASK", 1000 // (3 * cores))
+    assert len(divergence._gathered(many, "test-gathered", 1000).inputFiles()) >= 3 * cores
