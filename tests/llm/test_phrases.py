@@ -110,3 +110,40 @@ def test_very_long_text_and_empty_table(spark):
     frame = docs_frame(spark, [(1, text, "en", "s", 1), (2, "word" * 100_000, "en", "s", 1)])
     assert [tuple(r) for r in phrases.collocations(frame).collect()] == brute([(text, "en"), ("word" * 100_000, "en")])
     assert phrases.collocations(docs_frame(spark, [])).count() == 0
+
+
+def test_passes_over_the_texts_do_not_grow_with_candidates(spark, monkeypatch):
+    """Many small blocks and shards read the texts as often as one of each: for words, buckets of each length, spelling and counting."""
+    rows, passes, over = rows_of(11), [], type(spark.range(0)).mapInArrow
+
+    def counted(self, func, *args, **named):
+        passes.append(self.columns == ["lang", "text"])
+        return over(self, func, *args, **named)
+
+    monkeypatch.setattr(type(spark.range(0)), "mapInArrow", counted)
+    monkeypatch.setattr(phrases, "SLICES", 3)
+    frame = docs_frame(spark, [(i, t, x, "s", 1) for i, (t, x) in enumerate(rows)])
+    for buckets, shard, at_once in [(1 << 21, 200_000, 4), (200, 20, 1)]:
+        passes.clear()
+        got = phrases.collocations(frame, 3, 10, 5, buckets, shard, at_once).collect()
+        assert sorted(tuple(r) for r in got) == brute(rows, 3, 10, 5)
+        assert sum(passes) == 5
+
+
+def test_equal_runs_are_told_by_bytes():
+    """Runs that share a hash are one only if all bytes agree, whatever their length."""
+    rng = random.Random(2)
+    words = ["a", "b", "abcdefgh", "abcdefgi", "abcdefghabcdefgh", "abcdefghabcdefgi", "xbcdefghabcdefghz", "abcdefg"]
+    text = " ".join(rng.choices(words, k=3000))
+    pieces, line = phrases.Pieces([text.encode()]), text.split()
+    for m in (1, 2):
+        first = np.arange(len(line) - m + 1)
+        own = np.array([rng.randrange(3) << 40 for _ in first], np.uint64)
+        at, hashes, counts = pieces.distinct(first, m, own, True)
+        assert (np.diff(hashes.view(np.int64)) >= 0).all()
+        found = Counter()
+        for data, n in zip(pieces.lines(at, m)[0].tobytes().split(b"\n"), counts.tolist()):
+            found[data.decode()] += n
+        assert found == Counter(" ".join(line[i : i + m]) for i in first)
+        trie = phrases.Trie(sorted(k.encode() for k in found))
+        assert trie.count_lines(pieces.lines(at, m)[0], counts).tolist() == [found[k] for k in sorted(found)]
