@@ -45,7 +45,7 @@ from hazardry.sources.workspace import staged
 MOST = 3
 LEAST = 10
 TOP = 2000
-HELD = 1 << 22
+HELD = 1 << 21
 BUCKETS = 1 << 21
 SHARD = 200_000
 SHARDS_AT_ONCE = 4
@@ -284,7 +284,7 @@ def bits_of(buckets: DataFrame, n: int, parts: int):
         bits = [np.packbits(x, bitorder="little").tobytes() for x in own.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.int32()), pa.array(bits, pa.binary())], names=["part", "bits"])
 
-    tasks = min(parts, max(1, -(-n // (HELD // 4))))
+    tasks = min(parts, max(1, -(-n // (HELD // 2))))
     dealt = buckets.select("bucket").repartitionById(tasks, _part_of("bucket", parts))
     out = np.zeros(parts * width // 8, np.uint8)
     for part, bits in zip(*dealt.mapInArrow(run, "part int, bits binary").toArrow().columns):
@@ -346,7 +346,7 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=table.column_names)
 
 
-def runs_in(texts: DataFrame, words: list[int], bits, parts: int, exact: bool, held: int = HELD // 4) -> DataFrame:
+def runs_in(texts: DataFrame, words: list[int], bits, parts: int, exact: bool, held: int = HELD // 2) -> DataFrame:
     """part, lang, buckets, phrases, n: runs of so many words that a broadcast bitmap lets through, by part and language.
 
     Of a portion's runs that agree in the hash, or if `exact` in all bytes, one is there with the hash, its bytes as a line and their number.
@@ -380,7 +380,7 @@ def _block(full: DataFrame, parts: int) -> tuple:
     return bits_of(full, full.count(), parts), full.select("bucket")
 
 
-def spelled(texts: DataFrame, words: list[int], block, anywhere: bool = False, held: int = HELD // 4) -> DataFrame:
+def spelled(texts: DataFrame, words: list[int], block, anywhere: bool = False, held: int = HELD // 2) -> DataFrame:
     """lang, phrase, bucket of the runs of so many words whose hash is in a block of buckets.
 
     One run is spelled for each bucket, or all that have its hash (`anywhere`).
@@ -391,20 +391,22 @@ def spelled(texts: DataFrame, words: list[int], block, anywhere: bool = False, h
         for batch in batches:
             for lang, own, some in zip(*batch.columns):
                 buckets.append(_values(own, np.uint64))
-                langs.append(np.full(len(buckets[-1]), lang.as_py(), object))
+                langs.append(lang.as_py())
                 lines.append(_values(some, np.uint8))
         if not buckets:
             return
-        buckets, langs, data = map(np.concatenate, (buckets, langs, lines))
+        rows = np.cumsum([len(x) for x in buckets])
+        buckets, data = np.concatenate(buckets), np.concatenate(lines)
         ends = np.flatnonzero(data == _END)
         starts = np.concatenate([[0], ends[:-1] + 1])
         data = data.tobytes()
         if anywhere:
             slices = map(data.__getitem__, map(slice, starts.tolist(), ends.tolist()))
-            found = list(zip(*set(zip(langs.tolist(), slices, buckets.view(np.int64).tolist()))))
+            own = (langs[i] for i in np.searchsorted(rows, np.arange(len(buckets)), "right").tolist())
+            found = list(zip(*set(zip(own, slices, buckets.view(np.int64).tolist()))))
         else:
             buckets, at = np.unique(buckets, return_index=True)
-            found = [langs[at].tolist(), list(map(data.__getitem__, map(slice, starts[at].tolist(), ends[at].tolist()))), buckets.view(np.int64)]
+            found = [[langs[i] for i in np.searchsorted(rows, at, "right").tolist()], list(map(data.__getitem__, map(slice, starts[at].tolist(), ends[at].tolist()))), buckets.view(np.int64)]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, (pa.string(), pa.binary(), pa.int64()))], names=["lang", "phrase", "bucket"])
 
     bits, full = block
@@ -567,7 +569,7 @@ def full_buckets(texts: DataFrame, most: int = MOST, least: int = LEAST, buckets
         if full[-1].isEmpty() or words == most:
             break
         ends, _ = _block(full[-1], parts)
-    return _union(full), _spelled(texts, _union(full), most, parts)
+    return _union(full), _spelled(texts, _union(full), most, parts * most)
 
 
 def _spelled(texts: DataFrame, full: DataFrame, most: int, parts: int, anywhere: bool = False) -> DataFrame:
@@ -594,7 +596,7 @@ def counted_phrases(texts: DataFrame, most: int, least: int, buckets: int, shard
     shared = staged(shared_buckets(full, phrases, counts), "phrase-shared")
     if shared.isEmpty():
         return counts
-    more = _spelled(texts, shared, most, parts, anywhere=True)
+    more = _spelled(texts, shared, most, parts * most, anywhere=True)
     return staged(phrase_counts(texts, _with_words(phrases.unionByName(more)), shard, at_once, parts * most), "phrases")
 
 
